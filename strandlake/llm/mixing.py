@@ -53,7 +53,8 @@ def source_targets(sizes: DataFrame, *, weights=(5, 2, 1), max_repeat: int = 3)
         .withColumn("caps", F.sum("cap").over(upto) - F.col("cap"))
         .withColumn("free", F.sum("weight").over(every) - F.sum("weight").over(upto) + F.col("weight"))
         .withColumn("level", (F.col("total") - F.col("caps")) / F.col("free"))
-        .withColumn("water", F.min(F.when(F.col("level") < F.col("ratio"), F.col("level"))).over(every))
+        .withColumn("order", F.row_number().over(Window.orderBy("ratio", F.col("source").asc_nulls_last())))
+        .withColumn("water", F.min(F.when(F.col("level") < F.col("ratio"), F.struct("order", "level"))).over(every)["level"])
     )
     target = F.when(F.col("water").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("water") * F.col("weight")))
     return per.select("source", "source_size", target.alias("target"))
