@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,10 @@ WORD = f"[^{SPACE}]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # a driver that found this package by sys.path alone tells its workers where it is
+    found = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if (root := str(Path(__file__).parents[2])) not in found:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*found, root]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

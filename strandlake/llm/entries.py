@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets, tokens, warc
+from . import decontaminate, lines, mixing, ngram_join, quality, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_secrets": secrets.op1_secrets,
+        "op2_line_dedup": lines.op2_line_dedup,
         "op4_tokens": tokens.op4_tokens,
+        "op5_quality": quality.op5_quality,
+        "op6_leaks": decontaminate.op6_leaks,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op8_mix": mixing.op8_mix,
+        "op9_jaccard": ngram_join.op9_jaccard,
         "op10_warc": warc.op10_warc,
     }
 
