@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, ngram_join, quality, secrets, tokens, toxicity, warc
+from . import decontaminate, embeddings, lines, mixing, ngram_join, quality, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_secrets": secrets.op1_secrets,
         "op2_line_dedup": lines.op2_line_dedup,
+        "op3_embeddings": embeddings.op3_embeddings,
         "op4_tokens": tokens.op4_tokens,
         "op5_quality": quality.op5_quality,
         "op6_leaks": decontaminate.op6_leaks,

@@ -105,12 +105,15 @@ def _permuted(pos, blocks, seed):
 
 
 def mix_sources(
-    docs: DataFrame, *, weights=(5, 2, 1), max_repeat: int = 3, block_words: int = 1024, shard_words: int = 1 << 20, seed: int = 8
+    docs: DataFrame, *, weights=(5, 2, 1), max_repeat: int = 3, block_words: int = 1024,
+    shard_words: int = 1 << 20, seed: int = 8,
+    row_id: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Draw the mix. Returns ``(sized, draws)``.
 
     ``sized``: row_id and all columns of the plan for each row of ``docs``:
-    ``(row_id, doc_id, source, size, source_size, target)``. ``draws``:
+    ``(row_id, doc_id, source, size, source_size, target)``; ``row_id`` names a
+    column of unique numbers, if there is one. ``draws``:
     ``(row_id, shard, place, word_from, word_to)``; a shard takes those words
     of the row, in the order of ``place``.
 
@@ -123,7 +126,7 @@ def mix_sources(
     spark = docs.sparkSession
     sized = stored(
         docs.select(
-            F.monotonically_increasing_id().alias("row_id"),
+            (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("row_id"),
             F.col("doc_id"),
             F.col("source"),
             n_words("text").alias("size"),
@@ -197,12 +200,29 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes words of, with ``size, source_size, target, taken, n_draws``.
+
+    Columns of ``docs`` by these names give way to the mix's.
+    """
+    keyed = _numbered(docs)
+    sized, draws = mix_sources(keyed, row_id="_row", **options)
+    taken = draws.groupBy("row_id").agg(F.sum(F.col("word_to") - F.col("word_from")).cast("long").alias("taken"), F.count("*").alias("n_draws"))
+    figures = sized.join(taken, "row_id").select(F.col("row_id").alias("_row"), "size", "source_size", "target", "taken", "n_draws")
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "n_draws")]
+    return keyed.select("_row", *own).join(figures, "_row").drop("_row")
+
+
 def write_mix(docs: DataFrame, path: str, **options) -> None:
     """Write the drawn words, one folder for each shard, in each shard's own order."""
-    keyed = docs.withColumn("row_id", F.monotonically_increasing_id())
-    _, draws = mix_sources(docs, **options)
+    keyed = _numbered(docs)
+    _, draws = mix_sources(keyed, row_id="_row", **options)
     words = F.regexp_extract_all(text_or_empty("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    out = draws.join(keyed.select("row_id", "doc_id", "source", words.alias("words")), "row_id").select(
+    out = draws.join(keyed.select(F.col("_row").alias("row_id"), "doc_id", "source", words.alias("words")), "row_id").select(
         "shard", "place", "doc_id", "source",
         F.array_join(F.slice("words", (F.col("word_from") + 1).cast("int"), (F.col("word_to") - F.col("word_from")).cast("int")), " ").alias("text"),
     )
