@@ -1 +1 @@
-
+"""Nothing here: the data model has no event time. Sessions on time are gap sessions (operators.fragments)."""
