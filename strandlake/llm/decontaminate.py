@@ -29,9 +29,9 @@ _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = T
 
 
 def _grams(h: np.ndarray, n: int) -> np.ndarray:
-    if not len(h):
-        return h
-    n = min(n, len(h))
+    """Hashes of the runs of ``n`` words; none if there are fewer."""
+    if not n or len(h) < n:
+        return np.zeros(0, np.uint64)
     g = np.zeros(len(h) - n + 1, np.uint64)
     for i in range(n):
         g = g * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i]
@@ -54,6 +54,18 @@ class Part:
     length: np.ndarray
 
 
+def _part_grams(h: np.ndarray) -> tuple[int, np.ndarray]:
+    """The run length for a question or an answer, three words or all it has, and its distinct runs."""
+    n = min(SHINGLE, len(h))
+    return n, np.unique(_grams(h, n))
+
+
+def _overlap(part: tuple[int, np.ndarray], h: np.ndarray) -> float:
+    """Share of the part's runs that stand among the words ``h``; an empty part is there."""
+    n, grams = part
+    return float(np.isin(grams, _grams(h, n)).mean()) if n else 1.0
+
+
 def _question_words(text: str, n: int) -> int:
     """Words of the question: up to the last question mark that something follows, else two thirds."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -97,8 +109,8 @@ def build_index(items: list[tuple[int, str]], share: float) -> list[Part]:
         edges = np.arange(0, len(group), BLOCK)
         parts.append(Part(
             np.array([i for i, _, _ in group]), terms, impact, np.maximum.reduceat(impact, edges, axis=1), impact.max(1), threshold,
-            np.minimum.reduceat(threshold, edges), [np.unique(_grams(h[:q], SHINGLE)) for _, h, q in group],
-            [np.unique(_grams(h[q:], SHINGLE)) for _, h, q in group], np.array([len(h) for _, h, _ in group]),
+            np.minimum.reduceat(threshold, edges), [_part_grams(h[:q]) for _, h, q in group],
+            [_part_grams(h[q:]) for _, h, q in group], np.array([len(h) for _, h, _ in group]),
         ))
     return parts
 
@@ -174,9 +186,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = 0.6, ove
                     for row, item, a, b, score in _search(part, w, h):
                         reach = int(part.length[item])
                         a, b = max(int(w.first[row]), a - reach), min(int(w.first[row + 1]), b + reach)
-                        grams = np.unique(np.concatenate([_grams(h[a:b], SHINGLE), *([_grams(h[i : i + 1], 1) for i in range(a, b)] if min(len(part.question[item]), len(part.answer[item])) < 2 else [])]))
-                        q = float(np.isin(part.question[item], grams).mean()) if len(part.question[item]) else 1.0
-                        r = float(np.isin(part.answer[item], grams).mean()) if len(part.answer[item]) else q
+                        q, r = _overlap(part.question[item], h[a:b]), _overlap(part.answer[item], h[a:b])
                         if min(q, r) >= (overlap if reach >= 8 else 1.0):
                             key = (base + row, int(part.ids[item]))
                             found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (score, q, r))
