@@ -174,7 +174,7 @@ def mix_sources(
     first = F.greatest("lo", F.col("block") * block_words)
     last = F.least("hi", (F.col("block") + 1) * block_words)
     pieces = pieces.select(
-        "row_id", "slot", "block", (first - F.col("lo")).alias("word_from"), (last - F.col("lo")).alias("word_to")
+        "row_id", "slot", "block", "turn", (first - F.col("lo")).alias("word_from"), (last - F.col("lo")).alias("word_to")
     )
     if not quotas:
         none = F.lit(None).cast("long")
@@ -185,7 +185,7 @@ def mix_sources(
         "shard", "slot", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")
     ).select("shard", "slot", _permuted(F.col("pos"), F.col("blocks"), seed).alias("block"))
     draws = pieces.join(drawn, ["slot", "block"])
-    place = F.xxhash64(F.lit(seed), "shard", "slot", "block", "row_id", "word_from")
+    place = F.xxhash64(F.lit(seed), "shard", "slot", "block", "turn", "row_id", "word_from")
     return sized_out, draws.select("row_id", "shard", place.alias("place"), "word_from", "word_to")
 
 
