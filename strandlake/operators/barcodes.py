@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from ..functions.columns import UNKNOWN, number_of, well_number
+from .counting import ranked
 
 #: Tail motifs that tell the molecule type, first match wins. Fixed values.
 MOTIFS = (("TGCA", "rna"), ("GGCC", "dna"))
@@ -195,10 +196,9 @@ def cells_per_sample(decoded: DataFrame) -> DataFrame:
 
 def block_groups(cells: DataFrame, *, per_group: int = 25_000, groups: int | None = None) -> DataFrame:
     """Cells of a barcode grid dealt in order into groups of equal size: ``group`` from 0."""
-    order = Window.orderBy(*[c for c in cells.columns])
     total = cells.agg(F.count("*").alias("_n"))
     n_groups = F.lit(groups) if groups else (1 + F.floor(F.col("_n") / per_group))
-    out = cells.withColumn("_i", F.row_number().over(order) - 1).crossJoin(F.broadcast(total))
+    out = ranked(cells, cells.columns, "_i").crossJoin(F.broadcast(total))  # one row
     return out.withColumn("group", F.floor(F.col("_i") / F.ceil(F.col("_n") / n_groups)).cast("int")).drop("_i", "_n")
 
 

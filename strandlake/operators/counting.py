@@ -44,19 +44,26 @@ def cell_metadata(totals: DataFrame, digest: DataFrame, *, on: str = "sample", m
     return out.fillna(missing, [c for c in digest.columns if c != on])
 
 
-def dense_ids(counts: DataFrame, column: str) -> DataFrame:
-    """``(column, id)`` with ids from 0 in the order of the names.
+def ranked(df: DataFrame, order: list[str], into: str, within: list[str] | None = None) -> DataFrame:
+    """``df`` with each row's place from 0 in the order of the columns, within its group.
 
-    The names are range partitioned; a partition's first id is the number of
-    names in the partitions before it (a row for each partition), so no task
-    sees them all.
+    Rows are range partitioned by group and order; a partition's first place is
+    the number of the group's rows in the partitions before it (a row for each
+    partition and group), so no task sees all rows of a group.
     """
-    names = counts.select(column).distinct().repartitionByRange(column)
-    names = names.withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy("_part").orderBy(column)
-    sizes = names.groupBy("_part").agg(F.count("*").alias("_n"))
-    sizes = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")
-    return names.join(sizes, "_part").select(column, (F.row_number().over(within) - 1 + F.col("_before")).cast("long").alias("id"))
+    within = within or []
+    x = df.repartitionByRange(*within, *order).withColumn("_part", F.spark_partition_id())
+    sizes = x.groupBy("_part", *within).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*within).orderBy("_part")) - F.col("_n")
+    sizes = sizes.select("_part", *within, before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part", *within).orderBy(*order)) - 1 + F.col("_before")
+    joined = x.join(sizes, ["_part", *within])
+    return joined.withColumn(into, place.cast("long")).select(*df.columns, into)
+
+
+def dense_ids(counts: DataFrame, column: str) -> DataFrame:
+    """``(column, id)`` with ids from 0 in the order of the names."""
+    return ranked(counts.select(column).distinct(), [column], "id")
 
 
 def matrix(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -70,8 +77,8 @@ def prevalence(counts: DataFrame, *, min_cells: int = 1) -> DataFrame:
     """Cells for each feature and the feature's rank percentile by that, ties by name."""
     cells = counts.where("n >= 1").groupBy("feature").agg(F.count_distinct("cell").alias("cells"))
     total = cells.agg(F.count("*").alias("_total"))
-    rank = F.row_number().over(Window.orderBy("cells", "feature")) - 1
-    return cells.crossJoin(total).withColumn("percentile", rank / F.col("_total")).drop("_total").where(F.col("cells") >= min_cells)
+    placed = ranked(cells, ["cells", "feature"], "_place").crossJoin(F.broadcast(total))  # one row
+    return placed.withColumn("percentile", F.col("_place") / F.col("_total")).drop("_total", "_place").where(F.col("cells") >= min_cells)
 
 
 def gene_share(counts: DataFrame, genes: list[str]) -> DataFrame:

@@ -6,12 +6,14 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .counting import ranked
 from .intervals import merge_intervals
 
 
@@ -90,8 +92,8 @@ def feature_filter(counts: DataFrame, *, min_cells: int = 2, top: float = 0.998,
     x = counts.where(contig.isin(contigs)) if contigs is not None else counts
     cells = x.where("n > 0").groupBy("feature").agg(F.count_distinct("cell").alias("cells"))
     total = cells.agg(F.count("*").alias("_m"))
-    place = (F.row_number().over(Window.orderBy("cells", "feature")) - 1) / F.col("_m")
-    keep = cells.crossJoin(F.broadcast(total)).withColumn("_p", place).where((F.col("cells") >= min_cells) & (F.col("_p") <= top))
+    placed = ranked(cells, ["cells", "feature"], "_i").crossJoin(F.broadcast(total))  # one row
+    keep = placed.withColumn("_p", F.col("_i") / F.col("_m")).where((F.col("cells") >= min_cells) & (F.col("_p") <= top))
     return x.join(keep.select("feature"), "feature", "left_semi")
 
 
@@ -127,8 +129,8 @@ def variable_features(values: DataFrame, *, top: int = 100, bins: int = 20, v: s
     var = (F.col("s2") - F.col("s1") * mean) / F.greatest(F.col("_m") - 1, F.lit(1))
     s = s.select("feature", mean.alias("mean"), (var / mean).alias("dispersion"))
     n = s.agg(F.count("*").alias("_n"))
-    place = F.row_number().over(Window.orderBy("mean", "feature")) - 1
-    s = s.crossJoin(F.broadcast(n)).withColumn("bin", F.floor(place * bins / F.col("_n")).cast("int")).drop("_n")
+    s = ranked(s, ["mean", "feature"], "_i").crossJoin(F.broadcast(n))  # one row
+    s = s.withColumn("bin", F.floor(F.col("_i") * bins / F.col("_n")).cast("int")).drop("_n", "_i")
     med = s.groupBy("bin").agg(F.percentile("dispersion", F.lit(0.5)).alias("med"))
     s = s.join(med, "bin")
     mad = s.groupBy("bin").agg(F.percentile(F.abs(F.col("dispersion") - F.col("med")), F.lit(0.5)).alias("mad"))
@@ -146,7 +148,7 @@ def cell_vectors(values: DataFrame, features: DataFrame, v: str = "v") -> DataFr
 
 def components(vectors: DataFrame, k: int, *, x: str = "x", scale: bool = True, key: str = "cell") -> DataFrame:
     """The first ``k`` principal components of each row, as an array ``pc``."""
-    v = vectors.select(key, array_to_vector(x).alias("_x"))
+    v = vectors.select(key, array_to_vector(x).alias("_x")).persist(StorageLevel.MEMORY_AND_DISK)  # both fits pass over it
     if scale:
         v = StandardScaler(inputCol="_x", outputCol="_s", withMean=True, withStd=True).fit(v).transform(v).select(key, F.col("_s").alias("_x"))
     model = PCA(k=k, inputCol="_x", outputCol="_p").fit(v)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from ..functions.columns import UNKNOWN, any_of, strip_suffixes
+from .counting import ranked
 
 
 def decode_name(name: Column, *, library: Column | None = None, antibody: Column | None = None) -> dict[str, Column]:
@@ -167,8 +168,8 @@ def join_by_place(a: DataFrame, b: DataFrame, *, keys: tuple[str, ...] = ("pair_
 
 
 def number_reads(df: DataFrame, order: list[str], into: str = "XX", within: list[str] | None = None) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy(*(within or [F.lit(0)])).orderBy(*order)) - 1
-    return df.withColumn(into, F.lpad(n.cast("string"), 9, "0"))
+    """Zero-padded numbers from 0 in the given order, within each group."""
+    return ranked(df, order, "_n", within).withColumn(into, F.lpad(F.col("_n").cast("string"), 9, "0")).drop("_n")
 
 
 def merge_tags(a: DataFrame, b: DataFrame, *, key: str = "read_id", rename: dict[str, str] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:

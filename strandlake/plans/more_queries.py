@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,19 @@ from .queries import ANNOTATED, CELL_SQL, COUNTS, SINGLE, Views, good, list_coun
 
 R6 = lambda df, *cs: df.withColumns({c: F.round(c, 6) for c in cs})
 
+def scratch(spark, name: str) -> str:
+    """A new folder that the driver and all executors see."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table that several steps use, written once to the shared folder."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # -- alignment quality ----------------------------------------------------
 
 
@@ -401,7 +417,7 @@ pairs AS (SELECT i, j, inter, a.n AS ni, b.n AS nj, inter * 1.0 / (a.n + b.n - i
 
 @query("cell_jaccard", "SELECT i, j, inter, ni, nj, round(jaccard, 6) AS jaccard, round(expected, 6) AS expected FROM pairs", SINGLE, JACCARD_SQL)
 def cell_jaccard(spark, sf):
-    return R6(matrix.jaccard(single_counts(Views(spark, sf))), "jaccard", "expected")
+    return R6(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "jaccard", "expected")
 
 
 FIT_SQL = """sums AS (SELECT CAST(count(*) AS DOUBLE) AS s0, sum(expected) AS s1, sum(pow(expected, 2)) AS s2, sum(pow(expected, 3)) AS s3, sum(pow(expected, 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * expected) AS t1, sum(jaccard * pow(expected, 2)) AS t2 FROM pairs),
@@ -414,13 +430,13 @@ degree AS (SELECT c, sum(v) AS d FROM (SELECT i AS c, v FROM norm UNION ALL SELE
 
 @query("jaccard_normalised", "SELECT i, j, round(v, 3) AS v, round(1000 * v / sqrt(a.d * b.d), 3) AS scaled FROM norm JOIN degree a ON a.c = i JOIN degree b ON b.c = j", SINGLE, JACCARD_SQL, FIT_SQL)
 def jaccard_normalised(spark, sf):
-    x = matrix.degree_scaled(matrix.normalise_jaccard(matrix.jaccard(single_counts(Views(spark, sf)))))
+    x = matrix.degree_scaled(matrix.normalise_jaccard(written(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "pairs")))
     return x.select("i", "j", F.round("v", 3).alias("v"), F.round(1000 * F.col("scaled"), 3).alias("scaled"))
 
 
 @query("jaccard_diagnostics", """SELECT cell, max(coverage) AS coverage, count(*) AS neighbours, round(avg(jaccard), 6) AS mean_jaccard FROM (SELECT i AS cell, ni AS coverage, jaccard FROM pairs UNION ALL SELECT j, nj, jaccard FROM pairs) GROUP BY 1""", SINGLE, JACCARD_SQL)
 def jaccard_diagnostics(spark, sf):
-    return R6(matrix.jaccard_by_cell(matrix.jaccard(single_counts(Views(spark, sf)))), "mean_jaccard")
+    return R6(matrix.jaccard_by_cell(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts"))), "mean_jaccard")
 
 
 @query("feature_and_cell_filter", """SELECT feature, cell, n, CAST(sum(n) OVER (PARTITION BY cell) AS BIGINT) AS umis FROM (SELECT s.* FROM single s JOIN (SELECT feature FROM (
@@ -436,7 +452,7 @@ LOGNORM_SQL = """lognorm AS (SELECT feature, cell, n, ln(1 + n * (SELECT quantil
 
 @query("log_normalise", "SELECT feature, cell, n, round(v, 6) AS v FROM lognorm", SINGLE, LOGNORM_SQL)
 def log_normalise(spark, sf):
-    return R6(matrix.log_normalise(single_counts(Views(spark, sf))).select("feature", "cell", "n", "v"), "v")
+    return R6(matrix.log_normalise(written(single_counts(Views(spark, sf)), "counts")).select("feature", "cell", "n", "v"), "v")
 
 
 @query("variable_features", """SELECT feature, round(mean, 6) AS mean, round(dispersion, 6) AS dispersion, round(CASE WHEN mad > 0 THEN (dispersion - med) / mad ELSE 0 END, 4) AS score FROM disp JOIN (
@@ -445,7 +461,7 @@ ORDER BY CASE WHEN mad > 0 THEN (dispersion - med) / mad ELSE 0 END DESC, featur
  """moments AS (SELECT feature, sum(v) / m AS mean, (sum(v * v) - sum(v) * sum(v) / m) / greatest(m - 1, 1) AS var FROM lognorm, (SELECT count(DISTINCT cell) AS m FROM lognorm) GROUP BY feature, m),
 disp AS (SELECT feature, mean, var / mean AS dispersion, CAST(floor((row_number() OVER (ORDER BY mean, feature) - 1) * 5 / count(*) OVER ()) AS INT) AS bin FROM moments)""")
 def variable_features(spark, sf):
-    x = matrix.variable_features(matrix.log_normalise(single_counts(Views(spark, sf))), top=60, bins=5)
+    x = matrix.variable_features(matrix.log_normalise(written(single_counts(Views(spark, sf)), "counts")), top=60, bins=5)
     return x.select("feature", F.round("mean", 6).alias("mean"), F.round("dispersion", 6).alias("dispersion"), F.round("score", 4).alias("score"))
 
 
@@ -458,9 +474,9 @@ def pca_kmeans(spark, sf):
 @query("cluster_summary")
 def cluster_summary(spark, sf):
     v = Views(spark, sf)
-    counts = single_counts(v)
-    values = matrix.log_normalise(counts)
-    vectors = matrix.cell_vectors(values, matrix.variable_features(values, top=40, bins=5))
+    counts = written(single_counts(v), "counts")
+    values = written(matrix.log_normalise(counts), "values")
+    vectors = written(matrix.cell_vectors(values, written(matrix.variable_features(values, top=40, bins=5), "features")), "vectors")
     clusters = matrix.kmeans(matrix.components(vectors, 5), 4)
     cells = counting.gene_share(counts, ["G0", "G7", "G14"]).select("cell", F.col("total").alias("umis"), "share")
     return matrix.cluster_summary(clusters, cells)
@@ -523,15 +539,6 @@ def run_manifest(spark, sf):
     return out.select("sequence_id", "library_type", "fastq1", "fastq2", "fastq3", "samples", "reads")
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder that the driver and all executors see."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query("roundtrip_fastq", "SELECT library, read_id AS name, seq, repeat('I', CAST(length(seq) AS INT)) AS qual FROM fx_r2")
 def roundtrip_fastq(spark, sf):
     path = scratch(spark, "fastq")
