@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def _overlap(part: tuple[int, np.ndarray], h: np.ndarray) -> float:
 
 def _question_words(text: str, n: int) -> int:
     """Words of the question: up to the last question mark that something follows, else two thirds."""
-    raw = text.encode("utf-8", "surrogatepass")
+    raw = text.encode()
     at = raw.rstrip(b" \t\r\n").rfind(b"?", 0, max(0, len(raw.rstrip()) - 1))
     if at >= 0:
         data = np.frombuffer(raw[: at + 1], np.uint8)
@@ -82,7 +83,8 @@ def build_index(items: list[tuple[int, str]], share: float) -> list[Part]:
     """Index parts of ``(item_id, text)``; items without words are in none."""
     kept = []
     for i, text in items:
-        data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+        text = pc.utf8_lower(pa.scalar(text or "")).as_py()  # also letters beyond ASCII, as below for documents
+        data = np.frombuffer(text.encode(), np.uint8)
         h = Words(data, np.array([0, len(data)]), _LETTER[data]).hashes() if len(data) else np.zeros(0, np.uint64)
         if len(h):
             kept.append((i, h, _question_words(text, len(h))))
@@ -179,7 +181,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, share: float = 0.6, ove
         for batch in batches:
             ids = batch.column("doc_id")
             found: dict[tuple[int, int], tuple[float, float, float]] = {}
-            for base, _, data, offsets in slices(batch.column("text")):
+            for base, _, data, offsets in slices(pc.utf8_lower(batch.column("text"))):
                 w = Words(data, offsets, _LETTER[data])
                 h = w.hashes()
                 for part in index.value:
