@@ -5,7 +5,7 @@ bucket of a signature. The first pivot of every cell is compared with all its
 members. What lies within the threshold of it forms one component with it, so
 those members need no comparison with each other. The rest is joined
 recursively: members of different components only, first against further
-pivots while much is open, then pair by pair within the triangle-inequality
+pivots while those settle much, then pair by pair within the triangle-inequality
 windows around the first pivot.
 """
 
@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import few, stored
 from .graph import components
 
 #: Bits of the filter that stands in for a set of nodes: 4 MB, however many nodes there are.
@@ -26,74 +26,136 @@ _BITS_PER_ROW = 32_768
 
 def node_filter(nodes: DataFrame) -> DataFrame:
     """A bitmap over the hashes of ``nodes(node)``: at most 1024 rows of 4 KB, so it may be broadcast."""
-    bit = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)) + 1
+    bit = F.pmod(F.xxhash64(F.col("node").cast("long")), F.lit(FILTER_BITS)) + 1
     return nodes.groupBy(F.bitmap_bucket_number(bit).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
 
 
+def _with_hit(df: DataFrame, col: str, bits: DataFrame) -> DataFrame:
+    bit = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(FILTER_BITS)) + 1
+    df = df.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
+    df = df.join(F.broadcast(bits), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(F.col("_place") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return df.withColumn("_hit", F.coalesce(F.getbit(byte, (F.col("_place") % 8).cast("int")) == 1, F.lit(False)))
+
+
 def maybe_in(df: DataFrame, col: str, bits: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``col`` may be in the filter; none that is in it is lost."""
-    bit = F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)) + 1
-    hit = df.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
-    hit = hit.join(F.broadcast(bits), "_bucket")
-    place = F.col("_place")
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return hit.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*df.columns)
+    return _with_hit(df, col, bits).where("_hit").select(*df.columns)
+
+
+def without(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
+    """Rows of ``df`` whose ``col`` isn't in ``ids(node)``; nulls stay.
+
+    Only rows that the filter can't clear are shuffled for the exact anti join,
+    so wide rows that stay don't move.
+    """
+    ids = stored(ids.select(F.col("node").cast("long").alias("node")).where("node IS NOT NULL").distinct(), "ids")
+    told = _with_hit(df, col, node_filter(ids))
+    unsure = told.where(F.col("_hit") & F.col(col).isNotNull()).select(*df.columns)
+    unsure = unsure.join(ids, unsure[col].cast("long") == ids.node, "left_anti")
+    return told.where(~F.col("_hit") | F.col(col).isNull()).select(*df.columns).union(unsure.select(*df.columns))
+
+
+def sketch_of(h: Column) -> Column:
+    """Parity sketch of a set of hashes in one long: bit i is the parity of the members of class i.
+
+    The xor of two sketches is the sketch of the symmetric difference, so its
+    ones never outnumber that difference.
+    """
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+
+
+def _apart(a: str, b: str) -> Column:
+    """A lower bound of the symmetric difference of the sets in the columns ``a…size, a…sketch`` and ``b…``."""
+    return F.greatest(F.bit_count(F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch"))).cast("long"), F.abs(F.col(f"{a}size") - F.col(f"{b}size")))
 
 
-def _near_size(a: str, b: str, share: int):
-    """Sizes that a Jaccard similarity of ``share`` percent allows."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * share
+def _possible(a: str, b: str, share: int) -> Column:
+    """Whether sizes and sketches allow a Jaccard similarity of ``share`` percent."""
+    total, apart = F.col(f"{a}size") + F.col(f"{b}size"), _apart(a, b)
+    return (total - apart) * 100 >= (total + apart) * share
 
 
-def link_cells(cells: DataFrame, judge: Callable[[DataFrame], DataFrame], *, share: int = 80, max_rounds: int = 50) -> DataFrame:
+def in_company(rows: DataFrame, common: Column | None = None) -> DataFrame:
+    """Cells of two or more members, each set of members once: ``cell, node, size, sketch``.
+
+    ``rows(cell, node, size, sketch)`` are distinct. Near copies share dozens of cells
+    with the same members; such cells are one, named by a hash of the members.
+    Cells for which ``common`` holds may have very many members: they are
+    counted by aggregation with map-side combining; the others by a window.
+    """
+    name = F.xxhash64("_n", "_sign")
+    by = Window.partitionBy("cell")
+    rare = rows if common is None else rows.where(~common)
+    rare = rare.withColumn("_n", F.count("*").over(by)).where("_n > 1").withColumn("_sign", F.bit_xor(F.xxhash64("node")).over(by))
+    out = rare.select(name.alias("cell"), "node", "size", "sketch")
+    if common is not None:
+        wide = rows.where(common)
+        count = wide.groupBy("cell").agg(F.count("*").alias("_n"), F.bit_xor(F.xxhash64("node")).alias("_sign")).where("_n > 1")
+        out = out.union(wide.join(count, "cell").select(name.alias("cell"), "node", "size", "sketch"))
+    return out.distinct()
+
+
+def link_cells(cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *, share: int = 80) -> DataFrame:
     """Edges ``(a, b)`` that give the same components as all links would.
 
-    ``cells(cell, node, size)``: distinct rows; two nodes can only be linked if
-    they share a cell. ``judge`` takes distinct pairs ``(a, b)`` and returns
-    ``(a, b, lo, hi, linked)``: bounds of their Jaccard distance, and whether
+    ``cells(cell, node, size, sketch)``: distinct rows; two nodes can only be
+    linked if they share a cell. ``judge`` takes distinct pairs ``(a, b)`` and their number,
+    and returns ``(a, b, lo, hi, linked)``: bounds of their Jaccard distance, and whether
     they are linked. No pair of different components is left out but by the
-    sizes or by the triangle inequality, so the components are exact for
+    sizes, by the sketches or by the triangle inequality, so the components are exact for
     whatever shares a cell.
     """
     theta = 1 - share / 100 + 1e-9
-    pivots = cells.groupBy("cell").agg(F.min(F.struct("node", "size")).alias("p"))
-    pivots = pivots.select("cell", F.col("p.node").alias("p"), F.col("p.size").alias("p_size"))
-    spoke = cells.join(pivots, "cell").where("node <> p")
-    judged = stored(judge(spoke.where(_near_size("size", "p_size", share)).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()), "judged")
+    n_rows = cells.count()
+    judged_pairs = lambda pairs, most: _judged(pairs, judge, most)
+    pivots = cells.groupBy("cell").agg(F.min(F.struct("node", "size", "sketch")).alias("p"))
+    pivots = pivots.select("cell", F.col("p.node").alias("p"), F.col("p.size").alias("p_size"), F.col("p.sketch").alias("p_sketch"))
+    spoke = stored(few(cells.join(pivots, "cell").where("node <> p"), n_rows), "spokes")
+    judged = judged_pairs(spoke.where(_possible("", "p_", share)).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct(), n_rows)
     edges = judged.where("linked").select("a", "b")
     around = judged.select(F.col("a").alias("p"), F.col("b").alias("node"), "lo", "hi")
-    far = 1 - F.least("size", "p_size") / F.greatest("size", "p_size")
-    rest = spoke.join(around, ["p", "node"], "left").select("cell", "node", "size", F.coalesce("lo", far).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"))
-    rest = stored(rest, "cells")
-    for _ in range(max_rounds):
-        label = components(edges)
+    far = 2 * _apart("", "p_") / (F.col("size") + F.col("p_size") + _apart("", "p_"))
+    rest = spoke.join(around, ["p", "node"], "left")
+    rest = rest.select("cell", "node", "size", "sketch", F.coalesce("lo", far).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"))
+    before = float("inf")
+    while True:
+        label = components(edges, rows=n_rows)
         named = rest.join(label, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        groups = named.groupBy("cell", "comp").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("least"))
-        groups = stored(groups, "groups")
+        named = stored(few(named, n_rows), "named")
+        groups = named.groupBy("cell", "comp").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "sketch")).alias("least"))
         total = groups.groupBy("cell").agg(
             F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("comps"),
             F.min(F.struct("n", "least")).alias("smallest"),
         ).where("comps > 1")
-        total = stored(total.select("cell", "members", "same", F.col("smallest.least.node").alias("p"), F.col("smallest.least.size").alias("p_size")), "open")
+        total = total.select("cell", "members", "same", F.col("smallest.least.node").alias("p"), F.col("smallest.least.size").alias("p_size"), F.col("smallest.least.sketch").alias("p_sketch"))
+        total = stored(few(total, n_rows), "open")
         open_pairs, n_open, open_members = total.agg(F.sum((F.col("members") * F.col("members") - F.col("same")) / 2), F.count("*"), F.sum("members")).first()
         if not n_open:
             return edges
-        live = named.join(total.select("cell", "p", "p_size"), "cell")
-        if open_pairs <= 100_000 + 16 * open_members or open_pairs <= 32 * n_open:
-            x = live.select("cell", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "comp", "lo", "hi")])
-            y = live.select("cell", *[F.col(c).alias(f"y_{c}") for c in ("node", "size", "comp", "lo", "hi")])
+        live = named.join(total.select("cell", "p", "p_size", "p_sketch"), "cell")
+        # another pivot is worth its round only while pivots settle much
+        if open_pairs <= 100_000 + 16 * open_members or open_pairs > before / 2:
+            x = live.select("cell", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "sketch", "comp", "lo", "hi")])
+            y = live.select("cell", *[F.col(c).alias(f"y_{c}") for c in ("node", "size", "sketch", "comp", "lo", "hi")])
             near = (
                 x.join(y, "cell")
                 .where("x_node < y_node AND x_comp <> y_comp")
-                .where(_near_size("x_size", "y_size", share))
+                .where(_possible("x_", "y_", share))
                 .where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta))
             )
             pairs = near.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
-            return edges.union(stored(judge(pairs), "judged").where("linked").select("a", "b"))
+            return edges.union(judged_pairs(pairs, int(open_pairs)).where("linked").select("a", "b"))
         # a member of each cell's smallest component against all others of the cell; then it is done with
         mine = named.select(F.col("node").alias("p"), F.col("comp").alias("p_comp")).distinct()
-        pairs = live.join(mine, "p").where("comp <> p_comp").where(_near_size("size", "p_size", share))
+        pairs = live.join(mine, "p").where("comp <> p_comp").where(_possible("", "p_", share))
         pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-        edges = stored(edges.union(stored(judge(pairs), "judged").where("linked").select("a", "b")), "links")
-        rest = stored(live.where("node <> p").select("cell", "node", "size", "lo", "hi"), "cells")
-    raise RuntimeError(f"the cells didn't settle in {max_rounds} rounds")
+        edges = stored(edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b")), "links")
+        rest, before = live.where("node <> p").select("cell", "node", "size", "sketch", "lo", "hi"), open_pairs
+
+
+def _judged(pairs: DataFrame, judge: Callable[[DataFrame, int], DataFrame], most: int) -> DataFrame:
+    pairs = stored(few(pairs, most), "pairs")
+    n = pairs.count()
+    return stored(few(judge(few(pairs, n), n), n, 20_000), "judged")

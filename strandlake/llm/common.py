@@ -15,7 +15,14 @@ SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 
 
+def bound_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Fewer rows than Spark's default in an Arrow batch: long texts would make it hundreds of MB."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     # a driver that found this package by sys.path alone tells its workers where it is
     found = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if (root := str(Path(__file__).parents[2])) not in found:
@@ -29,6 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     It is ``spark.checkpoint.dir``; only where that is unset (tests on one
     machine) a temporary folder takes its place.
     """
+    bound_batches(spark)
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
         path = tempfile.mkdtemp(prefix="strandlake-")
@@ -36,6 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def few(df: DataFrame, rows: int, per: int = 100_000) -> DataFrame:
+    """``df`` of about ``rows`` rows in no more partitions than those call for."""
+    return df.coalesce(max(1, -(-rows // per)))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 

@@ -24,13 +24,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import link_cells, maybe_in, node_filter
-from .common import stored, table
+from .cells import in_company, link_cells, maybe_in, node_filter, without
+from .common import few, stored, table
 from .graph import components
-from .textstats import Words, mix, slices
+from .textstats import Words, mix, parts, slices
 
 WORDS, SHARE = 5, 80
 #: Common shingles only steer the order. They are looked for in one of SAMPLE documents, and this many are sent to the tasks (8 bytes each).
@@ -73,7 +73,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     sample = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0) & F.col("text").isNotNull()).select("text").dropDuplicates(["text"])
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(batch.column("text"))[0].view(np.int64))], names=["s"])
 
     often = sample.mapInArrow(run, "s long").groupBy("s").count().where(F.col("count") >= COMMON_LEAST)
@@ -89,7 +89,7 @@ def region_windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             flat, offsets = shingle_sets(batch.column("text"))
             n = np.diff(offsets)
             row = np.repeat(np.arange(len(n)), n)
@@ -146,16 +146,17 @@ def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long, total long, apart long")
 
 
-def _exact(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _exact(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """``a, b, total, apart`` with the true symmetric difference."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     text = maybe_in(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), "node", node_filter(nodes))
-    text = stored(text.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    text = text.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    text = stored(few(text, 2 * n, 5_000), "texts")
     both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(text.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 500):
             (fa, oa), (fb, ob) = shingle_sets(batch.column("ta")), shingle_sets(batch.column("tb"))
             row = np.concatenate([np.repeat(np.arange(batch.num_rows), np.diff(o)) for o in (oa, ob)])
             h = np.concatenate([fa, fb])
@@ -188,24 +189,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("node"))
     )
     nodes = stored(node, "sets")
-    spread = nodes.select("node", F.col("n").alias("size"), "n_rare", F.posexplode("window").alias("place", "cell"))
-    # a common region is counted in parts; it has company anyway
-    part = F.when(F.col("place") >= F.col("n_rare"), F.pmod(F.col("node"), F.lit(256)) + 1).otherwise(0)
-    company = Window.partitionBy("cell", "part")
-    cells = spread.select("node", "size", "cell", part.alias("part")).withColumn("_n", F.count("*").over(company))
-    cells = stored(cells.where("_n > 1 OR part > 0").select("cell", "node", "size"), "cells")
+    folded = F.aggregate("sketch", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))  # one long of the sketch
+    spread = nodes.select("node", F.col("n").alias("size"), folded.alias("sketch"), "n_rare", F.posexplode("window").alias("place", "cell"))
+    spread = spread.select("cell", "node", "size", "sketch", (F.col("place") >= F.col("n_rare")).alias("common"))
+    cells = stored(in_company(spread, F.col("common")), "cells")
     sketches = nodes.select("node", "n", "sketch")
 
-    def judge(pairs: DataFrame) -> DataFrame:
-        bounded = stored(_bounded(pairs, sketches), "bounded")
+    def judge(pairs: DataFrame, n: int) -> DataFrame:
+        bounded = stored(few(_bounded(pairs, sketches), n), "bounded")
         # similarity is (total - apart) / (total + apart)
         possible = (F.col("total") - F.col("apart")) * 100 >= (F.col("total") + F.col("apart")) * SHARE
         distance = 2 * F.col("apart") / (F.col("total") + F.col("apart"))
-        exact = _exact(stored(bounded.where(possible).select("a", "b"), "close"), docs)
-        exact = exact.select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
+        close = bounded.where(possible).select("a", "b")
+        exact = _exact(close, docs, close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
         return exact.union(bounded.where(~possible).select("a", "b", distance.alias("lo"), F.lit(1.0), F.lit(False)))
 
-    label = components(link_cells(cells, judge, share=SHARE))
+    label = components(link_cells(cells, judge, share=SHARE), rows=cells.count())
     of_set = nodes.join(label, "node", "left").select("d1", "d2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"))
     out = sets.select("doc_id", "n", "d1", "d2").join(of_set, (sets.d1 == of_set.d1) & (sets.d2 == of_set.d2) & (F.col("n") == F.col("m")) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
@@ -213,8 +212,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the smallest id of their component; rows without an id stay."""
-    lost = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    lost = jaccard_components(docs).where("doc_id <> component_id")
+    return without(docs, lost.select(F.col("doc_id").alias("node")), "doc_id")
 
 
 def op9_jaccard(spark, sf_dir: str) -> DataFrame:

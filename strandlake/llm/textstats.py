@@ -57,6 +57,13 @@ def slices(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         at = end
 
 
+def parts(batches, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of ``rows`` rows, which bounds what a task holds at once."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def sums(flag: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum over each row's bytes."""
     c = np.zeros(len(flag) + 1, np.int64)
