@@ -66,14 +66,17 @@ def sketch_of(h: Column) -> Column:
     return F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
 
 
-def _apart(a: str, b: str) -> Column:
+def _apart(a: str, b: str, longs: int) -> Column:
     """A lower bound of the symmetric difference of the sets in the columns ``a…size, a…sketch`` and ``b…``."""
-    return F.greatest(F.bit_count(F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch"))).cast("long"), F.abs(F.col(f"{a}size") - F.col(f"{b}size")))
+    ones = F.lit(0)
+    for i in range(longs):
+        ones = ones + F.bit_count(F.col(f"{a}sketch")[i].bitwiseXOR(F.col(f"{b}sketch")[i]))
+    return F.greatest(ones.cast("long"), F.abs(F.col(f"{a}size") - F.col(f"{b}size")))
 
 
-def _possible(a: str, b: str, share: int) -> Column:
+def _possible(a: str, b: str, share: int, longs: int) -> Column:
     """Whether sizes and sketches allow a Jaccard similarity of ``share`` percent."""
-    total, apart = F.col(f"{a}size") + F.col(f"{b}size"), _apart(a, b)
+    total, apart = F.col(f"{a}size") + F.col(f"{b}size"), _apart(a, b, longs)
     return (total - apart) * 100 >= (total + apart) * share
 
 
@@ -97,11 +100,11 @@ def in_company(rows: DataFrame, common: Column | None = None) -> DataFrame:
     return out.distinct()
 
 
-def link_cells(cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *, share: int = 80) -> DataFrame:
+def link_cells(cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *, share: int = 80, longs: int = 1) -> DataFrame:
     """Edges ``(a, b)`` that give the same components as all links would.
 
-    ``cells(cell, node, size, sketch)``: distinct rows; two nodes can only be
-    linked if they share a cell. ``judge`` takes distinct pairs ``(a, b)`` and their number,
+    ``cells(cell, node, size, sketch)``: distinct rows, ``sketch`` an array of
+    ``longs`` longs; two nodes can only be linked if they share a cell. ``judge`` takes distinct pairs ``(a, b)`` and their number,
     and returns ``(a, b, lo, hi, linked)``: bounds of their Jaccard distance, and whether
     they are linked. No pair of different components is left out but by the
     sizes, by the sketches or by the triangle inequality, so the components are exact for
@@ -113,10 +116,10 @@ def link_cells(cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *
     pivots = cells.groupBy("cell").agg(F.min(F.struct("node", "size", "sketch")).alias("p"))
     pivots = pivots.select("cell", F.col("p.node").alias("p"), F.col("p.size").alias("p_size"), F.col("p.sketch").alias("p_sketch"))
     spoke = stored(few(cells.join(pivots, "cell").where("node <> p"), n_rows), "spokes")
-    judged = judged_pairs(spoke.where(_possible("", "p_", share)).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct(), n_rows)
+    judged = judged_pairs(spoke.where(_possible("", "p_", share, longs)).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct(), n_rows)
     edges = judged.where("linked").select("a", "b")
     around = judged.select(F.col("a").alias("p"), F.col("b").alias("node"), "lo", "hi")
-    far = 2 * _apart("", "p_") / (F.col("size") + F.col("p_size") + _apart("", "p_"))
+    far = 2 * _apart("", "p_", longs) / (F.col("size") + F.col("p_size") + _apart("", "p_", longs))
     rest = spoke.join(around, ["p", "node"], "left")
     rest = rest.select("cell", "node", "size", "sketch", F.coalesce("lo", far).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"))
     before = float("inf")
@@ -142,14 +145,14 @@ def link_cells(cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *
             near = (
                 x.join(y, "cell")
                 .where("x_node < y_node AND x_comp <> y_comp")
-                .where(_possible("x_", "y_", share))
+                .where(_possible("x_", "y_", share, longs))
                 .where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta))
             )
             pairs = near.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
             return edges.union(judged_pairs(pairs, int(open_pairs)).where("linked").select("a", "b"))
         # a member of each cell's smallest component against all others of the cell; then it is done with
         mine = named.select(F.col("node").alias("p"), F.col("comp").alias("p_comp")).distinct()
-        pairs = live.join(mine, "p").where("comp <> p_comp").where(_possible("", "p_", share))
+        pairs = live.join(mine, "p").where("comp <> p_comp").where(_possible("", "p_", share, longs))
         pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
         edges = stored(edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b")), "links")
         rest, before = live.where("node <> p").select("cell", "node", "size", "sketch", "lo", "hi"), open_pairs

@@ -33,6 +33,8 @@ from .graph import components
 from .textstats import Words, mix, parts, slices
 
 WORDS, SHARE = 5, 80
+#: Longs of the sketch that travels with a region's members.
+LONGS = 4
 #: Common shingles only steer the order. They are looked for in one of SAMPLE documents, and this many are sent to the tasks (8 bytes each).
 SAMPLE, COMMON_LEAST, MAX_COMMON = 16, 4, 1 << 18
 
@@ -192,7 +194,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     folded = F.aggregate("sketch", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))  # one long of the sketch
     spread = nodes.select("node", F.col("n").alias("size"), folded.alias("sketch"), "n_rare", F.posexplode("window").alias("place", "cell"))
     spread = spread.select("cell", "node", "size", "sketch", (F.col("place") >= F.col("n_rare")).alias("common"))
-    cells = stored(in_company(spread, F.col("common")), "cells")
+    # what has company gets a longer sketch; sketches fold by xor of their quarters
+    part = lambda i: F.aggregate(F.filter("sketch", lambda _, k: k % LONGS == i), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+    quarters = nodes.select("node", F.array(*[part(i) for i in range(LONGS)]).alias("sketch"))
+    cells = stored(in_company(spread, F.col("common")).drop("sketch").join(quarters, "node"), "cells")
     sketches = nodes.select("node", "n", "sketch")
 
     def judge(pairs: DataFrame, n: int) -> DataFrame:
@@ -204,7 +209,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         exact = _exact(close, docs, close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
         return exact.union(bounded.where(~possible).select("a", "b", distance.alias("lo"), F.lit(1.0), F.lit(False)))
 
-    label = components(link_cells(cells, judge, share=SHARE), rows=cells.count())
+    label = components(link_cells(cells, judge, share=SHARE, longs=LONGS), rows=cells.count())
     of_set = nodes.join(label, "node", "left").select("d1", "d2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"))
     out = sets.select("doc_id", "n", "d1", "d2").join(of_set, (sets.d1 == of_set.d1) & (sets.d2 == of_set.d2) & (F.col("n") == F.col("m")) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

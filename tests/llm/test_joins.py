@@ -77,13 +77,13 @@ def test_keep_one_keeps_columns_and_rows_without_id(spark):
 def test_many_rounds_of_pivots_give_the_same_components(spark):
     """Two large cells of nodes on a line: neighbours link, so one pivot settles little."""
     places = {i: i for i in range(60)}
-    rows = [("a", i, 10) for i in range(60)] + [("b", i, 10) for i in range(0, 60, 2)]
+    rows = [("a", i, 10, [0]) for i in range(60)] + [("b", i, 10, [0]) for i in range(0, 60, 2)]
 
     def judge(pairs, n):
         d = F.abs(F.col("a") - F.col("b"))
         return pairs.select("a", "b", (d / 5.0).alias("lo"), (d / 5.0).alias("hi"), (d <= 1).alias("linked"))
 
-    edges = cells.link_cells(spark.createDataFrame(rows, "cell string, node long, size long"), judge)
+    edges = cells.link_cells(spark.createDataFrame(rows, "cell string, node long, size long, sketch array<long>"), judge)
     find = plain.components((r["a"], r["b"]) for r in edges.collect())
     assert len({find(i) for i in places}) == 1
 
