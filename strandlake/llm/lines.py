@@ -1,14 +1,16 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only.
 
-A line's shingles are its windows of eight characters that begin at a word, or
-at any character of a script that is written without spaces. Signatures band
-the distinct lines; pairs that share a band are verified by the exact Jaccard
-similarity of their shingle sets; distributed union-find makes the components,
-and the first line of each stays.
+A line's shingles are its windows of eight characters at every position; a
+shorter line is its own one shingle. Signatures band the distinct lines; pairs
+that share a band are verified by the exact Jaccard similarity of their shingle
+sets; distributed union-find makes the components, and the first line of each
+stays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from .cells import in_company, link_cells, maybe_in, node_filter, sketch_of
 from .common import few, stored, table
 from .graph import components
 
+#: Windows of 8 characters, one from every character on: what is ahead is caught, one character is passed.
+EVERY = r"(?s)(?=(.{8}))."
 #: Windows of 8 characters behind white space (a space is put in front of the line) and behind characters from U+2E80 on.
 SHINGLE = r"[ \t\x0B\f\r⺀-￿](?=([^ \t\x0B\f\r].{0,7}))"
 BANDS = 8
@@ -28,6 +32,13 @@ SHARE = 80
 
 
 def shingles(line: Column) -> Column:
+    """All windows of a line: linear in its length, while substring at each position is quadratic."""
+    whole = F.array_distinct(F.regexp_extract_all(line, F.lit(EVERY), F.lit(1)))
+    return F.when(F.length(line) < 8, F.array(line)).otherwise(whole)
+
+
+def word_shingles(line: Column) -> Column:
+    """Windows at word starts only: cheaper, but blind to the rest of long words. No query uses them."""
     return F.array_distinct(F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(SHINGLE), F.lit(1)))
 
 
@@ -73,9 +84,10 @@ def _lines(docs: DataFrame) -> DataFrame:
     return line.select("doc_id", "line_no", F.trim("line").alias("line")).where("line <> ''")
 
 
-def line_classes(docs: DataFrame) -> DataFrame:
+def line_classes(docs: DataFrame, of: Callable[[Column], Column] = word_shingles) -> DataFrame:
     """One row for each line that isn't blank: ``doc_id, line_no, n_shingles, component_id, kept``.
 
+    ``of`` gives the shingles of a line: the queries take :func:`shingles`.
     Lines whose shingle sets have a Jaccard similarity of 0.8 or more are
     linked; of each component the line with the smallest (doc_id, line_no) is
     kept. A component is named by the hash of one of its lines. Lines are
@@ -86,7 +98,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     hash.
     """
     line = _lines(docs)
-    prepared = line.select("doc_id", "line_no", F.xxhash64("line").alias("node"), shingles(F.col("line")).alias("s"))
+    prepared = line.select("doc_id", "line_no", F.xxhash64("line").alias("node"), of(F.col("line")).alias("s"))
     prepared = prepared.select("doc_id", "line_no", "node", F.transform("s", lambda x: F.xxhash64(x)).alias("h"))
     # a column of its own, or every band would sort again
     prepared = prepared.select("doc_id", "line_no", "node", F.size("h").alias("size"), "h", with_marks(F.col("h")).alias("marked"))
@@ -105,7 +117,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
         text = stored(few(text.join(nodes, "node", "left_semi"), 2 * n, 50_000), "texts")
         both = pairs.join(text.select(F.col("node").alias("a"), F.col("line").alias("la")), "a")
         both = both.join(text.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b")
-        sets = both.select("a", "b", shingles(F.col("la")).alias("sa"), shingles(F.col("lb")).alias("sb"))
+        sets = both.select("a", "b", of(F.col("la")).alias("sa"), of(F.col("lb")).alias("sb"))
         sizes = sets.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("total"))
         distance = 1 - F.col("i") / (F.col("total") - F.col("i"))
         return sizes.select("a", "b", distance.alias("lo"), distance.alias("hi"), (F.col("i") * 100 >= (F.col("total") - F.col("i")) * SHARE).alias("linked"))
@@ -126,7 +138,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     ``n_chars`` follows the text where there is such a column. A document that
     loses all its lines goes; one that had none stays as it is.
     """
-    gone = line_classes(docs).where("NOT kept AND doc_id IS NOT NULL")
+    gone = line_classes(docs, shingles).where("NOT kept AND doc_id IS NOT NULL")
     gone = gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))  # line numbers of one document
     out = docs.join(gone, "doc_id", "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
@@ -138,4 +150,4 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"))
+    return line_classes(table(spark, sf_dir, "documents"), shingles)

@@ -134,6 +134,21 @@ def test_lines_equal_brute_force(spark):
     assert len({got[k]["component_id"] for k in kept}) == len(kept)
 
 
+def test_lines_are_read_whole(spark):
+    """Lines without spaces that start alike are kept; shingles at all positions equal brute force."""
+    r = random.Random(9)
+    key = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    apart = ["https://a.example.org/one", "https://other.net/something/else", "AAAAB3NzaC1yc2E" + key(60), "AAAAB3NzXXXX" + key(60), "ภาษาไทยเขียนติดกันไม่เว้นวรรค", "ภาษาไทยเขียอย่างอื่นโดยสิ้นเชิง", "12345678" + "9" * 30, "12345678" + "0" * 30]
+    base = "https://example.org/" + key(80)
+    near = [base, base[:-1] + "_", "q8 x", "q8 x", "😀" * 3 + key(40)]
+    out = lines.drop_repeated_lines(spark.createDataFrame([(i, x) for i, x in enumerate(apart + near)], "doc_id long, text string"))
+    assert {x["doc_id"] for x in out.collect()} == set(range(len(apart))) | {len(apart), len(apart) + 2, len(apart) + 4}
+    windows = lambda x: {x[i : i + 8] for i in range(max(1, len(x) - 7))}
+    got = spark.createDataFrame([(x,) for x in apart + near], "line string").select("line", lines.shingles(F.col("line")).alias("s"))
+    for x in got.collect():
+        assert len(x["s"]) == len(set(x["s"])) and set(x["s"]) == windows(x["line"])
+
+
 def test_dropped_lines_and_odd_documents(spark):
     a, b = "the quick brown fox jumps over it", "another line that stands for itself"
     rows = [(1, f"{a}\n{b}", 5), (2, f"  {a}\n\nonly here, this one", 5), (3, a, 5), (4, None, 5), (5, "", 5), (None, a, 5), (6, "日本語の文章がここにあります。\n" + a, 5)]
