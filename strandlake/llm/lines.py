@@ -22,7 +22,8 @@ from .graph import components
 EVERY = r"(?s)(?=(.{8}))."
 #: Windows of 8 characters behind white space (a space is put in front of the line) and behind characters from U+2E80 on.
 SHINGLE = r"[ \t\x0B\f\r⺀-￿](?=([^ \t\x0B\f\r].{0,7}))"
-BANDS = 8
+#: At a similarity of just 0.8, 10 bands meet for 99 % of the pairs or more at every size (8 bands: 98.5 %).
+BANDS = 10
 #: Minima in a band, of long and of short sets.
 ROWS, SHORT_ROWS = 4, 3
 #: Lines under SHORT shingles are banded by permutations, those from LONG on by classes of the hashes; sizes in between by both,
@@ -44,6 +45,8 @@ def word_shingles(line: Column) -> Column:
 
 #: Marks that cut the hash range into classes.
 MARKS = [-(1 << 63) + ((1 << 64) // BANDS) * j for j in range(BANDS)]
+#: One seed for each permutation of short sets.
+SEEDS = range(1, BANDS + 1)
 
 
 def with_marks(h: Column) -> Column:
@@ -57,12 +60,13 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
     Long sets: ``BANDS`` marks cut the hash range into classes; a band is the
     ``ROWS`` smallest hashes of a class, which are those many minima of one hash
     function. The marks are sorted in with the hashes, so a class is a slice
-    behind its mark and nothing is filtered. Short sets: ``BANDS`` permutations
-    by xor; a band is the ``SHORT_ROWS`` smallest. Sets of under four are alike
+    behind its mark and nothing is filtered. Short sets: hashed again with a
+    seed for each of ``BANDS`` independent bands; a band is the ``SHORT_ROWS`` smallest. Sets of under four are alike
     only if equal.
     """
     # a lambda of two parameters would get the index as its second
-    turned = lambda c: lambda x: x.bitwiseXOR(F.lit(c))
+    again = lambda seed: lambda x: F.xxhash64(F.lit(seed), x)
+
     def band(j, m):
         at = F.array_position(marked, F.lit(m).cast("long"))
         first = F.get(marked, at.cast("int"))  # what follows the mark
@@ -70,8 +74,7 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
         return F.when(~empty, F.xxhash64(F.lit(j), F.slice(marked, (at + 1).cast("int"), ROWS)))
 
     long = [band(j, m) for j, m in enumerate(MARKS)]  # no band of an empty class
-    turns = [0x1B873593CC9E2D51 * (2 * j + 1) & 0x7FFFFFFFFFFFFFFF for j in range(BANDS)]
-    short = [F.xxhash64(F.lit(100 + j), F.slice(F.sort_array(F.transform(h, turned(c))), 1, SHORT_ROWS)) for j, c in enumerate(turns)]
+    short = [F.xxhash64(F.lit(100 + seed), F.slice(F.sort_array(F.transform(h, again(seed))), 1, SHORT_ROWS)) for seed in SEEDS]
     none = F.array().cast("array<long>")
     keys = F.when(n < 4, F.array(F.xxhash64(F.lit(99), F.sort_array(h)))).otherwise(
         F.concat(F.when(n >= LONG, F.array(*long)).otherwise(none), F.when(n < SHORT, F.array(*short)).otherwise(none))

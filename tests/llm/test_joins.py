@@ -149,6 +149,19 @@ def test_lines_are_read_whole(spark):
         assert len(x["s"]) == len(set(x["s"])) and set(x["s"]) == windows(x["line"])
 
 
+def test_bands_meet_at_the_threshold(spark):
+    """Random pairs of a Jaccard similarity of just 0.8 share a band, at every size."""
+    cases = [(4, 0, 1), (8, 1, 1), (8, 0, 2), (12, 1, 2), (16, 2, 2), (16, 0, 4), (24, 3, 3), (64, 8, 8), (256, 32, 32)]
+    some = lambda start, n: F.transform(F.sequence(F.lit(start), F.lit(start + n - 1)), lambda i: F.xxhash64(F.lit(17), F.col("id"), i))
+    keys = lambda h: lines.band_keys(h, lines.with_marks(h), F.size(h))
+    for both, a, b in cases:
+        x = F.concat(some(0, both), some(1000, a)) if a else some(0, both)
+        y = F.concat(some(0, both), some(2000, b))
+        pairs = spark.range(1500).select(x.alias("x"), y.alias("y")).select(keys(F.col("x")).alias("x"), keys(F.col("y")).alias("y"))
+        share = pairs.agg(F.avg(F.arrays_overlap("x", "y").cast("int"))).first()[0]
+        assert share > 0.985, (both, a, b, share)
+
+
 def test_dropped_lines_and_odd_documents(spark):
     a, b = "the quick brown fox jumps over it", "another line that stands for itself"
     rows = [(1, f"{a}\n{b}", 5), (2, f"  {a}\n\nonly here, this one", 5), (3, a, 5), (4, None, 5), (5, "", 5), (None, a, 5), (6, "日本語の文章がここにあります。\n" + a, 5)]
