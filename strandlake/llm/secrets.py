@@ -2,13 +2,16 @@
 
 The base kinds are found by their patterns. The method adds ``novel`` spans:
 strings in a sensitive context (a word such as *credential* or *bearer* shortly
-before them) that cost nearly their own length after a compressor has been
-primed with a dictionary of identifiers and the code or prose around them.
+before them) that cost nearly as much as random characters of their alphabet
+after a compressor has been primed with a dictionary of identifiers and the code
+or prose around them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 
 import pyarrow as pa
@@ -53,13 +56,45 @@ def marginal_bytes(candidate: str, around: str) -> int:
     return len(pack.compress(candidate.encode("utf-8", "surrogatepass"))) - len(pack.compress(b""))
 
 
+#: Alphabets of keys, the smallest first, and how many characters each has.
+ALPHABETS = [(re.compile(x), n) for x, n in (
+    ("[0-9]+", 10), ("[0-9a-f]+|[0-9A-F]+", 16), ("[a-z]+|[A-Z]+", 26), ("[A-Z2-7]+=*|[a-z2-7]+=*", 32), ("[0-9a-z]+|[0-9A-Z]+", 36),
+    ("[A-Za-z]+", 52), ("[0-9A-Za-z]+", 62), ("[0-9A-Za-z+/]+=*|[0-9A-Za-z_-]+=*", 64), (".+", 67))]
+
+
+def is_novel(candidate: str, around: str, novelty: float) -> bool:
+    """Whether the marginal bytes reach ``novelty`` times what the candidate would cost without any order.
+
+    That is the cost of its own characters shuffled: entropy coding brings
+    random strings of a small alphabet far below their length. Runs and the
+    like, cheap in any order, stay under the entropy of their alphabet.
+    """
+    n = len(candidate)
+    cost = marginal_bytes(candidate, around)
+    size = next(size for pattern, size in ALPHABETS if pattern.fullmatch(candidate))
+    if cost < novelty * n * math.log2(size) / 8:
+        return False
+    if cost >= novelty * n:
+        return True
+    mixed = list(candidate)
+    random.Random(n).shuffle(mixed)
+    return cost >= novelty * marginal_bytes("".join(mixed), around)
+
+
+def surroundings(text: str, a: int, b: int, around: int) -> str:
+    """The text around a span, its other copies blanked: a key isn't foretold by itself."""
+    n = b - a
+    left, right = (x.replace(text[a:b], " " * n) for x in (text[max(0, a - around - n) : a], text[b : b + around + n]))
+    return left[max(0, len(left) - around) :] + right[:around]
+
+
 def find_secrets(text: str, *, reach: int = 48, around: int = 512, novelty: float = 0.8) -> list[tuple[int, int, str]]:
     """All spans ``(start, end, kind)`` of a text, by start and then kind as listed in :data:`KINDS`.
 
-    A ``novel`` candidate has 16 or more characters with letters and digits,
-    starts at most ``reach`` characters behind a sensitive word and overlaps no
-    base span; it is reported if its marginal compressed bytes reach
-    ``novelty`` times its length.
+    A ``novel`` candidate has 16 or more characters, starts at most ``reach``
+    characters behind a sensitive word and overlaps no base span; it is
+    reported if its marginal compressed bytes reach ``novelty`` times what its
+    characters cost in random order.
     """
     spans = [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     spans += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
@@ -71,12 +106,12 @@ def find_secrets(text: str, *, reach: int = 48, around: int = 512, novelty: floa
         while m := CANDIDATE.search(text, at, s.end() + reach + 16):
             m = CANDIDATE.match(text, m.start())  # the whole run, however long
             (a, b), at = m.span(), m.end()
-            if a in done or not (re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])):
+            if a in done:
                 continue
             done.add(a)
             if any(x < b and a < y for x, y, _ in base):
                 continue
-            if marginal_bytes(m[0], text[max(0, a - around) : a] + text[b : b + around]) >= novelty * len(m[0]):
+            if is_novel(m[0], surroundings(text, a, b, around), novelty):
                 spans.append((a, b, 3))
     return [(a, b, KINDS[k]) for a, b, k in sorted(spans, key=lambda x: (x[0], x[2], x[1]))]
 

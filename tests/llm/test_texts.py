@@ -50,6 +50,22 @@ def test_secrets_novelty():
     assert secrets.marginal_bytes(key, f"seen before: {key}") < secrets.marginal_bytes(key, "nothing alike") / 2
 
 
+def test_secrets_of_all_alphabets_and_lengths():
+    r = random.Random(10)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    alphabets = {"hex": "0123456789ABCDEF", "base32": upper + "234567", "base64": upper + lower + "0123456789+/", "url": upper + lower + "0123456789-_", "letters": lower + upper}
+    for name, alphabet in alphabets.items():
+        for n in (32, 64, 128, 256, 1024, 4096):
+            keys = ["".join(r.choice(alphabet) for _ in range(n)) for _ in range(20)]
+            found = [secrets.find_secrets(f"Authorization: Bearer {k} # set it") for k in keys]
+            assert sum([x[2] for x in f] == ["novel"] for f in found) == 20, (name, n)
+    key = "q8Zr2LxV0mTn7YbKc4WpEj9GsHd3"
+    twice = f"credential {key} and again, bearer {key}"
+    assert [twice[a:b] for a, b, _ in secrets.find_secrets(twice)] == [key, key]
+    for dull in ("x" * 40 + "1", "=" * 64, "xy" * 500 + "1", lower * 20):
+        assert not secrets.find_secrets(f"credential {dull} here"), dull
+
+
 def test_tokens_by_overlap_equal_whole_texts(spark):
     import sentencepiece
 
