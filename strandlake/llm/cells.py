@@ -4,9 +4,9 @@ A cell is a group of nodes that may be linked: a region of a metric space or a
 bucket of a signature. The first pivot of every cell is compared with all its
 members. What lies within the threshold of it forms one component with it, so
 those members need no comparison with each other. The rest is joined
-recursively: members of different components only, first against further
-pivots while those settle much, then pair by pair within the triangle-inequality
-windows around the first pivot.
+recursively, members of different components only: growing numbers of further
+pivots against the members within the triangle-inequality windows around the
+first pivot, until every open pair has been compared or excluded.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from .graph import components
 
 #: Bits of the filter that stands in for a set of nodes: 4 MB, however many nodes there are.
 FILTER_BITS = 1 << 25
+#: Pivots of a cell in the first round, 16 times as many in each further one; with no more than FEW_PAIRS open pairs all members are pivots.
+PIVOTS, FEW_PAIRS = 8, 50_000
 _BITS_PER_ROW = 32_768
 
 
@@ -66,18 +68,27 @@ def sketch_of(h: Column) -> Column:
     return F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
 
 
-def _apart(a: str, b: str, longs: int) -> Column:
-    """A lower bound of the symmetric difference of the sets in the columns ``a…size, a…sketch`` and ``b…``."""
+def _ones(a: str, b: str, longs: int) -> Column:
     ones = F.lit(0)
     for i in range(longs):
-        ones = ones + F.bit_count(F.col(f"{a}sketch")[i].bitwiseXOR(F.col(f"{b}sketch")[i]))
-    return F.greatest(ones.cast("long"), F.abs(F.col(f"{a}size") - F.col(f"{b}size")))
+        ones = ones + F.bit_count(F.get(f"{a}sketch", F.lit(i)).bitwiseXOR(F.get(f"{b}sketch", F.lit(i))))
+    return ones.cast("long")
+
+
+def _apart(a: str, b: str, longs: int) -> Column:
+    """A lower bound of the symmetric difference of the sets in the columns ``a…size, a…sketch`` and ``b…``."""
+    return F.greatest(_ones(a, b, longs), F.abs(F.col(f"{a}size") - F.col(f"{b}size")).cast("long"))
 
 
 def _possible(a: str, b: str, share: int, longs: int) -> Column:
-    """Whether sizes and sketches allow a Jaccard similarity of ``share`` percent."""
-    total, apart = F.col(f"{a}size") + F.col(f"{b}size"), _apart(a, b, longs)
-    return (total - apart) * 100 >= (total + apart) * share
+    """Whether sizes and sketches allow a Jaccard similarity of ``share`` percent.
+
+    The similarity is (total - apart) / (total + apart). Each bound stands in
+    the condition once: one that is much longer isn't compiled by the JVM.
+    """
+    most = (F.col(f"{a}size") + F.col(f"{b}size")) * (100 - share)
+    near = F.abs(F.col(f"{a}size") - F.col(f"{b}size")) * (100 + share) <= most
+    return near & (_ones(a, b, longs) * (100 + share) <= most) if longs else near
 
 
 def in_company(rows: DataFrame, common: Column | None = None) -> DataFrame:
@@ -100,62 +111,73 @@ def in_company(rows: DataFrame, common: Column | None = None) -> DataFrame:
     return out.distinct()
 
 
-def link_cells(cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *, share: int = 80, longs: int = 1) -> DataFrame:
+def link_cells(
+    cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *, share: int = 80, longs: int = 1,
+    sketches: tuple[int, Callable[[DataFrame], DataFrame]] | None = None,
+) -> DataFrame:
     """Edges ``(a, b)`` that give the same components as all links would.
 
     ``cells(cell, node, size, sketch)``: distinct rows, ``sketch`` an array of
     ``longs`` longs; two nodes can only be linked if they share a cell. ``judge`` takes distinct pairs ``(a, b)`` and their number,
     and returns ``(a, b, lo, hi, linked)``: bounds of their Jaccard distance, and whether
-    they are linked. No pair of different components is left out but by the
+    they are linked. ``sketches`` makes longer sketches for the nodes ``(node)`` that
+    need them: their number of longs, and a function that returns ``(node, sketch)``.
+    No pair of different components is left out but by the
     sizes, by the sketches or by the triangle inequality, so the components are exact for
     whatever shares a cell.
     """
     theta = 1 - share / 100 + 1e-9
     n_rows = cells.count()
     judged_pairs = lambda pairs, most: _judged(pairs, judge, most)
-    pivots = cells.groupBy("cell").agg(F.min(F.struct("node", "size", "sketch")).alias("p"))
-    pivots = pivots.select("cell", F.col("p.node").alias("p"), F.col("p.size").alias("p_size"), F.col("p.sketch").alias("p_sketch"))
+    pivots = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "sketch")).alias("p"))
+    pivots = pivots.select("cell", "n", F.col("p.node").alias("p"), F.col("p.size").alias("p_size"), F.col("p.sketch").alias("p_sketch"))
     spoke = stored(few(cells.join(pivots, "cell").where("node <> p"), n_rows), "spokes")
-    judged = judged_pairs(spoke.where(_possible("", "p_", share, longs)).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct(), n_rows)
+    able = spoke.where(_possible("", "p_", share, longs))
+    # first each node meets the pivot of its largest cell only: near copies share many cells, and one of them settles most
+    nearest = able.groupBy("node").agg(F.max(F.struct("n", "p"))["p"].alias("a")).select("a", F.col("node").alias("b"))
+    judged = judged_pairs(nearest, n_rows)
+    edges = stored(few(judged.where("linked").select("a", "b"), n_rows), "links")
+    label = components(edges, rows=n_rows)
+    of = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
+    apart = able.join(of("node"), "node", "left").join(of("p"), "p", "left")
+    apart = apart.where(F.coalesce("node_comp", "node") != F.coalesce("p_comp", "p")).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
+    judged = judged.union(judged_pairs(apart.join(judged, ["a", "b"], "left_anti"), n_rows))
     edges = judged.where("linked").select("a", "b")
     around = judged.select(F.col("a").alias("p"), F.col("b").alias("node"), "lo", "hi")
     far = 2 * _apart("", "p_", longs) / (F.col("size") + F.col("p_size") + _apart("", "p_", longs))
     rest = spoke.join(around, ["p", "node"], "left")
     rest = rest.select("cell", "node", "size", "sketch", F.coalesce("lo", far).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"))
-    before = float("inf")
+    turn, k = 0, PIVOTS
     while True:
         label = components(edges, rows=n_rows)
         named = rest.join(label, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         named = stored(few(named, n_rows), "named")
-        groups = named.groupBy("cell", "comp").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "sketch")).alias("least"))
-        total = groups.groupBy("cell").agg(
-            F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("comps"),
-            F.min(F.struct("n", "least")).alias("smallest"),
-        ).where("comps > 1")
-        total = total.select("cell", "members", "same", F.col("smallest.least.node").alias("p"), F.col("smallest.least.size").alias("p_size"), F.col("smallest.least.sketch").alias("p_sketch"))
+        groups = named.groupBy("cell", "comp").agg(F.count("*").alias("n"))
+        total = groups.groupBy("cell").agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("comps")).where("comps > 1")
         total = stored(few(total, n_rows), "open")
-        open_pairs, n_open, open_members = total.agg(F.sum((F.col("members") * F.col("members") - F.col("same")) / 2), F.count("*"), F.sum("members")).first()
+        open_pairs, n_open = total.agg(F.sum((F.col("members") * F.col("members") - F.col("same")) / 2), F.count("*")).first()
         if not n_open:
             return edges
-        live = named.join(total.select("cell", "p", "p_size", "p_sketch"), "cell")
-        # another pivot is worth its round only while pivots settle much
-        if open_pairs <= 100_000 + 16 * open_members or open_pairs > before / 2:
-            x = live.select("cell", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "sketch", "comp", "lo", "hi")])
-            y = live.select("cell", *[F.col(c).alias(f"y_{c}") for c in ("node", "size", "sketch", "comp", "lo", "hi")])
-            near = (
-                x.join(y, "cell")
-                .where("x_node < y_node AND x_comp <> y_comp")
-                .where(_possible("x_", "y_", share, longs))
-                .where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta))
-            )
-            pairs = near.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
-            return edges.union(judged_pairs(pairs, int(open_pairs)).where("linked").select("a", "b"))
-        # a member of each cell's smallest component against all others of the cell; then it is done with
-        mine = named.select(F.col("node").alias("p"), F.col("comp").alias("p_comp")).distinct()
-        pairs = live.join(mine, "p").where("comp <> p_comp").where(_possible("", "p_", share, longs))
-        pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-        edges = stored(edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b")), "links")
-        rest, before = live.where("node <> p").select("cell", "node", "size", "sketch", "lo", "hi"), open_pairs
+        live = named.join(total.select("cell", "members"), "cell")
+        if sketches and not turn:
+            longs = sketches[0]
+            live = live.drop("sketch").join(sketches[1](live.select("node").distinct()), "node")
+        live = stored(few(live, n_rows), "live")
+        # about k pivots of each cell, the same nodes in all their cells, meet the members of other components; all are pivots once few pairs are left
+        last = open_pairs <= FEW_PAIRS
+        is_pivot = F.lit(True) if last else F.pmod(F.xxhash64(F.lit(turn), "node"), F.col("members")) < k
+        side = lambda df, c: df.select("cell", *[F.col(n).alias(f"{c}{n}") for n in ("node", "size", "sketch", "comp", "lo", "hi")])
+        near = side(live.where(is_pivot), "x_").join(side(live, "y_"), "cell").where("x_comp <> y_comp")
+        if last:
+            near = near.where("x_node < y_node")
+        near = near.where(_possible("x_", "y_", share, longs)).where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta))
+        pairs = near.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        edges = edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b"))
+        if last:
+            return edges
+        edges = stored(few(edges, n_rows), "links")
+        rest = live.where(~is_pivot).select("cell", "node", "size", "sketch", "lo", "hi")
+        turn, k = turn + 1, k * 16
 
 
 def _judged(pairs: DataFrame, judge: Callable[[DataFrame, int], DataFrame], most: int) -> DataFrame:

@@ -69,6 +69,28 @@ def drop_stored(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Ids of 8 bytes that may be sent to every task; beyond that many the other side is shuffled instead.
+MAX_IDS = 1_000_000
+
+
+def row_key() -> Column:
+    """The name of a document whatever its id: a hash of id and text; equal rows share it."""
+    return F.xxhash64("doc_id", "text")
+
+
+def sendable(ids: DataFrame) -> DataFrame:
+    """``ids``, one long each, marked for broadcast if they are no more than :data:`MAX_IDS`."""
+    return F.broadcast(ids) if ids.limit(MAX_IDS + 1).count() <= MAX_IDS else ids
+
+
+def once(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with one row of those that share a ``key``; only rows of repeated keys are shuffled whole."""
+    repeated = stored(docs.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), "repeated")
+    repeated = sendable(repeated)
+    alone = docs.join(repeated, key, "left_anti")
+    return alone.unionByName(docs.join(repeated, key, "left_semi").dropDuplicates([key]))
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

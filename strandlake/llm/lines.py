@@ -1,10 +1,11 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only.
 
-A line's shingles are its windows of eight characters at every position; a
-shorter line is its own one shingle. Signatures band the distinct lines; pairs
-that share a band are verified by the exact Jaccard similarity of their shingle
-sets; distributed union-find makes the components, and the first line of each
-stays.
+A line's shingles are its windows of eight characters (UTF-16 code units) at
+every position; a shorter line is its own one shingle. Equal lines are folded
+first, so a line is shingled once however often it stands in the corpus.
+Signatures band the distinct lines; pairs that share a band are verified by the
+exact Jaccard similarity of their shingle sets; distributed union-find makes the
+components, and the first line of each stays.
 """
 
 from __future__ import annotations
@@ -14,33 +15,42 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cells import in_company, link_cells, maybe_in, node_filter, sketch_of
-from .common import few, stored, table
+from .cells import in_company, link_cells
+from .common import few, once, row_key, sendable, stored, table
 from .graph import components
 
-#: Windows of 8 characters, one from every character on: what is ahead is caught, one character is passed.
-EVERY = r"(?s)(?=(.{8}))."
-#: Windows of 8 characters behind white space (a space is put in front of the line) and behind characters from U+2E80 on.
-SHINGLE = r"[ \t\x0B\f\r⺀-￿](?=([^ \t\x0B\f\r].{0,7}))"
-#: At a similarity of just 0.8, 10 bands meet for 99 % of the pairs or more at every size (8 bands: 98.5 %).
-BANDS = 10
-#: Minima in a band, of long and of short sets.
-ROWS, SHORT_ROWS = 4, 3
+#: Characters in a shingle.
+WIDTH = 8
+#: At a similarity of just 0.8 a band of three minima meets in 51 % of the cases, one of seven bands in 99.3 %.
+BANDS, ROWS = 7, 3
 #: Lines under SHORT shingles are banded by permutations, those from LONG on by classes of the hashes; sizes in between by both,
 #: so that any two lines whose sizes allow the similarity share a scheme.
 SHORT, LONG = 20, 16
 SHARE = 80
+#: Longs of a sketch that excludes pairs in large cells.
+LONGS = 16
 
 
-def shingles(line: Column) -> Column:
-    """All windows of a line: linear in its length, while substring at each position is quadratic."""
-    whole = F.array_distinct(F.regexp_extract_all(line, F.lit(EVERY), F.lit(1)))
-    return F.when(F.length(line) < 8, F.array(line)).otherwise(whole)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value made once. A binary column read within a lambda would be copied at each step."""
+    return F.transform(F.array(value), body)[0]
 
 
-def word_shingles(line: Column) -> Column:
-    """Windows at word starts only: cheaper, but blind to the rest of long words. No query uses them."""
-    return F.array_distinct(F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(SHINGLE), F.lit(1)))
+def windows(line: Column) -> Column:
+    """Hashes of the windows at every position, in order, repeats included.
+
+    A UTF-16 unit has two bytes, so a window is a slice of bytes that is found
+    without scanning what is before it: linear in the line.
+    """
+    width = 2 * WIDTH
+    starts = lambda b: F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(b) - width + 1), F.lit(2))
+    cut = lambda b: F.transform(starts(b), lambda i: F.xxhash64(F.substring(b, i, F.lit(width))))
+    return _let(F.encode(line, "UTF-16BE"), cut)
+
+
+def with_sets(lines: DataFrame, line: str, into: str) -> DataFrame:
+    """``lines`` with the array of the distinct shingle hashes of a column; in two steps, so that nothing is made twice."""
+    return lines.withColumn(into, windows(F.col(line))).withColumn(into, F.array_distinct(into))
 
 
 #: Marks that cut the hash range into classes.
@@ -61,8 +71,8 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
     ``ROWS`` smallest hashes of a class, which are those many minima of one hash
     function. The marks are sorted in with the hashes, so a class is a slice
     behind its mark and nothing is filtered. Short sets: hashed again with a
-    seed for each of ``BANDS`` independent bands; a band is the ``SHORT_ROWS`` smallest. Sets of under four are alike
-    only if equal.
+    seed for each of ``BANDS`` independent bands; a band is the ``ROWS`` smallest. Sets of under four are alike
+    only if equal. The key of a class without hashes is null.
     """
     # a lambda of two parameters would get the index as its second
     again = lambda seed: lambda x: F.xxhash64(F.lit(seed), x)
@@ -74,83 +84,107 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
         return F.when(~empty, F.xxhash64(F.lit(j), F.slice(marked, (at + 1).cast("int"), ROWS)))
 
     long = [band(j, m) for j, m in enumerate(MARKS)]  # no band of an empty class
-    short = [F.xxhash64(F.lit(100 + seed), F.slice(F.sort_array(F.transform(h, again(seed))), 1, SHORT_ROWS)) for seed in SEEDS]
+    short = [F.xxhash64(F.lit(100 + seed), F.slice(F.sort_array(F.transform(h, again(seed))), 1, ROWS)) for seed in SEEDS]
     none = F.array().cast("array<long>")
-    keys = F.when(n < 4, F.array(F.xxhash64(F.lit(99), F.sort_array(h)))).otherwise(
+    return F.when(n < 4, F.array(F.xxhash64(F.lit(99), F.sort_array(h)))).otherwise(
         F.concat(F.when(n >= LONG, F.array(*long)).otherwise(none), F.when(n < SHORT, F.array(*short)).otherwise(none))
     )
-    return F.array_compact(keys)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    line = docs.where("text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return line.select("doc_id", "line_no", F.trim("line").alias("line")).where("line <> ''")
+def _lines(docs: DataFrame, place: tuple[str, ...] = ()) -> DataFrame:
+    line = docs.where("text IS NOT NULL").select(*place, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return line.select(*place, "line_no", F.trim("line").alias("line")).where("line <> ''")
+
+
+def _node(line: str) -> Column:
+    return F.xxhash64(line).alias("node")
+
+
+def _judge(text: DataFrame) -> Callable[[DataFrame, int], DataFrame]:
+    """Exact similarities of pairs of lines of ``text(node, line)``, for :func:`link_cells`."""
+
+    def judge(pairs: DataFrame, n: int) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        asked = stored(few(text.join(nodes, "node", "left_semi"), 2 * n, 20_000), "asked")
+        both = pairs.join(asked.select(F.col("node").alias("a"), F.col("line").alias("la")), "a")
+        both = both.join(asked.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b")
+        sets = with_sets(with_sets(both, "la", "sa"), "lb", "sb")
+        sizes = sets.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("total"))
+        distance = 1 - F.col("i") / (F.col("total") - F.col("i"))
+        linked = F.col("i") * 100 >= (F.col("total") - F.col("i")) * SHARE
+        return sizes.select("a", "b", distance.alias("lo"), distance.alias("hi"), linked.alias("linked"))
+
+    return judge
+
+
+def _sketches(text: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Parity sketches of :data:`LONGS` longs of the shingle sets of lines, for :func:`link_cells`."""
+
+    def sketch(nodes: DataFrame) -> DataFrame:
+        x = with_sets(text.join(nodes, "node", "left_semi"), "line", "h").select("node", F.explode("h").alias("h"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
+        word = F.shiftright("h", 6).bitwiseAND(LONGS - 1)
+        x = x.select("node", bit.alias("bit"), word.alias("word"))
+        parts = [F.coalesce(F.bit_xor(F.when(F.col("word") == i, F.col("bit"))), F.lit(0).cast("long")).alias(f"s{i}") for i in range(LONGS)]
+        return x.groupBy("node").agg(*parts).select("node", F.array(*[f"s{i}" for i in range(LONGS)]).alias("sketch"))
 
+    return sketch
 
-def line_classes(docs: DataFrame, of: Callable[[Column], Column] = word_shingles) -> DataFrame:
+
+def line_classes(docs: DataFrame, place: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row for each line that isn't blank: ``doc_id, line_no, n_shingles, component_id, kept``.
 
-    ``of`` gives the shingles of a line: the queries take :func:`shingles`.
+    The columns of ``place`` name a document, and come in place of ``doc_id``.
+
     Lines whose shingle sets have a Jaccard similarity of 0.8 or more are
     linked; of each component the line with the smallest (doc_id, line_no) is
     kept. A component is named by the hash of one of its lines. Lines are
     compared without the spaces around them, case as it is. Blank lines and null
     texts have no row; rows with the same id and line number are one place and
     share their fate; a null doc_id sorts first; other columns are ignored; an
-    empty table gives an empty table. Lines stand for themselves by a 64-bit
-    hash.
+    empty table gives an empty table. Lines and shingles stand for themselves by
+    64-bit hashes. A task holds some thirty bytes for each character of one line.
     """
-    line = _lines(docs)
-    prepared = line.select("doc_id", "line_no", F.xxhash64("line").alias("node"), of(F.col("line")).alias("s"))
-    prepared = prepared.select("doc_id", "line_no", "node", F.transform("s", lambda x: F.xxhash64(x)).alias("h"))
+    places = stored(_lines(docs, place).select(*place, "line_no", _node("line")), "places")
+    prepared = with_sets(_lines(docs).select("line").distinct().select(_node("line"), "line"), "line", "h")
     # a column of its own, or every band would sort again
-    prepared = prepared.select("doc_id", "line_no", "node", F.size("h").alias("size"), "h", with_marks(F.col("h")).alias("marked"))
+    prepared = prepared.select("node", F.size("h").alias("size"), "h", with_marks(F.col("h")).alias("marked"))
     keys = band_keys(F.col("h"), F.col("marked"), F.col("size"))
-    all_lines = stored(prepared.select("doc_id", "line_no", "node", "size", sketch_of(F.col("h")).alias("sketch"), keys.alias("keys")), "lines")
-
-    # copies of a line are one node
-    distinct = all_lines.groupBy("node", "size", "sketch", "keys").agg(F.count("*").alias("copies"))
-    banded = distinct.select(F.explode("keys").alias("cell"), "node", "size", "sketch")
-    shared = stored(in_company(banded).withColumn("sketch", F.array("sketch")), "cells")
-
-    def judge(pairs: DataFrame, n: int) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        text = _lines(docs).select(F.xxhash64("line").alias("node"), "line")
-        text = maybe_in(text, "node", node_filter(nodes)).distinct()
-        text = stored(few(text.join(nodes, "node", "left_semi"), 2 * n, 50_000), "texts")
-        both = pairs.join(text.select(F.col("node").alias("a"), F.col("line").alias("la")), "a")
-        both = both.join(text.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b")
-        sets = both.select("a", "b", of(F.col("la")).alias("sa"), of(F.col("lb")).alias("sb"))
-        sizes = sets.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("total"))
-        distance = 1 - F.col("i") / (F.col("total") - F.col("i"))
-        return sizes.select("a", "b", distance.alias("lo"), distance.alias("hi"), (F.col("i") * 100 >= (F.col("total") - F.col("i")) * SHARE).alias("linked"))
-
-    label = components(link_cells(shared, judge, share=SHARE), rows=shared.count())
-    named = all_lines.select("doc_id", "line_no", "node", "size").join(label, "node", "left")
-    named = named.select("doc_id", "line_no", F.col("size").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
-    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    return named.join(first, "component_id").select(
-        "doc_id", "line_no", "n_shingles", "component_id",
-        (F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))).alias("kept"),
-    )
+    sets = stored(prepared.select("node", "size", keys.alias("keys")), "sets")
+    no_sketch = F.array().cast("array<long>").alias("sketch")  # sketches of 64 bits exclude no pair of lines of usual length
+    banded = sets.select(F.explode("keys").alias("cell"), "node", "size", no_sketch).where("cell IS NOT NULL")
+    shared = stored(in_company(banded), "cells")
+    nodes = stored(shared.select("node").distinct(), "nodes")
+    text = stored(_lines(docs).select(_node("line"), "line").join(sendable(nodes), "node", "left_semi").dropDuplicates(["node"]), "texts")
+    links = link_cells(shared, _judge(text), share=SHARE, longs=0, sketches=(LONGS, _sketches(text)))
+    label = components(links, rows=shared.count())
+    of_node = sets.select("node", "size").join(label, "node", "left")
+    of_node = of_node.select("node", F.col("size").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
+    named = places.join(of_node, "node").select(*place, "line_no", "n_shingles", "component_id")
+    at = F.struct(*place, "line_no")
+    first = named.groupBy("component_id").agg(F.min(at).alias("first"))
+    return named.join(first, "component_id").select(*place, "line_no", "n_shingles", "component_id", at.eqNullSafe(F.col("first")).alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that :func:`line_classes` doesn't keep.
 
-    ``n_chars`` follows the text where there is such a column. A document that
-    loses all its lines goes; one that had none stays as it is.
+    A document is a pair of id and text here: ids may be null or repeated, and
+    equal rows are one document. ``n_chars`` follows the text where there is
+    such a column. A document that loses all its lines goes; one that had none
+    stays as it is. Other columns stay, whatever their names.
     """
-    gone = line_classes(docs, shingles).where("NOT kept AND doc_id IS NOT NULL")
-    gone = gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))  # line numbers of one document
-    out = docs.join(gone, "doc_id", "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
-    out = out.where(F.col("_gone").isNull() | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    keyed = once(docs.select(row_key().alias("_key"), F.struct(*docs.columns).alias("_row")), "_key")
+    gone = line_classes(docs.select("doc_id", row_key().alias("_key"), "text"), ("doc_id", "_key")).where("NOT kept")
+    gone = gone.groupBy("_key").agg(F.collect_set("line_no").alias("_gone"))  # no more than the document has lines
+    out = keyed.join(gone, "_key", "left").withColumn("_lines", F.split("_row.text", "\n"))
+    stays = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    left = F.array_join(F.transform(stays, lambda i: F.get("_lines", i)), "\n")
+    out = out.withColumn("_left", F.when(F.col("_gone").isNotNull(), left))
+    out = out.where(F.col("_gone").isNull() | (F.trim(F.regexp_replace("_left", r"\s+", " ")) != ""))
+    new = {"text": F.coalesce("_left", "_row.text"), "n_chars": F.when(F.col("_gone").isNull(), F.col("_row.n_chars")).otherwise(F.length("_left").cast("long")) if "n_chars" in docs.columns else None}
+    return out.select(*[new[c].alias(c) if c in new else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"), shingles)
+    return line_classes(table(spark, sf_dir, "documents"))

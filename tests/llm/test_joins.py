@@ -1,5 +1,4 @@
 import random
-import re
 
 import numpy as np
 import pytest
@@ -104,7 +103,10 @@ def test_node_filter_loses_nothing(spark):
     assert cells.maybe_in(spark.range(3000), "id", cells.node_filter(ids)).where("id % 3 = 0").count() == 1000
 
 
-LINE = re.compile("[ \\t\\x0b\\f\\r⺀-￿](?=([^ \\t\\x0b\\f\\r].{0,7}))")
+def line_windows(x):
+    """All windows of eight UTF-16 units, cut by plain slicing."""
+    b = x.encode("utf-16-be")
+    return frozenset(b[i : i + 16] for i in range(0, max(1, len(b) - 15), 2))
 
 
 def test_lines_equal_brute_force(spark):
@@ -122,7 +124,7 @@ def test_lines_equal_brute_force(spark):
     got = {(x["doc_id"], x["line_no"]): x for x in lines.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     text = {(i, n): x.strip(" ") for i, t in rows for n, x in enumerate((t or "").split("\n")) if x.strip(" ")}
     assert set(got) == set(text)
-    sets = {k: frozenset(LINE.findall(' ' + x)) for k, x in text.items()}
+    sets = {k: line_windows(x) for k, x in text.items()}
     assert all(got[k]["n_shingles"] == len(s) for k, s in sets.items())
     pairs = list(plain.linked(sets))
     together = [got[a]["component_id"] == got[b]["component_id"] for a, b in pairs]
@@ -143,10 +145,11 @@ def test_lines_are_read_whole(spark):
     near = [base, base[:-1] + "_", "q8 x", "q8 x", "😀" * 3 + key(40)]
     out = lines.drop_repeated_lines(spark.createDataFrame([(i, x) for i, x in enumerate(apart + near)], "doc_id long, text string"))
     assert {x["doc_id"] for x in out.collect()} == set(range(len(apart))) | {len(apart), len(apart) + 2, len(apart) + 4}
-    windows = lambda x: {x[i : i + 8] for i in range(max(1, len(x) - 7))}
-    got = spark.createDataFrame([(x,) for x in apart + near], "line string").select("line", lines.shingles(F.col("line")).alias("s"))
-    for x in got.collect():
-        assert len(x["s"]) == len(set(x["s"])) and set(x["s"]) == windows(x["line"])
+    got = spark.createDataFrame([(x,) for x in apart + near], "line string")
+    got = {x["line"]: set(x["h"]) for x in lines.with_sets(got, "line", "h").collect()}
+    for x in apart + near:
+        for y in apart + near:
+            assert len(got[x] & got[y]) == len(line_windows(x) & line_windows(y))
 
 
 def test_bands_meet_at_the_threshold(spark):
@@ -165,11 +168,17 @@ def test_bands_meet_at_the_threshold(spark):
 def test_dropped_lines_and_odd_documents(spark):
     a, b = "the quick brown fox jumps over it", "another line that stands for itself"
     rows = [(1, f"{a}\n{b}", 5), (2, f"  {a}\n\nonly here, this one", 5), (3, a, 5), (4, None, 5), (5, "", 5), (None, a, 5), (6, "日本語の文章がここにあります。\n" + a, 5)]
-    out = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string, n_chars long"))
-    assert out.columns == ["doc_id", "text", "n_chars"]
-    assert {r["doc_id"]: r["text"] for r in out.collect()} == {
-        None: a, 1: b, 2: "\nonly here, this one", 4: None, 5: "", 6: "日本語の文章がここにあります。"
-    }
+    rows += [(7, "one id, two texts of its own", 5), (7, f"one id, another text instead\n{b}", 5), (8, "a row that is there twice\n" * 2, 5), (8, "a row that is there twice\n" * 2, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("line_no", F.lit("a clashing name"))
+    out = lines.drop_repeated_lines(docs)
+    assert out.columns == ["doc_id", "text", "n_chars", "line_no"]
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in out.collect()))
+    texts = [x for _, x in got]
+    whole = "\n".join(texts).split("\n")
+    assert whole.count(a) == 1 and whole.count(b) == 1 and whole.count("a row that is there twice") == 1
+    for x in ("only here, this one", "日本語の文章がここにあります。", "one id, two texts of its own", "one id, another text instead"):
+        assert whole.count(x) == 1
+    assert sum(i == 4 for i, _ in got) == sum(i == 5 for i, _ in got) == 1
     assert lines.line_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
@@ -202,3 +211,9 @@ def test_vectors_equal_brute_force(spark, unit):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
     assert (got[None]["n_links"], got[None]["kept"]) == (0, False)
     assert embeddings.link_vectors(df.limit(0), unit=unit).count() == 0
+
+
+def test_a_document_of_very_many_equal_lines(spark):
+    """Linear in its lines: one stays."""
+    docs = spark.createDataFrame([(1, "the very same line\n" * 60_000), (2, "another document")], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.drop_repeated_lines(docs).collect()} == {1: "the very same line\n", 2: "another document"}
