@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import UNKNOWN
+from ..functions.shared import stored
 
 
 def distinct_counts(annotated: DataFrame, counted: str, *, feature: str | Column = "feature", cell: str | Column = "cell") -> DataFrame:
@@ -49,10 +50,13 @@ def ranked(df: DataFrame, order: list[str], into: str, within: list[str] | None
 
     Rows are range partitioned by group and order; a partition's first place is
     the number of the group's rows in the partitions before it (a row for each
-    partition and group), so no task sees all rows of a group.
+    partition and group), so no task sees all rows of a group. The partitioned
+    rows are written once with their partition's number: range bounds are
+    sampled and small partitions merged at run time, so a partition planned a
+    second time for the sizes would not hold the same rows.
     """
     within = within or []
-    x = df.repartitionByRange(*within, *order).withColumn("_part", F.spark_partition_id())
+    x = stored(df.repartitionByRange(*within, *order).withColumn("_part", F.spark_partition_id()), "ranked")
     sizes = x.groupBy("_part", *within).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*within).orderBy("_part")) - F.col("_n")
     sizes = sizes.select("_part", *within, before.alias("_before"))
