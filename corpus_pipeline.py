@@ -7,25 +7,24 @@ again, so a lost executor costs no more than the stage that runs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strandlake.llm.cells import without
+from strandlake.llm import decontaminate as leaks
+from strandlake.llm import toxicity as toxic
 from strandlake.llm.common import stored, table
-from strandlake.llm.decontaminate import find_leaks
 from strandlake.llm.lines import drop_repeated_lines
 from strandlake.llm.mixing import mixed_documents
 from strandlake.llm.ngram_join import keep_one
-from strandlake.llm.toxicity import score_toxicity
+
+# Ids may be null or repeated: every stage judges rows by what they hold, and extra columns pass through whatever their names.
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; rows without an id stay."""
-    rejected = score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1")
-    return without(docs, rejected.select(F.col("doc_id").alias("node")), "doc_id")
+    """Rows whose text the classifier rejects go."""
+    return toxic.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of lines that are alike one stays; documents that lose all their lines go."""
+    """Of lines that are alike one stays; documents that lose all their lines go, and so do equal rows but one."""
     return drop_repeated_lines(docs)
 
 
@@ -35,13 +34,12 @@ def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item go."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, leaks.select(F.col("doc_id").alias("node")), "doc_id")
+    """Rows whose text holds a test item go."""
+    return leaks.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes words of, with how many."""
+    """The words that the mix draws, with their shard and place in it; what is drawn again comes again."""
     return mixed_documents(docs)
 
 
@@ -53,7 +51,7 @@ STAGES = [
     ("mix", mix),
 ]
 
-#: A trained classifier, MinHash and the seeded draw are beyond SQL; the tests hold run() against a plain version.
+#: A trained classifier, MinHash and the seeded draw are beyond SQL; the tests hold every stage against a plain version.
 ORACLE_SQL = None
 
 

@@ -16,56 +16,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import few, stored
+from .common import few, sendable, stored
 from .graph import components
 
-#: Bits of the filter that stands in for a set of nodes: 4 MB, however many nodes there are.
-FILTER_BITS = 1 << 25
-#: Pivots of a cell in the first round, 16 times as many in each further one; with no more than FEW_PAIRS open pairs all members are pivots.
-PIVOTS, FEW_PAIRS = 8, 50_000
+#: Pivots of a cell in the first round, 16 times as many in the next; after ROUNDS of them, or with no more than FEW_PAIRS open pairs, all members are pivots.
+PIVOTS, ROUNDS, FEW_PAIRS = 8, 2, 200_000
 _BITS_PER_ROW = 32_768
 
 
-def node_filter(nodes: DataFrame) -> DataFrame:
-    """A bitmap over the hashes of ``nodes(node)``: at most 1024 rows of 4 KB, so it may be broadcast."""
-    bit = F.pmod(F.xxhash64(F.col("node").cast("long")), F.lit(FILTER_BITS)) + 1
-    return nodes.groupBy(F.bitmap_bucket_number(bit).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
-
-
-def _with_hit(df: DataFrame, col: str, bits: DataFrame) -> DataFrame:
-    bit = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(FILTER_BITS)) + 1
-    df = df.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_place", F.bitmap_bit_position(bit))
-    df = df.join(F.broadcast(bits), "_bucket", "left")
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(F.col("_place") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return df.withColumn("_hit", F.coalesce(F.getbit(byte, (F.col("_place") % 8).cast("int")) == 1, F.lit(False)))
-
-
-def maybe_in(df: DataFrame, col: str, bits: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose ``col`` may be in the filter; none that is in it is lost."""
-    return _with_hit(df, col, bits).where("_hit").select(*df.columns)
-
-
 def without(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
-    """Rows of ``df`` whose ``col`` isn't in ``ids(node)``; nulls stay.
-
-    Only rows that the filter can't clear are shuffled for the exact anti join,
-    so wide rows that stay don't move.
-    """
-    ids = stored(ids.select(F.col("node").cast("long").alias("node")).where("node IS NOT NULL").distinct(), "ids")
-    told = _with_hit(df, col, node_filter(ids))
-    unsure = told.where(F.col("_hit") & F.col(col).isNotNull()).select(*df.columns)
-    unsure = unsure.join(ids, unsure[col].cast("long") == ids.node, "left_anti")
-    return told.where(~F.col("_hit") | F.col(col).isNull()).select(*df.columns).union(unsure.select(*df.columns))
-
-
-def sketch_of(h: Column) -> Column:
-    """Parity sketch of a set of hashes in one long: bit i is the parity of the members of class i.
-
-    The xor of two sketches is the sketch of the symmetric difference, so its
-    ones never outnumber that difference.
-    """
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+    """Rows of ``df`` whose ``col`` isn't in ``ids(node)``; nulls stay."""
+    ids = stored(ids.select(F.col("node").cast("long").alias("_node")).distinct(), "ids")
+    return df.join(sendable(ids), F.col(col).cast("long") == F.col("_node"), "left_anti")
 
 
 def _ones(a: str, b: str, longs: int) -> Column:
@@ -115,7 +77,7 @@ def link_cells(
     cells: DataFrame, judge: Callable[[DataFrame, int], DataFrame], *, share: int = 80, longs: int = 1,
     sketches: tuple[int, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> DataFrame:
-    """Edges ``(a, b)`` that give the same components as all links would.
+    """``(node, component)``, the components that all links together would give, for the nodes that have a link.
 
     ``cells(cell, node, size, sketch)``: distinct rows, ``sketch`` an array of
     ``longs`` longs; two nodes can only be linked if they share a cell. ``judge`` takes distinct pairs ``(a, b)`` and their number,
@@ -157,14 +119,14 @@ def link_cells(
         total = stored(few(total, n_rows), "open")
         open_pairs, n_open = total.agg(F.sum((F.col("members") * F.col("members") - F.col("same")) / 2), F.count("*")).first()
         if not n_open:
-            return edges
+            return label
         live = named.join(total.select("cell", "members"), "cell")
         if sketches and not turn:
             longs = sketches[0]
             live = live.drop("sketch").join(sketches[1](live.select("node").distinct()), "node")
         live = stored(few(live, n_rows), "live")
         # about k pivots of each cell, the same nodes in all their cells, meet the members of other components; all are pivots once few pairs are left
-        last = open_pairs <= FEW_PAIRS
+        last = open_pairs <= FEW_PAIRS or turn == ROUNDS
         is_pivot = F.lit(True) if last else F.pmod(F.xxhash64(F.lit(turn), "node"), F.col("members")) < k
         side = lambda df, c: df.select("cell", *[F.col(n).alias(f"{c}{n}") for n in ("node", "size", "sketch", "comp", "lo", "hi")])
         near = side(live.where(is_pivot), "x_").join(side(live, "y_"), "cell").where("x_comp <> y_comp")
@@ -174,7 +136,7 @@ def link_cells(
         pairs = near.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
         edges = edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b"))
         if last:
-            return edges
+            return components(edges, rows=n_rows)
         edges = stored(few(edges, n_rows), "links")
         rest = live.where(~is_pivot).select("cell", "node", "size", "sketch", "lo", "hi")
         turn, k = turn + 1, k * 16

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import drop_stored, stored  # noqa: F401  the operators take them from here
+
 #: Every word is a maximal run of characters outside this class.
 SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
@@ -30,45 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
-
-    It is ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder takes its place.
-    """
-    bound_batches(spark)
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = tempfile.mkdtemp(prefix="strandlake-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
 def few(df: DataFrame, rows: int, per: int = 100_000) -> DataFrame:
     """``df`` of about ``rows`` rows in no more partitions than those call for."""
     return df.coalesce(max(1, -(-rows // per)))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it again.
-
-    This cuts the lineage: a lost executor costs the tasks that it ran, not
-    what came before the table.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(df: DataFrame) -> None:
-    """Remove a table that :func:`stored` wrote and nothing reads any more."""
-    spark = df.sparkSession
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        if f.startswith(shared_dir(spark)) or shared_dir(spark) in f:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 #: Ids of 8 bytes that may be sent to every task; beyond that many the other side is shuffled instead.
 MAX_IDS = 1_000_000
 

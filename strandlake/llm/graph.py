@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few, stored
+from .common import drop_stored, few, stored
 
 
 def components(edges: DataFrame, *, rows: int | None = None, max_rounds: int = 60) -> DataFrame:
@@ -41,7 +41,8 @@ def components(edges: DataFrame, *, rows: int | None = None, max_rounds: int = 6
         pa = parent.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
         pb = parent.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
         up = live.join(pa, "a").join(pb, "b").where("pa <> pb")
-        live = stored(few(up.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), n), "edges")
+        before, live = live, stored(few(up.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), n), "edges")
+        drop_stored(before)
     if not parents:
         return edges.sparkSession.createDataFrame([], f"node {kind.simpleString()}, component {kind.simpleString()}")
     whole = parents[0]
@@ -51,4 +52,7 @@ def components(edges: DataFrame, *, rows: int | None = None, max_rounds: int = 6
     nodes = parents[0].count()
     whole = stored(few(whole, nodes), "roots")
     least = whole.groupBy("parent").agg(F.least(F.min("node"), F.col("parent")).alias("component"))
-    return stored(few(whole.join(least, "parent").select("node", "component"), nodes), "components")
+    out = stored(few(whole.join(least, "parent").select("node", "component"), nodes), "components")
+    for table in (live, whole, *parents):
+        drop_stored(table)
+    return out

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from .cells import in_company, link_cells
 from .common import few, once, row_key, sendable, stored, table
-from .graph import components
 
 #: Characters in a shingle.
 WIDTH = 8
@@ -55,8 +54,8 @@ def with_sets(lines: DataFrame, line: str, into: str) -> DataFrame:
 
 #: Marks that cut the hash range into classes.
 MARKS = [-(1 << 63) + ((1 << 64) // BANDS) * j for j in range(BANDS)]
-#: One seed for each permutation of short sets.
-SEEDS = range(1, BANDS + 1)
+#: One seed for each permutation of short sets: three minima of five are less often common than three of many, so ten bands.
+SEEDS = range(1, 11)
 
 
 def with_marks(h: Column) -> Column:
@@ -71,7 +70,7 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
     ``ROWS`` smallest hashes of a class, which are those many minima of one hash
     function. The marks are sorted in with the hashes, so a class is a slice
     behind its mark and nothing is filtered. Short sets: hashed again with a
-    seed for each of ``BANDS`` independent bands; a band is the ``ROWS`` smallest. Sets of under four are alike
+    seed of each of ten independent bands; a band is the ``ROWS`` smallest. Sets of under four are alike
     only if equal. The key of a class without hashes is null.
     """
     # a lambda of two parameters would get the index as its second
@@ -101,15 +100,15 @@ def _node(line: str) -> Column:
 
 
 def _judge(text: DataFrame) -> Callable[[DataFrame, int], DataFrame]:
-    """Exact similarities of pairs of lines of ``text(node, line)``, for :func:`link_cells`."""
+    """Exact similarities of pairs of lines of ``text(node, size, line)``, for :func:`link_cells`."""
 
     def judge(pairs: DataFrame, n: int) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         asked = stored(few(text.join(nodes, "node", "left_semi"), 2 * n, 20_000), "asked")
-        both = pairs.join(asked.select(F.col("node").alias("a"), F.col("line").alias("la")), "a")
-        both = both.join(asked.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b")
-        sets = with_sets(with_sets(both, "la", "sa"), "lb", "sb")
-        sizes = sets.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("total"))
+        side = lambda c: asked.select(F.col("node").alias(c), F.col("line").alias(f"l{c}"), F.col("size").alias(f"n{c}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        both = both.withColumn("sa", windows(F.col("la"))).withColumn("sb", windows(F.col("lb")))
+        sizes = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.col("na") + F.col("nb")).alias("total"))
         distance = 1 - F.col("i") / (F.col("total") - F.col("i"))
         linked = F.col("i") * 100 >= (F.col("total") - F.col("i")) * SHARE
         return sizes.select("a", "b", distance.alias("lo"), distance.alias("hi"), linked.alias("linked"))
@@ -154,10 +153,9 @@ def line_classes(docs: DataFrame, place: tuple[str, ...] = ("doc_id",)) -> DataF
     no_sketch = F.array().cast("array<long>").alias("sketch")  # sketches of 64 bits exclude no pair of lines of usual length
     banded = sets.select(F.explode("keys").alias("cell"), "node", "size", no_sketch).where("cell IS NOT NULL")
     shared = stored(in_company(banded), "cells")
-    nodes = stored(shared.select("node").distinct(), "nodes")
-    text = stored(_lines(docs).select(_node("line"), "line").join(sendable(nodes), "node", "left_semi").dropDuplicates(["node"]), "texts")
-    links = link_cells(shared, _judge(text), share=SHARE, longs=0, sketches=(LONGS, _sketches(text)))
-    label = components(links, rows=shared.count())
+    nodes = stored(shared.select("node", "size").distinct(), "nodes")
+    text = stored(_lines(docs).select(_node("line"), "line").join(sendable(nodes), "node").dropDuplicates(["node"]), "texts")
+    label = link_cells(shared, _judge(text), share=SHARE, longs=0, sketches=(LONGS, _sketches(text)))
     of_node = sets.select("node", "size").join(label, "node", "left")
     of_node = of_node.select("node", F.col("size").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
     named = places.join(of_node, "node").select(*place, "line_no", "n_shingles", "component_id")

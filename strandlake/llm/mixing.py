@@ -24,7 +24,9 @@ from .common import n_words, stored, table, text_or_empty
 #: The tree's root is sent to the tasks that walk it. At 24 bytes a source this
 #: many take 24 MB; more raise an error and have to be grouped first.
 MAX_SOURCES = 1_000_000
-ROWS_PER_BUCKET = 20_000
+#: A draw of the tree is made from fewer blocks than this; with more, blocks have to be longer.
+MAX_BLOCKS = 1_000_000_000
+ROWS_PER_BUCKET = 4_000
 
 
 def source_targets(sizes: DataFrame, *, weights=(5, 2, 1), max_repeat: int = 3) -> DataFrame:
@@ -93,15 +95,22 @@ def shard_quotas(quotas: list[tuple[int, int]], shards: int, seed: int, spark) -
     return spark.range(shards, numPartitions=max(1, min(shards, 200))).mapInPandas(walk, "shard long, slot long, start long, n long")
 
 
-def _permuted(pos, blocks, seed):
-    """The block at a place of the permutation: an affine map modulo the number of blocks.
+def _permuted(pos, blocks, slot, seed):
+    """The block at a place of the permutation of a source's blocks.
 
-    The multiplier is one of two large primes of which at most one divides a
-    number of blocks below 2^31, so it is coprime to it and the map is a
-    bijection; nothing overflows.
+    The places fill a table row by row, about as wide as high; each row is
+    turned by a hash of its own and the table read column by column, three
+    times over. Every step is a bijection, also of a table whose last row is
+    short.
     """
-    a = F.when(blocks % 998_244_353 != 0, F.lit(998_244_353)).otherwise(F.lit(1_000_000_007))
-    return (pos * (a % blocks) + F.lit(seed * 7919 + 13)) % blocks
+    width = F.ceil(F.sqrt(blocks.cast("double"))).cast("long")
+    full, rest = F.floor(blocks / width), blocks % width
+    for turn in range(3):
+        row = F.floor(pos / width)
+        length = F.when(row < full, width).otherwise(rest)
+        col = F.pmod(pos % width + F.pmod(F.xxhash64(F.lit(seed), F.lit(turn), slot, row), length), length)
+        pos = col * full + F.least(col, rest) + row
+    return pos
 
 
 def mix_sources(
@@ -118,7 +127,8 @@ def mix_sources(
     of the row, in the order of ``place``.
 
     Null text is empty (size 0, never drawn); a null source is a source of its
-    own; equal rows are drawn apart; an empty table gives empty results. The
+    own; the order of a source follows ids and texts alone, so reruns agree;
+    equal rows stand next to each other and are drawn apart; an empty table gives empty results. The
     running word offsets are made in two steps (buckets of a source by hash,
     then rows within a bucket), so a source with a third of all rows is spread
     over as many tasks as its rows need.
@@ -130,6 +140,7 @@ def mix_sources(
             F.col("doc_id"),
             F.col("source"),
             n_words("text").alias("size"),
+            F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"),
         ),
         "sizes",
     )
@@ -138,14 +149,13 @@ def mix_sources(
     plan = plan.withColumn("key", key).withColumn(
         "quota", F.least(F.round("target").cast("long"), F.col("source_size") * max_repeat)
     )
-    # numpy draws from at most 10^9 blocks
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    block_words = max(block_words, math.ceil(total / 500_000_000))
     plan = plan.withColumn("blocks", F.ceil(F.col("quota") / block_words).cast("long"))
     plan = stored(plan.withColumn("slot", F.row_number().over(Window.orderBy("key")).cast("long") - 1), "plan")
     quotas = [tuple(r) for r in plan.where("blocks > 0").select("slot", "blocks").orderBy("slot").limit(MAX_SOURCES + 1).collect()]
     if len(quotas) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources have words: group them first")
+    if sum(n for _, n in quotas) >= MAX_BLOCKS:
+        raise ValueError(f"more than {MAX_BLOCKS} blocks: raise block_words")
     words = plan.agg(F.sum("quota"), F.sum("source_size")).first()
     shards = max(1, math.ceil((words[0] or 0) / shard_words))
     n_rows = sized.count()
@@ -153,7 +163,7 @@ def mix_sources(
 
     joined = sized.withColumn("key", key).join(plan.drop("source"), "key")
     sized_out = joined.select("row_id", "doc_id", "source", "size", "source_size", "target")
-    live = joined.where("size > 0 AND quota > 0").withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size"))
+    live = joined.where("size > 0 AND quota > 0")
     live = live.withColumn("bucket", F.pmod("h", F.lit(buckets)))
     before = Window.partitionBy("slot").orderBy("bucket")
     starts = live.groupBy("slot", "bucket").agg(F.sum("size").alias("in_bucket"))
@@ -183,50 +193,60 @@ def mix_sources(
     runs = runs.join(plan.select("slot", "blocks"), "slot")
     drawn = runs.select(
         "shard", "slot", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")
-    ).select("shard", "slot", _permuted(F.col("pos"), F.col("blocks"), seed).alias("block"))
+    ).select("shard", "slot", _permuted(F.col("pos"), F.col("blocks"), F.col("slot"), seed).alias("block"))
     draws = pieces.join(drawn, ["slot", "block"])
     place = F.xxhash64(F.lit(seed), "shard", "slot", "block", "turn", "row_id", "word_from")
     return sized_out, draws.select("row_id", "shard", place.alias("place"), "word_from", "word_to")
 
 
+def _by_row(draws: DataFrame) -> DataFrame:
+    shards = F.array_sort(F.collect_set("shard")).alias("shards")  # of one document: no more than its blocks and repeats
+    return draws.groupBy("row_id").agg(F.sum(F.col("word_to") - F.col("word_from")).cast("long").alias("taken"), F.count("*").alias("n_draws"), shards)
+
+
 def taken_words(docs: DataFrame, **options) -> DataFrame:
-    """One row for each row of ``docs``: what the mix takes of it, repeats counted."""
+    """One row for each row of ``docs``: what the mix takes of it, repeats counted, and the shards that take it."""
     sized, draws = mix_sources(docs, **options)
-    taken = draws.groupBy("row_id").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken"), F.count("*").alias("n_draws"))
-    return sized.join(taken, "row_id", "left").select(
+    return sized.join(_by_row(draws), "row_id", "left").select(
         "doc_id", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-        F.coalesce("n_draws", F.lit(0)).cast("long").alias("n_draws"),
+        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+        F.coalesce("n_draws", F.lit(0).cast("long")).alias("n_draws"),
+        F.coalesce("shards", F.array().cast("array<long>")).alias("shards"),
     )
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+MIXED = ("shard", "place", "word_from", "word_to", "size", "source_size", "target")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes words of, with ``size, source_size, target, taken, n_draws``.
+    """The mix itself: a row for each draw, its words in ``text``, repeats as rows of their own.
 
-    Columns of ``docs`` by these names give way to the mix's.
+    The columns of ``docs`` (``n_chars`` follows the text) and
+    ``shard, place, word_from, word_to, size, source_size, target``; columns of
+    ``docs`` by these names give way. A shard is its rows in the order of
+    ``place``. Rows may lack an id or share one; null and empty texts are never
+    drawn; an empty table gives an empty table.
     """
-    keyed = _numbered(docs)
-    sized, draws = mix_sources(keyed, row_id="_row", **options)
-    taken = draws.groupBy("row_id").agg(F.sum(F.col("word_to") - F.col("word_from")).cast("long").alias("taken"), F.count("*").alias("n_draws"))
-    figures = sized.join(taken, "row_id").select(F.col("row_id").alias("_row"), "size", "source_size", "target", "taken", "n_draws")
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "n_draws")]
-    return keyed.select("_row", *own).join(figures, "_row").drop("_row")
+    own = [c for c in docs.columns if c not in MIXED]
+    keyed = stored(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*own).alias("_doc")), "numbered")
+    sized, draws = mix_sources(keyed.select("_row", "_doc.doc_id", "_doc.source", "_doc.text"), row_id="_row", **options)
+    # the draws of one document, no more than its blocks and repeats, so its words are told apart once
+    draw = F.struct("shard", "place", "word_from", "word_to")
+    of_row = draws.groupBy(F.col("row_id").alias("_row")).agg(F.collect_list(draw).alias("_draws"))
+    figures = sized.select(F.col("row_id").alias("_row"), "size", "source_size", "target")
+    words = F.regexp_extract_all(text_or_empty("_doc.text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    out = keyed.join(of_row.join(figures, "_row"), "_row").withColumn("_words", words)
+    cut = lambda d: F.array_join(F.slice("_words", (d["word_from"] + 1).cast("int"), (d["word_to"] - d["word_from"]).cast("int")), " ")
+    out = out.withColumn("_cut", F.transform("_draws", lambda d: F.struct(d["shard"], d["place"], d["word_from"], d["word_to"], cut(d).alias("text"))))
+    out = out.select("_doc", "size", "source_size", "target", F.inline("_cut"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col("_doc")[c].alias(c) for c in own], *MIXED)
 
 
 def write_mix(docs: DataFrame, path: str, **options) -> None:
     """Write the drawn words, one folder for each shard, in each shard's own order."""
-    keyed = _numbered(docs)
-    _, draws = mix_sources(keyed, row_id="_row", **options)
-    words = F.regexp_extract_all(text_or_empty("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    out = draws.join(keyed.select(F.col("_row").alias("row_id"), "doc_id", "source", words.alias("words")), "row_id").select(
-        "shard", "place", "doc_id", "source",
-        F.array_join(F.slice("words", (F.col("word_from") + 1).cast("int"), (F.col("word_to") - F.col("word_from")).cast("int")), " ").alias("text"),
-    )
-    out.repartition("shard").sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(path)
+    mixed = mixed_documents(docs, **options)
+    mixed.repartition("shard").sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(path)
 
 
 def op8_mix(spark, sf_dir: str) -> DataFrame:

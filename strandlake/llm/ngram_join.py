@@ -27,9 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import in_company, link_cells, maybe_in, node_filter, without
-from .common import few, stored, table
-from .graph import components
+from .cells import in_company, link_cells
+from .common import few, once, row_key, sendable, stored, table
 from .textstats import Words, mix, parts, slices
 
 WORDS, SHARE = 5, 80
@@ -151,8 +150,8 @@ def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 def _exact(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """``a, b, total, apart`` with the true symmetric difference."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    text = maybe_in(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), "node", node_filter(nodes))
-    text = text.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    nodes = sendable(stored(few(nodes, 2 * n), "nodes"))
+    text = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi").dropDuplicates(["node"])
     text = stored(few(text, 2 * n, 5_000), "texts")
     both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(text.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -209,16 +208,27 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         exact = _exact(close, docs, close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
         return exact.union(bounded.where(~possible).select("a", "b", distance.alias("lo"), F.lit(1.0), F.lit(False)))
 
-    label = components(link_cells(cells, judge, share=SHARE, longs=LONGS), rows=cells.count())
+    label = link_cells(cells, judge, share=SHARE, longs=LONGS)
     of_set = nodes.join(label, "node", "left").select("d1", "d2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"))
     out = sets.select("doc_id", "n", "d1", "d2").join(of_set, (sets.d1 == of_set.d1) & (sets.d2 == of_set.d2) & (F.col("n") == F.col("m")) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component; rows without an id stay."""
-    lost = jaccard_components(docs).where("doc_id <> component_id")
-    return without(docs, lost.select(F.col("doc_id").alias("node")), "doc_id")
+    """Of each group of near copies in ``docs`` the row with the smallest id; rows with an id come before rows without.
+
+    A document is a pair of id and text here, so ids may be null or repeated;
+    of equal rows one stays. Empty and null texts are near copies of nothing.
+    All columns stay, whatever their names.
+    """
+    keyed = once(docs.select(row_key().alias("_key"), F.struct(*docs.columns).alias("_row")), "_key")
+    group = jaccard_components(docs.select(row_key().alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    grouped = stored(group.join(group.groupBy("component_id").agg(F.count("*").alias("_n")).where("_n > 1"), "component_id").select("_key", "component_id"), "groups")
+    ids = docs.select(row_key().alias("_key"), F.col("doc_id").cast("long").alias("_id")).distinct().join(grouped, "_key")
+    ids = stored(ids.select("component_id", "_key", F.struct(F.col("_id").isNull(), "_id", "_key").alias("at")), "ids")
+    first = ids.groupBy("component_id").agg(F.min("at").alias("first"))
+    lost = stored(ids.join(first, "component_id").where(~F.col("at").eqNullSafe(F.col("first"))).select("_key"), "lost")
+    return keyed.join(sendable(lost), "_key", "left_anti").select("_row.*")
 
 
 def op9_jaccard(spark, sf_dir: str) -> DataFrame:

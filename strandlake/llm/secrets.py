@@ -13,6 +13,8 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -100,6 +102,8 @@ def find_secrets(text: str, *, reach: int = 48, around: int = 512, novelty: floa
     spans += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     spans += [(m.start(), m.end(), 2) for m in HEX_LONG.finditer(text)]
     base = sorted(spans)
+    starts = [x for x, _, _ in base]
+    ends = list(accumulate((y for _, y, _ in base), max))  # the furthest end so far
     done: set[int] = set()
     for s in SENSITIVE.finditer(text):
         at = s.end()
@@ -109,7 +113,8 @@ def find_secrets(text: str, *, reach: int = 48, around: int = 512, novelty: floa
             if a in done:
                 continue
             done.add(a)
-            if any(x < b and a < y for x, y, _ in base):
+            before = bisect_left(starts, b)  # base spans that start ahead of its end
+            if before and ends[before - 1] > a:
                 continue
             if is_novel(m[0], surroundings(text, a, b, around), novelty):
                 spans.append((a, b, 3))

@@ -15,12 +15,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored, table
 from .quality import held_out
 from .textstats import LOWER, Words, mix, slices, sums, word_hash
 
-#: Bounds on what is fitted on, and on the lexicon that goes to every task.
+#: Bounds on what is fitted on, and on the lexicon that goes to every task. A token has to stand in half a percent of the toxic
+#: texts of the sample, at least 4; a toxic text of usual length lets a few thousand tokens pass that, so 4,096 hardly ever cut.
 MAX_TRAIN, MAX_LEXICON = 20_000, 4096
 PREFIXES = (4, 5, 6, 7)
 SEEDS = (
@@ -140,64 +142,78 @@ def features(text: pa.Array, lexicon: tuple[np.ndarray, np.ndarray]) -> np.ndarr
     return out
 
 
-def document_features(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def document_features(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray], carry: list[str]) -> DataFrame:
+    """``_row, x``: the columns ``carry`` of each row as a struct, and its features."""
+
     def run(batches):
         for batch in batches:
-            x = features(batch.column("text"), lexicon)
+            x = features(batch.column("_text"), lexicon)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, len(FEATURES), dtype=np.int32)), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), lists], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), lists], names=["_row", "x"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
+    both = docs.select(F.struct(*carry).alias("_row"), F.col("text").alias("_text"))
+    return both.mapInArrow(run, T.StructType([both.schema["_row"], T.StructField("x", T.ArrayType(T.DoubleType()))]))
 
 
-def score_toxicity(
-    docs: DataFrame, labels: DataFrame, *, threshold: float = 0.7, max_train: int = MAX_TRAIN, trees: int = 20, depth: int = 3, seed: int = 7
+def _scored(
+    docs: DataFrame, labels: DataFrame, carry: list[str], *, threshold: float = 0.7, max_train: int = MAX_TRAIN, trees: int = 20, depth: int = 3, seed: int = 7
 ) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, held_out, score, predicted``.
-
-    Learns from ``labels(doc_id, toxic)`` of 0 or 1 whose row isn't held out,
-    from about ``max_train`` of them at most (a share by hash of the id). Equal
-    texts are learned from once. Three quarters fit the trees, the others the
-    isotonic calibration. Null or empty texts score as empty ones; null doc_ids
-    are scored, never learned from; several labels of a document count by
-    their mean; without enough labels of both classes the score is the share
-    of label 1 (0 without any). Other columns are ignored.
-    """
+    """``_row, score, predicted`` for each row of ``docs``."""
     spark = docs.sparkSession
     y = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.round(F.avg("toxic")).cast("long").alias("y"))
     y = y.where(~held_out(3, 1, True))
     share = min(1.0, max_train / max(1, y.count()))
     # about max_train ids, so small enough to be sent to every task
     y = F.broadcast(y.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)))
-    train = docs.select("doc_id", "text").where("text IS NOT NULL").join(y, "doc_id").dropDuplicates(["text"])
-    train = stored(train, "toxic-train")
+    train = docs.select("doc_id", "text").where("text IS NOT NULL").join(y, "doc_id")
+    train = train.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.round(F.avg("y")).cast("long").alias("y"))
+    train = stored(train.withColumn("part", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(4))), "toxic-train")
     n = {r["y"]: r["count"] for r in train.groupBy("y").count().collect()}
-    lexicon = learn_lexicon(train, n.get(1, 0), n.get(0, 0))
-    x = stored(document_features(docs, lexicon), "toxic-features")
-    out = x.select("doc_id", held_out(3, 1, True).alias("held_out"), array_to_vector("x").alias("features"))
-    if min(n.get(1, 0), n.get(0, 0)) < 8:
+    fitted = train.where("part > 0")
+    m = {r["y"]: r["count"] for r in fitted.groupBy("y").count().collect()}
+    # the lexicon is learned where the trees are, so the calibration sees features that don't know its labels
+    lexicon = learn_lexicon(fitted, m.get(1, 0), m.get(0, 0))
+    if min(m.get(1, 0), m.get(0, 0)) < 8:
         constant = n.get(1, 0) / max(1, sum(n.values()))
-        return out.select("doc_id", "held_out", F.lit(float(constant)).alias("score"), F.lit(int(constant >= threshold)).alias("predicted"))
-    known = document_features(train, lexicon).join(F.broadcast(train.select("doc_id", "y")), "doc_id")
-    known = stored(known.select("doc_id", "x", F.col("y").cast("double").alias("label")), "toxic-known").repartition(max(2, spark.sparkContext.defaultParallelism))
-    known = known.withColumn("features", array_to_vector("x")).withColumn("part", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(4)))
-    known = known.cache()
+        return docs.select(F.struct(*carry).alias("_row"), F.lit(float(constant)).alias("score"), F.lit(int(constant >= threshold)).alias("predicted"))
+    known = document_features(train, lexicon, ["part", "y"])
+    known = stored(known.select("_row.part", F.col("_row.y").cast("double").alias("label"), "x"), "toxic-known").repartition(max(2, spark.sparkContext.defaultParallelism))
+    known = known.withColumn("features", array_to_vector("x")).cache()
     boost = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, minInstancesPerNode=4)
     model = boost.fit(known.where("part > 0"))
     margin = lambda df: model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1])
     judged = margin(known.where("part = 0")).select("margin", "label")
     both = judged.select("label").distinct().count() == 2
     curve = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="calibrated").fit(judged) if both else None
-    scored = margin(out)
     known.unpersist()
-    soft = 1 / (1 + F.exp(-2 * F.col("margin")))
+    scored = margin(document_features(docs, lexicon, carry).select("_row", array_to_vector("x").alias("features")))
     if curve:
-        scored = curve.transform(scored.select("doc_id", "held_out", "margin"))
-        # a twentieth of the margin keeps an order within the steps of the curve
-        score = 0.95 * F.col("calibrated") + 0.05 * soft
+        scored = curve.transform(scored.select("_row", "margin")).withColumn("score", F.col("calibrated"))
     else:
-        score = soft
-    return scored.select("doc_id", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+        scored = scored.withColumn("score", 1 / (1 + F.exp(-2 * F.col("margin"))))
+    return scored.select("_row", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id, held_out, score, predicted``.
+
+    Learns from ``labels(doc_id, toxic)`` of 0 or 1 whose row isn't held out,
+    from about ``max_train`` of them at most (a share by hash of the id). Equal
+    texts are learned from once, with the mean of their labels. Three quarters
+    fit the lexicon and the trees, the others the isotonic calibration, whose
+    value is the score. Null or empty texts score as empty ones; null doc_ids
+    are scored, never learned from; several labels of a document count by
+    their mean; without enough labels of both classes the score is the share
+    of label 1 (0 without any). Other columns are ignored; an empty table gives
+    an empty table.
+    """
+    out = _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, ["doc_id"], **options)
+    return out.select("_row.doc_id", "score", "predicted").select("doc_id", held_out(3, 1, True).alias("held_out"), "score", "predicted")
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`score_toxicity` doesn't reject, each judged by its own text, whatever its id."""
+    return _scored(docs, labels, docs.columns, **options).where("predicted = 0").select("_row.*")
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:

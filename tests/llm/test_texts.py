@@ -215,7 +215,7 @@ def test_block_max_search_equals_exhaustive_scores():
             for s in range(a, max(a + 1, b - decontaminate.STRIDE), decontaminate.STRIDE):
                 q = np.unique(h[s : min(s + decontaminate.PASSAGE, b)])
                 known = q[np.isin(q, part.terms)]
-                score = part.impact[np.searchsorted(part.terms, known)].astype(float).sum(0)
+                score = part.dense(np.searchsorted(part.terms, known)).astype(float).sum(0)
                 want |= {(row, int(i), int(s)) for i in np.flatnonzero(score >= part.threshold - 1e-6)}
         assert got == want and want
 
@@ -318,22 +318,120 @@ def test_warc_files(spark, tmp_path):
     assert n == 2 * len(PAGES)
 
 
+def test_permutation_of_blocks_is_one(spark):
+    from pyspark.sql import functions as F
+
+    for n in (1, 2, 3, 5, 12, 16, 97, 1000):
+        places = spark.range(n).select(mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3).cast("long"), 8).alias("b"))
+        got = [r["b"] for r in places.collect()]
+        assert sorted(got) == list(range(n))
+        steps = {b - a for a, b in zip(got, got[1:])}
+        assert n < 90 or len(steps) > n // 10  # no arithmetic progression
+
+
+def test_secrets_of_a_long_log_take_time_in_proportion():
+    import time
+
+    text = "password=hunter2hunter2 token: abcdefgh12345678\n" * 20_000
+    began = time.time()
+    assert len(secrets.find_secrets(text)) == 40_000
+    assert time.time() - began < 20
+
+
+def test_many_items_need_little_index():
+    r = random.Random(31)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
+    items = [(i, " ".join(word() for _ in range(60))) for i in range(3000)]
+    parts = decontaminate.build_index(items, 0.6)
+    held = sum(x.nbytes for p in parts for x in (p.terms, p.start, p.item, p.impact, p.top))
+    assert held < 3000 * 60 * 40 and sum(len(p.ids) for p in parts) == 3000
+
+
+def odd_documents():
+    """Rows with null and repeated ids, equal rows, empty and null texts, and columns with clashing names."""
+    clean = "plain words about rivers and hills that nobody else has written down in just this way"
+    return [
+        (1, f"{clean} one", "a", 7), (1, f"{clean} but this is another text with the same id as the first of them", "a", 7), (None, "no id at all but words of its own to say", "b", 7),
+        (2, None, None, 7), (None, None, None, 7), (3, "", "b", 7), (4, "there twice word for word as it is", "b", 7), (4, "there twice word for word as it is", "b", 7),
+    ]
+
+
+def test_filters_judge_rows_without_id_and_with_repeated_ids(spark):
+    r = random.Random(21)
+    rows = odd_documents() + [(i, prose(r, 40) + " idiot moron stupid", "c", 7) for i in (None, 1)]
+    rows += [(100 + i, prose(r, 40) + (" idiot moron stupid" if i % 3 == 0 else ""), "t", 7) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, score int")
+    lab = spark.createDataFrame([(100 + i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    kept = toxicity.reject_toxic(docs, lab)
+    assert kept.columns == docs.columns
+    # each row as if it had an id of its own
+    alone = [(1000 + k if k < 10 else i, t) for k, (i, t, _, _) in enumerate(rows)]
+    scores = toxicity.score_toxicity(spark.createDataFrame(alone, "doc_id long, text string"), lab)
+    bad = {x["doc_id"] for x in scores.where("predicted = 1").collect()}
+    assert {1008, 1009} <= bad
+    assert sorted(map(str, (tuple(x) for x in kept.collect()))) == sorted(str(x) for x, (i, _) in zip(rows, alone) if i not in bad)
+    items = spark.createDataFrame([(1, "what is the name of the tall tower in the old town? it is called the needle"), (1, "which river runs by the red mill at night? the small one")], "item_id long, text string")
+    bad = [(None, "pad pad " + items.collect()[0]["text"], "c", 7), (1, items.collect()[1]["text"] + " pad", "c", 7)]
+    docs = spark.createDataFrame(odd_documents() + bad, docs.schema)
+    left = [tuple(x) for x in decontaminate.drop_leaks(docs, items).collect()]
+    assert sorted(map(str, left)) == sorted(map(str, odd_documents()))
+    assert decontaminate.drop_leaks(docs.limit(0), items).count() == 0 and decontaminate.drop_leaks(docs, items.limit(0)).count() == len(rows[:8]) + 2
+
+
+def test_mixed_documents_hold_the_drawn_words(spark):
+    rows = odd_documents() + [(10 + i, prose(random.Random(i), 30), "abc"[i % 3], 7) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    mixed = mixing.mixed_documents(docs, block_words=16, shard_words=200).collect()
+    sized, draws = mixing.mix_sources(docs, block_words=16, shard_words=200)
+    assert len(mixed) == draws.count() and {x["shard"] for x in mixed} == {x["shard"] for x in draws.collect()}
+    words = {}
+    for x in mixed:
+        own = x["text"].split(" ")
+        assert len(own) == x["word_to"] - x["word_from"]
+        whole = [plain.WORD.findall(t or "") for i, t, _, _ in rows if i == x["doc_id"]]
+        assert own in [w[x["word_from"] : x["word_to"]] for w in whole]
+        words[x["source"]] = words.get(x["source"], 0) + len(own)
+    target = {x["source"]: x["target"] for x in sized.collect() if x["source_size"]}
+    assert all(abs(words.get(k, 0) - v) <= 1 for k, v in target.items())
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
 def test_pipeline_stages_against_plain_filters(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
+    items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
     columns, seen = docs.columns, docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, seen, sf)
         assert out.columns == columns, name
-        before, after = {r["doc_id"] for r in seen.collect()}, {r["doc_id"] for r in out.collect()}
-        assert after <= before
-        if name == "ngram_jaccard":
-            sets = {r["doc_id"]: plain.shingles(r["text"]) for r in seen.collect()}
+        was, now = {r["doc_id"]: r["text"] for r in seen.collect()}, {r["doc_id"]: r["text"] for r in out.collect()}
+        assert set(now) <= set(was)
+        if name == "toxicity":
+            bad = {r["doc_id"] for r in toxicity.score_toxicity(seen, labels).where("predicted = 1").collect()}
+            assert set(now) == set(was) - bad and all(now[i] == was[i] for i in now)
+        if name == "line_dedup":
+            cut = lambda t: [x.strip(" ") for x in (t or "").split("\n") if x.strip(" ")]
+            once, all_lines = [x for t in now.values() for x in cut(t)], {x for t in was.values() for x in cut(t)}
+            assert len(once) == len(set(once)) and set(once) <= all_lines
+            sets = {x: frozenset(x.encode("utf-16-be")[i : i + 16] for i in range(0, max(1, 2 * len(x) - 15), 2)) for x in all_lines}
             find = plain.components(plain.linked(sets))
-            assert after == {i for i in before if find(i) == i}
+            groups = {find(x) for x in all_lines}
+            assert {find(x) for x in once} == groups and len(once) <= 1.02 * len(groups)
+        if name == "ngram_jaccard":
+            find = plain.components(plain.linked({i: plain.shingles(t) for i, t in was.items()}))
+            assert set(now) == {i for i in was if find(i) == i}
+        if name == "decontaminate":
+            flat = lambda t: " ".join(re.findall(r"[^\W_]+", (t or "").lower()))
+            whole = {i for i, t in was.items() if any(flat(x) in flat(t) for x in items)}
+            assert not whole & set(now) and len(now) >= 0.9 * (len(was) - len(whole))
         seen = spark.createDataFrame(out.toPandas(), out.schema) if out.count() else out
     last = corpus_pipeline.run(spark, sf)
-    assert {"taken", "target", *columns} <= set(last.columns)
+    assert {"shard", "place", "target", *columns} <= set(last.columns)
     rows = last.collect()
-    assert rows and all(0 < r["taken"] <= 3 * r["size"] for r in rows)
+    taken = {}
+    for r in rows:
+        assert len(r["text"].split()) <= r["size"]
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["word_to"] - r["word_from"]
+    assert rows and all(taken[r["doc_id"]] <= 3 * r["size"] for r in rows)
