@@ -95,22 +95,23 @@ def shard_quotas(quotas: list[tuple[int, int]], shards: int, seed: int, spark) -
     return spark.range(shards, numPartitions=max(1, min(shards, 200))).mapInPandas(walk, "shard long, slot long, start long, n long")
 
 
-def _permuted(pos, blocks, slot, seed):
-    """The block at a place of the permutation of a source's blocks.
+def _permuted(places: DataFrame, seed: int) -> DataFrame:
+    """``slot, pos, blocks`` to the ``block`` at that place of the permutation of the source's blocks, other columns kept.
 
     The places fill a table row by row, about as wide as high; each row is
     turned by a hash of its own and the table read column by column, three
     times over. Every step is a bijection, also of a table whose last row is
-    short.
+    short. Steps are columns of their own, or each would repeat those before it.
     """
-    width = F.ceil(F.sqrt(blocks.cast("double"))).cast("long")
-    full, rest = F.floor(blocks / width), blocks % width
+    width, own = F.col("_width"), places.columns
+    x = places.withColumn("_width", F.ceil(F.sqrt(F.col("blocks").cast("double"))).cast("long"))
+    x = x.withColumn("_full", F.floor(F.col("blocks") / width)).withColumn("_rest", F.col("blocks") % width).withColumnRenamed("pos", "_pos")
     for turn in range(3):
-        row = F.floor(pos / width)
-        length = F.when(row < full, width).otherwise(rest)
-        col = F.pmod(pos % width + F.pmod(F.xxhash64(F.lit(seed), F.lit(turn), slot, row), length), length)
-        pos = col * full + F.least(col, rest) + row
-    return pos
+        x = x.withColumn("_row", F.floor(F.col("_pos") / width))
+        x = x.withColumn("_size", F.when(F.col("_row") < F.col("_full"), width).otherwise(F.col("_rest")))
+        x = x.withColumn("_col", F.pmod(F.col("_pos") % width + F.pmod(F.xxhash64(F.lit(seed), F.lit(turn), "slot", "_row"), F.col("_size")), F.col("_size")))
+        x = x.withColumn("_pos", F.col("_col") * F.col("_full") + F.least("_col", "_rest") + F.col("_row"))
+    return x.select(*[c for c in own if c not in ("pos", "blocks")], F.col("_pos").alias("block"))
 
 
 def mix_sources(
@@ -191,9 +192,7 @@ def mix_sources(
         return sized_out, pieces.select("row_id", none.alias("shard"), none.alias("place"), "word_from", "word_to").limit(0)
     runs = shard_quotas(quotas, shards, seed, spark)
     runs = runs.join(plan.select("slot", "blocks"), "slot")
-    drawn = runs.select(
-        "shard", "slot", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")
-    ).select("shard", "slot", _permuted(F.col("pos"), F.col("blocks"), F.col("slot"), seed).alias("block"))
+    drawn = _permuted(runs.select("shard", "slot", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")), seed)
     draws = pieces.join(drawn, ["slot", "block"])
     place = F.xxhash64(F.lit(seed), "shard", "slot", "block", "turn", "row_id", "word_from")
     return sized_out, draws.select("row_id", "shard", place.alias("place"), "word_from", "word_to")

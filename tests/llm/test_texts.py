@@ -322,8 +322,8 @@ def test_permutation_of_blocks_is_one(spark):
     from pyspark.sql import functions as F
 
     for n in (1, 2, 3, 5, 12, 16, 97, 1000):
-        places = spark.range(n).select(mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3).cast("long"), 8).alias("b"))
-        got = [r["b"] for r in places.collect()]
+        places = spark.range(n).select(F.col("id").alias("pos"), F.lit(n).cast("long").alias("blocks"), F.lit(3).cast("long").alias("slot"), "id")
+        got = [r["block"] for r in mixing._permuted(places, 8).orderBy("id").collect()]
         assert sorted(got) == list(range(n))
         steps = {b - a for a, b in zip(got, got[1:])}
         assert n < 90 or len(steps) > n // 10  # no arithmetic progression
