@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +32,35 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     what came before the table.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Remove a table that :func:`stored` wrote and nothing reads any more."""
-    spark = df.sparkSession
     for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(df.sparkSession, folder)
+
+
+#: Folders written while :func:`settled` builds a table, innermost last.
+_scopes: list[list[str]] = []
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` returns, stored; the tables that it stored on the way are removed."""
+    _scopes.append([])
+    try:
+        path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        df = build()
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    finally:
+        for folder in _scopes.pop():
+            _remove(spark, folder)
