@@ -19,6 +19,11 @@ def admissible(seq: Column, *, lumi: int = 10, lbc: int = 8, lsn: int = 4, lln:
     return (F.length(seq) >= lumi + 2 * lbc + 2 * lln + lsn) & (number_of(seq, "N") <= max_n)
 
 
+def known_umi(umi: Column) -> Column:
+    """The umi, null where its first base is unknown: bases were skipped or not read."""
+    return F.when(~umi.startswith("N"), umi)
+
+
 def molecule_type(tail: Column, motifs=MOTIFS, otherwise: str = "unk") -> Column:
     out = F.lit(otherwise)
     for motif, kind in reversed(motifs):
@@ -136,6 +141,20 @@ def assignment_summary(tally: DataFrame) -> DataFrame:
     return by.withColumn("share", F.col("reads") / F.sum("reads").over(Window.partitionBy()))
 
 
+def assignment_by_sample(positions: DataFrame) -> DataFrame:
+    """Reads and cells of each sample by assignment and by whether both wells are on a plate: ``sample, assignment, valid, reads, cells``."""
+    kind = F.when((F.col("sample") == UNKNOWN) | (F.col("cell") == UNKNOWN), "unassigned").otherwise("assigned")
+    valid = (F.col("well1") != -1) & (F.col("well2") != -1)
+    return positions.groupBy("sample", kind.alias("assignment"), valid.alias("valid")).agg(F.sum("reads").alias("reads"), F.count("*").alias("cells"))
+
+
+def plate_map(positions: DataFrame, *, least: int = 2500) -> DataFrame:
+    """For each pair of wells of placed cells: reads, those of the best cell and its share, cells of ``least`` reads or more."""
+    placed = positions.where(F.col("well1").between(1, 998) & F.col("well2").between(1, 998))
+    by = placed.groupBy("well1", "well2").agg(F.sum("reads").alias("reads"), F.max("reads").alias("best_cell"), F.count_if(F.col("reads") >= least).alias("covered"))
+    return by.withColumn("best_share", 100 * (1 + F.col("best_cell")) / (1 + F.col("reads")))
+
+
 def plate_positions(tally: DataFrame, layout: DataFrame) -> DataFrame:
     """Cells with their plate position on both splits and well numbers: 999 without barcode, -1 if not on a plate."""
     out = tally.withColumn("_bc1", F.split_part("cell", F.lit(":"), F.lit(1))).withColumn("_bc2", F.split_part("cell", F.lit(":"), F.lit(2)))
@@ -178,6 +197,13 @@ def depth_threshold(tally: DataFrame, *, per: float = 2500.0, depth: float = 60e
     return tally.agg(F.sum("reads").alias("total")).withColumn("threshold", F.floor(0.5 + F.col("total") * per / depth).cast("long"))
 
 
+def closest_threshold(curve: DataFrame, threshold: DataFrame) -> DataFrame:
+    """The point of each sample's curve that is nearest to the threshold, the lower of two; ``threshold`` has one row."""
+    near = F.struct(F.abs(F.col("threshold") - F.col("_t")), F.col("threshold"))
+    x = curve.crossJoin(F.broadcast(threshold.select(F.col("threshold").alias("_t"))))
+    return x.groupBy("sample").agg(F.min_by("threshold", near).alias("threshold"), F.min_by("cells", near).alias("cells"))
+
+
 def covered_by_threshold(tally: DataFrame, threshold: DataFrame, *, least: int = 10) -> DataFrame:
     """Well covered and under-covered cells by sample; ``threshold`` has one row."""
     cells = tally.where(F.col("cell") != UNKNOWN).crossJoin(F.broadcast(threshold))

@@ -107,26 +107,28 @@ def start_windows(features: DataFrame, reach: int = 1000) -> DataFrame:
     return features.withColumn("tss", tss).withColumn("f_start", F.col("tss") - reach).withColumn("f_end", F.col("tss") + reach - 1)
 
 
-def start_enrichment(reads: DataFrame, features: DataFrame, molecule: list[str], *, reach: int = 1000, bin: int = 100, start: str = "pos", end: str = "end_pos") -> DataFrame:
-    """Enrichment of each feature's start: ``name, score``.
+def start_enrichment(reads: DataFrame, features: DataFrame, molecule: list[str], *, group: list[str] | None = None, reach: int = 1000, bin: int = 100, start: str = "pos", end: str = "end_pos") -> DataFrame:
+    """Enrichment of each feature's start: ``name, score``, for each value of the columns ``group`` if there are any.
 
     Depth over the window's 2 * reach positions from molecules counted once;
     sums over sliding bins; score = highest bin over the mean of the first and
     the last, or where that is 0 over the smallest positive one, else 1.
     """
+    group = group or []
+    key = [*group, "_name"]
     windows = start_windows(features, reach).select("contig", "f_start", "f_end", F.col("name").alias("_name"))
-    once = reads.groupBy(*molecule).agg(F.max(end).alias(end))
+    once = reads.groupBy(*dict.fromkeys([*group, *molecule])).agg(F.max(end).alias(end))
     pairs = overlap_join(once, windows, start=start, end=end)
     lo = F.greatest(F.col(start) - F.col("f_start"), F.lit(0))
     hi = F.least(F.col(end) - F.col("f_start"), F.lit(2 * reach))
-    spans = pairs.select("_name", lo.alias("lo"), hi.alias("hi")).where("lo < hi")
+    spans = pairs.select(*key, lo.alias("lo"), hi.alias("hi")).where("lo < hi")
     # a bin that begins at i covers the span's overlap with [i, i + bin)
-    hit = spans.groupBy("_name", "lo", "hi").agg(F.count("*").alias("n"))
+    hit = spans.groupBy(*key, "lo", "hi").agg(F.count("*").alias("n"))
     first, last = F.greatest(F.col("lo") - bin + 1, F.lit(0)), F.least(F.col("hi") - 1, F.lit(2 * reach - bin - 1))
-    bins = hit.where(first <= last).select("_name", "lo", "hi", "n", F.explode(F.sequence(first, last)).alias("i"))
+    bins = hit.where(first <= last).select(*key, "lo", "hi", "n", F.explode(F.sequence(first, last)).alias("i"))
     part = F.least("hi", F.col("i") + bin) - F.greatest("lo", "i")
-    bins = bins.groupBy("_name", "i").agg(F.sum(F.col("n") * part).alias("v"))
+    bins = bins.groupBy(*key, "i").agg(F.sum(F.col("n") * part).alias("v"))
     edge = F.coalesce(F.sum(F.when(F.col("i").isin(0, 2 * reach - bin - 1), F.col("v"))), F.lit(0)) / 2
-    out = bins.groupBy("_name").agg(F.max("v").alias("top"), edge.alias("edge"), F.min(F.when(F.col("v") > 0, F.col("v"))).alias("least"))
-    return out.select(F.col("_name").alias("name"), (F.col("top") / F.when(F.col("edge") > 0, F.col("edge")).otherwise(F.coalesce("least", F.lit(1)))).alias("score"))
+    out = bins.groupBy(*key).agg(F.max("v").alias("top"), edge.alias("edge"), F.min(F.when(F.col("v") > 0, F.col("v"))).alias("least"))
+    return out.select(*group, F.col("_name").alias("name"), (F.col("top") / F.when(F.col("edge") > 0, F.col("edge")).otherwise(F.coalesce("least", F.lit(1)))).alias("score"))
 

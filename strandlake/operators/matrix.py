@@ -74,6 +74,23 @@ def normalise_jaccard(pairs: DataFrame, *, how: str = "ratio", clip: float = 5.0
     return x.crossJoin(F.broadcast(z)).withColumn("v", F.least(F.greatest(v, F.lit(-clip)), F.lit(clip))).drop("_r", "_m", "_s")
 
 
+def blockwise_residuals(pairs: DataFrame, block: list[str]) -> DataFrame:
+    """``residual`` of the Jaccard over what coverage predicts, by a fit of each block of cells, such as a pair of libraries.
+
+    The fits come from one aggregation, a row for each block.
+    """
+    x = pairs.join(quadratic_fit(pairs, "expected", "jaccard", block), block)
+    fitted = F.col("c0") + F.col("c1") * F.col("expected") + F.col("c2") * F.col("expected") * F.col("expected")
+    return x.withColumn("residual", F.col("jaccard") - fitted).drop("c0", "c1", "c2")
+
+
+def jaccard_quantiles(pairs: DataFrame, block: list[str]) -> DataFrame:
+    """Quartiles of the Jaccard for each block of cells, such as a pair of assays."""
+    q = F.percentile("jaccard", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
+    by = pairs.groupBy(*block).agg(F.count("*").alias("pairs"), q)
+    return by.select(*block, "pairs", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))])
+
+
 def degree_scaled(pairs: DataFrame, v: str = "v") -> DataFrame:
     """``v / sqrt(di * dj)`` with each cell's degree the sum of its entries."""
     both = pairs.select(F.col("i").alias("c"), v).union(pairs.select("j", v))
@@ -223,34 +240,55 @@ def radius_and_angle(cells: DataFrame, rna: str = "rna_reads", dna: str = "dna_r
     return cells.withColumn("r", F.sqrt(a * a + b * b)).withColumn("theta", F.atan2(b, a))
 
 
-def select_cells(cells: DataFrame, group: list[str], *, rna: str = "rna_umis", dna: str = "dna_umis", least: int = 500, points: int = 512, bins: int = 2048) -> DataFrame:
-    """Keep flags by the density of log counts: cut at the trough between the lower and the upper mode.
+def select_cells(
+    cells: DataFrame, group: list[str], *, rna: str = "rna_umis", dna: str = "dna_umis", least: int = 350, points: int = 512, bins: int = 2048,
+    window: tuple[float, float] = (0.75, 1.25),
+) -> DataFrame:
+    """Keep flags by the density of log counts: ``r, theta, cut, cut2, keep``.
+
+    Only cells whose angle is within ``window`` of the diagonal count and can be
+    kept. With t the P99.95 of all radii, the lower mode is the mean of the
+    modes between t / 7 and 4 t / 7, the upper one that of those from there to
+    t. The cut is the last trough between both, ``cut2`` the last one above the
+    upper mode, if any; a cell between the cuts is kept. A group that lacks a
+    mode or the trough keeps the cells with ``least`` umis in both assays.
 
     Each group's radii are counted in ``bins`` bins first, so the density sees
-    a bounded histogram, whatever the number of cells. A group without two
-    modes falls back to the umi thresholds.
+    a bounded histogram, whatever the number of cells.
     """
     polar = radius_and_angle(cells)
+    angle = F.col("theta") / F.lit(math.pi / 4)
+    polar = polar.withColumn("_in", angle.between(*window))
     top = F.lit(12.0)
-    hist = polar.groupBy(*group, F.floor(F.col("r") / top * bins).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    at_bin = F.floor(F.col("r") / top * bins).cast("int").alias("bin")
+    hist = polar.groupBy(*group, at_bin).agg(F.count("*").alias("n"), F.count_if("_in").alias("n_in"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.select(*group).schema)
 
     def cut(key, rows: pd.DataFrame) -> pd.DataFrame:
-        x, n = (rows["bin"].to_numpy(float) + 0.5) * 12.0 / bins, rows["n"].to_numpy(float)
+        rows = rows.sort_values("bin")
+        x, n, every = (rows["bin"].to_numpy(float) + 0.5) * 12.0 / bins, rows["n_in"].to_numpy(float), rows["n"].to_numpy(float)
+        nothing = pd.DataFrame([[*key, None, None]])
+        if n.sum() < 2:
+            return nothing
+        t = x[np.searchsorted(np.cumsum(every), 0.9995 * every.sum())]
         mean = (x * n).sum() / n.sum()
         sd = math.sqrt(max(((x - mean) ** 2 * n).sum() / n.sum(), 1e-12))
         at = np.linspace(x.min(), x.max(), points)
         f = (np.exp(-0.5 * np.square((at[:, None] - x[None]) / (0.225 * sd + 1e-9))) * n).sum(1)
-        modes = [i for i in range(1, points - 1) if f[i - 1] < f[i] >= f[i + 1]]
-        where = None
-        if len(modes) >= 2:
-            lo, hi = modes[0], modes[-1]
-            where = float(at[lo + int(f[lo : hi + 1].argmin())])
-        return pd.DataFrame([[*key, where]])
-
-    cuts = hist.groupBy(*group).applyInPandas(cut, f"{kinds}, cut double")
-    enough = (F.col(rna) >= least) | (F.col(dna) >= least)
-    return polar.join(cuts, group, "left").withColumn("keep", F.when(F.col("cut").isNotNull(), F.col("r") >= F.col("cut")).otherwise(enough))
+        modes = at[1:-1][(f[:-2] < f[1:-1]) & (f[1:-1] >= f[2:])]
+        troughs = at[1:-1][(f[:-2] > f[1:-1]) & (f[1:-1] <= f[2:])]
+        low, high = modes[(modes > t / 7) & (modes < 4 * t / 7)], modes[(modes > 4 * t / 7) & (modes < t)]
+        if not len(low) or not len(high):
+            return nothing
+        between, above = troughs[(troughs > low.mean()) & (troughs < high.mean())], troughs[troughs > high.mean()]
+        if not len(between):
+            return nothing
+        return pd.DataFrame([[*key, float(between[-1]), float(above[-1]) if len(above) else None]])
+
+    cuts = hist.groupBy(*group).applyInPandas(cut, f"{kinds}, cut double, cut2 double")
+    enough = (F.col(rna) >= least) & (F.col(dna) >= least)
+    inside = F.col("_in") & (F.col("r") > F.col("cut")) & (F.col("r") < F.coalesce("cut2", F.lit(float("inf"))))
+    return polar.join(cuts, group, "left").withColumn("keep", F.when(F.col("cut").isNotNull(), inside).otherwise(enough)).drop("_in")
 
 
 def enriched_bins(reads: DataFrame, *, width: int = 200, around: int = 10, q: float = 0.1, control: DataFrame | None = None, group: str = "antibody") -> DataFrame:

@@ -103,22 +103,49 @@ def widen(long: DataFrame, group: list[str], names: list[str], value: str = "cou
     return wide.fillna(0)
 
 
-def sample_qc(cells: DataFrame, group: list[str], measures: dict[str, Column], *, covered: Column) -> DataFrame:
-    """Distribution of each measure over the cells of a sample.
-
-    Quantiles are the element ``int(q * n)`` of the sorted values, found by
-    rank, so no list of a sample's cells is ever built.
+#: The fifteen measures of a cell over the columns of a widened :func:`cell_qc` table, as SQL.
+_GOOD = {k: f"(retained_in_peak_{k} + retained_off_target_{k})" for k in ("reads", "umi")}
+_POOR = {k: f"(filtered_in_peak_{k} + filtered_off_target_{k})" for k in ("reads", "umi")}
+MEASURES = {
+    "total_reads": f"{_GOOD['reads']} + {_POOR['reads']} + all_unmapped_reads", "total_umi": f"{_GOOD['umi']} + {_POOR['umi']}",
+    "HQ_reads": _GOOD["reads"], "HQ_umi": _GOOD["umi"], "reads_in_peak": "retained_in_peak_reads", "umi_in_peak": "retained_in_peak_umi",
+    "estimated_unmapped_umi": f"CASE WHEN {_GOOD['reads']} > 0 THEN {_GOOD['umi']} * 1.0 / {_GOOD['reads']} * all_unmapped_reads ELSE -1.0 END",
+    **{f"{k}_in_{t}": f"retained_in_{t}_{k}" for t in ("enhancer", "promoter", "genebody") for k in ("reads", "umi")},
+    **{f"{k}_in_CRE": f"retained_in_enhancer_{k} + retained_in_promoter_{k}" for k in ("reads", "umi")},
+}
+#: The eleven ratios of measures; a ratio over 0 is 0.
+RATIOS = {
+    "read_peak_rate": ("reads_in_peak", "HQ_reads"), "umi_peak_rate": ("umi_in_peak", "HQ_umi"),
+    "read_enhancer_rate": ("reads_in_enhancer", "HQ_reads"), "umi_enhancer_rate": ("umi_in_enhancer", "HQ_umi"),
+    "read_promoter_rate": ("reads_in_promoter", "HQ_reads"), "umi_promoter_rate": ("umi_in_promoter", "HQ_umi"),
+    "read_CRE_rate": ("reads_in_CRE", "HQ_reads"), "umi_CRE_rate": ("umi_in_CRE", "HQ_umi"),
+    "read_genic_rate": ("reads_in_genebody", "HQ_reads"), "umi_genic_rate": ("umi_in_genebody", "HQ_umi"),
+    "enhancer_promoter_ratio": ("umi_in_enhancer", "umi_in_promoter"),
+}
+
+
+def sample_qc(cells: DataFrame, group: list[str], *, least: int = 750) -> DataFrame:
+    """Distribution of the 15 measures and 11 ratios over the cells of a sample: a row for each group and measure.
+
+    ``cells`` is a widened :func:`cell_qc` table. ``total`` and ``n_cell`` are
+    over all cells (a ratio's total is the ratio of totals); all else is over
+    the well covered ones, of ``least`` molecules or more. Quantiles are the
+    element ``int(q * n)`` of the sorted values, found by rank, so no list of a
+    sample's cells is ever built. ``std2`` is the variance.
     """
-    x = cells.select(*group, covered.alias("_covered"), *[c.cast("double").alias(n) for n, c in measures.items()])
-    x = x.unpivot([*group, "_covered"], list(measures), "measure", "value").where("value IS NOT NULL")
-    by = Window.partitionBy(*group, "measure")
+    x = cells.select(*group, *[F.expr(e).cast("double").alias(n) for n, e in MEASURES.items()])
+    row = lambda name, value, a, b: F.struct(F.lit(name).alias("measure"), value.alias("value"), a.alias("_a"), b.cast("double").alias("_b"))
+    rows = [row(n, F.col(n), F.col(n), F.lit(None)) for n in MEASURES] + [row(n, safe_div(F.col(a), F.col(b)), F.col(a), F.col(b)) for n, (a, b) in RATIOS.items()]
+    x = x.select(*group, (F.col("total_umi") >= least).alias("_covered"), F.inline(F.array(*rows)))
+    by = Window.partitionBy(*group, "measure", "_covered")
     x = x.withColumn("_i", F.row_number().over(by.orderBy("value")) - 1).withColumn("_n", F.count("*").over(by))
-    at = lambda q: F.max(F.when(F.col("_i") == F.floor(F.lit(q) * F.col("_n")), F.col("value")))
+    v = F.when(F.col("_covered"), F.col("value"))
+    at = lambda q: F.max(F.when(F.col("_i") == F.floor(F.lit(q) * F.col("_n")), v))
+    total = F.when(F.count("_b") == 0, F.sum("_a")).otherwise(safe_div(F.sum("_a"), F.sum("_b")))
     return x.groupBy(*group, "measure").agg(
-        F.sum("value").alias("total"), F.count("*").alias("n_cell"), F.count_if("_covered").alias("n_well_covered"),
-        F.coalesce(F.sum(F.when(F.col("_covered"), F.col("value"))), F.lit(0.0)).alias("well_covered_total"),
-        F.min("value").alias("min"), at(0.25).alias("q25"), at(0.5).alias("median"), at(0.75).alias("q75"), F.max("value").alias("max"),
-        F.avg("value").alias("mean"), F.var_pop("value").alias("std2"), F.stddev_pop("value").alias("std"),
+        total.alias("total"), F.count("*").alias("n_cell"), F.count_if("_covered").alias("n_well_covered"), F.coalesce(F.sum(v), F.lit(0.0)).alias("well_covered_total"),
+        F.min(v).alias("min"), at(0.25).alias("q25"), at(0.5).alias("median"), at(0.75).alias("q75"), F.max(v).alias("max"),
+        F.avg(v).alias("mean"), F.var_pop(v).alias("std2"), F.stddev_pop(v).alias("std"),
     )
 
 

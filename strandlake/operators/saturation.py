@@ -99,6 +99,20 @@ def library_size(curve: DataFrame, group: list[str], *, least: float = 0.05, rea
     return at.join(curve.select(*group, "step", reads, umi), [*group, "step"])
 
 
+def library_efficiency(curve: DataFrame, group: list[str]) -> DataFrame:
+    """Efficiencies of each group in per cent at all its reads, and the highest umi for a read along the curve.
+
+    Barcode efficiency: decoded of all reads; molecular: umis of the decoded;
+    efficiency: umis of the aligned. A share of no reads is 0.
+    """
+    top = curve.where("reads > 0").groupBy(*group).agg(F.max(F.col("umi") / F.col("reads")).alias("efficiency_factor"), F.max("step").alias("step"))
+    share = lambda a, b: F.when(F.col(b) > 0, 100.0 * F.col(a) / F.col(b)).otherwise(0.0)
+    return curve.join(top, [*group, "step"]).select(
+        *group, F.col("reads").alias("sequenced_reads"), "decoded_reads", "aligned_reads", "umi", share("decoded_reads", "reads").alias("barcode_efficiency"),
+        share("umi", "decoded_reads").alias("molecular_efficiency"), share("umi", "aligned_reads").alias("efficiency"), "efficiency_factor",
+    )
+
+
 def extrapolate(fit: DataFrame, group: list[str], *, points: int = 60, low: float = 1e5, high: float = 3.5e9) -> DataFrame:
     """The fitted curve from ``low`` to ``high`` reads, evenly in ln(reads)."""
     i = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))

@@ -2,7 +2,9 @@
 
 The same SQL text runs in Spark and in the oracle; ``{t}`` stands for a base
 table or another view. No row is dropped: every view but the whitelists, whose
-size is their definition, covers its whole table.
+size is their definition, covers its whole table. Each 10,000 bases of a contig
+hold the reads of 10,000 orders and the features of 200 parts, so the genome
+grows with the tables and a read overlaps about as many features at any size.
 """
 
 from __future__ import annotations
@@ -43,8 +45,8 @@ SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR(20)), CAST(l_linenumber AS VARC
        {dna('l_linenumber * 5 + l_partkey % 3', 4)} AS umi,
        CASE WHEN l_returnflag = 'R' THEN 'rna' WHEN l_returnflag = 'A' THEN 'dna' ELSE 'unk' END AS seqtype,
        concat('chr', CAST(l_suppkey % 3 + 1 AS VARCHAR(10))) AS contig,
-       (l_partkey % 50) * 200 AS pos,
-       (l_partkey % 50) * 200 + 50 + CAST(l_quantity AS BIGINT) AS end_pos,
+       10000 * CAST(floor(l_orderkey / 10000) AS BIGINT) + (l_partkey % 50) * 200 AS pos,
+       10000 * CAST(floor(l_orderkey / 10000) AS BIGINT) + (l_partkey % 50) * 200 + 50 + CAST(l_quantity AS BIGINT) AS end_pos,
        CAST((l_orderkey * 7 + l_linenumber * 13) % 61 AS INT) AS mapq,
        CAST((l_orderkey * 11 + l_linenumber * 17) % 61 AS INT) AS spike_mapq,
        l_linestatus = 'O' OR l_partkey % 5 <> 0 AS is_mapped
@@ -52,10 +54,11 @@ FROM {{lineitem}}""",
     "fx_features": """
 SELECT concat('G', CAST(p_partkey AS VARCHAR(10))) AS name,
        concat('chr', CAST(p_partkey % 3 + 1 AS VARCHAR(10))) AS contig,
-       (p_partkey * 53) % 10000 AS f_start, (p_partkey * 53) % 10000 + p_size * 4 AS f_end,
+       10000 * CAST(floor(p_partkey / 200) AS BIGINT) + (p_partkey * 53) % 10000 AS f_start,
+       10000 * CAST(floor(p_partkey / 200) AS BIGINT) + (p_partkey * 53) % 10000 + p_size * 4 AS f_end,
        CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
        CASE CAST(floor(p_partkey / 3) AS BIGINT) % 3 WHEN 0 THEN 'EE' WHEN 1 THEN 'EP' ELSE 'GN' END AS tag
-FROM {part} WHERE p_partkey <= 200""",
+FROM {part}""",
     "fx_r2": f"""
 SELECT r.read_id, r.library,
        concat(r.umi, 'ACGTAC',

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions.shared import shared_dir
+from ..functions.shared import stored as written
 from ..operators import barcodes as B
 from ..operators import counting, fragments, intervals, matrix, qc, reads, saturation
 from ..sources import readers, writers
@@ -18,15 +19,7 @@ R6 = lambda df, *cs: df.withColumns({c: F.round(c, 6) for c in cs})  # noqa: E73
 
 def scratch(spark, name: str) -> str:
     """A new folder that the driver and all executors see."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """A table that several steps use, written once to the shared folder."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # -- alignment quality ----------------------------------------------------
@@ -127,11 +120,10 @@ CELLQC_SQL = """places AS (SELECT sample, cell, contig, pos, umi, CASE WHEN mapq
 cellqc AS (SELECT sample, cell, "filter", target, 'reads' AS type, count(*) AS count FROM places WHERE hit GROUP BY ALL
  UNION ALL SELECT sample, cell, "filter", target, 'umi', count(*) FROM (SELECT DISTINCT sample, cell, "filter", target, contig, pos, umi FROM places WHERE hit) GROUP BY ALL
  UNION ALL SELECT sample, cell, 'all', 'unmapped', 'reads', count(*) FROM flagged WHERE NOT is_mapped GROUP BY ALL)"""
-WIDE_SQL = """wide AS (SELECT sample, cell, CAST(coalesce(sum(count) FILTER ("filter" = 'retained' AND target = 'in_peak' AND type = 'umi'), 0) AS BIGINT) AS retained_in_peak_umi,
- CAST(coalesce(sum(count) FILTER ("filter" = 'retained' AND target = 'off_target' AND type = 'umi'), 0) AS BIGINT) AS retained_off_target_umi,
- CAST(coalesce(sum(count) FILTER ("filter" = 'retained' AND target = 'in_peak' AND type = 'reads'), 0) AS BIGINT) AS retained_in_peak_reads,
- CAST(coalesce(sum(count) FILTER ("filter" = 'all' AND target = 'unmapped' AND type = 'reads'), 0) AS BIGINT) AS all_unmapped_reads FROM cellqc GROUP BY 1, 2)"""
-WIDE = ["retained_in_peak_umi", "retained_off_target_umi", "retained_in_peak_reads", "all_unmapped_reads"]
+WIDE = [f"{f}_{t}_{k}" for f in ("retained", "filtered") for t in qc.PLACES for k in ("reads", "umi")] + ["all_unmapped_reads"]
+WIDE_SQL = "wide AS (SELECT sample, cell, {} FROM cellqc GROUP BY 1, 2)".format(
+    ", ".join(f"CAST(coalesce(sum(count) FILTER (concat_ws('_', \"filter\", target, type) = '{w}'), 0) AS BIGINT) AS {w}" for w in WIDE)
+)
 
 
 def cell_qc_table(v: Views) -> DataFrame:
@@ -158,16 +150,24 @@ def cell_qc_wide(spark, sf):
     return qc.widen(cell_qc_table(Views(spark, sf)), ["sample", "cell"], ["filter", "target", "type"], values=WIDE)
 
 
-@query("sample_qc", """SELECT sample, measure, round(sum(value), 6) AS total, count(*) AS n_cell, count(*) FILTER (covered) AS n_well_covered, round(coalesce(sum(value) FILTER (covered), 0), 6) AS well_covered_total, min(value) AS min,
- round(max(value) FILTER (i = floor(0.25 * n)), 6) AS q25, round(max(value) FILTER (i = floor(0.5 * n)), 6) AS median, round(max(value) FILTER (i = floor(0.75 * n)), 6) AS q75, max(value) AS max, round(avg(value), 6) AS mean, round(var_pop(value), 6) AS std2, round(stddev_pop(value), 6) AS std
-FROM (SELECT *, row_number() OVER (PARTITION BY sample, measure ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY sample, measure) AS n FROM (
- SELECT sample, retained_in_peak_umi >= 50 AS covered, unnest(['in_peak', 'hq', 'on_target']) AS measure,
- unnest([CAST(retained_in_peak_umi AS DOUBLE), CAST(retained_in_peak_umi + retained_off_target_umi AS DOUBLE), round(retained_in_peak_umi * 1.0 / (retained_in_peak_umi + retained_off_target_umi), 6)]) AS value FROM wide)) GROUP BY 1, 2""", FLAGS_SQL, CELLQC_SQL, WIDE_SQL)
+MEASURES_SQL = "measures AS (SELECT sample, {} FROM wide)".format(", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in qc.MEASURES.items()))
+VALUES_SQL = "vals AS (SELECT sample, total_umi >= 300 AS covered, unnest([{}]) AS measure, unnest([{}]) AS value, unnest([{}]) AS a, unnest([{}]) AS b FROM measures)".format(
+    ", ".join(f"'{n}'" for n in (*qc.MEASURES, *qc.RATIOS)),
+    ", ".join((*qc.MEASURES, *(f"CASE WHEN {b} = 0 THEN 0.0 ELSE {a} / {b} END" for a, b in qc.RATIOS.values()))),
+    ", ".join((*qc.MEASURES, *(a for a, _ in qc.RATIOS.values()))),
+    ", ".join((*("CAST(NULL AS DOUBLE)" for _ in qc.MEASURES), *(b for _, b in qc.RATIOS.values()))),
+)
+
+
+@query("sample_qc", """SELECT sample, measure, round(CASE WHEN count(b) = 0 THEN sum(a) WHEN sum(b) = 0 THEN 0.0 ELSE sum(a) / sum(b) END, 5) AS total, count(*) AS n_cell, count(*) FILTER (covered) AS n_well_covered,
+ round(coalesce(sum(value) FILTER (covered), 0), 5) AS well_covered_total, round(min(value) FILTER (covered), 5) AS min, round(max(value) FILTER (covered AND i = floor(0.25 * n)), 5) AS q25, round(max(value) FILTER (covered AND i = floor(0.5 * n)), 5) AS median,
+ round(max(value) FILTER (covered AND i = floor(0.75 * n)), 5) AS q75, round(max(value) FILTER (covered), 5) AS max, round(avg(value) FILTER (covered), 5) AS mean, round(var_pop(value) FILTER (covered), 4) AS std2, round(stddev_pop(value) FILTER (covered), 4) AS std
+FROM (SELECT *, row_number() OVER (PARTITION BY sample, measure, covered ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY sample, measure, covered) AS n FROM vals) GROUP BY 1, 2""", FLAGS_SQL, CELLQC_SQL, WIDE_SQL, MEASURES_SQL, VALUES_SQL)
 def sample_qc(spark, sf):
     w = qc.widen(cell_qc_table(Views(spark, sf)), ["sample", "cell"], ["filter", "target", "type"], values=WIDE)
-    a, b = F.col(WIDE[0]), F.col(WIDE[1])
-    out = qc.sample_qc(w, ["sample"], {"in_peak": a, "hq": a + b, "on_target": F.round(a / (a + b), 6)}, covered=a >= 50)
-    return R6(out, "total", "well_covered_total", "q25", "median", "q75", "mean", "std2", "std")
+    out = qc.sample_qc(w, ["sample"], least=300)
+    out = out.withColumns({c: F.round(c, 5) for c in ("total", "well_covered_total", "min", "q25", "median", "q75", "max", "mean")})
+    return out.withColumns({c: F.round(c, 4) for c in ("std2", "std")})
 
 
 CELLREADS_SQL = f"cell_reads AS (SELECT sample, library, {CELL_SQL} AS cell, count(*) AS reads, count(DISTINCT concat_ws(':', contig, CAST(pos AS VARCHAR), umi)) AS umis FROM fx_reads WHERE is_mapped GROUP BY ALL)"
@@ -321,16 +321,18 @@ def coverage_runs(spark, sf):
     return intervals.coverage_runs(Views(spark, sf).reads.where("is_mapped"), block=2_000)
 
 
-@query("tss_enrichment", """WITH_TSS SELECT name, round(max(v) / CASE WHEN sum(CASE WHEN i IN (0, 1899) THEN v ELSE 0 END) > 0 THEN sum(CASE WHEN i IN (0, 1899) THEN v ELSE 0 END) / 2.0 ELSE min(CASE WHEN v > 0 THEN v END) END, 6) AS score FROM (
- SELECT name, i, sum(greatest(least(hi, i + 100) - greatest(lo, i), 0)) AS v FROM spans, range(1900) t(i) GROUP BY 1, 2) GROUP BY 1 HAVING max(v) > 0""".replace("WITH_TSS ", ""),
- """spans AS (SELECT f.name, greatest(m.pos - f.w0, 0) AS lo, least(m.end_pos - f.w0, 2000) AS hi FROM (SELECT library, sample, bc1, bc2, contig, pos, umi, max(end_pos) AS end_pos FROM fx_reads WHERE is_mapped AND seqtype = 'dna' GROUP BY ALL) m
+@query("tss_enrichment", """SELECT antibody, name, round(max(v) / CASE WHEN sum(CASE WHEN i IN (0, 1899) THEN v ELSE 0 END) > 0 THEN sum(CASE WHEN i IN (0, 1899) THEN v ELSE 0 END) / 2.0 ELSE min(CASE WHEN v > 0 THEN v END) END, 6) AS score FROM (
+ SELECT antibody, name, i, sum(greatest(least(hi, i + 100) - greatest(lo, i), 0)) AS v FROM spans, range(1900) t(i) GROUP BY 1, 2, 3) GROUP BY 1, 2 HAVING max(v) > 0""",
+ """spans AS (SELECT m.antibody, f.name, greatest(m.pos - f.w0, 0) AS lo, least(m.end_pos - f.w0, 2000) AS hi FROM (SELECT s.antibody, library, sample, bc1, bc2, contig, pos, umi, max(end_pos) AS end_pos FROM fx_reads r JOIN fx_samples s ON r.sample = s.name
+  WHERE is_mapped AND seqtype = 'dna' GROUP BY ALL) m
  JOIN (SELECT name, contig, CASE WHEN strand = '-' THEN f_end ELSE f_start END - 1000 AS w0 FROM fx_features WHERE tag = 'GN') f ON m.contig = f.contig AND m.end_pos >= f.w0 AND m.pos <= f.w0 + 1999
  WHERE greatest(m.pos - f.w0, 0) < least(m.end_pos - f.w0, 2000))""")
 def tss_enrichment(spark, sf):
     v = Views(spark, sf)
-    dna = v.reads.where("is_mapped AND seqtype = 'dna'")
+    dna = v.reads.where("is_mapped AND seqtype = 'dna'").join(v.samples.select(F.col("name").alias("sample"), "antibody"), "sample")
     genes = v.features.where("tag = 'GN'")
-    return R6(intervals.start_enrichment(dna, genes, ["library", "sample", "bc1", "bc2", "contig", "pos", "umi"]), "score")
+    molecule = ["library", "sample", "bc1", "bc2", "contig", "pos", "umi"]
+    return R6(intervals.start_enrichment(dna, genes, molecule, group=["antibody"]), "score")
 
 
 @query("reads_by_peak_set", """SELECT s.antibody, p.name, count(*) AS reads FROM fx_reads r JOIN fx_samples s ON r.sample = s.name JOIN (SELECT name, contig, f_start, f_end, CASE WHEN tag = 'EE' THEN 'H3K27ac' ELSE 'H3K27me3' END AS antibody FROM fx_features) p
@@ -398,6 +400,12 @@ def library_size(spark, sf):
     return saturation.library_size(curve(Views(spark, sf)), ["library"], least=0.6)
 
 
+@query("library_efficiency", """SELECT library, reads AS sequenced_reads, decoded_reads, aligned_reads, umi, round(100.0 * decoded_reads / reads, 6) AS barcode_efficiency, round(100.0 * umi / decoded_reads, 6) AS molecular_efficiency,
+ round(100.0 * umi / aligned_reads, 6) AS efficiency, round(top, 6) AS efficiency_factor FROM curve JOIN (SELECT library, max(umi * 1.0 / reads) AS top FROM curve WHERE reads > 0 GROUP BY 1) USING (library) WHERE step = 76""", STEPPED_SQL, CURVE_SQL)
+def library_efficiency(spark, sf):
+    return R6(saturation.library_efficiency(curve(Views(spark, sf)), ["library"]), "barcode_efficiency", "molecular_efficiency", "efficiency", "efficiency_factor")
+
+
 @query("saturation_fit")
 def saturation_fit(spark, sf):
     return saturation.fit_saturation(curve(Views(spark, sf)), ["library"])
@@ -434,6 +442,37 @@ def jaccard_normalised(spark, sf):
     return x.select("i", "j", F.round("v", 3).alias("v"), F.round(1000 * F.col("scaled"), 3).alias("scaled"))
 
 
+@query("jaccard_residual", """SELECT i, j, round(least(greatest((r - (SELECT avg(r) FROM res)) / (SELECT stddev_pop(r) FROM res), -5), 5), 3) AS v FROM res""", SINGLE, JACCARD_SQL, FIT_SQL,
+ "res AS (SELECT i, j, jaccard - (c0 + c1 * expected + c2 * expected * expected) AS r FROM pairs, fit)")
+def jaccard_residual(spark, sf):
+    x = matrix.normalise_jaccard(written(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "pairs"), how="residual")
+    return x.select("i", "j", F.round("v", 3).alias("v"))
+
+
+LIBRARY_FIT_SQL = """lp AS (SELECT *, least(split_part(i, ':', 1), split_part(j, ':', 1)) AS a, greatest(split_part(i, ':', 1), split_part(j, ':', 1)) AS b FROM pairs),
+lsums AS (SELECT a, b, CAST(count(*) AS DOUBLE) AS s0, sum(expected) AS s1, sum(pow(expected, 2)) AS s2, sum(pow(expected, 3)) AS s3, sum(pow(expected, 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * expected) AS t1, sum(jaccard * pow(expected, 2)) AS t2 FROM lp GROUP BY 1, 2),
+lfit AS (SELECT a, b, (t0*(s2*s4-s3*s3)-s1*(t1*s4-s3*t2)+s2*(t1*s3-s2*t2))/d AS c0, (s0*(t1*s4-s3*t2)-t0*(s1*s4-s3*s2)+s2*(s1*t2-t1*s2))/d AS c1, (s0*(s2*t2-t1*s3)-s1*(s1*t2-t1*s2)+t0*(s1*s3-s2*s2))/d AS c2
+ FROM (SELECT *, s0*(s2*s4-s3*s3)-s1*(s1*s4-s3*s2)+s2*(s1*s3-s2*s2) AS d FROM lsums)),
+lres AS (SELECT i, j, a, b, jaccard - (c0 + c1 * expected + c2 * expected * expected) AS r FROM lp JOIN lfit USING (a, b))"""
+
+
+@query("jaccard_by_library", "SELECT i, j, a, b, round(r, 5) AS residual FROM lres", SINGLE, JACCARD_SQL, LIBRARY_FIT_SQL)
+def jaccard_by_library(spark, sf):
+    pairs = written(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "pairs")
+    of = lambda c: F.split_part(c, F.lit(":"), F.lit(1))
+    pairs = pairs.withColumns({"a": F.least(of("i"), of("j")), "b": F.greatest(of("i"), of("j"))})
+    return matrix.blockwise_residuals(pairs, ["a", "b"]).select("i", "j", "a", "b", F.round("residual", 5).alias("residual"))
+
+
+@query("jaccard_quantiles", """SELECT a, b, count(*) AS pairs, round(quantile_cont(jaccard, 0.25), 6) AS q25, round(quantile_cont(jaccard, 0.5), 6) AS median, round(quantile_cont(jaccard, 0.75), 6) AS q75 FROM (
+ SELECT least(split_part(i, ':', 2), split_part(j, ':', 2)) AS a, greatest(split_part(i, ':', 2), split_part(j, ':', 2)) AS b, jaccard FROM pairs) GROUP BY 1, 2""", SINGLE, JACCARD_SQL)
+def jaccard_quantiles(spark, sf):
+    pairs = matrix.jaccard(written(single_counts(Views(spark, sf)), "counts"))
+    of = lambda c: F.split_part(c, F.lit(":"), F.lit(2))
+    out = matrix.jaccard_quantiles(pairs.withColumns({"a": F.least(of("i"), of("j")), "b": F.greatest(of("i"), of("j"))}), ["a", "b"])
+    return R6(out, "q25", "median", "q75")
+
+
 @query("jaccard_diagnostics", """SELECT cell, max(coverage) AS coverage, count(*) AS neighbours, round(avg(jaccard), 6) AS mean_jaccard FROM (SELECT i AS cell, ni AS coverage, jaccard FROM pairs UNION ALL SELECT j, nj, jaccard FROM pairs) GROUP BY 1""", SINGLE, JACCARD_SQL)
 def jaccard_diagnostics(spark, sf):
     return R6(matrix.jaccard_by_cell(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts"))), "mean_jaccard")
@@ -507,14 +546,9 @@ def merge_sorted_reads(spark, sf):
     v = Views(spark, sf)
     both = v.reads.where("is_mapped AND library = 'LIB1'").unionByName(v.reads.where("is_mapped AND library = 'LIB2'"))
     contigs = v.reads.select("contig").distinct().withColumn("rank", F.expr("CAST(substring(contig, 4) AS INT)"))
-    ordered = reads.contig_order(both, contigs)
-    # the place in the order, counted by contig and position blocks rather than over all rows at once
-    key = ["contig", F.floor(F.col("pos") / 1000).alias("block")]
-    sizes = ordered.groupBy(*key).agg(F.count("*").alias("n"))
-    sizes = sizes.withColumn("before", F.sum("n").over(Window.orderBy("contig", "block")) - F.col("n")).drop("n")
-    x = ordered.withColumn("block", F.floor(F.col("pos") / 1000)).join(sizes, ["contig", "block"])
-    within = Window.partitionBy("contig", "block").orderBy("pos", F.col("end_pos") - F.col("pos"), "read_id")
-    return x.select("read_id", "contig", "pos", (F.row_number().over(within) + F.col("before")).alias("place"))
+    placed = both.join(F.broadcast(contigs), "contig").withColumn("length", F.col("end_pos") - F.col("pos"))  # as many rows as contigs
+    placed = counting.ranked(placed.select("rank", "contig", "pos", "length", "read_id"), ["rank", "pos", "length", "read_id"], "place")
+    return placed.select("read_id", "contig", "pos", (F.col("place") + 1).alias("place"))
 
 
 @query("union_tables", "SELECT read_id AS name, contig, pos AS start, umi, NULL AS strand FROM fx_reads UNION ALL SELECT name, contig, f_start, NULL, strand FROM fx_features")

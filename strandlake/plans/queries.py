@@ -290,7 +290,7 @@ near2 AS (SELECT p.read_id, w.name AS w2, row_number() OVER (PARTITION BY p.read
   FROM parts p JOIN fx_wells w ON hamming(p.bc2, w.seq) <= 1),
 near3 AS (SELECT p.read_id, w.name AS s1, row_number() OVER (PARTITION BY p.read_id ORDER BY CASE WHEN p.sbc = w.seq THEN 0 ELSE 1 END, w.rank) AS i
   FROM parts p JOIN fx_samples w ON hamming(p.sbc, w.seq) <= 1),
-decoded AS (SELECT p.read_id, p.library, p.umi, near.w1 AS bc1, near2.w2 AS bc2, near3.s1 AS sample,
+decoded AS (SELECT p.read_id, p.library, CASE WHEN p.umi NOT LIKE 'N%' THEN p.umi END AS umi, near.w1 AS bc1, near2.w2 AS bc2, near3.s1 AS sample,
   CASE WHEN p.tail LIKE '%TGCA%' THEN 'rna' WHEN p.tail LIKE '%GGCC%' THEN 'dna' ELSE 'unk' END AS seqtype
   FROM parts p LEFT JOIN near ON p.read_id = near.read_id AND near.i = 1 LEFT JOIN near2 ON p.read_id = near2.read_id AND near2.i = 1
   LEFT JOIN near3 ON p.read_id = near3.read_id AND near3.i = 1)"""
@@ -305,7 +305,7 @@ def decoded(v: Views) -> DataFrame:
     x = sliced(v)
     for whitelist, column, into in ((v.wells, "bc1", "w1"), (v.wells, "bc2", "w2"), (v.samples.select("rank", "name", "seq"), "sbc", "sample")):
         x = B.correct(x, whitelist, column, into)
-    return x.select("read_id", "library", "umi", F.col("w1").alias("bc1"), F.col("w2").alias("bc2"), "sample", B.molecule_type(F.col("tail")).alias("seqtype"))
+    return x.select("read_id", "library", B.known_umi(F.col("umi")).alias("umi"), F.col("w1").alias("bc1"), F.col("w2").alias("bc2"), "sample", B.molecule_type(F.col("tail")).alias("seqtype"))
 
 
 def tally(v: Views) -> DataFrame:
@@ -365,6 +365,29 @@ def plate_heatmap(spark, sf):
     return B.plate_heatmap(B.plate_positions(tally(v), layout(v)), 1).withColumn("share", F.round("share", 6))
 
 
+@query("assignment_by_sample", """SELECT sample, CASE WHEN sample = '*' OR cell = '*' THEN 'unassigned' ELSE 'assigned' END AS assignment, well1 <> -1 AND well2 <> -1 AS valid, CAST(sum(reads) AS BIGINT) AS reads, count(*) AS cells
+FROM placed GROUP BY 1, 2, 3""", DECODED_SQL, FIXED_SQL, TALLY_SQL, LAYOUT_SQL, PLACED_SQL)
+def assignment_by_sample(spark, sf):
+    v = Views(spark, sf)
+    return B.assignment_by_sample(B.plate_positions(tally(v), layout(v)))
+
+
+@query("plate_map", """SELECT well1, well2, reads, best_cell, covered, round(100.0 * (1 + best_cell) / (1 + reads), 6) AS best_share FROM (SELECT CAST(well1 AS INT) AS well1, CAST(well2 AS INT) AS well2, CAST(sum(reads) AS BIGINT) AS reads, max(reads) AS best_cell,
+ count(*) FILTER (reads >= 100) AS covered FROM placed WHERE well1 BETWEEN 1 AND 998 AND well2 BETWEEN 1 AND 998 GROUP BY 1, 2)""", DECODED_SQL, FIXED_SQL, TALLY_SQL, LAYOUT_SQL, PLACED_SQL)
+def plate_map(spark, sf):
+    v = Views(spark, sf)
+    return B.plate_map(B.plate_positions(tally(v), layout(v)), least=100).withColumn("best_share", F.round("best_share", 6))
+
+
+@query("closest_threshold", """SELECT sample, threshold, cells FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY abs(threshold - goal), threshold) AS i FROM (
+ SELECT s.sample, CAST(t.threshold AS INT) AS threshold, count(c.cell) AS cells FROM (SELECT DISTINCT sample FROM tally) s
+ CROSS JOIN (SELECT unnest(range(250, 2001, 50)) AS threshold) t LEFT JOIN tally c ON c.sample = s.sample AND c.reads >= t.threshold GROUP BY 1, 2),
+ (SELECT CAST(floor(0.5 + sum(reads) * 2500.0 / 600000.0) AS BIGINT) AS goal FROM tally)) WHERE i = 1""", DECODED_SQL, FIXED_SQL, TALLY_SQL)
+def closest_threshold(spark, sf):
+    t = tally(Views(spark, sf))
+    return B.closest_threshold(B.threshold_curve(t), B.depth_threshold(t, depth=600_000.0))
+
+
 @query("cells_above_threshold", """SELECT s.sample, CAST(t.threshold AS INT) AS threshold, count(c.cell) AS cells FROM (SELECT DISTINCT sample FROM tally) s
 CROSS JOIN (SELECT unnest(range(250, 2001, 50)) AS threshold) t LEFT JOIN tally c ON c.sample = s.sample AND c.reads >= t.threshold GROUP BY 1, 2""", DECODED_SQL, FIXED_SQL, TALLY_SQL)
 def cells_above_threshold(spark, sf):
@@ -404,15 +427,19 @@ def reference_sequences(spark, sf):
 TEMPLATE = LINKER1[:20]
 
 
-@query("linker_pwm", f"""SELECT pos, round(sum(CASE b WHEN 'A' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*), 6) AS "A", round(sum(CASE b WHEN 'C' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*), 6) AS "C",
- round(sum(CASE b WHEN 'G' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*), 6) AS "G", round(sum(CASE b WHEN 'T' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*), 6) AS "T" FROM (
+PWM_SQL = f"""pwm AS (SELECT pos, sum(CASE b WHEN 'A' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*) AS a, sum(CASE b WHEN 'C' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*) AS c,
+ sum(CASE b WHEN 'G' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*) AS g, sum(CASE b WHEN 'T' THEN 1.0 WHEN 'N' THEN 0.25 ELSE 0 END) / count(*) AS t FROM (
  SELECT CAST(i AS INT) AS pos, substr(seq, CAST(o + i + 1 AS BIGINT), 1) AS b FROM (SELECT seq, CASE least(d0, d1, d2) WHEN d0 THEN 23 WHEN d1 THEN 24 ELSE 25 END AS o FROM (
-  SELECT seq, hamming(substr(seq, 24, 20), '{TEMPLATE}') AS d0, hamming(substr(seq, 25, 20), '{TEMPLATE}') AS d1, hamming(substr(seq, 26, 20), '{TEMPLATE}') AS d2 FROM fx_r2)), range(20) t(i)) GROUP BY 1""")
+  SELECT seq, hamming(substr(seq, 24, 20), '{TEMPLATE}') AS d0, hamming(substr(seq, 25, 20), '{TEMPLATE}') AS d1, hamming(substr(seq, 26, 20), '{TEMPLATE}') AS d2 FROM fx_r2)), range(20) t(i)) GROUP BY 1)"""
+
+
+@query("linker_pwm", """SELECT pos, round(a, 6) AS "A", round(c, 6) AS "C", round(g, 6) AS "G", round(t, 6) AS "T", round(2 + CASE WHEN a > 0 THEN a * log2(a) ELSE 0 END + CASE WHEN c > 0 THEN c * log2(c) ELSE 0 END
+ + CASE WHEN g > 0 THEN g * log2(g) ELSE 0 END + CASE WHEN t > 0 THEN t * log2(t) ELSE 0 END, 6) AS information FROM pwm""", PWM_SQL)
 def linker_pwm(spark, sf):
     x = Views(spark, sf).r2.withColumn("part", F.expr("substring(seq, 24)"))
     x = x.withColumn("o", B.best_offset(F.col("part"), TEMPLATE)["offset"])
     w = B.position_weights(x.select(F.substring(F.col("part"), F.col("o") + 1, F.lit(len(TEMPLATE))).alias("w")), "w")
-    return w.select("pos", *[F.round(b, 6).alias(b) for b in "ACGT"])
+    return w.select("pos", *[F.round(b, 6).alias(b) for b in (*"ACGT", "information")])
 
 
 # -- species --------------------------------------------------------------
