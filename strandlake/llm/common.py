@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.shared import drop_stored, stored  # noqa: F401  the operators take them from here
+from ..functions.shared import drop_stored, settled, stored  # noqa: F401  the operators take them from here
 
 #: Every word is a maximal run of characters outside this class.
 SPACE = r"\x20\x09-\x0D"

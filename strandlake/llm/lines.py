@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import in_company, link_cells
-from .common import few, once, row_key, sendable, stored, table
+from .common import few, once, row_key, sendable, settled, stored, table
 
 #: Characters in a shingle.
 WIDTH = 8
@@ -173,7 +173,8 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     stays as it is. Other columns stay, whatever their names.
     """
     keyed = once(docs.select(row_key().alias("_key"), F.struct(*docs.columns).alias("_row")), "_key")
-    gone = line_classes(docs.select("doc_id", row_key().alias("_key"), "text"), ("doc_id", "_key")).where("NOT kept")
+    named = docs.select("doc_id", row_key().alias("_key"), "text")
+    gone = settled(docs.sparkSession, lambda: line_classes(named, ("doc_id", "_key")).where("NOT kept").select("_key", "line_no"), "gone")
     gone = gone.groupBy("_key").agg(F.collect_set("line_no").alias("_gone"))  # no more than the document has lines
     out = keyed.join(gone, "_key", "left").withColumn("_lines", F.split("_row.text", "\n"))
     stays = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))

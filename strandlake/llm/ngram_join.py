@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import in_company, link_cells
-from .common import few, once, row_key, sendable, stored, table
+from .common import few, once, row_key, sendable, settled, stored, table
 from .textstats import Words, mix, parts, slices
 
 WORDS, SHARE = 5, 80
@@ -214,6 +214,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _lost(docs: DataFrame) -> DataFrame:
+    """``_key`` of the documents that aren't the first of their group."""
+    group = jaccard_components(docs.select(row_key().alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    grouped = group.join(group.groupBy("component_id").agg(F.count("*").alias("_n")).where("_n > 1"), "component_id").select("_key", "component_id")
+    ids = docs.select(row_key().alias("_key"), F.col("doc_id").cast("long").alias("_id")).distinct().join(grouped, "_key")
+    ids = stored(ids.select("component_id", "_key", F.struct(F.col("_id").isNull(), "_id", "_key").alias("at")), "ids")
+    first = ids.groupBy("component_id").agg(F.min("at").alias("first"))
+    return ids.join(first, "component_id").where(~F.col("at").eqNullSafe(F.col("first"))).select("_key")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each group of near copies in ``docs`` the row with the smallest id; rows with an id come before rows without.
 
@@ -222,12 +232,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     All columns stay, whatever their names.
     """
     keyed = once(docs.select(row_key().alias("_key"), F.struct(*docs.columns).alias("_row")), "_key")
-    group = jaccard_components(docs.select(row_key().alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    grouped = stored(group.join(group.groupBy("component_id").agg(F.count("*").alias("_n")).where("_n > 1"), "component_id").select("_key", "component_id"), "groups")
-    ids = docs.select(row_key().alias("_key"), F.col("doc_id").cast("long").alias("_id")).distinct().join(grouped, "_key")
-    ids = stored(ids.select("component_id", "_key", F.struct(F.col("_id").isNull(), "_id", "_key").alias("at")), "ids")
-    first = ids.groupBy("component_id").agg(F.min("at").alias("first"))
-    lost = stored(ids.join(first, "component_id").where(~F.col("at").eqNullSafe(F.col("first"))).select("_key"), "lost")
+    lost = settled(docs.sparkSession, lambda: _lost(docs), "lost")
     return keyed.join(sendable(lost), "_key", "left_anti").select("_row.*")
 
 
