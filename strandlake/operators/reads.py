@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,6 +104,45 @@ def repair(df: DataFrame, seq: str = "seq", qual: str = "qual") -> DataFrame:
     return df.withColumn(seq, s).withColumn(qual, F.rpad(F.coalesce(qual, F.lit("")), F.length(seq), F.lit("!")))
 
 
+def _bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """ASCII strings as rows of a byte matrix, zeros behind their ends, and their lengths."""
+    size = np.array([len(x) for x in texts], np.int64)
+    width = max(1, int(size.max(initial=0)))
+    return np.array([x.encode("ascii", "replace") for x in texts], f"S{width}").view(np.uint8).reshape(len(texts), width), size
+
+
+def _quality_ends(quals: list[str], cutoff: int) -> np.ndarray:
+    """Where each read ends once its tail of low quality is cut: the lowest running sum from the end, before it rises above 0."""
+    if not quals:
+        return np.zeros(0, np.int64)
+    back, size = _bytes([x[::-1] for x in quals])
+    inside = np.arange(back.shape[1]) < size[:, None]
+    total = np.cumsum(np.where(inside, back.astype(np.int64) - 33 - cutoff, 0), axis=1)
+    alive = inside & ~np.logical_or.accumulate(total > 0, axis=1)
+    total = np.where(alive, total, 1)
+    last = total.shape[1] - 1 - total[:, ::-1].argmin(1)  # of equal sums the one that cuts more
+    return np.where(total.min(1) <= 0, size - 1 - last, size)
+
+
+def _adapter_starts(seqs: list[str], adapters: list[str], min_overlap: int, error: float) -> np.ndarray:
+    """The leftmost place of any adapter in each read, else the read's length."""
+    if not seqs:
+        return np.zeros(0, np.int64)
+    data, size = _bytes(seqs)
+    best = size.copy()
+    for adapter in adapters:
+        code = np.frombuffer(adapter.encode(), np.uint8)
+        open_ = np.ones(len(seqs), bool)
+        for i in range(max(0, data.shape[1] - min_overlap + 1)):
+            part = data[:, i : i + len(code)]
+            n = np.minimum(len(code), size - i)
+            other = ((part != code[: part.shape[1]]) & (np.arange(part.shape[1]) < n[:, None])).sum(1)
+            hit = open_ & (n >= min_overlap) & (other <= error * n)
+            best[hit] = np.minimum(best[hit], i)
+            open_ &= ~hit
+    return best
+
+
 def trim_reads(df: DataFrame, adapters: list[str], *, five: tuple[str, ...] = (), quality: int = 20, min_length: int = 20, min_overlap: int = 5, error: float = 0.1, passes: int = 2, seq: str = "seq", qual: str = "qual") -> DataFrame:
     """Cut low-quality ends and adapters, then drop reads that got too short.
 
@@ -112,43 +152,20 @@ def trim_reads(df: DataFrame, adapters: list[str], *, five: tuple[str, ...] = ()
     bases or more) fits; 5' adapters are cut with what is before them.
     """
 
-    def quality_end(q: str) -> int:
-        total = low = 0
-        end = len(q)
-        for i in range(len(q) - 1, -1, -1):
-            total += ord(q[i]) - 33 - quality
-            if total > 0:
-                break
-            if total <= low:
-                low, end = total, i
-        return end
-
-    def three(s: str) -> int:
-        best = len(s)
-        for a in adapters:
-            for i in range(0, max(0, len(s) - min_overlap + 1)):
-                n = min(len(a), len(s) - i)
-                if sum(x != y for x, y in zip(s[i : i + n], a, strict=False)) <= error * n:
-                    best = min(best, i)
-                    break
-        return best
-
-    def one(s: str | None, q: str | None):
-        s, q = s or "", q or ""
-        end = quality_end(q[: len(s)]) if q else len(s)
-        s, q = s[:end], q[:end]
-        for _ in range(passes):
-            for a in five:
-                i = s.find(a)
-                if i >= 0:
-                    s, q = s[i + len(a) :], q[i + len(a) :]
-            end = three(s)
-            s, q = s[:end], q[:end]
-        return s, q
-
     @pandas_udf("struct<s string, q string>")
     def cut(s: pd.Series, q: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(a, b) for a, b in zip(s, q, strict=True)], columns=["s", "q"])
+        s, q = s.fillna("").tolist(), q.fillna("").tolist()
+        ends = _quality_ends([b[: len(a)] for a, b in zip(s, q, strict=True)], quality)
+        ends = [e if b else len(a) for e, a, b in zip(ends, s, q, strict=True)]
+        s, q = [a[:e] for a, e in zip(s, ends, strict=True)], [b[:e] for b, e in zip(q, ends, strict=True)]
+        for _ in range(passes):
+            for adapter in five:
+                at = [x.find(adapter) for x in s]
+                first = [i + len(adapter) if i >= 0 else 0 for i in at]
+                s, q = [a[i:] for a, i in zip(s, first, strict=True)], [b[i:] for b, i in zip(q, first, strict=True)]
+            ends = _adapter_starts(s, adapters, min_overlap, error)
+            s, q = [a[:e] for a, e in zip(s, ends, strict=True)], [b[:e] for b, e in zip(q, ends, strict=True)]
+        return pd.DataFrame({"s": s, "q": q})
 
     out = df.withColumn("_cut", cut(seq, qual)).withColumn(seq, F.col("_cut.s")).withColumn(qual, F.col("_cut.q"))
     return out.drop("_cut").where(F.length(seq) >= min_length)
