@@ -193,6 +193,8 @@ def mix_sources(
     runs = shard_quotas(quotas, shards, seed, spark)
     runs = runs.join(plan.select("slot", "blocks"), "slot")
     drawn = _permuted(runs.select("shard", "slot", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")), seed)
+    # stored, as a filter on the block that the join below pushes down would repeat the permutation's steps in each other
+    drawn = stored(drawn, "drawn")
     draws = pieces.join(drawn, ["slot", "block"])
     place = F.xxhash64(F.lit(seed), "shard", "slot", "block", "turn", "row_id", "word_from")
     return sized_out, draws.select("row_id", "shard", place.alias("place"), "word_from", "word_to")
