@@ -182,9 +182,14 @@ def test_enriched_bins_find_the_planted_peak(spark):
 def test_select_cells_cuts_between_modes(spark):
     r = random.Random(8)
     rows = [("L", f"c{i}", int(math.exp(r.gauss(3, 0.3))), int(math.exp(r.gauss(3, 0.3))), 5, 5) for i in range(300)]
-    rows += [("L", f"d{i}", int(math.exp(r.gauss(8, 0.3))), int(math.exp(r.gauss(8, 0.3))), 5, 5) for i in range(200)] + [("one", "x", 5, 5, 600, 1), ("one", "y", 5, 5, 1, 1)]
+    rows += [("L", f"d{i}", int(math.exp(r.gauss(8, 0.3))), int(math.exp(r.gauss(8, 0.3))), 5, 5) for i in range(200)] + [("one", "x", 5, 5, 600, 1), ("one", "y", 5, 5, 1, 1), ("one", "z", 5, 5, 600, 500)]
+    rows += [("L", f"off{i}", 3000, 30, 900, 900) for i in range(5)]  # far off the diagonal
     out = matrix.select_cells(spark.createDataFrame(rows, "library string, cell string, rna_reads int, dna_reads int, rna_umis int, dna_umis int"), ["library"]).collect()
-    assert {x["cell"] for x in out if x["keep"]} == {f"d{i}" for i in range(200)} | {"x"}
+    kept = {x["cell"] for x in out if x["keep"]}
+    assert {x for x in kept if x[0] != "d"} == {"z"}  # without modes both assays need the umis
+    assert sum(x[0] == "d" for x in kept) >= 190
+    cuts = {(x["cut"], x["cut2"]) for x in out if x["library"] == "L"}
+    assert len(cuts) == 1 and 2.5 < next(iter(cuts))[0] < 4.6
 
 
 def test_files(spark, tmp_path):
@@ -212,3 +217,46 @@ def test_digest_records_by_file(spark):
     d = spark.createDataFrame([("s1", "a.fastq.gz", "b.fq"), ("s2", "a_ds.fq.gz", "c.fq"), ("s3", "gaz.fastq.gz", "d.fq")], "sequence_id string, fastq1 string, fastq2 string")
     assert {x["sequence_id"] for x in readers.digest_for(d, "/in/a.fq.gz").collect()} == {"s1", "s2"}
     assert {x["sequence_id"] for x in readers.digest_for(d, "gaz.fastq.gz", "s3").collect()} == {"s3"}
+
+
+def test_trimming_helpers_equal_plain_loops():
+    r = random.Random(1)
+
+    def quality_end(q, cutoff):
+        total = low = 0
+        end = len(q)
+        for i in range(len(q) - 1, -1, -1):
+            total += ord(q[i]) - 33 - cutoff
+            if total > 0:
+                break
+            if total <= low:
+                low, end = total, i
+        return end
+
+    def adapter_start(s, adapter):
+        for i in range(0, max(0, len(s) - 4)):
+            n = min(len(adapter), len(s) - i)
+            if sum(x != y for x, y in zip(s[i : i + n], adapter)) <= 0.1 * n:
+                return i
+        return len(s)
+
+    quals = ["".join(chr(33 + r.choice([2, 10, 19, 20, 21, 30, 40])) for _ in range(r.randint(0, 30))) for _ in range(1000)] + [""]
+    assert reads._quality_ends(quals, 20).tolist() == [quality_end(q, 20) for q in quals]
+    adapters = ["ACGTACGTGG", "TTGACC"]
+    seqs = ["".join(r.choice("ACGT") for _ in range(r.randint(0, 30))) + r.choice(["", adapters[0], adapters[0][:6], adapters[1], "ACGTACCTGG"]) + "ACG" * r.randint(0, 2) for _ in range(1000)] + [""]
+    assert reads._adapter_starts(seqs, adapters, 5, 0.1).tolist() == [min(adapter_start(s, a) for a in adapters) for s in seqs]
+
+
+def test_ranked_with_wide_rows_and_merging_of_partitions(spark):
+    """Column pruning and merged partitions don't make sizes and rows differ."""
+    from pyspark.sql import functions as F
+
+    from strandlake.operators import counting
+
+    rows = spark.range(40_000).select(F.xxhash64("id").alias("k"), (F.col("id") % 2).alias("g"), F.repeat(F.lit("x"), 200).alias("wide"), F.col("id"))
+    for merging in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merging)
+        got = counting.ranked(rows, ["k"], "place", ["g"])
+        whole = got.groupBy("g").agg(F.count("*").alias("n"), F.count_distinct("place").alias("d"), F.max("place").alias("top"), F.sum(F.length("wide")).alias("w")).collect()
+        assert {(r["n"], r["d"], r["top"], r["w"]) for r in whole} == {(20_000, 20_000, 19_999, 4_000_000)}
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
