@@ -187,10 +187,13 @@ def _scored(
     curve = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="calibrated").fit(judged) if both else None
     known.unpersist()
     scored = margin(document_features(docs, lexicon, carry).select("_row", array_to_vector("x").alias("features")))
+    soft = 1 / (1 + F.exp(-2 * F.col("margin")))
     if curve:
-        scored = curve.transform(scored.select("_row", "margin")).withColumn("score", F.col("calibrated"))
+        # the calibrated value; a millionth of the margin only orders rows on one step of the curve
+        ordered = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated") + 1e-6 * (soft - 0.5)))
+        scored = curve.transform(scored.select("_row", "margin")).withColumn("score", ordered)
     else:
-        scored = scored.withColumn("score", 1 / (1 + F.exp(-2 * F.col("margin"))))
+        scored = scored.withColumn("score", soft)
     return scored.select("_row", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
