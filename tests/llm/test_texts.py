@@ -279,6 +279,8 @@ PAGES = [
     (1, "http://a/b", "<html lang='de'><head><title>T &amp; U</title><script>var a='<p>';</script></head><body><p>x &lt;b&gt;<br>y<a href='q'>z</a></p></body></html>"),
     (2, None, None), (3, "http://a/c", ""), (None, "u", "plain & simple"), (4, "u", "<p>" + "long word " * 50_000 + "</p>"),
     (1, "http://a/b", "<STYLE>p{}</STYLE><!-- <p> --><div>é</DIV>ß"),
+    (5, "u", "a&#8217;b &#x1F600;&#X41; &#38;lt; &amp;#65; &#0;&#xD800;&#1114112; &#; &#x; &#12 &#00065;&#60;p&#62;"),
+    (6, "u", "seen <script>var hidden = 1;"), (7, "u", "seen <!-- hidden <p>"), (8, "u", "seen <style>p { hidden"),
 ]
 
 
@@ -303,6 +305,29 @@ def test_warc_records_link_and_equal_sql(spark):
     assert warc.derivatives(warc.responses_from_pages(pages.limit(0))).count() == 0
 
 
+def test_warc_text_decodes_references_once_and_hides_what_is_not_closed(spark):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    got = warc.derivatives(warc.responses_from_pages(pages)).where("warc_type = 'conversion' AND page_id BETWEEN 5 AND 8")
+    text = {r["page_id"]: r["block"] for r in got.collect()}
+    # decoded by hand: a reference to an ampersand doesn't start another one, what is no character is U+FFFD, what is no reference stays
+    assert text[5] == "a\u2019b \U0001f600A &lt; &#65; \ufffd\ufffd\ufffd &#; &#x; &#12 A<p>"
+    assert text[6] == text[7] == text[8] == "seen"
+
+
+def test_warc_metadata_keeps_every_source_header(spark):
+    import uuid
+
+    head = "HTTP/1.1 404 Not Found\r\nETag: \"x\"\r\nX-Long: a\r\n  b\r\nContent-Type: text/html\r\n\r\n"
+    rows = [("<urn:uuid:1>", "http://a", warc.DATE, head, "t", "d", 1), (None, None, None, None, None, None, None)]
+    made = spark.createDataFrame(rows, "record_id string, target_uri string, warc_date string, http_headers string, payload string, payload_sha256 string, page_id long")
+    got = warc.derivatives(made).where("warc_type = 'metadata'").collect()
+    by = {r["page_id"]: r for r in got}
+    assert 'source-status: HTTP/1.1 404 Not Found\r\nsource-header-ETag: "x"\r\nsource-header-X-Long: a b\r\nsource-header-Content-Type: text/html\r\n' in by[1]["block"]
+    assert by[1]["source_headers"] == head and by[1]["source_type"] == "text/html"
+    assert "source-status: \r\n" in by[None]["block"] and by[None]["refers_to"] is None
+    assert uuid.UUID(by[1]["record_id"][10:-1]).version == 8
+
+
 def test_warc_files(spark, tmp_path):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     warc.write_warc(warc.derivatives(warc.responses_from_pages(pages)).coalesce(1), str(tmp_path / "w"))
