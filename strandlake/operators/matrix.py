@@ -40,9 +40,17 @@ def jaccard(counts: DataFrame, *, max_cells: int | None = None) -> DataFrame:
 
 
 def quadratic_fit(df: DataFrame, x: str, y: str, group: list[str] | None = None) -> DataFrame:
-    """Least squares of y on 1, x, x²: ``group, c0, c1, c2`` by normal equations; one aggregation."""
-    X, Y = F.col(x), F.col(y)
-    s = df.groupBy(*(group or [])).agg(F.count("*").cast("double").alias("s0"), *[F.sum(F.pow(X, F.lit(k))).alias(f"s{k}") for k in range(1, 5)], *[F.sum(Y * F.pow(X, F.lit(k))).alias(f"t{k}") for k in range(3)])
+    """Least squares of y on 1, x, x²: ``group, c0, c1, c2`` by normal equations.
+
+    Two aggregations: the mean of x, then power sums around it. Sums of raw
+    powers would lose most digits where x spreads little around its mean.
+    """
+    by = group or []
+    mean = df.groupBy(*by).agg(F.avg(x).alias("_m"))
+    df = df.join(mean, by) if by else df.crossJoin(F.broadcast(mean))  # one row
+    X, Y = F.col(x) - F.col("_m"), F.col(y)
+    powers = [F.sum(F.pow(X, F.lit(k))).alias(f"s{k}") for k in range(1, 5)]
+    s = df.groupBy(*by).agg(F.first("_m").alias("_m"), F.count("*").cast("double").alias("s0"), *powers, *[F.sum(Y * F.pow(X, F.lit(k))).alias(f"t{k}") for k in range(3)])
 
     def det(a, b, c, d, e, f, g, h, i):
         return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
@@ -52,7 +60,9 @@ def quadratic_fit(df: DataFrame, x: str, y: str, group: list[str] | None = None)
     c0 = det(v["t0"], v["s1"], v["s2"], v["t1"], v["s2"], v["s3"], v["t2"], v["s3"], v["s4"]) / D
     c1 = det(v["s0"], v["t0"], v["s2"], v["s1"], v["t1"], v["s3"], v["s2"], v["t2"], v["s4"]) / D
     c2 = det(v["s0"], v["s1"], v["t0"], v["s1"], v["s2"], v["t1"], v["s2"], v["s3"], v["t2"]) / D
-    return s.select(*(group or []), c0.alias("c0"), c1.alias("c1"), c2.alias("c2"))
+    at = s.select(*by, "_m", c0.alias("_c0"), c1.alias("_c1"), c2.alias("c2"))
+    m, d0, d1, d2 = (F.col(c) for c in ("_m", "_c0", "_c1", "c2"))
+    return at.select(*by, (d0 - d1 * m + d2 * m * m).alias("c0"), (d1 - 2 * d2 * m).alias("c1"), "c2")
 
 
 def normalise_jaccard(pairs: DataFrame, *, how: str = "ratio", clip: float = 5.0, top: float = 0.99) -> DataFrame:

@@ -428,9 +428,9 @@ def cell_jaccard(spark, sf):
     return R6(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "jaccard", "expected")
 
 
-FIT_SQL = """sums AS (SELECT CAST(count(*) AS DOUBLE) AS s0, sum(expected) AS s1, sum(pow(expected, 2)) AS s2, sum(pow(expected, 3)) AS s3, sum(pow(expected, 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * expected) AS t1, sum(jaccard * pow(expected, 2)) AS t2 FROM pairs),
-fit AS (SELECT (t0*(s2*s4-s3*s3)-s1*(t1*s4-s3*t2)+s2*(t1*s3-s2*t2))/d AS c0, (s0*(t1*s4-s3*t2)-t0*(s1*s4-s3*s2)+s2*(s1*t2-t1*s2))/d AS c1, (s0*(s2*t2-t1*s3)-s1*(s1*t2-t1*s2)+t0*(s1*s3-s2*s2))/d AS c2
- FROM (SELECT *, s0*(s2*s4-s3*s3)-s1*(s1*s4-s3*s2)+s2*(s1*s3-s2*s2) AS d FROM sums)),
+FIT_SQL = """sums AS (SELECT any_value(m) AS m, CAST(count(*) AS DOUBLE) AS s0, sum((expected - m)) AS s1, sum(pow((expected - m), 2)) AS s2, sum(pow((expected - m), 3)) AS s3, sum(pow((expected - m), 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * (expected - m)) AS t1, sum(jaccard * pow((expected - m), 2)) AS t2 FROM pairs, (SELECT avg(expected) AS m FROM pairs)),
+fit AS (SELECT c0 - c1 * m + c2 * m * m AS c0, c1 - 2 * c2 * m AS c1, c2 FROM (SELECT m, (t0*(s2*s4-s3*s3)-s1*(t1*s4-s3*t2)+s2*(t1*s3-s2*t2))/d AS c0, (s0*(t1*s4-s3*t2)-t0*(s1*s4-s3*s2)+s2*(s1*t2-t1*s2))/d AS c1, (s0*(s2*t2-t1*s3)-s1*(s1*t2-t1*s2)+t0*(s1*s3-s2*s2))/d AS c2
+ FROM (SELECT *, s0*(s2*s4-s3*s3)-s1*(s1*s4-s3*s2)+s2*(s1*s3-s2*s2) AS d FROM sums))),
 ratio AS (SELECT i, j, jaccard / (c0 + c1 * expected + c2 * expected * expected) AS v FROM pairs, fit),
 norm AS (SELECT i, j, least(v, (SELECT quantile_cont(v, 0.99) FROM ratio)) AS v FROM ratio),
 degree AS (SELECT c, sum(v) AS d FROM (SELECT i AS c, v FROM norm UNION ALL SELECT j, v FROM norm) GROUP BY 1)"""
@@ -442,7 +442,7 @@ def jaccard_normalised(spark, sf):
     return x.select("i", "j", F.round("v", 3).alias("v"), F.round(1000 * F.col("scaled"), 3).alias("scaled"))
 
 
-@query("jaccard_residual", """SELECT i, j, round(least(greatest((r - (SELECT avg(r) FROM res)) / (SELECT stddev_pop(r) FROM res), -5), 5), 3) AS v FROM res""", SINGLE, JACCARD_SQL, FIT_SQL,
+@query("jaccard_residual", """SELECT i, j, CASE WHEN z = 0 THEN 0 ELSE z END AS v FROM (SELECT i, j, round(least(greatest((r - (SELECT avg(r) FROM res)) / (SELECT stddev_pop(r) FROM res), -5), 5), 3) AS z FROM res)""", SINGLE, JACCARD_SQL, FIT_SQL,
  "res AS (SELECT i, j, jaccard - (c0 + c1 * expected + c2 * expected * expected) AS r FROM pairs, fit)")
 def jaccard_residual(spark, sf):
     x = matrix.normalise_jaccard(written(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "pairs"), how="residual")
@@ -450,13 +450,13 @@ def jaccard_residual(spark, sf):
 
 
 LIBRARY_FIT_SQL = """lp AS (SELECT *, least(split_part(i, ':', 1), split_part(j, ':', 1)) AS a, greatest(split_part(i, ':', 1), split_part(j, ':', 1)) AS b FROM pairs),
-lsums AS (SELECT a, b, CAST(count(*) AS DOUBLE) AS s0, sum(expected) AS s1, sum(pow(expected, 2)) AS s2, sum(pow(expected, 3)) AS s3, sum(pow(expected, 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * expected) AS t1, sum(jaccard * pow(expected, 2)) AS t2 FROM lp GROUP BY 1, 2),
-lfit AS (SELECT a, b, (t0*(s2*s4-s3*s3)-s1*(t1*s4-s3*t2)+s2*(t1*s3-s2*t2))/d AS c0, (s0*(t1*s4-s3*t2)-t0*(s1*s4-s3*s2)+s2*(s1*t2-t1*s2))/d AS c1, (s0*(s2*t2-t1*s3)-s1*(s1*t2-t1*s2)+t0*(s1*s3-s2*s2))/d AS c2
- FROM (SELECT *, s0*(s2*s4-s3*s3)-s1*(s1*s4-s3*s2)+s2*(s1*s3-s2*s2) AS d FROM lsums)),
+lsums AS (SELECT a, b, any_value(m) AS m, CAST(count(*) AS DOUBLE) AS s0, sum((expected - m)) AS s1, sum(pow((expected - m), 2)) AS s2, sum(pow((expected - m), 3)) AS s3, sum(pow((expected - m), 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * (expected - m)) AS t1, sum(jaccard * pow((expected - m), 2)) AS t2 FROM lp JOIN (SELECT a, b, avg(expected) AS m FROM lp GROUP BY 1, 2) USING (a, b) GROUP BY 1, 2),
+lfit AS (SELECT a, b, c0 - c1 * m + c2 * m * m AS c0, c1 - 2 * c2 * m AS c1, c2 FROM (SELECT a, b, m, (t0*(s2*s4-s3*s3)-s1*(t1*s4-s3*t2)+s2*(t1*s3-s2*t2))/d AS c0, (s0*(t1*s4-s3*t2)-t0*(s1*s4-s3*s2)+s2*(s1*t2-t1*s2))/d AS c1, (s0*(s2*t2-t1*s3)-s1*(s1*t2-t1*s2)+t0*(s1*s3-s2*s2))/d AS c2
+ FROM (SELECT *, s0*(s2*s4-s3*s3)-s1*(s1*s4-s3*s2)+s2*(s1*s3-s2*s2) AS d FROM lsums))),
 lres AS (SELECT i, j, a, b, jaccard - (c0 + c1 * expected + c2 * expected * expected) AS r FROM lp JOIN lfit USING (a, b))"""
 
 
-@query("jaccard_by_library", "SELECT i, j, a, b, round(r, 5) AS residual FROM lres", SINGLE, JACCARD_SQL, LIBRARY_FIT_SQL)
+@query("jaccard_by_library", "SELECT i, j, a, b, CASE WHEN round(r, 5) = 0 THEN 0 ELSE round(r, 5) END AS residual FROM lres", SINGLE, JACCARD_SQL, LIBRARY_FIT_SQL)
 def jaccard_by_library(spark, sf):
     pairs = written(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "pairs")
     of = lambda c: F.split_part(c, F.lit(":"), F.lit(1))
