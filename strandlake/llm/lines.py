@@ -58,13 +58,17 @@ MARKS = [-(1 << 63) + ((1 << 64) // BANDS) * j for j in range(BANDS)]
 SEEDS = range(1, 11)
 
 
+def _marks() -> Column:
+    return F.array(*[F.lit(m).cast("long") for m in MARKS])
+
+
 def with_marks(h: Column) -> Column:
-    """The hashes and the marks, sorted."""
-    return F.sort_array(F.concat(h, F.array(*[F.lit(m).cast("long") for m in MARKS])))
+    """The distinct hashes of ``h`` and the marks, sorted."""
+    return F.sort_array(F.array_union(h, _marks()))
 
 
-def band_keys(h: Column, marked: Column, n: Column) -> Column:
-    """Band keys of the distinct shingle hashes ``h``; ``marked`` is a column made by :func:`with_marks`.
+def band_keys(marked: Column, n: Column) -> Column:
+    """Band keys of the ``n`` distinct shingle hashes in ``marked``, a column made by :func:`with_marks`.
 
     Long sets: ``BANDS`` marks cut the hash range into classes; a band is the
     ``ROWS`` smallest hashes of a class, which are those many minima of one hash
@@ -75,6 +79,7 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
     """
     # a lambda of two parameters would get the index as its second
     again = lambda seed: lambda x: F.xxhash64(F.lit(seed), x)
+    h = F.array_except(marked, _marks())  # sorted; only short sets ask for it
 
     def band(j, m):
         at = F.array_position(marked, F.lit(m).cast("long"))
@@ -85,7 +90,7 @@ def band_keys(h: Column, marked: Column, n: Column) -> Column:
     long = [band(j, m) for j, m in enumerate(MARKS)]  # no band of an empty class
     short = [F.xxhash64(F.lit(100 + seed), F.slice(F.sort_array(F.transform(h, again(seed))), 1, ROWS)) for seed in SEEDS]
     none = F.array().cast("array<long>")
-    return F.when(n < 4, F.array(F.xxhash64(F.lit(99), F.sort_array(h)))).otherwise(
+    return F.when(n < 4, F.array(F.xxhash64(F.lit(99), h))).otherwise(
         F.concat(F.when(n >= LONG, F.array(*long)).otherwise(none), F.when(n < SHORT, F.array(*short)).otherwise(none))
     )
 
@@ -145,10 +150,11 @@ def line_classes(docs: DataFrame, place: tuple[str, ...] = ("doc_id",)) -> DataF
     64-bit hashes. A task holds some thirty bytes for each character of one line.
     """
     places = stored(_lines(docs, place).select(*place, "line_no", _node("line")), "places")
-    prepared = with_sets(_lines(docs).select("line").distinct().select(_node("line"), "line"), "line", "h")
+    prepared = _lines(docs).select("line").distinct().select(_node("line"), windows(F.col("line")).alias("h"))
     # a column of its own, or every band would sort again
-    prepared = prepared.select("node", F.size("h").alias("size"), "h", with_marks(F.col("h")).alias("marked"))
-    keys = band_keys(F.col("h"), F.col("marked"), F.col("size"))
+    prepared = prepared.select("node", with_marks(F.col("h")).alias("marked"))
+    prepared = prepared.select("node", (F.size("marked") - BANDS).alias("size"), "marked")
+    keys = band_keys(F.col("marked"), F.col("size"))
     sets = stored(prepared.select("node", "size", keys.alias("keys")), "sets")
     no_sketch = F.array().cast("array<long>").alias("sketch")  # sketches of 64 bits exclude no pair of lines of usual length
     banded = sets.select(F.explode("keys").alias("cell"), "node", "size", no_sketch).where("cell IS NOT NULL")

@@ -155,7 +155,7 @@ def test_bands_meet_at_the_threshold(spark):
     """Random pairs of a Jaccard similarity of just 0.8 share a band, at every size."""
     cases = [(4, 0, 1), (8, 1, 1), (8, 0, 2), (12, 1, 2), (16, 2, 2), (16, 0, 4), (24, 3, 3), (64, 8, 8), (256, 32, 32)]
     some = lambda start, n: F.transform(F.sequence(F.lit(start), F.lit(start + n - 1)), lambda i: F.xxhash64(F.lit(17), F.col("id"), i))
-    keys = lambda h: lines.band_keys(h, lines.with_marks(h), F.size(h))
+    keys = lambda h: lines.band_keys(lines.with_marks(h), F.size(h))
     for both, a, b in cases:
         x = F.concat(some(0, both), some(1000, a)) if a else some(0, both)
         y = F.concat(some(0, both), some(2000, b))
