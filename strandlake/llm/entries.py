@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embeddings, lines, mixing, ngram_join, quality, secrets, tokens, toxicity, warc
+from . import audit, decontaminate, embeddings, lines, mixing, negatives, ngram_join, quality, secrets, tokens, toxicity, urls, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_mix": mixing.op8_mix,
         "op9_jaccard": ngram_join.op9_jaccard,
         "op10_warc": warc.op10_warc,
+        "op11_urls": urls.op11_urls,
+        "op12_negatives": negatives.op12_negatives,
+        "op13_audit": audit.op13_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": warc.oracle()}
+    return {"op10_warc": warc.oracle(), "op12_negatives": negatives.oracle(), "op13_audit": audit.oracle()}
