@@ -50,11 +50,13 @@ def sendable(ids: DataFrame) -> DataFrame:
 
 
 def once(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with one row of those that share a ``key``; only rows of repeated keys are shuffled whole."""
+    """``docs`` with one row of those that share a ``key``, chosen by what it holds; only rows of repeated keys are shuffled whole."""
     repeated = stored(docs.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), "repeated")
     repeated = sendable(repeated)
     alone = docs.join(repeated, key, "left_anti")
-    return alone.unionByName(docs.join(repeated, key, "left_semi").dropDuplicates([key]))
+    row = F.struct(*docs.columns)
+    first = docs.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by(row, F.struct(F.xxhash64(F.to_json(row)), F.sha2(F.to_json(row), 256))).alias("_first"))
+    return alone.unionByName(first.select("_first.*"))
 
 
 def text_or_empty(col: str | Column = "text") -> Column:

@@ -83,7 +83,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def region_windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """``doc_id, n, d1, d2, window, n_rare, sketch`` for each row.
+    """``id, doc_id, n, d1, d2, window, n_rare, sketch`` for each row of ``docs(id, doc_id, text)``.
 
     ``d1, d2`` name the set (sums of two hashes); ``window`` holds the regions
     that the document goes to, of which the first ``n_rare`` aren't common.
@@ -113,13 +113,13 @@ def region_windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
             at = s_offsets[:-1][row] + ((bits >> np.uint64(6)) & (longs[row] - 1).astype(np.uint64)).astype(np.int64)
             np.bitwise_xor.at(sketch, at, np.uint64(1) << (bits & np.uint64(63)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                [batch.column("id"), batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                  _lists(window, w_offsets), pa.array(n_rare.astype(np.int64)), _lists(sketch, s_offsets)],
-                names=["doc_id", "n", "d1", "d2", "window", "n_rare", "sketch"],
+                names=["id", "doc_id", "n", "d1", "d2", "window", "n_rare", "sketch"],
             )
 
-    kind = "doc_id long, n long, d1 long, d2 long, window array<long>, n_rare long, sketch array<long>"
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    kind = "id long, doc_id long, n long, d1 long, d2 long, window array<long>, n_rare long, sketch array<long>"
+    return docs.select("id", "doc_id", "text").mapInArrow(run, kind)
 
 
 def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -179,15 +179,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     fewer words. Documents link at a Jaccard similarity of 0.8 or more.
     Documents with equal sets are one node, so groups of copies don't multiply
     pairs. Null and empty texts have size 0 and link with nothing, as do rows
-    with a null doc_id (component null); rows with the same doc_id are one
-    document; other columns are ignored; an empty table gives an empty table.
-    Shingles are 64-bit hashes.
+    with a null doc_id (component null). Each row is a document: rows that share
+    an id but not the text link by their own texts, and their id counts wherever
+    one of them is. Other columns are ignored; an empty table gives an empty table.
+    Shingles are 64-bit hashes; a set is named by the smallest hash of its texts.
     """
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("doc_id"), "text")
     sets = stored(region_windows(docs, common_shingles(docs)), "windows")
     node = (
-        sets.where("n > 0 AND doc_id IS NOT NULL")
+        sets.where("n > 0 AND id IS NOT NULL")
         .groupBy("d1", "d2", "n", "n_rare", "window", "sketch")
-        .agg(F.min("doc_id").alias("node"))
+        .agg(F.min("doc_id").alias("node"), F.min("id").alias("least"))
     )
     nodes = stored(node, "sets")
     folded = F.aggregate("sketch", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))  # one long of the sketch
@@ -209,9 +211,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         return exact.union(bounded.where(~possible).select("a", "b", distance.alias("lo"), F.lit(1.0), F.lit(False)))
 
     label = link_cells(cells, judge, share=SHARE, longs=LONGS)
-    of_set = nodes.join(label, "node", "left").select("d1", "d2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"))
-    out = sets.select("doc_id", "n", "d1", "d2").join(of_set, (sets.d1 == of_set.d1) & (sets.d2 == of_set.d2) & (F.col("n") == F.col("m")) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    of_set = nodes.join(label, "node", "left").select("d1", "d2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"), "least")
+    least = stored(of_set.groupBy("component").agg(F.min("least").alias("first")), "components")
+    of_set = of_set.join(least, "component").select("d1", "d2", "m", "first")
+    out = sets.select("id", "n", "d1", "d2").join(of_set, (sets.d1 == of_set.d1) & (sets.d2 == of_set.d2) & (F.col("n") == F.col("m")) & F.col("id").isNotNull(), "left")
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("first", "id").alias("component_id"))
 
 
 def _lost(docs: DataFrame) -> DataFrame:
@@ -227,8 +231,9 @@ def _lost(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each group of near copies in ``docs`` the row with the smallest id; rows with an id come before rows without.
 
-    A document is a pair of id and text here, so ids may be null or repeated;
-    of equal rows one stays. Empty and null texts are near copies of nothing.
+    A document is a pair of id and text here, so ids may be null or repeated.
+    Rows that share both are copies, whatever their other columns: one of them
+    stays, the same on every run. Empty and null texts are near copies of nothing.
     All columns stay, whatever their names.
     """
     keyed = once(docs.select(row_key().alias("_key"), F.struct(*docs.columns).alias("_row")), "_key")

@@ -65,6 +65,36 @@ def test_jaccard_odd_rows(spark):
     assert ngram_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_jaccard_of_ids_with_several_texts(spark):
+    """Every text of an id finds its own partners."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    for ids in ([1, 1, 2, 3], [3, 3, 2, 1], [1, 4, 2, 3]):
+        rows = list(zip(ids, [a, b, f"{a} z", f"{b} z"], strict=True))
+        got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        want = [(ids[0], min(ids[0], ids[2])), (ids[1], min(ids[1], ids[3])), (ids[2], min(ids[0], ids[2])), (ids[3], min(ids[1], ids[3]))]
+        assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_jaccard_of_repeated_ids_equals_brute_force(spark, seed):
+    r = random.Random(seed)
+    rows = [(r.randrange(60), *x[1:]) for x in near_copies(seed, 160)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
+    sets = {k: plain.shingles(x[1]) for k, x in enumerate(rows)}
+    find = plain.components(plain.linked(sets))
+    least = {}
+    for k, x in enumerate(rows):
+        least[find(k)] = min(x[0], least.get(find(k), x[0]))
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == sorted((x[0], len(sets[k]), least[find(k)]) for k, x in enumerate(rows))
+
+
+def test_which_copy_stays_does_not_depend_on_the_order(spark):
+    rows = [(1, "a b c d e f", s) for s in "pqrs"] + [(2, "g h i j k l", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {tuple(map(tuple, ngram_join.keep_one(d).orderBy("doc_id").collect())) for d in (docs, docs.orderBy(F.desc("source")), docs.repartition(4))}
+    assert len(kept) == 1 and [r[0] for r in next(iter(kept))] == [1, 2]
+
+
 def test_keep_one_of_each_group_whatever_the_ids(spark):
     x = "a b c d e f"
     rows = [(1, x, "p"), (2, x, "q"), (None, x, "r"), (3, None, "s"), (4, "one id two texts that differ here", "t"), (4, "the other text of that id is this", "u"), (5, "just the same row twice here", "v"), (5, "just the same row twice here", "v"), (None, "without id and alone so it stays", "w")]
