@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import strip_suffixes
+from . import records
 
 LIBRARY_DIGEST = "sequence_id string, lysis_id string, library_type string, fastq1 string, fastq2 string"
 SAMPLE_DIGEST = (
@@ -17,45 +18,17 @@ PLATE_LAYOUT = "barcode string, split int, plate string, plate_index int, plate_
 LONG_COUNTS = "feature string, cell string, n long"
 
 
-def _records(lines: DataFrame, size: int) -> DataFrame:
-    """Lines ``(path, line, at)`` as records of ``size`` lines each: ``path, ordinal, l0, l1, …``."""
-    spot = lines.withColumn("ordinal", F.floor(F.col("at") / size)).withColumn("_k", (F.col("at") % size).cast("int"))
-    return spot.groupBy("path", "ordinal").agg(*[F.max(F.when(F.col("_k") == k, F.col("line"))).alias(f"l{k}") for k in range(size)])
+def read_fastq(spark: SparkSession, path: str, *, split: int | None = None) -> DataFrame:
+    """``path, ordinal, name, seq, qual`` of FASTQ files, plain or gz; the name without the at sign.
 
+    Plain files are cut into ranges of ``split`` bytes; see :mod:`.records`.
+    """
+    return records.scan(spark, path, "fastq", split)
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files (plain or gz) with their number in the file.
 
-    A file that is cut into splits is numbered in two steps: lines within a
-    split by their order, splits of a file by their running totals. Compressed
-    files are one split each.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"),
-    )
-    ends = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("path").orderBy("block")) - F.col("n")
-    # ids rise by one within a split: no window over the lines themselves
-    starts = ends.select("path", "block", "first", before.alias("before"))
-    return lines.join(starts, ["path", "block"]).select("path", "line", (F.col("id") - F.col("first") + F.col("before")).alias("at"))
-
-
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """``path, ordinal, name, seq, qual`` of FASTQ files, plain or gz; the name without the at sign."""
-    r = _records(_numbered_lines(spark, path), 4)
-    return r.select("path", "ordinal", F.expr("substring(l0, 2)").alias("name"), F.col("l1").alias("seq"), F.col("l3").alias("qual"))
-
-
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``path, rank, name, seq`` of FASTA files in file order; sequences may span lines."""
-    lines = _numbered_lines(spark, path).where("line <> ''")
-    by = Window.partitionBy("path").orderBy("at")
-    rank = F.sum(F.when(F.col("line").startswith(">"), 1).otherwise(0)).over(by)
-    lines = lines.withColumn("rank", rank.cast("int")).where("rank > 0")
-    parts = F.array_sort(F.collect_list(F.when(~F.col("line").startswith(">"), F.struct("at", "line"))))  # the lines of one sequence
-    out = lines.groupBy("path", "rank").agg(F.max(F.when(F.col("line").startswith(">"), F.expr("substring(line, 2)"))).alias("name"), parts.alias("_p"))
-    return out.select("path", "rank", F.trim("name").alias("name"), F.array_join(F.transform("_p", lambda x: F.trim(x["line"])), "").alias("seq"))
+def read_fasta(spark: SparkSession, path: str, *, split: int | None = None) -> DataFrame:
+    """``path, rank, name, seq`` of FASTA files, ranks from 1 in file order; sequences may span lines."""
+    return records.scan(spark, path, "fasta", split)
 
 
 def paired_scan(spark: SparkSession, first: str, second: str) -> DataFrame:
