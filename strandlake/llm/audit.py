@@ -1,18 +1,18 @@
 """Audit of filters that interact: what each removes in every order of application.
 
-A sparse document-term matrix decides the filters on words. All words get a
-global number from one dictionary; documents become CSR shards in two blocks of
-columns. Words that make up at least 1/HEAD of all words are at most HEAD, so
-they go to every task and are encoded where the text is read. All other words
-are rare, so their join with the dictionary has no hot key; it gives the second
-block of the same shards. Row sums are a document's words, nonzero counts its
-distinct words.
+A sparse document-term matrix decides the filters on words. Where texts are
+read, words are numbered by a dictionary of their own, a page of at most PAGE words or of one
+document's, and documents become CSR shards in these numbers. All pages' words meet
+in one global dictionary: a shuffle by word, in which a page lists each word once
+however often it stands there, so the most frequent word is as many rows as there are pages. The
+pages get their words' global numbers back, and shards are renumbered by them. Row
+sums are a document's words, nonzero counts its distinct words.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -25,133 +25,99 @@ from .textstats import slices, sums
 
 FILTERS = "ABCDE"
 BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
-#: At most this many words, of this many bytes each, are sent to every task.
-HEAD, LONGEST = 1 << 16, 64
-#: Distinct words that a task counts before it passes them on.
-FLUSH = 1 << 18
+#: Words of a page; a page ends with the shard in which it gets as many.
+PAGE = 1 << 19
 
 SIGN = np.zeros(256, bool)
 SIGN[list(b"#$%&*|")] = True
 
 
-def _texts(batch: pa.RecordBatch):
-    """``(first row, [text as bytes])`` of slices of a batch; ``bytes.split`` cuts at the six ASCII white spaces."""
-    for at, _, data, offsets in slices(batch.column("text")):
-        raw = data.tobytes()
-        yield at, [raw[a:b] for a, b in itertools.pairwise(offsets.tolist())], data, offsets
+ENCODED = pa.schema([
+    ("page", pa.int64()), ("shard", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("part", pa.list_(pa.string())), ("sha", pa.list_(pa.string())),
+    ("marks", pa.list_(pa.int32())), ("indptr", pa.binary()), ("indices", pa.binary()), ("data", pa.binary()), ("words", pa.list_(pa.binary())),
+])
+SHARD = "page long, shard long, n_rows int, indptr binary, indices binary, data binary"
 
 
-def dictionary(docs: DataFrame) -> DataFrame:
-    """``word binary, n long, id long`` of all words of ``docs(text)``; ids are dense from 0."""
+def encoded(docs: DataFrame, *, words_of_page: int = PAGE) -> DataFrame:
+    """CSR shards of ``docs(doc_id, part, sha, text)`` in the numbers of their pages, and the pages' ``words``.
 
-    def count(batches):
-        found: Counter = Counter()
+    A shard holds about a MB of text, or one longer document; ``marks`` has the bits of the filters on
+    characters for each of its documents. Stored, as the numbers depend on how the rows are dealt.
+    """
 
-        def emit():
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+    def run(batches):
+        page, shard = TaskContext.get().partitionId() << 12, TaskContext.get().partitionId() << 32
+        number: dict = defaultdict(itertools.count().__next__)
+
+        def emit(**columns):
+            return pa.RecordBatch.from_arrays([pa.array([columns.get(f.name)], f.type) for f in ENCODED], schema=ENCODED)
 
         for batch in batches:
-            for _, texts, _, _ in _texts(batch):
-                for text in texts:
-                    found.update(text.split())
-                if len(found) >= FLUSH:
-                    yield emit()
-                    found.clear()
-        yield emit()
-
-    words = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = stored(words.withColumn("_at", F.monotonically_increasing_id()), "words")
-    # the number holds the partition in its upper bits and the row in the lower 33
-    part = F.shiftright("_at", 33)
-    sizes = words.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")  # a row for each partition
-    sizes = sizes.select("_part", before.alias("_before"))
-    out = words.withColumn("_part", part).join(F.broadcast(sizes), "_part")
-    return out.select("word", "n", (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias("id"))
-
-
-def term_shards(docs: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(shards, rows)``: the document-term matrix of ``docs(doc_id, part, sha, text)`` and its rows.
-
-    ``shards(shard, block, n_rows, indptr, indices, data)`` are CSR; both blocks
-    of a shard have the same rows. ``rows(shard, row, doc_id, part, sha, marks)``
-    tell what stands in them; ``marks`` has the bits of the filters on characters.
-    A shard holds about a MB of text, or one longer document.
-    """
-    spark = docs.sparkSession
-    total = words.agg(F.sum("n")).first()[0] or 0
-    often = words.where((F.col("n") * HEAD >= total) & (F.octet_length("word") <= LONGEST)).select("word", "id")
-    head = spark.sparkContext.broadcast({bytes(r["word"]): r["id"] for r in often.collect()})  # at most HEAD
-    kind = (
-        "shard long, doc_id array<long>, part array<string>, sha array<string>, marks array<int>, indptr array<int>, indices array<long>, data array<int>, "
-        "rest_row array<int>, rest_word array<binary>, rest_n array<int>"
-    )
-
-    def encode(batches):
-        known, shard = head.value, TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for at, texts, data, offsets in _texts(batch):
-                ptr, ids, ns, rest = [0], [], [], []
-                for i, text in enumerate(texts):
-                    for word, n in Counter(text.split()).items():
-                        if (j := known.get(word)) is None:
-                            rest.append((i, word, n))
-                        else:
-                            ids.append(j)
-                            ns.append(n)
-                    ptr.append(len(ids))
+            for at, _, data, offsets in slices(batch.column("text")):
+                raw, n = data.tobytes(), len(offsets) - 1
+                words = [raw[a:b].split() for a, b in itertools.pairwise(offsets.tolist())]  # bytes split at the six ASCII white spaces
+                length = np.array([len(w) for w in words])
+                code = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(words)), np.int64, length.sum())
+                entry, count = np.unique(np.repeat(np.arange(n) << 32, length) + code, return_counts=True)
+                ptr = np.searchsorted(entry, np.arange(n + 1) << 32)
                 capitals, points = sums((data >= 65) & (data <= 90), offsets), sums((data & 0xC0) != 0x80, offsets)
                 marks = BIT["C"] * (100 * capitals > 5 * points) + BIT["D"] * (sums(SIGN[data], offsets) > 0)
-                columns = [batch.column(c).slice(at, len(texts)).to_pylist() for c in ("doc_id", "part", "sha")]
-                row = [[shard], *([x] for x in columns), [marks.tolist()], [ptr], [ids], [ns], *([[r[k] for r in rest]] for k in range(3))]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, SHARD, strict=True)], names=[c.split()[0] for c in kind.split(", ")])
+                told = {c: batch.column(c).slice(at, n).to_pylist() for c in ("doc_id", "part", "sha")}
+                csr = {"indptr": ptr.astype(np.int32), "indices": (entry & 0xFFFFFFFF).astype(np.int32), "data": count.astype(np.int32)}
+                yield emit(page=page, shard=shard, marks=marks, **told, **{k: x.tobytes() for k, x in csr.items()})
                 shard += 1
+                if len(number) >= words_of_page:
+                    yield emit(page=page, words=list(number))
+                    page += 1
+                    number = defaultdict(itertools.count().__next__)
+        if number:
+            yield emit(page=page, words=list(number))
 
-    both = stored(docs.select("doc_id", "part", "sha", "text").mapInArrow(encode, kind), "shards")
-    head.destroy()
-    rest = both.select("shard", F.size("doc_id").alias("n_rows"), F.explode(F.arrays_zip("rest_row", "rest_word", "rest_n")).alias("x"))
-    rest = rest.select("shard", "n_rows", F.col("x.rest_row").alias("row"), F.col("x.rest_word").alias("word"), F.col("x.rest_n").alias("k"))
-    rest = rest.join(words.select("word", "id"), "word").groupBy("shard", "n_rows").agg(F.sort_array(F.collect_list(F.struct("row", "id", "k"))).alias("x"))
-    # rows with entries before each row; the entries of a shard are those of its texts
-    rest = rest.select(
-        "shard", F.lit(1).alias("block"), "n_rows", F.col("x.row").alias("_row"), F.col("x.id").alias("indices"), F.col("x.k").alias("data")
-    )
-
-    def pointers(batches):
-        for batch in batches:
-            rows = batch.column("_row").to_pylist()
-            ptr = [np.searchsorted(r, np.arange(n + 1)).astype(np.int32) for r, n in zip(rows, batch.column("n_rows").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "block", "n_rows")), pa.array(ptr, pa.list_(pa.int32())), batch.column("indices"), batch.column("data")], names=CSR)
+    kind = "page long, shard long, doc_id array<long>, part array<string>, sha array<string>, marks array<int>, indptr binary, indices binary, data binary, words array<binary>"
+    return stored(docs.select("doc_id", "part", "sha", "text").mapInArrow(run, kind), "encoded")
+
+
+def dictionary(found: DataFrame) -> DataFrame:
+    """``page, code, word, id`` of :func:`encoded`'s pages: every word has one ``id``, its number where it stands first."""
+    words = found.where("words IS NOT NULL").select("page", F.posexplode("words").alias("code", "word"))
+    place = F.struct("page", "code")
+    return words.withColumn("id", F.min(place).over(Window.partitionBy("word"))).withColumn("id", F.shiftleft("id.page", 31) + F.col("id.code"))
 
-    shards = both.select("shard", F.lit(0).alias("block"), F.size("doc_id").alias("n_rows"), "indptr", "indices", "data")
-    shards = shards.union(rest.mapInArrow(pointers, "shard long, block int, n_rows int, indptr array<int>, indices array<long>, data array<int>"))
-    rows = both.select("shard", F.posexplode(F.arrays_zip("doc_id", "part", "sha", "marks")).alias("row", "x")).select("shard", "row", "x.*")
-    return shards, rows
 
+def term_shards(found: DataFrame) -> DataFrame:
+    """``page, shard, n_rows, indptr, indices, data``: the CSR shards of :func:`encoded` in global numbers, as bytes of int32, int64 and int32."""
+    pages = dictionary(found).groupBy("page").agg(F.collect_list("code").alias("codes"), F.collect_list("id").alias("ids"))  # PAGE or a document's
+    shards = found.where("words IS NULL").select("page", "shard", F.size("doc_id").alias("n_rows"), "indptr", "indices", "data").join(pages, "page", "left")
+
+    def renumber(batches):
+        for batch in batches:
+            new = []
+            for indices, codes, ids in zip(batch.column("indices"), batch.column("codes"), batch.column("ids"), strict=True):
+                old = np.frombuffer(indices.as_buffer(), np.int32)
+                of = np.zeros(len(codes) if codes.is_valid else 0, np.int64)
+                if len(of):
+                    of[codes.values.to_numpy()] = ids.values.to_numpy()
+                new.append(of[old].tobytes())
+            columns = {c: batch.column(c) for c in ("page", "shard", "n_rows", "indptr", "data")} | {"indices": pa.array(new, pa.binary())}
+            yield pa.RecordBatch.from_pydict({c.split()[0]: columns[c.split()[0]] for c in SHARD.split(", ")})
 
-CSR = ["shard", "block", "n_rows", "indptr", "indices", "data"]
-SHARD = [
-    pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()),
-    pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()),
-]
+    return shards.mapInArrow(renumber, SHARD)
 
 
 def row_counts(shards: DataFrame) -> DataFrame:
-    """``shard, row, n_words, n_distinct``: row sums and nonzero counts over all blocks."""
+    """``shard, row, n_words, n_distinct``: row sums and nonzero counts."""
 
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                ptr = batch.column("indptr")[i].values.to_numpy()
-                data = np.concatenate([[0], np.cumsum(batch.column("data")[i].values.to_numpy(), dtype=np.int64)])
+            for shard, indptr, data in zip(batch.column("shard").to_pylist(), batch.column("indptr"), batch.column("data"), strict=True):
+                ptr = np.frombuffer(indptr.as_buffer(), np.int32)
+                total = np.concatenate([[0], np.cumsum(np.frombuffer(data.as_buffer(), np.int32), dtype=np.int64)])
                 n = len(ptr) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, batch.column("shard")[i].as_py())), pa.array(np.arange(n, dtype=np.int32)), pa.array(data[ptr[1:]] - data[ptr[:-1]]), pa.array(np.diff(ptr).astype(np.int64))],
-                    names=["shard", "row", "n_words", "n_distinct"],
-                )
+                columns = [pa.array(np.full(n, shard)), pa.array(np.arange(n, dtype=np.int32)), pa.array(total[ptr[1:]] - total[ptr[:-1]]), pa.array(np.diff(ptr).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "row", "n_words", "n_distinct"])
 
-    counts = shards.select("shard", "indptr", "data").mapInArrow(run, "shard long, row int, n_words long, n_distinct long")
-    return counts.groupBy("shard", "row").agg(F.sum("n_words").alias("n_words"), F.sum("n_distinct").alias("n_distinct"))
+    return shards.select("shard", "indptr", "data").mapInArrow(run, "shard long, row int, n_words long, n_distinct long")
 
 
 def failed_filters(docs: DataFrame) -> DataFrame:
@@ -166,10 +132,10 @@ def failed_filters(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("part"), text_or_empty().alias("text"))
     docs = docs.withColumn("sha", F.sha2("text", 256))
-    shards, rows = term_shards(docs, dictionary(docs))
-    rows = rows.join(row_counts(shards), ["shard", "row"], "left")
-    n, distinct = F.coalesce("n_words", F.lit(0)), F.coalesce("n_distinct", F.lit(0))
-    marks = F.col("marks") + F.when(n < 50, BIT["A"]).otherwise(0) + F.when(100 * distinct < 65 * n, BIT["B"]).otherwise(0)
+    found = encoded(docs)
+    rows = found.where("words IS NULL").select("shard", F.posexplode(F.arrays_zip("doc_id", "part", "sha", "marks")).alias("row", "x")).select("shard", "row", "x.*")
+    rows = rows.join(row_counts(term_shards(found)), ["shard", "row"])
+    marks = F.col("marks") + F.when(F.col("n_words") < 50, BIT["A"]).otherwise(0) + F.when(F.expr("100 * n_distinct < 65 * n_words"), BIT["B"]).otherwise(0)
     rows = stored(rows.select("doc_id", "part", "sha", marks.alias("marks")), "marks")
     first = rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("sha", "first")
     found = rows.join(sendable(stored(first, "first")), "sha", "left")
