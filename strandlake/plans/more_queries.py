@@ -12,7 +12,8 @@ from ..functions.shared import shared_dir
 from ..functions.shared import stored as written
 from ..operators import barcodes as B
 from ..operators import counting, fragments, intervals, matrix, qc, reads, saturation
-from ..sources import readers, writers
+from ..sources import committed, readers, writers
+from .fixtures import dna
 from .queries import ANNOTATED, CELL_SQL, COUNTS, SINGLE, Views, good, list_counts, query, single_counts, with_cell
 
 R6 = lambda df, *cs: df.withColumns({c: F.round(c, 6) for c in cs})
@@ -573,6 +574,11 @@ def run_manifest(spark, sf):
     return out.select("sequence_id", "library_type", "fastq1", "fastq2", "fastq3", "samples", "reads")
 
 
+#: Few reads have both qualities this high; they stand for samples with hardly a read, and every 40th order for an unknown one.
+RARE = "CASE WHEN mapq >= 58 AND spike_mapq >= 58 THEN concat('X', CAST(mapq AS VARCHAR(4)), '-', umi) WHEN pos % 8000 = 0 THEN '*' ELSE sample END"
+RARE_SQL = f"replace({RARE}, '*', 'unknown')"
+
+
 @query("roundtrip_fastq", "SELECT library, read_id AS name, seq, repeat('I', CAST(length(seq) AS INT)) AS qual FROM fx_r2")
 def roundtrip_fastq(spark, sf):
     path = scratch(spark, "fastq")
@@ -582,12 +588,45 @@ def roundtrip_fastq(spark, sf):
     return back.select(F.regexp_extract("path", "library=([^/]*)", 1).alias("library"), "name", "seq", "qual")
 
 
-@query("roundtrip_fasta", "SELECT rank, name, seq FROM fx_wells")
+@query("fastq_by_sample", f"""SELECT part, name, seq, n FROM (SELECT *, count(*) OVER (PARTITION BY part) AS n FROM (SELECT concat('sample=', {RARE_SQL}) AS part, r2.read_id AS name, seq FROM fx_r2 r2 JOIN fx_reads r USING (read_id))) WHERE n >= 3
+UNION ALL SELECT part, NULL, NULL, count(*) FROM (SELECT concat('sample=', {RARE_SQL}) AS part FROM fx_r2 r2 JOIN fx_reads r USING (read_id)) GROUP BY 1 HAVING count(*) < 3""")
+def fastq_by_sample(spark, sf):
+    """Reads by sample as files; groups under three records are removed by the commit and listed, unknown samples have a folder."""
+    v = Views(spark, sf)
+    path = scratch(spark, "fastq-by-sample")
+    reads = v.r2.select("read_id", "seq").join(v.reads.select("read_id", F.expr(RARE).alias("sample")), "read_id")
+    writers.write_fastq(reads.select("sample", F.col("read_id").alias("name"), "seq", F.repeat(F.lit("I"), F.length("seq")).alias("qual")), path, ["sample"], least=3)
+    groups = committed.manifest_rows(spark, path)
+    back = readers.read_fastq(spark, path).withColumn("part", F.regexp_extract("path", "(sample=[^/]*)", 1))
+    kept = back.join(F.broadcast(groups.where("kept")), "part").select("part", "name", "seq", F.col("rows").alias("n"))  # a row for each sample
+    return kept.unionByName(groups.where("NOT kept").select("part", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("seq"), F.col("rows").alias("n")))
+
+
+@query("paired_reads", "SELECT r2.library, replace(read_id, ' ', '_') AS name, umi AS seq1, seq AS seq2, length(umi) AS length1 FROM fx_r2 r2 JOIN fx_reads r USING (read_id)")
+def paired_reads(spark, sf):
+    """Both mates written as files and scanned together, record by record."""
+    v = Views(spark, sf)
+    path = scratch(spark, "mates")
+    reads = v.r2.select("library", "read_id", "seq").join(v.reads.select("read_id", "umi"), "read_id")
+    reads = written(reads.withColumn("read_id", F.replace("read_id", F.lit(" "), F.lit("_"))), "mates")  # a name ends at a space
+    for mate, column in (("R1", "umi"), ("R2", "seq")):
+        rows = reads.select(F.lit(f"mate={mate}").alias("mate"), F.concat("read_id", F.lit(" "), "library", F.lit(f" {mate}")).alias("name"), F.col(column).alias("seq"), F.repeat(F.lit("I"), F.length(column)).alias("qual"))
+        lines = rows.select(F.col("mate").alias("part"), writers.fastq_lines(rows).alias("value"))
+        committed.write_lines(lines, path, ending=".fastq")
+    both = readers.paired_scan(spark, f"{path}/mate=R1", f"{path}/mate=R2")
+    library = reads.select(F.col("read_id").alias("name"), "library")
+    return both.join(library, "name").select("library", "name", "seq1", "seq2", F.length("seq1").cast("long").alias("length1"))
+
+
+@query("roundtrip_fasta", f"SELECT concat('G', CAST(p_partkey AS VARCHAR(10))) AS name, concat({dna('p_partkey', 8)}, {dna('p_partkey * 31', 8)}) AS seq FROM part")
 def roundtrip_fasta(spark, sf):
+    """A sequence for each feature, on two lines."""
     path = scratch(spark, "fasta")
-    w = Views(spark, sf).wells.orderBy("rank")
-    w.select(F.concat_ws("\n", F.concat(F.lit(">"), "name"), F.substring("seq", 1, 4), F.expr("substring(seq, 5)")).alias("value")).coalesce(1).write.text(path)
-    return readers.read_fasta(spark, f"{path}/*.txt").select((F.col("rank") - 1).alias("rank"), "name", "seq")
+    p = Views(spark, sf).part
+    name = F.concat(F.lit(">G"), F.col("p_partkey").cast("string"))
+    p = p.select(F.concat_ws("\n", name, F.expr(dna("p_partkey", 8)), F.expr(dna("p_partkey * 31", 8))).alias("value"))
+    committed.write_lines(p.select(F.lit("").alias("part"), "value"), path, ending=".fa")
+    return readers.read_fasta(spark, f"{path}/*.fa").select("name", "seq")
 
 
 @query("roundtrip_sam", "SELECT read_id, CASE WHEN is_mapped THEN contig END AS contig, pos, end_pos, mapq, is_mapped, umi FROM fx_reads")
@@ -627,18 +666,32 @@ def roundtrip_counts(spark, sf):
 def roundtrip_fragments(spark, sf):
     path = scratch(spark, "fragments")
     writers.write_fragments(fragment_table(Views(spark, sf)), path)
-    return spark.read.csv(path, sep="\t", schema="contig string, start long, end long, cell string, n long")
+    return readers.read_fragments(spark, path)
+
+
+@query("fragments_of_region", """SELECT contig, start, "end", cell, n FROM frags WHERE contig = 'chr2' AND start < 6000 AND "end" > 2500""", SESSIONS_SQL, FRAGMENTS_SQL)
+def fragments_of_region(spark, sf):
+    """Fragments that overlap a region, from the blocks that can hold them."""
+    path = scratch(spark, "fragments")
+    writers.write_fragments(fragment_table(Views(spark, sf)), path)
+    return readers.read_fragments(spark, path).where("contig = 'chr2' AND start < 6000 AND end > 2500")
+
+
+@query("alignments_of_region", "SELECT read_id, contig, pos, end_pos, mapq, is_mapped, umi, sample FROM fx_reads WHERE contig = 'chr1' AND pos >= 2000 AND pos < 4000")
+def alignments_of_region(spark, sf):
+    path = scratch(spark, "alignments")
+    writers.write_alignments(Views(spark, sf).reads.select("read_id", "contig", "pos", "end_pos", "mapq", "is_mapped", "umi", "sample"), path)
+    return readers.region(readers.read_alignments(spark, path), "chr1", 2000, 4000)
 
 
-@query("roundtrip_matrix_market", """SELECT c.i AS col, f.j AS row, n FROM counts JOIN (SELECT cell, row_number() OVER (ORDER BY cell) AS i FROM (SELECT DISTINCT cell FROM counts)) c USING (cell)
+@query("roundtrip_matrix_market", """SELECT c.i AS col, f.j AS row, n, cell, feature FROM counts JOIN (SELECT cell, row_number() OVER (ORDER BY cell) AS i FROM (SELECT DISTINCT cell FROM counts)) c USING (cell)
 JOIN (SELECT feature, row_number() OVER (ORDER BY feature) AS j FROM (SELECT DISTINCT feature FROM counts)) f USING (feature)""", ANNOTATED, COUNTS)
 def roundtrip_matrix_market(spark, sf):
     path = scratch(spark, "mtx")
     writers.write_matrix_market(list_counts(Views(spark, sf)), path)
-    lines = spark.read.text(f"{path}/counts").where(~F.col("value").startswith("%"))
-    p = F.split("value", " ")
-    back = lines.select(p[1].cast("long").alias("col"), p[0].cast("long").alias("row"), p[2].cast("long").alias("n"), F.monotonically_increasing_id().alias("_i"))
-    return back.where("_i > 0").drop("_i")  # the size line comes first
+    entries, cells, features = readers.read_matrix_market(spark, path)
+    out = entries.join(cells.select(F.col("id").alias("col"), F.col("name").alias("cell")), "col").join(features.select(F.col("id").alias("row"), F.col("name").alias("feature")), "row")
+    return out.select("col", "row", "n", "cell", "feature")
 
 
 @query("roundtrip_matrix", "SELECT feature, cell, n FROM counts", ANNOTATED, COUNTS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import strip_suffixes
-from . import records
+from . import blocks, committed, files, records
 
 LIBRARY_DIGEST = "sequence_id string, lysis_id string, library_type string, fastq1 string, fastq2 string"
 SAMPLE_DIGEST = (
@@ -31,6 +31,11 @@ def read_fasta(spark: SparkSession, path: str, *, split: int | None = None) -> D
     return records.scan(spark, path, "fasta", split)
 
 
+def read_lines(spark: SparkSession, path: str, *, split: int | None = None) -> DataFrame:
+    """``path, ordinal, value``: the lines of text files with their number in the file, from 0."""
+    return records.scan(spark, path, "lines", split)
+
+
 def paired_scan(spark: SparkSession, first: str, second: str) -> DataFrame:
     """Both mates record by record: ``ordinal, name, seq1, qual1, seq2, qual2``; names must agree."""
     from ..operators.reads import join_by_place
@@ -61,10 +66,48 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def region(reads: DataFrame, contig: str, start: int, end: int) -> DataFrame:
-    """Reads that start in ``[start, end)`` of a contig; the filter reaches a Parquet scan."""
+    """Reads that start in ``[start, end)`` of a contig; the filter reaches a Parquet scan and an indexed one."""
     return reads.where((F.col("contig") == contig) & (F.col("pos") >= start) & (F.col("pos") < end))
 
 
+def read_fragments(spark: SparkSession, path: str) -> DataFrame:
+    """Indexed fragments; filters on ``contig``, ``start`` and ``end`` decide which blocks are read."""
+    return blocks.read_blocks(spark, path)
+
+
+def read_alignments(spark: SparkSession, path: str) -> DataFrame:
+    """Indexed reads; filters on ``contig``, ``pos`` and ``end_pos`` decide which blocks are read."""
+    return blocks.read_blocks(spark, path)
+
+
+def read_matrix_market(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(entries, cells, features)``: ``row, col, n`` 1-based, and ``id, name`` of both sides, ids by their place in the files.
+
+    Raises an error if the size line doesn't fit what the files hold.
+    """
+    names = {}
+    for side in ("barcodes", "genes"):
+        listed, before, parts = files.read_manifest(f"{path}/{side}"), 0, []
+        for x in listed["files"]:
+            parts.append((x["file"].rpartition("/")[2], before))
+            before += x["rows"]
+        first = spark.createDataFrame(parts, "_file string, _before long")  # a row for each file
+        lines = read_lines(spark, f"{path}/{side}/part-*") if parts else spark.createDataFrame([], "path string, ordinal long, value string")
+        lines = lines.withColumn("_file", F.element_at(F.split("path", "/"), -1)).join(F.broadcast(first), "_file")
+        lines = lines.select((F.col("_before") + F.col("ordinal") + 1).alias("id"), F.col("value").alias("name"))
+        names[side] = lines, before
+    store, folder = files.system(path)
+    with store.open_input_stream(f"{folder}/counts/header") as f:
+        size = f.read().decode().splitlines()[-1].split()
+    rows = files.read_manifest(f"{path}/counts")["rows"]
+    if [int(x) for x in size] != [names["genes"][1], names["barcodes"][1], rows]:
+        raise ValueError(f"{path}: the size line doesn't fit the files")
+    kind = "row long, col long, n long"
+    counts = committed.files_of(f"{path}/counts")
+    entries = spark.read.csv(counts, sep=" ", schema=kind) if counts else spark.createDataFrame([], kind)
+    return entries, names["barcodes"][0], names["genes"][0]
+
+
 def read_track(spark: SparkSession, path: str, track: str, *, contigs: DataFrame | None = None) -> DataFrame:
     """Intervals ``track, name, contig, f_start, f_end, strand`` of a BED or SAF file; unknown contigs dropped."""
     if path.rstrip("/").lower().endswith("saf"):

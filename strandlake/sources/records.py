@@ -1,4 +1,4 @@
-"""FASTQ and FASTA as a data source: byte ranges of plain files, one partition for each compressed file.
+"""FASTQ, FASTA and numbered lines as a data source: byte ranges of plain files, one partition for each compressed file.
 
 A range owns the records that start in it, so files are cut without looking
 at them: a task skips to the first record start behind its first byte and reads
@@ -10,6 +10,7 @@ are cut, a row for each range, and no row is shuffled.
 from __future__ import annotations
 
 import gzip
+import itertools
 import json
 import sys
 from collections.abc import Iterator
@@ -26,6 +27,7 @@ CHUNK = 1 << 22
 KINDS = {
     "fastq": "path string, ordinal long, name string, seq string, qual string",
     "fasta": "path string, rank int, name string, seq string",
+    "lines": "path string, ordinal long, value string",
 }
 
 
@@ -76,6 +78,16 @@ def _lines(r: Range) -> Iterator[tuple[int, list[bytes]]]:
         yield at, [b"".join(left)]
 
 
+def line_records(r: Range) -> Iterator[list[bytes]]:
+    """Lines that start in the range."""
+    for at, lines in _lines(r):
+        if r.end >= 0 and at + sum(map(len, lines)) + len(lines) > r.end:
+            starts = itertools.accumulate((len(x) + 1 for x in lines), initial=at)
+            yield [x for x, start in zip(lines, starts, strict=False) if start < r.end]
+            return
+        yield lines
+
+
 def fastq_records(r: Range) -> Iterator[list[list[bytes]]]:
     """The lines of whole records, four lists at a time.
 
@@ -156,9 +168,18 @@ class RecordReader(DataSourceReader):
         return self.ranges
 
     def read(self, partition: Range):
+        if partition is None:  # Spark's stand-in where there are no partitions
+            return
         if self.count:
-            n = sum(len(x[0]) for x in fastq_records(partition)) if self.kind == "fastq" else sum(1 for _ in fasta_records(partition))
+            size = {"fastq": lambda x: len(x[0]), "lines": len, "fasta": lambda _: 1}[self.kind]
+            n = sum(map(size, {"fastq": fastq_records, "lines": line_records, "fasta": fasta_records}[self.kind](partition)))
             yield pa.RecordBatch.from_arrays([pa.array([partition.path]), pa.array([partition.start], pa.int64()), pa.array([n], pa.int64())], names=["path", "start", "n"])
+        elif self.kind == "lines":
+            at = partition.first
+            for lines in line_records(partition):
+                value = pa.array([x.rstrip(b"\r") for x in lines], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(lines), pa.string()), pa.array(range(at, at + len(lines)), pa.int64()), value], names=["path", "ordinal", "value"])
+                at += len(lines)
         elif self.kind == "fastq":
             at = partition.first
             for name, seq, _, qual in fastq_records(partition):

@@ -9,23 +9,33 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import UNKNOWN
 from ..operators.counting import matrix
+from . import blocks, committed, files
 
 
 def write_fragments(frags: DataFrame, path: str, *, parts: int | None = None) -> None:
-    """Fragments sorted by contig and start over range partitions, gz, tab separated."""
-    keys = ["contig", "start"]
-    out = frags.repartitionByRange(parts, *keys) if parts else frags.repartitionByRange(*keys)
-    out.sortWithinPartitions("contig", "start", "end", "cell").select("contig", "start", "end", "cell", "n").write.option("sep", "\t").option("compression", "gzip").csv(path)
+    """Fragments ``contig, start, end, cell, n`` sorted over range partitions, gz, tab separated, with an index of regions."""
+    blocks.write_blocks(frags.select("contig", "start", "end", "cell", "n"), path, parts=parts)
+
+
+def write_alignments(reads: DataFrame, path: str, *, parts: int | None = None) -> None:
+    """Reads by position, gz, tab separated, with an index of regions; reads without a position are left out."""
+    blocks.write_blocks(reads, path, start="pos", end="end_pos", parts=parts)
 
 
 def fastq_lines(reads: DataFrame, name: str = "name", seq: str = "seq", qual: str = "qual"):
     return F.concat_ws("\n", F.concat(F.lit("@"), F.col(name)), F.col(seq), F.lit("+"), F.col(qual))
 
 
-def write_fastq(reads: DataFrame, path: str, by: list[str], *, compression: str = "gzip") -> None:
-    """One folder for each value of ``by``; unknown values under ``*``'s stand-in ``unknown``."""
-    out = reads.select(*[F.coalesce(F.when(F.col(c) != UNKNOWN, F.col(c)), F.lit("unknown")).alias(c) for c in by], fastq_lines(reads).alias("value"))
-    out.write.partitionBy(*by).option("compression", compression).text(path)
+def write_fastq(reads: DataFrame, path: str, by: list[str], *, compressed: bool = True, least: int = 0) -> None:
+    """One folder for each value of ``by``; unknown values under ``*``'s stand-in ``unknown``.
+
+    Groups of fewer than ``least`` records in all are removed when the write is
+    committed; the manifest tells how many they had. No row is shuffled.
+    """
+    known = lambda c: F.coalesce(F.when(F.col(c) != UNKNOWN, F.col(c).cast("string")), F.lit("unknown"))
+    part = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), known(c)) for c in by])
+    lines = reads.select(part.alias("part"), fastq_lines(reads).alias("value")).sortWithinPartitions("part")
+    committed.write_lines(lines, path, ending=".fastq.gz" if compressed else ".fastq", least=least)
 
 
 def drop_small(reads: DataFrame, by: list[str], least: int = 3) -> DataFrame:
@@ -46,14 +56,20 @@ def write_matrix(counts: DataFrame, path: str) -> None:
 
 
 def write_matrix_market(counts: DataFrame, path: str) -> None:
-    """``barcodes``, ``genes`` and ``counts``: 1-based entries by column, with the size line first."""
+    """``barcodes``, ``genes`` and ``counts``: 1-based entries by feature and cell; the size line is the file ``header``.
+
+    Entries stay in the partitions where they are made; the commit counts them
+    and writes the size line. Names are written in the order of their ids.
+    """
     x, obs, var = matrix(counts)
+    sizes = {}
     for name, df, i, column in (("barcodes", obs, "i", "cell"), ("genes", var, "j", "feature")):
-        df.orderBy(i).select(column).write.text(f"{path}/{name}")
-    size = x.agg(F.count("*").alias("nnz")).crossJoin(obs.agg(F.count("*").alias("cells"))).crossJoin(var.agg(F.count("*").alias("genes")))
-    head = size.select(F.lit(-1).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), F.concat(F.lit("%%MatrixMarket matrix coordinate integer general\n"), F.concat_ws(" ", F.col("genes").cast("string"), F.col("cells").cast("string"), F.col("nnz").cast("string"))).alias("value"))
-    body = x.select("i", "j", F.concat_ws(" ", (F.col("j") + 1).cast("string"), (F.col("i") + 1).cast("string"), F.col("n").cast("string")).alias("value"))
-    head.union(body).orderBy("i", "j").select("value").write.text(f"{path}/counts")
+        names = df.repartitionByRange(i).sortWithinPartitions(i)
+        committed.write_lines(names.select(F.lit("").alias("part"), F.col(column).alias("value")), f"{path}/{name}")
+        sizes[name] = files.read_manifest(f"{path}/{name}")["rows"]
+    entry = F.concat_ws(" ", (F.col("j") + 1).cast("string"), (F.col("i") + 1).cast("string"), F.col("n").cast("string"))
+    header = f"%%MatrixMarket matrix coordinate integer general\n{sizes['genes']} {sizes['barcodes']} {{rows}}\n"
+    committed.write_lines(x.select(F.lit("").alias("part"), entry.alias("value")), f"{path}/counts", header=header)
 
 
 def write_table(df: DataFrame, path: str, *, by: list[str] | None = None, sep: str = ",") -> None:

@@ -5,7 +5,9 @@ import random
 
 import pytest
 
-from strandlake.sources import readers, records
+from pyspark.sql import functions as F
+
+from strandlake.sources import blocks, committed, readers, records, writers
 
 
 def fastq_text(seed, n):
@@ -71,3 +73,93 @@ def test_scan_numbers_records_without_an_exchange(spark, tmp_path):
     (tmp_path / "w.fa").write_text(">a\nAC\n\nGT\r\n>b\n>c\nT\n")
     fa = readers.read_fasta(spark, str(tmp_path / "w.fa"), split=4)
     assert sorted((r["rank"], r["name"], r["seq"]) for r in fa.collect()) == [(1, "a", "ACGT"), (2, "b", ""), (3, "c", "T")]
+
+
+# --- indexed blocks and committed sinks
+
+
+def positions(spark, n=4000):
+    r = random.Random(n)
+    rows = [(f"chr{r.randint(1, 3)}", s := r.randint(0, 50_000), s + r.randint(1, 300), r.choice(["é", "c d", None]), r.choice([True, False, None]), r.random(), i) for i in range(n)]
+    return rows, spark.createDataFrame([*rows, (None, 1, 2, "", None, 0.5, -1)], "contig string, start long, end long, name string, ok boolean, x double, i int")
+
+
+def test_blocks_of_a_region_are_all_that_is_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK", 2_000)
+    monkeypatch.setattr(blocks, "RUN", 1)
+    rows, df = positions(spark)
+    blocks.write_blocks(df, str(tmp_path / "b"), parts=3)
+    back = blocks.read_blocks(spark, str(tmp_path / "b"))
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, rows))
+    with gzip.open(next((tmp_path / "b").glob("*.tsv.gz")), "rt") as f:  # any tool reads it whole
+        assert len(next(f).rstrip("\n").split("\t")) == 7
+    want = sorted(x[6] for x in rows if x[0] == "chr2" and x[1] < 21_000 and x[2] > 20_000)
+    region = back.where("contig = 'chr2' AND start < 21000 AND end > 20000")
+    assert sorted(x["i"] for x in region.collect()) == want
+    wanted = blocks.Wanted("chr2", None, 20_999, 20_001)
+    files, total, read = sorted((tmp_path / "b").glob("*.tsv.gz")), 0, 0
+    for f in files:
+        keep = blocks.blocks_of(blocks.File(str(f)[: -len(".tsv.gz")], wanted))
+        raw = bytearray(f.read_bytes())
+        total, read = total + len(raw), read + sum(n for _, n in keep)
+        for k in range(len(raw)):
+            if not any(at <= k < at + n for at, n in keep):
+                raw[k] = 255
+        f.write_bytes(raw)  # nothing but the region's blocks can be read any more
+    assert 0 < read < total / 5
+    assert sorted(x["i"] for x in region.collect()) == want
+    assert back.where("contig = 'chr9'").count() == 0 and back.where("contig = 'chr1' AND start >= 60000").count() == 0
+    with pytest.raises(Exception, match="gzip"):
+        back.where("contig = 'chr1'").collect()
+
+
+def test_blocks_of_nothing(spark, tmp_path):
+    _, df = positions(spark, 1)
+    blocks.write_blocks(df.where("i > 5"), str(tmp_path / "none"))
+    assert blocks.read_blocks(spark, str(tmp_path / "none")).collect() == []
+    with pytest.raises(Exception, match="Quotes|quot|CSV|line"):
+        blocks.write_blocks(df.where("contig IS NOT NULL").withColumn("name", F.lit("a\tb")), str(tmp_path / "tab"))
+
+
+def test_commit_removes_small_groups_and_lists_them(spark, tmp_path):
+    rows = [(f"r{i}", "ACGT", "IIII", ["a", "a", "b", "*", None][i % 5] if i < 20 else "few") for i in range(22)]
+    df = spark.createDataFrame(rows, "name string, seq string, qual string, sample string").repartition(3)
+    path = str(tmp_path / "fq")
+    writers.write_fastq(df, path, ["sample"], least=3)
+    assert {(r["part"], r["rows"], r["kept"]) for r in committed.manifest_rows(spark, path).collect()} == {("sample=a", 8, True), ("sample=b", 4, True), ("sample=unknown", 8, True), ("sample=few", 2, False)}
+    assert sorted(r["name"] for r in readers.read_fastq(spark, path).collect()) == sorted(f"r{i}" for i in range(20))
+    left = [p.name for p in (tmp_path / "fq").rglob("*") if p.is_file()]
+    assert all(n.startswith(("part-", "_manifest")) or n.endswith(".crc") for n in left)
+    assert len(committed.files_of(path)) == len([n for n in left if n.startswith("part-")])
+    writers.write_fastq(df.limit(0), str(tmp_path / "none"), ["sample"])
+    assert committed.files_of(str(tmp_path / "none")) == []
+
+
+def test_a_failed_write_leaves_no_manifest(spark, tmp_path):
+    bad = spark.range(100).repartition(4).select(F.lit("p").alias("part"), F.when(F.col("id") == 70, F.raise_error(F.lit("broken"))).otherwise(F.col("id").cast("string")).alias("value"))
+    with pytest.raises(Exception, match="broken"):
+        committed.write_lines(bad, str(tmp_path / "x"))
+    assert not (tmp_path / "x" / "_manifest.json").exists()
+
+
+def test_matrix_market_over_many_files(spark, tmp_path):
+    r = random.Random(3)
+    want = {(f"g{r.randint(0, 40)}", f"c{r.randint(0, 30)}"): r.randint(1, 9) for _ in range(300)}
+    counts = spark.createDataFrame([(*k, n) for k, n in want.items()], "feature string, cell string, n long").repartition(5)
+    path = str(tmp_path / "m")
+    writers.write_matrix_market(counts, path)
+    head = (tmp_path / "m" / "counts" / "header").read_text().splitlines()
+    assert head[0].startswith("%%MatrixMarket") and head[1].split() == [str(len({k[0] for k in want})), str(len({k[1] for k in want})), str(len(want))]
+    entries, cells, features = readers.read_matrix_market(spark, path)
+    cell, feature = ({x["id"]: x["name"] for x in df.collect()} for df in (cells, features))
+    assert list(cell.values()) and sorted(cell.values()) == [cell[i] for i in range(1, len(cell) + 1)]
+    assert {(feature[x["row"]], cell[x["col"]]): x["n"] for x in entries.collect()} == want
+    (tmp_path / "m" / "counts" / "header").write_text("%%\n1 2 3\n")
+    with pytest.raises(ValueError, match="size line"):
+        readers.read_matrix_market(spark, path)
+
+
+def test_numbered_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x\n\ny\nz")
+    got = {(r["ordinal"], r["value"]) for r in readers.read_lines(spark, str(tmp_path / "a.txt"), split=2).collect()}
+    assert got == {(0, "x"), (1, ""), (2, "y"), (3, "z")}
