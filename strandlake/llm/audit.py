@@ -1,8 +1,7 @@
 """Audit of filters that interact: what each removes in every order of application.
 
 A sparse document-term matrix decides the filters on words. Where texts are
-read, words are numbered by a dictionary of their own, a page of at most PAGE words or of one
-document's, and documents become CSR shards in these numbers. All pages' words meet
+read, words are numbered by a dictionary of some MB of text, a page, and documents become CSR shards in these numbers. All pages' words meet
 in one global dictionary: a shuffle by word, in which a page lists each word once
 however often it stands there, so the most frequent word is as many rows as there are pages. The
 pages get their words' global numbers back, and shards are renumbered by them. Row
@@ -12,7 +11,6 @@ sums are a document's words, nonzero counts its distinct words.
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import sendable, stored, table, text_or_empty
-from .textstats import slices, sums
+from .textstats import SPACE, Words, slices, sums
 
 FILTERS = "ABCDE"
 BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
-#: Words of a page; a page ends with the shard in which it gets as many.
-PAGE = 1 << 19
+#: Distinct words of shards, added up, and shards of a page, which ends with the shard in which it gets as many.
+PAGE, SHARDS = 1 << 21, 32
 
 SIGN = np.zeros(256, bool)
 SIGN[list(b"#$%&*|")] = True
@@ -39,6 +37,24 @@ ENCODED = pa.schema([
 SHARD = "page long, shard long, n_rows int, indptr binary, indices binary, data binary"
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """int32 as four runs of bytes, lowest first: small numbers compress well."""
+    return np.ascontiguousarray(x.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(x: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of a slice, and their rows."""
+    inside = ~SPACE[data]
+    words = Words(data, offsets, inside)
+    ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(data[inside])]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, buffers).dictionary_encode(), words.row.astype(np.int32)
+
+
 def encoded(docs: DataFrame, *, words_of_page: int = PAGE) -> DataFrame:
     """CSR shards of ``docs(doc_id, part, sha, text)`` in the numbers of their pages, and the pages' ``words``.
 
@@ -46,63 +62,65 @@ def encoded(docs: DataFrame, *, words_of_page: int = PAGE) -> DataFrame:
     characters for each of its documents. Stored, as the numbers depend on how the rows are dealt.
     """
 
+    def emit(**columns):
+        return pa.RecordBatch.from_arrays([pa.array([columns.get(f.name)], f.type) for f in ENCODED], schema=ENCODED)
+
+    def finish(page, held):
+        """One dictionary for the shards of a page."""
+        whole = pa.concat_arrays([words.dictionary for _, words, _, _ in held]).dictionary_encode()
+        of, at = whole.indices.to_numpy().astype(np.int64), 0
+        for shard, words, row, told in held:
+            size, n = len(words.dictionary), len(told["marks"])
+            entry, count = np.unique((row.astype(np.int64) << 32) + of[at : at + size][words.indices.to_numpy()], return_counts=True)
+            at += size
+            ptr = np.searchsorted(entry, np.arange(n + 1) << 32)
+            yield emit(page=page, shard=shard, indptr=_packed(ptr), indices=_packed(entry & 0xFFFFFFFF), data=_packed(count), **told)
+        yield emit(page=page, words=whole.dictionary.to_pylist())
+
     def run(batches):
         page, shard = TaskContext.get().partitionId() << 12, TaskContext.get().partitionId() << 32
-        number: dict = defaultdict(itertools.count().__next__)
-
-        def emit(**columns):
-            return pa.RecordBatch.from_arrays([pa.array([columns.get(f.name)], f.type) for f in ENCODED], schema=ENCODED)
-
+        held, size = [], 0
         for batch in batches:
             for at, _, data, offsets in slices(batch.column("text")):
-                raw, n = data.tobytes(), len(offsets) - 1
-                words = [raw[a:b].split() for a, b in itertools.pairwise(offsets.tolist())]  # bytes split at the six ASCII white spaces
-                length = np.array([len(w) for w in words])
-                code = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(words)), np.int64, length.sum())
-                entry, count = np.unique(np.repeat(np.arange(n) << 32, length) + code, return_counts=True)
-                ptr = np.searchsorted(entry, np.arange(n + 1) << 32)
+                words, row = _words(data, offsets)
                 capitals, points = sums((data >= 65) & (data <= 90), offsets), sums((data & 0xC0) != 0x80, offsets)
                 marks = BIT["C"] * (100 * capitals > 5 * points) + BIT["D"] * (sums(SIGN[data], offsets) > 0)
-                told = {c: batch.column(c).slice(at, n).to_pylist() for c in ("doc_id", "part", "sha")}
-                csr = {"indptr": ptr.astype(np.int32), "indices": (entry & 0xFFFFFFFF).astype(np.int32), "data": count.astype(np.int32)}
-                yield emit(page=page, shard=shard, marks=marks, **told, **{k: x.tobytes() for k, x in csr.items()})
-                shard += 1
-                if len(number) >= words_of_page:
-                    yield emit(page=page, words=list(number))
-                    page += 1
-                    number = defaultdict(itertools.count().__next__)
-        if number:
-            yield emit(page=page, words=list(number))
+                told = {c: batch.column(c).slice(at, len(marks)).to_pylist() for c in ("doc_id", "part", "sha")}
+                held.append((shard, words, row, told | {"marks": marks.tolist()}))
+                shard, size = shard + 1, size + len(words.dictionary)
+                if size >= words_of_page or len(held) == SHARDS:
+                    yield from finish(page, held)
+                    page, held, size = page + 1, [], 0
+        if held:
+            yield from finish(page, held)
 
     kind = "page long, shard long, doc_id array<long>, part array<string>, sha array<string>, marks array<int>, indptr binary, indices binary, data binary, words array<binary>"
     return stored(docs.select("doc_id", "part", "sha", "text").mapInArrow(run, kind), "encoded")
 
 
 def dictionary(found: DataFrame) -> DataFrame:
-    """``page, code, word, id`` of :func:`encoded`'s pages: every word has one ``id``, its number where it stands first."""
+    """``word, own, id`` of :func:`encoded`'s pages: ``own`` is a word's number in a page, behind the page's number; a word's one ``id`` is its smallest ``own``."""
     words = found.where("words IS NOT NULL").select("page", F.posexplode("words").alias("code", "word"))
-    place = F.struct("page", "code")
-    return words.withColumn("id", F.min(place).over(Window.partitionBy("word"))).withColumn("id", F.shiftleft("id.page", 31) + F.col("id.code"))
+    words = words.select("word", (F.shiftleft("page", 31) + F.col("code")).alias("own"))
+    return words.withColumn("id", F.min("own").over(Window.partitionBy("word")))
 
 
 def term_shards(found: DataFrame) -> DataFrame:
-    """``page, shard, n_rows, indptr, indices, data``: the CSR shards of :func:`encoded` in global numbers, as bytes of int32, int64 and int32."""
-    pages = dictionary(found).groupBy("page").agg(F.collect_list("code").alias("codes"), F.collect_list("id").alias("ids"))  # PAGE or a document's
-    shards = found.where("words IS NULL").select("page", "shard", F.size("doc_id").alias("n_rows"), "indptr", "indices", "data").join(pages, "page", "left")
+    """``page, shard, n_rows, indptr, indices, data``: the CSR shards of :func:`encoded` in global numbers, ``indices`` as bytes of int64."""
+    moved = dictionary(found).where("own <> id").select(F.shiftright("own", 31).alias("page"), "own", "id")
+    shards = found.where("words IS NULL").select("page", "shard", F.size("doc_id").alias("n_rows"), "indptr", "indices", "data")
 
-    def renumber(batches):
-        for batch in batches:
-            new = []
-            for indices, codes, ids in zip(batch.column("indices"), batch.column("codes"), batch.column("ids"), strict=True):
-                old = np.frombuffer(indices.as_buffer(), np.int32)
-                of = np.zeros(len(codes) if codes.is_valid else 0, np.int64)
-                if len(of):
-                    of[codes.values.to_numpy()] = ids.values.to_numpy()
-                new.append(of[old].tobytes())
-            columns = {c: batch.column(c) for c in ("page", "shard", "n_rows", "indptr", "data")} | {"indices": pa.array(new, pa.binary())}
-            yield pa.RecordBatch.from_pydict({c.split()[0]: columns[c.split()[0]] for c in SHARD.split(", ")})
+    def renumber(shards: pa.Table, moved: pa.Table) -> pa.Table:
+        if not shards.num_rows:
+            return pa.table([[]] * 6, names=[c.split()[0] for c in SHARD.split(", ")])
+        codes = [_unpacked(x) for x in shards.column("indices")]
+        base = shards.column("page")[0].as_py() << 31
+        of = base + np.arange(max((int(x.max(initial=-1)) for x in codes)) + 1)
+        of[moved.column("own").to_numpy() - base] = moved.column("id").to_numpy()
+        new = pa.array([of[x].tobytes() for x in codes], pa.binary())
+        return shards.set_column(shards.schema.get_field_index("indices"), "indices", new)
 
-    return shards.mapInArrow(renumber, SHARD)
+    return shards.groupBy("page").cogroup(moved.groupBy("page")).applyInArrow(renumber, SHARD)  # a page is bounded
 
 
 def row_counts(shards: DataFrame) -> DataFrame:
@@ -111,8 +129,8 @@ def row_counts(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for shard, indptr, data in zip(batch.column("shard").to_pylist(), batch.column("indptr"), batch.column("data"), strict=True):
-                ptr = np.frombuffer(indptr.as_buffer(), np.int32)
-                total = np.concatenate([[0], np.cumsum(np.frombuffer(data.as_buffer(), np.int32), dtype=np.int64)])
+                ptr = _unpacked(indptr)
+                total = np.concatenate([[0], np.cumsum(_unpacked(data), dtype=np.int64)])
                 n = len(ptr) - 1
                 columns = [pa.array(np.full(n, shard)), pa.array(np.arange(n, dtype=np.int32)), pa.array(total[ptr[1:]] - total[ptr[:-1]]), pa.array(np.diff(ptr).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["shard", "row", "n_words", "n_distinct"])
