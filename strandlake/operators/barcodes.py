@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from ..functions.columns import UNKNOWN, number_of, well_number
+from ..functions.sequences import byte_matrix
 from .counting import ranked
 
 #: Tail motifs that tell the molecule type, first match wins. Fixed values.
@@ -32,66 +34,78 @@ def molecule_type(tail: Column, motifs=MOTIFS, otherwise: str = "unk") -> Column
 
 
 def _anchor(linker1: str, linker2: str, lumi: int, lbc: int, max_mismatch: int | None):
-    """Arrow function that places both linkers by their number of mismatches."""
-    lln = len(linker1)
+    """Arrow function that gives linker 1's place in each read by the mismatches of both linkers, or null.
 
-    def mismatches(seq: str, at: int, linker: str) -> int:
-        part = seq[at : at + len(linker)]
-        return sum(a != b for a, b in zip(part, linker, strict=False)) + len(linker) - len(part)
-
-    def place(seq: str | None):
-        if seq is None:
-            return None, None
-        one = min(range(lbc, lumi + lbc + 6), key=lambda i: (mismatches(seq, i, linker1), i))
-        two = min(range(one + lln, lumi + lbc + 6 + lln + lbc), key=lambda i: (mismatches(seq, i, linker2), i))
-        m1, m2 = mismatches(seq, one, linker1), mismatches(seq, two, linker2)
-        off = two - (one + lln + lbc)
-        if off and not (0 < -off < lbc and m2 < m1):
-            return None, None
-        one += off
-        if one < lbc or (max_mismatch is not None and max(m1, m2) > max_mismatch):
-            return None, None
-        return one, two
-
-    @pandas_udf("struct<l1 int, l2 int>")
-    def anchors(seq: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([place(s) for s in seq], columns=["l1", "l2"]).astype("Int32")
+    A batch is a byte matrix; all offsets of all reads are compared at once, a linker base at a time.
+    """
+    lln = len(linker1)
+    first, second = np.arange(lbc, lumi + lbc + 6), np.arange(lbc + lln, lumi + 2 * lbc + 6 + lln)
+    width = int(second[-1]) + len(linker2)
+
+    def mismatches(data: np.ndarray, at: np.ndarray, linker: str) -> np.ndarray:
+        out = np.zeros((len(data), len(at)), np.int16)
+        for j, base in enumerate(linker.encode()):
+            out += data[:, at + j] != base  # what lies behind a read's end is a mismatch
+        return out
+
+    @pandas_udf("int")
+    def anchors(seq: pd.Series) -> pd.Series:
+        out = pd.Series(pd.NA, seq.index, "Int32")
+        have = seq.notna()
+        if have.any():
+            data, _ = byte_matrix([x[:width] for x in seq[have]], width)
+            m1 = mismatches(data, first, linker1)
+            one = first[m1.argmin(1)]
+            m2 = np.where(second >= one[:, None] + lln, mismatches(data, second, linker2), 10_000)
+            two = second[m2.argmin(1)]
+            m1, m2 = m1.min(1), m2.min(1)
+            off = two - (one + lln + lbc)
+            # a barcode lies between the linkers; if linker 2 fits better, it tells where linker 1 is
+            fits = (off == 0) | ((off < 0) & (-off < lbc) & (m2 < m1))
+            place = one + off
+            if max_mismatch is not None:
+                fits &= np.maximum(m1, m2) <= max_mismatch
+            out[have] = pd.arrays.IntegerArray(place.astype(np.int32), ~(fits & (place >= lbc)))
+        return out
 
     return anchors
 
 
 def extract_barcodes(
-    reads: DataFrame, linker1: str, linker2: str, *, seq: str = "seq", lumi: int = 10, lbc: int = 8, lsn: int = 4, spacer: int = 1, max_mismatch: int | None = None
+    reads: DataFrame, linker1: str, linker2: str, *, seq: str = "seq", qual: str | None = None, lumi: int = 10, lbc: int = 8, lsn: int = 4, spacer: int = 1, site: int = 8, max_mismatch: int | None = None
 ) -> DataFrame:
-    """``reads`` with ``umi, bc1, bc2, sbc, tail`` cut out of ``seq``; null where the linkers don't fit.
+    """``reads`` with ``umi, bc1, bc2, sbc, res, tail`` cut out of ``seq``, and ``tail_qual`` out of ``qual`` if that is named; null where the linkers don't fit.
+
+    Layout: umi, bc1, a gap of up to 5 bases, linker 1, bc2, linker 2, a spacer,
+    sample barcode, restriction site, tail. A linker that begins too early shows that bases
+    were skipped: they count as the umi's, which is padded with N on the left. ``res``
+    holds the spacer and the site; in a read that ends before its sample barcode it is N and ``sbc`` null.
 
-    Layout: umi, gap of up to 3 skipped bases, bc1, linker 1, bc2, linker 2, a
-    spacer, sample barcode, tail. Exact linkers are found by built-ins; only
-    other reads go to the Arrow function that scores mismatches. A umi whose
-    bases were skipped is padded with N on the left.
+    One pass: exact linkers are found by built-ins, and only the other reads'
+    sequences go to the Arrow function that scores mismatches.
     """
     lln = len(linker1)
     s = F.col(seq)
     l1 = F.instr(s, linker1) - 1
-    exact = (l1 >= lbc) & (l1 <= lumi + lbc + 5) & (F.expr(f"substring({seq}, {l1_sql(seq, linker1)} + {lln + lbc + 1}, {len(linker2)})") == linker2)
-    fast = reads.withColumn("_exact", F.coalesce(exact, F.lit(False)))
-    anchors = _anchor(linker1, linker2, lumi, lbc, max_mismatch)
-    near = fast.where(~F.col("_exact")).withColumn("_a", anchors(s)).withColumn("_l1", F.col("_a.l1")).drop("_a", "_exact")
-    fast = fast.where("_exact").withColumn("_l1", l1.cast("int")).drop("_exact")
-    both = fast.unionByName(near)
-    at = F.col("_l1")
-    part = lambda start, n: F.substring(s, (start + 1).cast("int"), F.lit(n))
-    umi_end = at - lbc
-    umi = F.when(umi_end >= lumi, part(F.lit(0), lumi)).otherwise(F.lpad(F.substring(s, F.lit(1), umi_end), lumi, "N"))
-    sample_at = at + lln + lbc + len(linker2) + spacer
-    sbc = part(sample_at, lsn)
-    tail = F.substring(s, (sample_at + lsn + 1).cast("int"), F.length(s))
-    out = both.withColumns({"umi": umi, "bc1": part(at - lbc, lbc), "bc2": part(at + lln, lbc), "sbc": F.when(F.length(sbc) == lsn, sbc), "tail": tail})
-    return out.withColumns({c: F.when(at.isNotNull(), F.col(c)) for c in ("umi", "bc1", "bc2", "sbc", "tail")}).drop("_l1")
-
-
-def l1_sql(seq: str, linker1: str) -> str:
-    return f"(instr({seq}, '{linker1}') - 1)"
+    second = F.substring(s, l1 + lln + lbc + 1, F.lit(len(linker2)))
+    exact = F.coalesce((l1 >= lbc) & (l1 <= lumi + lbc + 5) & (second == linker2), F.lit(False))
+    at = F.coalesce(F.when(exact, l1), _anchor(linker1, linker2, lumi, lbc, max_mismatch)(F.when(~exact, s)))
+    out = reads.withColumn("_at", at.cast("int"))
+    at = F.col("_at")
+    part = lambda start, n, of=s: F.substring(of, (start + 1).cast("int"), F.lit(n))
+    skipped = at < lumi + lbc
+    missing = F.least(F.lit(lumi), lumi + lbc - at)
+    umi = F.when(skipped, F.concat(F.repeat(F.lit("N"), missing), F.substring(s, F.lit(1), lumi - missing))).otherwise(part(F.lit(0), lumi))
+    bc1 = F.when(skipped, part(at - lbc, lbc)).otherwise(part(F.lit(lumi), lbc))
+    end = at + lln + lbc + len(linker2)  # of linker 2
+    whole = end + spacer < F.length(s)
+    sbc = part(end + spacer, lsn)
+    res = F.when(whole, F.concat(part(end, spacer), part(end + spacer + lsn, site))).otherwise("N" * (spacer + site))
+    rest = lambda of: F.when(whole, F.substring(of, (end + spacer + lsn + site + 1).cast("int"), F.length(of))).otherwise("")
+    cut = {"umi": umi, "bc1": bc1, "bc2": part(at + lln, lbc), "sbc": F.when(whole & (F.length(sbc) == lsn), sbc), "res": res, "tail": rest(s)}
+    if qual:
+        cut["tail_qual"] = rest(F.col(qual))
+    return out.withColumns({c: F.when(at.isNotNull(), x) for c, x in cut.items()}).drop("_at")
 
 
 def neighbourhood(whitelist: DataFrame) -> DataFrame:

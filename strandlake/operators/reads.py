@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from ..functions.columns import UNKNOWN, any_of, strip_suffixes
+from ..functions.sequences import byte_matrix, edits
 from .counting import ranked
 
 
@@ -104,18 +105,11 @@ def repair(df: DataFrame, seq: str = "seq", qual: str = "qual") -> DataFrame:
     return df.withColumn(seq, s).withColumn(qual, F.rpad(F.coalesce(qual, F.lit("")), F.length(seq), F.lit("!")))
 
 
-def _bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """ASCII strings as rows of a byte matrix, zeros behind their ends, and their lengths."""
-    size = np.array([len(x) for x in texts], np.int64)
-    width = max(1, int(size.max(initial=0)))
-    return np.array([x.encode("ascii", "replace") for x in texts], f"S{width}").view(np.uint8).reshape(len(texts), width), size
-
-
 def _quality_ends(quals: list[str], cutoff: int) -> np.ndarray:
     """Where each read ends once its tail of low quality is cut: the lowest running sum from the end, before it rises above 0."""
     if not quals:
         return np.zeros(0, np.int64)
-    back, size = _bytes([x[::-1] for x in quals])
+    back, size = byte_matrix([x[::-1] for x in quals])
     inside = np.arange(back.shape[1]) < size[:, None]
     total = np.cumsum(np.where(inside, back.astype(np.int64) - 33 - cutoff, 0), axis=1)
     alive = inside & ~np.logical_or.accumulate(total > 0, axis=1)
@@ -125,21 +119,30 @@ def _quality_ends(quals: list[str], cutoff: int) -> np.ndarray:
 
 
 def _adapter_starts(seqs: list[str], adapters: list[str], min_overlap: int, error: float) -> np.ndarray:
-    """The leftmost place of any adapter in each read, else the read's length."""
+    """Where the first adapter begins in each read, else the read's length.
+
+    Reads and adapters are matched backwards, so a match's end is where the
+    adapter begins. Of the places with at most ``error`` edits a base the leftmost is
+    taken, or a better one within as many bases of it as edits are allowed: a
+    match can be stretched to the left by that much. At the read's end the
+    adapter's beginning alone, ``min_overlap`` bases or more, can stand.
+    """
     if not seqs:
         return np.zeros(0, np.int64)
-    data, size = _bytes(seqs)
+    data, size = byte_matrix([x[::-1] for x in seqs])
     best = size.copy()
     for adapter in adapters:
-        code = np.frombuffer(adapter.encode(), np.uint8)
-        open_ = np.ones(len(seqs), bool)
-        for i in range(max(0, data.shape[1] - min_overlap + 1)):
-            part = data[:, i : i + len(code)]
-            n = np.minimum(len(code), size - i)
-            other = ((part != code[: part.shape[1]]) & (np.arange(part.shape[1]) < n[:, None])).sum(1)
-            hit = open_ & (n >= min_overlap) & (other <= error * n)
-            best[hit] = np.minimum(best[hit], i)
-            open_ &= ~hit
+        for p in range(min_overlap, len(adapter) + 1):
+            most = int(error * p)
+            whole = p == len(adapter)
+            cost = edits(data, size, adapter[:p][::-1], anchored=not whole, columns=None if whole else p + most)
+            places = np.arange(cost.shape[1])
+            fits = (cost <= most) & (places <= size[:, None])
+            last = np.where(fits, places, -1).max(1)  # the leftmost place in the read
+            near = fits & (places >= last[:, None] - most) & (places <= last[:, None])
+            least = np.where(near, cost, 10_000).min(1)
+            at = np.where(near & (cost == least[:, None]), places, -1).max(1)
+            best = np.where(last >= 0, np.minimum(best, size - at), best)
     return best
 
 
@@ -148,8 +151,8 @@ def trim_reads(df: DataFrame, adapters: list[str], *, five: tuple[str, ...] = ()
 
     A read's end is cut where the running sum of (quality - cutoff) from the
     end is lowest. A 3' adapter is cut from its leftmost place with at most
-    ``error`` mismatches a base, also when only its beginning (``min_overlap``
-    bases or more) fits; 5' adapters are cut with what is before them.
+    ``error`` edits a base (substitutions, insertions, deletions), also when only its beginning
+    (``min_overlap`` bases or more) stands at the read's end; 5' adapters are cut with what is before them.
     """
 
     @pandas_udf("struct<s string, q string>")

@@ -69,6 +69,15 @@ SELECT r.read_id, r.library,
               CASE WHEN r.seqtype = 'rna' THEN 'CCTGCAGG' WHEN r.seqtype = 'dna' THEN 'GCGGCCGC' ELSE 'AAAAAAAA' END) AS seq
 FROM {{fx_reads}} r JOIN {{fx_wells}} w1 ON r.bc1 = w1.name JOIN {{fx_wells}} w2 ON r.bc2 = w2.name
 JOIN {{fx_samples}} s ON r.sample = s.name""",
+    # one or two substitutions in linker 1, one in linker 2, or a base of linker 1 left out
+    "fx_r2_damaged": f"""
+SELECT read_id, library,
+       concat(substr(seq, 1, CAST(a - 1 AS INT)), CASE WHEN o % 3 = 0 THEN translate(substr(seq, CAST(a AS INT), 1), 'ACGTN', 'CGTAC') WHEN o % 11 = 1 THEN '' ELSE substr(seq, CAST(a AS INT), 1) END,
+              substr(seq, CAST(a + 1 AS INT), CAST(b - a - 1 AS INT)), CASE WHEN o % 6 = 0 THEN translate(substr(seq, CAST(b AS INT), 1), 'ACGTN', 'CGTAC') ELSE substr(seq, CAST(b AS INT), 1) END,
+              substr(seq, CAST(b + 1 AS INT), CAST(c - b - 1 AS INT)), CASE WHEN n % 2 = 0 THEN translate(substr(seq, CAST(c AS INT), 1), 'ACGTN', 'CGTAC') ELSE substr(seq, CAST(c AS INT), 1) END,
+              substr(seq, CAST(c + 1 AS INT), 200)) AS seq
+FROM (SELECT *, l1 + o % 14 AS a, l1 + 15 + o % 15 AS b, l1 + 38 + o % 30 AS c FROM (
+  SELECT read_id, library, seq, instr(seq, '{LINKER1}') AS l1, CAST(split_part(read_id, '-', 1) AS BIGINT) AS o, CAST(split_part(read_id, '-', 2) AS BIGINT) AS n FROM {{fx_r2}}) x) y""",
 }
 NEEDS = {
     "fx_wells": ("part",),
@@ -76,6 +85,7 @@ NEEDS = {
     "fx_reads": ("lineitem",),
     "fx_features": ("part",),
     "fx_r2": ("fx_reads", "fx_wells", "fx_samples"),
+    "fx_r2_damaged": ("fx_r2",),
 }
 
 

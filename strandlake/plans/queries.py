@@ -273,17 +273,24 @@ def trim_clip_repair(spark, sf):
     return reads.clip(reads.repair(x), 50)
 
 
-@query("trim_adapters")
+# by passes: what follows the 5' adapter, then what precedes the 3' one or, at the end, a beginning of it without an edit
+PASS_SQL = "(SELECT *, CASE WHEN instr(s, '{a}') > 0 THEN substr(s, instr(s, '{a}') + 6) ELSE s END AS t FROM {x})"
+CUT_SQL = "(SELECT read_id, CASE WHEN instr(t, '{l}') > 0 THEN left(t, instr(t, '{l}') - 1) ELSE t END AS s FROM {x})"
+TAIL_SQL = "CASE " + " ".join(f"WHEN right(s, {k}) = '{LINKER2[:k]}' THEN left(s, -{k})" for k in range(9, 4, -1)) + " ELSE s END"
+TRIM_SQL = PASS_SQL.format(a="ACGTAC", x=CUT_SQL.format(l=LINKER2, x=PASS_SQL.format(a="ACGTAC", x="(SELECT read_id, left(seq, 90) AS s FROM fx_r2)")))
+
+
+@query("trim_adapters", f"SELECT read_id, seq, length(seq) AS n FROM (SELECT read_id, {TAIL_SQL.replace('(s,', '(t,').replace('ELSE s', 'ELSE t')} AS seq FROM {TRIM_SQL}) WHERE length(seq) >= 20")
 def trim_adapters(spark, sf):
     x = Views(spark, sf).r2.select("read_id", "seq", F.concat(F.repeat(F.lit("I"), 90), F.repeat(F.lit("#"), F.length("seq") - 90)).alias("qual"))
-    return reads.trim_reads(x, [LINKER2], five=("ACGTAC",))
+    return reads.trim_reads(x, [LINKER2], five=("ACGTAC",)).select("read_id", "seq", F.length("seq").cast("long").alias("n"))
 
 
 # -- barcodes -------------------------------------------------------------
 
 DECODED_SQL = f"""cut AS (SELECT read_id, library, seq, instr(seq, '{LINKER1}') - 1 AS l1 FROM fx_r2),
-parts AS (SELECT read_id, library, seq, substr(seq, 1, 10) AS umi, substr(seq, l1 - 7, 8) AS bc1, substr(seq, l1 + 31, 8) AS bc2,
-  substr(seq, l1 + 70, 4) AS sbc, substr(seq, l1 + 74) AS tail FROM cut)"""
+parts AS (SELECT read_id, library, seq, substr(seq, 1, 10) AS umi, substr(seq, 11, 8) AS bc1, substr(seq, l1 + 31, 8) AS bc2,
+  substr(seq, l1 + 70, 4) AS sbc, concat(substr(seq, l1 + 69, 1), substr(seq, l1 + 74, 8)) AS res, substr(seq, l1 + 82) AS tail FROM cut)"""
 FIXED_SQL = """near AS (SELECT p.*, w.name AS w1, row_number() OVER (PARTITION BY p.read_id ORDER BY CASE WHEN p.bc1 = w.seq THEN 0 ELSE 1 END, w.rank) AS i
   FROM (SELECT DISTINCT read_id, bc1 FROM parts) p JOIN fx_wells w ON hamming(p.bc1, w.seq) <= 1),
 near2 AS (SELECT p.read_id, w.name AS w2, row_number() OVER (PARTITION BY p.read_id ORDER BY CASE WHEN p.bc2 = w.seq THEN 0 ELSE 1 END, w.rank) AS i
@@ -291,7 +298,7 @@ near2 AS (SELECT p.read_id, w.name AS w2, row_number() OVER (PARTITION BY p.read
 near3 AS (SELECT p.read_id, w.name AS s1, row_number() OVER (PARTITION BY p.read_id ORDER BY CASE WHEN p.sbc = w.seq THEN 0 ELSE 1 END, w.rank) AS i
   FROM parts p JOIN fx_samples w ON hamming(p.sbc, w.seq) <= 1),
 decoded AS (SELECT p.read_id, p.library, CASE WHEN p.umi NOT LIKE 'N%' THEN p.umi END AS umi, near.w1 AS bc1, near2.w2 AS bc2, near3.s1 AS sample,
-  CASE WHEN p.tail LIKE '%TGCA%' THEN 'rna' WHEN p.tail LIKE '%GGCC%' THEN 'dna' ELSE 'unk' END AS seqtype
+  CASE WHEN p.res LIKE '%TGCA%' THEN 'rna' WHEN p.res LIKE '%GGCC%' THEN 'dna' ELSE 'unk' END AS seqtype
   FROM parts p LEFT JOIN near ON p.read_id = near.read_id AND near.i = 1 LEFT JOIN near2 ON p.read_id = near2.read_id AND near2.i = 1
   LEFT JOIN near3 ON p.read_id = near3.read_id AND near3.i = 1)"""
 TALLY_SQL = "tally AS (SELECT coalesce(sample, '*') AS sample, CASE WHEN sample IS NULL OR bc1 IS NULL OR bc2 IS NULL THEN '*' ELSE concat_ws(':', bc1, bc2) END AS cell, count(*) AS reads FROM decoded GROUP BY 1, 2)"
@@ -305,16 +312,29 @@ def decoded(v: Views) -> DataFrame:
     x = sliced(v)
     for whitelist, column, into in ((v.wells, "bc1", "w1"), (v.wells, "bc2", "w2"), (v.samples.select("rank", "name", "seq"), "sbc", "sample")):
         x = B.correct(x, whitelist, column, into)
-    return x.select("read_id", "library", B.known_umi(F.col("umi")).alias("umi"), F.col("w1").alias("bc1"), F.col("w2").alias("bc2"), "sample", B.molecule_type(F.col("tail")).alias("seqtype"))
+    return x.select("read_id", "library", B.known_umi(F.col("umi")).alias("umi"), F.col("w1").alias("bc1"), F.col("w2").alias("bc2"), "sample", B.molecule_type(F.col("res")).alias("seqtype"))
 
 
 def tally(v: Views) -> DataFrame:
     return B.tally_cells(decoded(v))
 
 
-@query("barcode_extract_exact", "SELECT read_id, umi, bc1, bc2, sbc, tail FROM parts", DECODED_SQL)
+@query("barcode_extract_exact", "SELECT read_id, umi, bc1, bc2, sbc, res, tail FROM parts", DECODED_SQL)
 def barcode_extract_exact(spark, sf):
-    return sliced(Views(spark, sf)).select("read_id", "umi", "bc1", "bc2", "sbc", "tail")
+    return sliced(Views(spark, sf)).select("read_id", "umi", "bc1", "bc2", "sbc", "res", "tail")
+
+
+@query("barcode_extract_damaged", f"""SELECT read_id, CASE WHEN l1 < 18 THEN concat(repeat('N', CAST(18 - l1 AS INT)), substr(seq, 1, l1 - 8)) ELSE substr(seq, 1, 10) END AS umi,
+ CASE WHEN l1 < 18 THEN substr(seq, l1 - 7, 8) ELSE substr(seq, 11, 8) END AS bc1, substr(seq, l1 + 31, 8) AS bc2, substr(seq, l1 + 70, 4) AS sbc,
+ CASE WHEN l1 IS NOT NULL THEN concat(substr(seq, l1 + 69, 1), substr(seq, l1 + 74, 8)) END AS res, substr(seq, l1 + 82) AS tail, substr(qual, l1 + 82) AS tail_qual
+ FROM (SELECT *, CASE WHEN b % 1000 = one + 38 OR (b % 1000 > one AND b % 1000 < one + 38 AND b // 1000 < a // 1000) THEN b % 1000 - 38 END AS l1 FROM (
+ SELECT *, list_min(list_transform(range(one + 30, 62), lambda i: hamming(substr(seq, i + 1, 30), '{LINKER2}') * 1000 + i)) AS b FROM (SELECT *, a % 1000 AS one FROM (
+ SELECT read_id, concat(seq, 'ACG') AS seq, concat(repeat('I', CAST(length(seq) AS INT)), 'FG#') AS qual, list_min(list_transform(range(8, 24), lambda i: hamming(substr(seq, i + 1, 30), '{LINKER1}') * 1000 + i)) AS a FROM fx_r2_damaged))))""")
+def barcode_extract_damaged(spark, sf):
+    """Reads with planted errors in their linkers; what follows the restriction site is carried with its qualities."""
+    r = Views(spark, sf).r2_damaged
+    r = r.select("read_id", F.concat("seq", F.lit("ACG")).alias("seq"), F.concat(F.repeat(F.lit("I"), F.length("seq")), F.lit("FG#")).alias("qual"))
+    return B.extract_barcodes(r, LINKER1, LINKER2, qual="qual").select("read_id", "umi", "bc1", "bc2", "sbc", "res", "tail", "tail_qual")
 
 
 @query("barcode_correct", "SELECT * FROM decoded", DECODED_SQL, FIXED_SQL)

@@ -21,12 +21,14 @@ def test_barcodes_are_cut_from_built_reads(spark):
         umi, bc1, bc2, sbc = dna(10), dna(8), dna(8), dna(4)
         hit = lambda s: s[:5] + ("A" if s[5] != "A" else "C") + s[6:]
         l1, l2 = hit(LINKER1) if damage in ("l1", "both") else LINKER1, hit(LINKER2) if damage in ("l2", "both") else LINKER2
-        rows.append((i, umi + dna(gap) + bc1 + l1 + bc2 + l2 + "T" + sbc + "CCTGCAGG", umi, bc1, bc2, sbc))
+        rows.append((i, umi + bc1 + dna(gap) + l1 + bc2 + l2 + "T" + sbc + "CCTGCAGG" + "GATTACA", umi, bc1, bc2, sbc))
     rows += [(90, "ACGT", None, None, None, None), (91, None, None, None, None, None), (92, LINKER1 + "ACGTACGT" + LINKER2 + "TACGTAA", None, None, None, None)]
     df = spark.createDataFrame(rows, "id int, seq string, w_umi string, w_bc1 string, w_bc2 string, w_sbc string")
-    for x in barcodes.extract_barcodes(df, LINKER1, LINKER2).collect():
+    df = df.withColumn("q", F.concat(F.repeat(F.lit("I"), F.length("seq") - 7), F.lit("ABCDEFG")))
+    for x in barcodes.extract_barcodes(df, LINKER1, LINKER2, qual="q").collect():
         if x["id"] < 90:
-            assert (x["umi"], x["bc1"], x["bc2"], x["sbc"], x["tail"]) == (x["w_umi"], x["w_bc1"], x["w_bc2"], x["w_sbc"], "CCTGCAGG")
+            assert (x["umi"], x["bc1"], x["bc2"], x["sbc"], x["res"]) == (x["w_umi"], x["w_bc1"], x["w_bc2"], x["w_sbc"], "TCCTGCAGG")
+            assert (x["tail"], x["tail_qual"]) == ("GATTACA", "ABCDEFG")
         else:
             assert x["sbc"] is None or x["id"] == 92
 
@@ -37,6 +39,39 @@ def test_skipped_bases_pad_the_umi(spark):
     assert (x["umi"], x["bc1"], x["bc2"], x["sbc"]) == ("NNNACGTACG", "GGGGCCCC", "TTTTAAAA", "ACGT")
 
 
+def test_a_lost_base_in_linker_1_is_told_by_linker_2(spark):
+    lost = LINKER1[:6] + LINKER1[7:]
+    short = "ACGTACGTAC" + "GGGGCCCC" + LINKER1 + "TTTTAAAA" + LINKER2
+    rows = [("ACGTACGTAC" + "GGGGCCCC" + lost + "TTTTAAAA" + LINKER2 + "TACGTCC",), (short,), (short + "T",), (short + "TACG",), (short + "TACGT",)]
+    got = [tuple(x)[1:] for x in barcodes.extract_barcodes(spark.createDataFrame(rows, "seq string").coalesce(1), LINKER1, LINKER2).collect()]
+    assert got[0] == ("NACGTACGTA", "CGGGGCCC", "TTTTAAAA", "ACGT", "TCC", "")
+    for i, (sbc, res) in enumerate([(None, "N" * 9), (None, "N" * 9), (None, "T"), ("ACGT", "T")], 1):
+        assert got[i] == ("ACGTACGTAC", "GGGGCCCC", "TTTTAAAA", sbc, res, "")
+
+
+def test_linker_placement_equals_a_plain_search(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(300):
+        s = "".join(r.choice("ACGT") for _ in range(r.randint(14, 26))) + LINKER1 + "".join(r.choice("ACGT") for _ in range(r.choice([8, 8, 8, 7, 9]))) + LINKER2 + "TACGTCCTGCAGG"
+        s = list(s)
+        for _ in range(r.randint(0, 12)):
+            s[r.randrange(len(s))] = r.choice(["A", "C", "G", "T", "N", ""])
+        rows.append((i, "".join(s)[: r.randint(40, 110)]))
+
+    def plain(s):
+        cost = lambda i, x: sum(a != b for a, b in itertools.zip_longest(s[i : i + 30], x))
+        m1, one = min((cost(i, LINKER1), i) for i in range(8, 24))
+        m2, two = min((cost(i, LINKER2), i) for i in range(one + 30, 62))
+        off = two - one - 38
+        one += off
+        return one if one >= 8 and (off == 0 or (-8 < off < 0 and m2 < m1)) else None
+
+    got = {x["id"]: x["at"] for x in spark.createDataFrame(rows, "id int, seq string").select("id", barcodes._anchor(LINKER1, LINKER2, 10, 8, None)("seq").alias("at")).collect()}
+    assert got == {i: plain(s) for i, s in rows}
+    assert len({x for x in got.values() if x}) > 5 and None in got.values()
+
+
 def test_correction_takes_exact_then_lowest_rank(spark):
     wl = spark.createDataFrame([(1, "a", "AAAA"), (2, "b", "AATT"), (3, "c", "AATA")], "rank int, name string, seq string")
     r = spark.createDataFrame([("AAAA",), ("AATA",), ("AATG",), ("NATT",), ("GGGG",), ("AAA",), (None,), ("AAAT",)], "s string")
@@ -233,17 +268,30 @@ def test_trimming_helpers_equal_plain_loops():
                 low, end = total, i
         return end
 
+    def cost(a, b):
+        """Edits between two strings, by rows."""
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
     def adapter_start(s, adapter):
-        for i in range(0, max(0, len(s) - 4)):
-            n = min(len(adapter), len(s) - i)
-            if sum(x != y for x, y in zip(s[i : i + n], adapter)) <= 0.1 * n:
-                return i
-        return len(s)
+        best = len(s)
+        for p in range(5, len(adapter) + 1):
+            most = int(0.1 * p)
+            ends = lambda i: range(i, len(s) + 1) if p == len(adapter) else [len(s)]  # noqa: B023, E731
+            least = {i: min(cost(adapter[:p], s[i:e]) for e in ends(i)) for i in range(len(s) + 1)}
+            fits = [i for i, c in least.items() if c <= most]
+            if fits:
+                best = min(best, min(range(fits[0], fits[0] + most + 1), key=lambda i: (least.get(i, 99), i)))
+        return best
 
     quals = ["".join(chr(33 + r.choice([2, 10, 19, 20, 21, 30, 40])) for _ in range(r.randint(0, 30))) for _ in range(1000)] + [""]
     assert reads._quality_ends(quals, 20).tolist() == [quality_end(q, 20) for q in quals]
-    adapters = ["ACGTACGTGG", "TTGACC"]
-    seqs = ["".join(r.choice("ACGT") for _ in range(r.randint(0, 30))) + r.choice(["", adapters[0], adapters[0][:6], adapters[1], "ACGTACCTGG"]) + "ACG" * r.randint(0, 2) for _ in range(1000)] + [""]
+    adapters = ["ACGTACGTGGCATTGCATGA", "TTGACC"]
+    seqs = ["".join(r.choice("ACGT") for _ in range(r.randint(0, 30))) + r.choice(["", adapters[0], adapters[0][:6], adapters[0][:15], adapters[1], "ACGTACCTGGCATTGCATGA", "ACGTACGTGCATTGCATGA", "ACGTACGTGGCATTAGCATGA", "ACGTACGTGGCATTGCAG"]) + "ACG" * r.randint(0, 2) for _ in range(150)] + [""]
     assert reads._adapter_starts(seqs, adapters, 5, 0.1).tolist() == [min(adapter_start(s, a) for a in adapters) for s in seqs]
 
 
