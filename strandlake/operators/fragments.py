@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import quantiles
+
 GAP = 300
 
 
@@ -57,7 +59,7 @@ def split_cells(molecules: DataFrame, *, cell: str = "cell", key: tuple[str, ...
     """
     n = molecules.groupBy(cell).agg(F.count_distinct(*key).alias("n"))
     top = n.orderBy(F.desc("n"), cell).limit(files * per_plate // 12)
-    cut = top.agg((F.percentile("n", F.lit(quantile)) * 0.1).alias("_cut"))
+    cut = quantiles(top, [], "n", [quantile]).select((F.col("q")[0] * 0.1).alias("_cut"))
     both = n.crossJoin(F.broadcast(cut))  # one row
     kind = F.when(F.col("n") >= F.col("_cut"), "foreground").when(F.col("n") <= 0.2 * F.col("_cut"), "background")
     return both.withColumn("class", kind).where("class IS NOT NULL").drop("_cut")

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.shared import stored
+from .counting import ranked
+
 BIN, COARSE, LONGEST = 5_000, 1_000_000, 20
 
 
@@ -62,20 +65,35 @@ def annotate_tracks(reads: DataFrame, features: DataFrame, tracks: list[str], ke
 
 
 def merge_intervals(intervals: DataFrame, group: list[str], start: str = "f_start", end: str = "f_end") -> DataFrame:
-    """Overlapping or touching intervals of a group as one: ``group, start, end, n``."""
-    by = Window.partitionBy(*group).orderBy(start, end)
-    reach = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)
-    runs = intervals.withColumn("_new", new)
-    runs = runs.withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy(*group, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop("_run")
+    """Overlapping or touching intervals of a group as one: ``group, start, end, n``.
+
+    A segmented scan over range partitions: how far the intervals before a block of a group
+    reach comes from the blocks' own ends, a row for each block, and so does
+    the number of merged intervals before it. No task sees a whole group.
+    """
+    block = ["_part", *group]
+    x = intervals.select(*group, start, end).repartitionByRange(*group, start, end).withColumn("_part", F.spark_partition_id())
+    x = stored(x, "blocks")  # range bounds are sampled: planned again, the blocks might differ
+    over = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    reach = x.groupBy(*block).agg(F.max(end).alias("_top")).select(*block, F.max("_top").over(over).alias("_before"))
+    by = Window.partitionBy(*block).orderBy(start, end)
+    so_far = F.greatest(F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1)), "_before")
+    x = x.join(reach, block).withColumn("_reach", so_far).withColumn("_new", F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0))
+    run = F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
+    # a block's own runs; its first may go on from the block before
+    runs = x.withColumn("_run", run).groupBy(*block, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n"))
+    runs = stored(runs, "runs")
+    before = runs.groupBy(*block).agg(F.max("_run").alias("_new")).select(*block, F.coalesce(F.sum("_new").over(over), F.lit(0)).alias("_runs"))
+    runs = runs.join(before, block).withColumn("_run", F.col("_run") + F.col("_runs"))
+    return runs.groupBy(*group, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_run")
 
 
 def number_peaks(merged: DataFrame, group: str, start: str = "f_start", end: str = "f_end") -> DataFrame:
     """Merged intervals of a group with names ``group_Peak.n@contig:start:end`` in coordinate order."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy("contig", start, end))
-    name = F.concat(F.col(group), F.lit("_Peak."), n.cast("string"), F.lit("@"), F.concat_ws(":", "contig", F.col(start).cast("string"), F.col(end).cast("string")))
-    return merged.withColumn("name", name)
+    placed = ranked(merged, ["contig", start, end], "_n", [group])
+    n = (F.col("_n") + 1).cast("string")
+    name = F.concat(F.col(group), F.lit("_Peak."), n, F.lit("@"), F.concat_ws(":", "contig", F.col(start).cast("string"), F.col(end).cast("string")))
+    return placed.withColumn("name", name).drop("_n")
 
 
 def coverage_runs(reads: DataFrame, *, start: str = "pos", end: str = "end_pos", block: int = 1_000_000) -> DataFrame:
@@ -122,13 +140,19 @@ def start_enrichment(reads: DataFrame, features: DataFrame, molecule: list[str],
     lo = F.greatest(F.col(start) - F.col("f_start"), F.lit(0))
     hi = F.least(F.col(end) - F.col("f_start"), F.lit(2 * reach))
     spans = pairs.select(*key, lo.alias("lo"), hi.alias("hi")).where("lo < hi")
-    # a bin that begins at i covers the span's overlap with [i, i + bin)
+    # the bin that begins at i covers a length of the span that is linear between four places where its slope changes
     hit = spans.groupBy(*key, "lo", "hi").agg(F.count("*").alias("n"))
-    first, last = F.greatest(F.col("lo") - bin + 1, F.lit(0)), F.least(F.col("hi") - 1, F.lit(2 * reach - bin - 1))
-    bins = hit.where(first <= last).select(*key, "lo", "hi", "n", F.explode(F.sequence(first, last)).alias("i"))
-    part = F.least("hi", F.col("i") + bin) - F.greatest("lo", "i")
-    bins = bins.groupBy(*key, "i").agg(F.sum(F.col("n") * part).alias("v"))
-    edge = F.coalesce(F.sum(F.when(F.col("i").isin(0, 2 * reach - bin - 1), F.col("v"))), F.lit(0)) / 2
-    out = bins.groupBy(*key).agg(F.max("v").alias("top"), edge.alias("edge"), F.min(F.when(F.col("v") > 0, F.col("v"))).alias("least"))
+    turns = [(F.col("lo") - bin, F.col("n")), (F.col("lo"), -F.col("n")), (F.col("hi") - bin, -F.col("n")), (F.col("hi"), F.col("n"))]
+    turns = hit.select(*key, F.inline(F.array(*[F.struct(p.cast("long").alias("p"), c.alias("c")) for p, c in turns])))
+    turns = turns.groupBy(*key, "p").agg(F.sum("c").alias("c"))  # at most a row for each place of the window
+    by = Window.partitionBy(*key).orderBy("p")
+    turns = turns.select(*key, "p", F.lead("p").over(by).alias("next"), F.sum("c").over(by).alias("slope"), F.sum(F.col("c") * F.col("p")).over(by).alias("base"))
+    last = F.lit(2 * reach - bin - 1).cast("long")
+    first, end_ = F.greatest("p", F.lit(0)), F.least(F.col("next") - 1, last)
+    at = lambda i: F.when((i >= first) & (i <= end_), i * F.col("slope") - F.col("base"))
+    # between two turns the largest value, and the smallest above 0, stands at an end or next to one
+    values = F.array(at(first), at(first + 1), at(end_ - 1), at(end_))
+    edge = F.coalesce(at(F.lit(0)), F.lit(0)) + F.coalesce(at(last), F.lit(0))
+    bins = turns.select(*key, F.array_max(values).alias("top"), F.array_min(F.filter(values, lambda v: v > 0)).alias("least"), edge.alias("edge"))
+    out = bins.groupBy(*key).agg(F.max("top").alias("top"), F.min("least").alias("least"), (F.sum("edge") / 2).alias("edge")).where("top > 0")
     return out.select(*group, F.col("_name").alias("name"), (F.col("top") / F.when(F.col("edge") > 0, F.col("edge")).otherwise(F.coalesce("least", F.lit(1)))).alias("score"))
-

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .counting import ranked
 from .intervals import merge_intervals
+from .ranks import quantiles
 
 
 def jaccard(counts: DataFrame, *, max_cells: int | None = None) -> DataFrame:
@@ -76,7 +77,7 @@ def normalise_jaccard(pairs: DataFrame, *, how: str = "ratio", clip: float = 5.0
     x = x.withColumn("fitted", F.col("c0") + F.col("c1") * F.col("expected") + F.col("c2") * F.col("expected") * F.col("expected")).drop("c0", "c1", "c2")
     if how == "ratio":
         x = x.withColumn("v", F.col("jaccard") / F.col("fitted"))
-        cut = x.agg(F.percentile("v", F.lit(top)).alias("_cut"))
+        cut = quantiles(x, [], "v", [top]).select(F.col("q")[0].alias("_cut"))
         return x.crossJoin(F.broadcast(cut)).withColumn("v", F.least("v", "_cut")).drop("_cut")
     x = x.withColumn("_r", F.col("jaccard") - F.col("fitted"))
     z = x.agg(F.avg("_r").alias("_m"), F.stddev_pop("_r").alias("_s"))
@@ -96,9 +97,8 @@ def blockwise_residuals(pairs: DataFrame, block: list[str]) -> DataFrame:
 
 def jaccard_quantiles(pairs: DataFrame, block: list[str]) -> DataFrame:
     """Quartiles of the Jaccard for each block of cells, such as a pair of assays."""
-    q = F.percentile("jaccard", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
-    by = pairs.groupBy(*block).agg(F.count("*").alias("pairs"), q)
-    return by.select(*block, "pairs", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))])
+    q = quantiles(pairs, block, "jaccard", [0.25, 0.5, 0.75])
+    return q.select(*block, F.col("n").alias("pairs"), *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))])
 
 
 def degree_scaled(pairs: DataFrame, v: str = "v") -> DataFrame:
@@ -138,7 +138,7 @@ def cell_range_filter(counts: DataFrame, *, min_features: int = 1, min_umis: int
 def log_normalise(counts: DataFrame) -> DataFrame:
     """``log1p`` of counts scaled so that every cell has the median total."""
     total = counts.groupBy("cell").agg(F.sum("n").alias("total"))
-    median = total.agg(F.percentile("total", F.lit(0.5)).alias("_median"))
+    median = quantiles(total, [], "total", [0.5]).select(F.col("q")[0].alias("_median"))
     x = counts.join(total.crossJoin(F.broadcast(median)), "cell")
     return x.withColumn("v", F.log1p(F.col("n") * F.col("_median") / F.col("total"))).drop("_median", "total")
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import percentage, safe_div
+from ..functions.shared import stored
+from .ranks import quantiles
 
 
 def as_metrics(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
@@ -130,31 +132,32 @@ def sample_qc(cells: DataFrame, group: list[str], *, least: int = 750) -> DataFr
     ``cells`` is a widened :func:`cell_qc` table. ``total`` and ``n_cell`` are
     over all cells (a ratio's total is the ratio of totals); all else is over
     the well covered ones, of ``least`` molecules or more. Quantiles are the
-    element ``int(q * n)`` of the sorted values, found by rank, so no list of a
-    sample's cells is ever built. ``std2`` is the variance.
+    element ``int(q * n)`` of the sorted values, found without sorting a sample's
+    cells in one task. ``std2`` is the variance.
     """
     x = cells.select(*group, *[F.expr(e).cast("double").alias(n) for n, e in MEASURES.items()])
     row = lambda name, value, a, b: F.struct(F.lit(name).alias("measure"), value.alias("value"), a.alias("_a"), b.cast("double").alias("_b"))
     rows = [row(n, F.col(n), F.col(n), F.lit(None)) for n in MEASURES] + [row(n, safe_div(F.col(a), F.col(b)), F.col(a), F.col(b)) for n, (a, b) in RATIOS.items()]
-    x = x.select(*group, (F.col("total_umi") >= least).alias("_covered"), F.inline(F.array(*rows)))
-    by = Window.partitionBy(*group, "measure", "_covered")
-    x = x.withColumn("_i", F.row_number().over(by.orderBy("value")) - 1).withColumn("_n", F.count("*").over(by))
+    x = stored(x.select(*group, (F.col("total_umi") >= least).alias("_covered"), F.inline(F.array(*rows))), "measures")
     v = F.when(F.col("_covered"), F.col("value"))
-    at = lambda q: F.max(F.when(F.col("_i") == F.floor(F.lit(q) * F.col("_n")), v))
     total = F.when(F.count("_b") == 0, F.sum("_a")).otherwise(safe_div(F.sum("_a"), F.sum("_b")))
-    return x.groupBy(*group, "measure").agg(
+    out = x.groupBy(*group, "measure").agg(
         total.alias("total"), F.count("*").alias("n_cell"), F.count_if("_covered").alias("n_well_covered"), F.coalesce(F.sum(v), F.lit(0.0)).alias("well_covered_total"),
-        F.min(v).alias("min"), at(0.25).alias("q25"), at(0.5).alias("median"), at(0.75).alias("q75"), F.max(v).alias("max"),
-        F.avg(v).alias("mean"), F.var_pop(v).alias("std2"), F.stddev_pop(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.var_pop(v).alias("std2"), F.stddev_pop(v).alias("std"),
     )
+    q = quantiles(x.where("_covered"), [*group, "measure"], "value", [0.25, 0.5, 0.75], element=True).drop("n")
+    out = out.join(q, [*group, "measure"], "left")
+    names = ("total", "n_cell", "n_well_covered", "well_covered_total", "min", "q25", "median", "q75", "max", "mean", "std2", "std")
+    at = {n: F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("q25", "median", "q75"))}
+    return out.select(*group, "measure", *[at.get(n, F.col(n)) for n in names])
 
 
 def effective_range(cells: DataFrame, group: list[str], reads: str = "reads") -> DataFrame:
     """``group, low, high, min_reads``: P5 of the positive counts, P95 of those above it, and one per cent of the way up."""
     positive = cells.where(F.col(reads) > 0)
-    low = positive.groupBy(*group).agg(F.percentile(reads, F.lit(0.05)).alias("low"))
+    low = quantiles(positive, group, reads, [0.05]).select(*group, F.col("q")[0].alias("low"))
     rest = positive.join(low, group).where(F.col(reads) > F.col("low"))
-    high = rest.groupBy(*group).agg(F.percentile(reads, F.lit(0.95)).alias("high"))
+    high = quantiles(rest, group, reads, [0.95]).select(*group, F.col("q")[0].alias("high"))
     return low.join(high, group).withColumn("min_reads", F.col("low") + 0.01 * (F.col("high") - F.col("low")))
 
 
