@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.counting import ranked
 from .cells import in_company, link_cells
 from .common import few, once, row_key, sendable, settled, stored, table
 from .textstats import Words, mix, parts, slices
@@ -71,7 +72,7 @@ def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
     """Hashes of the shingles that stand in many of a sample's different texts, sorted."""
-    sample = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0) & F.col("text").isNotNull()).select("text").dropDuplicates(["text"])
+    sample = docs.where((F.pmod(F.xxhash64("said"), F.lit(SAMPLE)) == 0) & F.col("text").isNotNull()).select("text").dropDuplicates(["text"])
 
     def run(batches):
         for batch in parts(batches):
@@ -83,7 +84,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def region_windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """``id, doc_id, n, d1, d2, window, n_rare, sketch`` for each row of ``docs(id, doc_id, text)``.
+    """``id, said, n, d1, d2, window, n_rare, sketch`` for each row of ``docs(id, said, text)``; ``said`` is a hash of the text.
 
     ``d1, d2`` name the set (sums of two hashes); ``window`` holds the regions
     that the document goes to, of which the first ``n_rare`` aren't common.
@@ -113,13 +114,13 @@ def region_windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
             at = s_offsets[:-1][row] + ((bits >> np.uint64(6)) & (longs[row] - 1).astype(np.uint64)).astype(np.int64)
             np.bitwise_xor.at(sketch, at, np.uint64(1) << (bits & np.uint64(63)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                [batch.column("id"), batch.column("said"), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                  _lists(window, w_offsets), pa.array(n_rare.astype(np.int64)), _lists(sketch, s_offsets)],
-                names=["id", "doc_id", "n", "d1", "d2", "window", "n_rare", "sketch"],
+                names=["id", "said", "n", "d1", "d2", "window", "n_rare", "sketch"],
             )
 
-    kind = "id long, doc_id long, n long, d1 long, d2 long, window array<long>, n_rare long, sketch array<long>"
-    return docs.select("id", "doc_id", "text").mapInArrow(run, kind)
+    kind = "id long, said long, n long, d1 long, d2 long, window array<long>, n_rare long, sketch array<long>"
+    return docs.select("id", "said", "text").mapInArrow(run, kind)
 
 
 def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -147,11 +148,11 @@ def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long, total long, apart long")
 
 
-def _exact(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """``a, b, total, apart`` with the true symmetric difference."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _exact(pairs: DataFrame, docs: DataFrame, said: DataFrame, n: int) -> DataFrame:
+    """``a, b, total, apart`` with the true symmetric difference; ``said(node, said)`` names a text of each node."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(said, "node")
     nodes = sendable(stored(few(nodes, 2 * n), "nodes"))
-    text = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    text = docs.select("said", "text").join(nodes, "said").dropDuplicates(["node"]).select("node", "text")
     text = stored(few(text, 2 * n, 5_000), "texts")
     both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(text.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -171,6 +172,17 @@ def _exact(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, total long, apart long")
 
 
+def _named(sets: DataFrame) -> DataFrame:
+    """``sets`` with ``node``: the smallest id of a set's documents, or where sets share that id, for all but one of them a number above all ids."""
+    shared = stored(sets.groupBy("least").agg(F.count("*").alias("_n"), F.min(F.struct("d1", "d2")).alias("_first")).where("_n > 1"), "shared")
+    if shared.isEmpty():
+        return sets.withColumn("node", F.col("least"))
+    more = sets.select("least", "d1", "d2", "n").join(shared, "least").where(F.struct("d1", "d2") != F.col("_first")).select("least", "d1", "d2", "n")
+    top = sets.agg(F.max("least")).first()[0]
+    more = ranked(more, ["least", "d1", "d2", "n"], "_more").select("d1", "d2", "n", (F.col("_more") + top + 1).alias("_more"))
+    return stored(sets.join(more, ["d1", "d2", "n"], "left").withColumn("node", F.coalesce("_more", "least")).drop("_more"), "named")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id``.
 
@@ -182,16 +194,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     with a null doc_id (component null). Each row is a document: rows that share
     an id but not the text link by their own texts, and their id counts wherever
     one of them is. Other columns are ignored; an empty table gives an empty table.
-    Shingles are 64-bit hashes; a set is named by the smallest hash of its texts.
+    Shingles are 64-bit hashes.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("said"), "text")
     sets = stored(region_windows(docs, common_shingles(docs)), "windows")
     node = (
         sets.where("n > 0 AND id IS NOT NULL")
         .groupBy("d1", "d2", "n", "n_rare", "window", "sketch")
-        .agg(F.min("doc_id").alias("node"), F.min("id").alias("least"))
+        .agg(F.min("said").alias("said"), F.min("id").alias("least"))
     )
-    nodes = stored(node, "sets")
+    nodes = _named(stored(node, "sets"))
     folded = F.aggregate("sketch", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))  # one long of the sketch
     spread = nodes.select("node", F.col("n").alias("size"), folded.alias("sketch"), "n_rare", F.posexplode("window").alias("place", "cell"))
     spread = spread.select("cell", "node", "size", "sketch", (F.col("place") >= F.col("n_rare")).alias("common"))
@@ -207,7 +219,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         possible = (F.col("total") - F.col("apart")) * 100 >= (F.col("total") + F.col("apart")) * SHARE
         distance = 2 * F.col("apart") / (F.col("total") + F.col("apart"))
         close = bounded.where(possible).select("a", "b")
-        exact = _exact(close, docs, close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
+        exact = _exact(close, docs, nodes.select("node", "said"), close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
         return exact.union(bounded.where(~possible).select("a", "b", distance.alias("lo"), F.lit(1.0), F.lit(False)))
 
     label = link_cells(cells, judge, share=SHARE, longs=LONGS)
