@@ -64,15 +64,16 @@ def annotate_tracks(reads: DataFrame, features: DataFrame, tracks: list[str], ke
     return found.select(key, *[F.when(F.size(t) > 0, F.col(t)).alias(t) for t in tracks])
 
 
-def merge_intervals(intervals: DataFrame, group: list[str], start: str = "f_start", end: str = "f_end") -> DataFrame:
-    """Overlapping or touching intervals of a group as one: ``group, start, end, n``.
+def merge_intervals(intervals: DataFrame, group: list[str], start: str = "f_start", end: str = "f_end", *, any_of: str | None = None) -> DataFrame:
+    """Overlapping or touching intervals of a group as one: ``group, start, end, n``, and whether ``any_of`` holds for one of them.
 
     A segmented scan over range partitions: how far the intervals before a block of a group
     reach comes from the blocks' own ends, a row for each block, and so does
     the number of merged intervals before it. No task sees a whole group.
     """
     block = ["_part", *group]
-    x = intervals.select(*group, start, end).repartitionByRange(*group, start, end).withColumn("_part", F.spark_partition_id())
+    flag = [any_of] if any_of else []
+    x = intervals.select(*group, start, end, *flag).repartitionByRange(*group, start, end).withColumn("_part", F.spark_partition_id())
     x = stored(x, "blocks")  # range bounds are sampled: planned again, the blocks might differ
     over = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     reach = x.groupBy(*block).agg(F.max(end).alias("_top")).select(*block, F.max("_top").over(over).alias("_before"))
@@ -81,11 +82,11 @@ def merge_intervals(intervals: DataFrame, group: list[str], start: str = "f_star
     x = x.join(reach, block).withColumn("_reach", so_far).withColumn("_new", F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0))
     run = F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
     # a block's own runs; its first may go on from the block before
-    runs = x.withColumn("_run", run).groupBy(*block, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n"))
+    runs = x.withColumn("_run", run).groupBy(*block, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n"), *[F.max(c).alias(c) for c in flag])
     runs = stored(runs, "runs")
     before = runs.groupBy(*block).agg(F.max("_run").alias("_new")).select(*block, F.coalesce(F.sum("_new").over(over), F.lit(0)).alias("_runs"))
     runs = runs.join(before, block).withColumn("_run", F.col("_run") + F.col("_runs"))
-    return runs.groupBy(*group, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n")).drop("_run")
+    return runs.groupBy(*group, "_run").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n").alias("n"), *[F.max(c).alias(c) for c in flag]).drop("_run")
 
 
 def number_peaks(merged: DataFrame, group: str, start: str = "f_start", end: str = "f_end") -> DataFrame:

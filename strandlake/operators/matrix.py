@@ -12,9 +12,10 @@ from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
+from ..functions.shared import stored
 from .counting import ranked
-from .intervals import merge_intervals
 from .ranks import quantiles
 
 
@@ -40,6 +41,30 @@ def jaccard(counts: DataFrame, *, max_cells: int | None = None) -> DataFrame:
     return both.crossJoin(F.broadcast(features)).withColumn("expected", 1 / (1 / c("ni") + 1 / c("nj") - 1)).drop("_m")  # one row
 
 
+def similar_cells(counts: DataFrame, least: float) -> DataFrame:
+    """``i, j, inter, ni, nj, jaccard``: the pairs of :func:`jaccard` with a similarity of ``least`` or more, i < j.
+
+    Exact, by prefix filtering: with a cell's features in the order of how few
+    cells have them, two such cells share one of the first ``n - ceil(least * n) + 1``
+    of each. Only these meet, so a feature of most cells hardly ever joins; and only cells
+    whose sizes allow the similarity. Candidates are then compared whole.
+    """
+    x = stored(counts.where("n > 0").select("cell", "feature").distinct(), "sets")
+    often = x.groupBy("feature").agg(F.count("*").alias("_often"))
+    features = x.join(often, "feature").groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("_often", "feature"))).alias("_f"))
+    sets = stored(features.select("cell", F.size("_f").alias("n"), F.col("_f.feature").alias("f")), "cells")
+    # a hair less than the share, as rounding mustn't shorten a prefix
+    need = lambda n: F.ceil(F.col(n) * (least - 1e-9))
+    prefix = sets.select("cell", "n", F.explode(F.slice("f", F.lit(1), (F.col("n") - need("n") + 1).cast("int"))).alias("feature"))
+    side = lambda c: prefix.select("feature", F.col("cell").alias(c), F.col("n").alias(f"n{c}"))
+    near = side("i").join(side("j"), "feature").where((F.col("i") < F.col("j")) & (F.col("nj") >= need("ni")) & (F.col("ni") >= need("nj")))
+    pairs = near.select("i", "j").distinct()
+    whole = lambda c: sets.select(F.col("cell").alias(c), F.col("n").alias(f"n{c}"), F.col("f").alias(f"f{c}"))
+    both = pairs.join(whole("i"), "i").join(whole("j"), "j").withColumn("inter", F.size(F.array_intersect("fi", "fj")).cast("long"))
+    both = both.select("i", "j", "inter", F.col("ni").cast("long").alias("ni"), F.col("nj").cast("long").alias("nj"), (F.col("inter") / (F.col("ni") + F.col("nj") - F.col("inter"))).alias("jaccard"))
+    return both.where(F.col("jaccard") >= least)
+
+
 def quadratic_fit(df: DataFrame, x: str, y: str, group: list[str] | None = None) -> DataFrame:
     """Least squares of y on 1, x, x²: ``group, c0, c1, c2`` by normal equations.
 
@@ -182,21 +207,62 @@ def components(vectors: DataFrame, k: int, *, x: str = "x", scale: bool = True,
     return model.transform(v).select(key, vector_to_array("_p").alias("pc"))
 
 
-def singular_vectors(vectors: DataFrame, k: int, *, x: str = "x", key: str = "cell") -> DataFrame:
-    """Scores on the first ``k + 1`` right singular vectors but the first, as an array ``sv``.
+#: Columns up to which all singular vectors are found at once.
+SMALL = 256
+
+
+def _right_factor(vectors: DataFrame, x: str, basis: np.ndarray) -> np.ndarray:
+    """``X' X basis``: each task sums over its rows, the sums of a column meet in one row of the result."""
+    shared = vectors.sparkSession.sparkContext.broadcast(basis)
+
+    def run(batches):
+        total = np.zeros_like(shared.value)
+        for batch in batches:
+            rows = np.array(batch["x"].tolist(), dtype=float)
+            total += rows.T @ (rows @ shared.value)
+        yield pd.DataFrame({"i": np.arange(len(total)), "v": list(total)})
+
+    parts = vectors.select(F.col(x).cast("array<double>").alias("x")).mapInPandas(run, "i long, v array<double>")
+    sums = parts.groupBy("i").agg(*[F.sum(F.col("v")[j]).alias(f"v{j}") for j in range(basis.shape[1])])
+    out = np.array([r[1:] for r in sorted(map(tuple, sums.collect()))])  # a row for each column of X
+    shared.destroy()
+    return out
+
 
-    The Gram matrix (columns x columns) is one aggregation over all rows; only
-    it is decomposed on the driver.
+def singular_basis(vectors: DataFrame, k: int, *, x: str = "x", spare: int = 10, tol: float = 1e-10, max_rounds: int = 60, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` singular values and right singular vectors (as columns) of the rows ``x``.
+
+    Block power iteration from a random start on ``k + spare`` vectors, each round one pass over the rows and an
+    orthonormal basis of a matrix of as many rows as X has columns; no matrix of columns by columns
+    is ever made, unless there are no more than SMALL columns: then one round gives all. Ends when no singular value moves by more than ``tol`` of the first.
     """
-    d = vectors.select(F.size(x)).first()[0]
-    pos = vectors.select(F.posexplode(x).alias("i", "a"), F.col(x).alias("_x"))
-    row = pos.groupBy("i").agg(*[F.sum(F.col("a") * F.col("_x")[j]).alias(f"g{j}") for j in range(d)])
-    gram = np.array([[r[f"g{j}"] for j in range(d)] for r in sorted(row.collect(), key=lambda r: r["i"])])  # d rows
-    _, vec = np.linalg.eigh(gram)
-    vec = vec[:, ::-1][:, 1 : k + 1]
+    d = vectors.select(F.max(F.size(x))).first()[0]
+    width = d if d <= SMALL else min(d, k + spare)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, width)))[0]
+    before = np.zeros(width)
+    for _ in range(max_rounds):
+        image = _right_factor(vectors, x, basis)
+        value, turn = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
+        vec = basis @ turn[:, ::-1]
+        value = np.sqrt(np.maximum(value[::-1], 0))
+        if width == d or np.abs(value[:k] - before[:k]).max() <= tol * max(value[0], 1e-300):
+            break
+        before = value
+        basis = np.linalg.qr(image)[0]
+    return value[:k], vec[:, :k]
+
+
+def singular_vectors(vectors: DataFrame, k: int, *, x: str = "x", key: str = "cell") -> DataFrame:
+    """Scores on the first ``k + 1`` right singular vectors but the first, as an array ``sv``."""
+    _, vec = singular_basis(vectors, k + 1, x=x)
+    vec = vec[:, 1:]
     vec = vec * np.sign(vec[np.abs(vec).argmax(0), np.arange(vec.shape[1])])
-    dots = [sum((F.col(x)[j] * float(vec[j, c]) for j in range(d)), F.lit(0.0)) for c in range(vec.shape[1])]
-    return vectors.select(key, F.array(*dots).alias("sv"))
+
+    @pandas_udf("array<double>")
+    def scores(rows: pd.Series) -> pd.Series:
+        return pd.Series(list(np.array(rows.tolist(), dtype=float) @ vec))
+
+    return vectors.select(key, scores(F.col(x).cast("array<double>")).alias("sv"))
 
 
 def kmeans(vectors: DataFrame, k: int, *, x: str = "pc", key: str = "cell", seed: int = 123) -> DataFrame:
@@ -299,50 +365,3 @@ def select_cells(
     enough = (F.col(rna) >= least) & (F.col(dna) >= least)
     inside = F.col("_in") & (F.col("r") > F.col("cut")) & (F.col("r") < F.coalesce("cut2", F.lit(float("inf"))))
     return polar.join(cuts, group, "left").withColumn("keep", F.when(F.col("cut").isNotNull(), inside).otherwise(enough)).drop("_in")
-
-
-def enriched_bins(reads: DataFrame, *, width: int = 200, around: int = 10, q: float = 0.1, control: DataFrame | None = None, group: str = "antibody") -> DataFrame:
-    """Bins with more reads than expected, merged into peaks: ``group, contig, f_start, f_end, n``.
-
-    The rate of a bin is the largest of the group's mean, the mean of the bins
-    around it and the scaled control count. Upper Poisson tails are corrected
-    by Benjamini and Hochberg.
-    """
-    at = F.floor(F.col("pos") / width).alias("bin")
-    n = reads.groupBy(group, "contig", at).agg(F.count("*").alias("n"))
-    size = n.groupBy(group, "contig").agg((F.max("bin") + 1).alias("b"), F.sum("n").alias("s")).groupBy(group).agg((F.sum("s") / F.sum("b")).alias("mean"), F.sum("b").alias("bins"), F.sum("s").alias("reads"))
-    local = F.sum("n").over(Window.partitionBy(group, "contig").orderBy("bin").rangeBetween(-around, around)) / F.lit(2 * around + 1)
-    x = n.withColumn("local", local).join(size, group)
-    rate = F.greatest("mean", "local")
-    if control is not None:
-        c = control.groupBy("contig", at).agg(F.count("*").alias("c"))
-        all_c = control.agg(F.count("*").alias("all_c"))
-        x = x.join(c, ["contig", "bin"], "left").crossJoin(F.broadcast(all_c))
-        rate = F.greatest(rate, F.coalesce(F.col("c"), F.lit(0)) * F.col("reads") / F.col("all_c"))
-    x = x.withColumn("rate", rate)
-
-    def tails(batches):
-        for batch in batches:
-            out = []
-            for k, lam in zip(batch["n"], batch["rate"], strict=True):
-                # P(X >= k): the series from k on, which falls for k > rate
-                if k <= lam:
-                    out.append(1.0)
-                    continue
-                term = math.exp(-lam + k * math.log(lam) - math.lgamma(k + 1))
-                total, i = term, k
-                while term > total * 1e-16:
-                    i += 1
-                    term *= lam / i
-                    total += term
-                out.append(min(1.0, total))
-            yield batch[[group, "contig", "bin", "n", "bins"]].assign(p=out)
-
-    kind = f"{group} string, contig string, bin long, n long, bins long, p double"
-    p = x.select(group, "contig", F.col("bin").cast("long").alias("bin"), F.col("n").cast("long").alias("n"), F.col("bins").cast("long").alias("bins"), "rate").mapInPandas(tails, kind)
-    # the largest p with p * bins / rank <= q; ranks over distinct p, so the window holds distinct values only
-    distinct = p.groupBy(group, "bins", "p").agg(F.count("*").alias("m"))
-    rank = F.sum("m").over(Window.partitionBy(group).orderBy("p"))
-    cut = distinct.withColumn("rank", rank).where(F.col("p") * F.col("bins") <= F.lit(q) * F.col("rank")).groupBy(group).agg(F.max("p").alias("cut"))
-    hits = p.join(cut, group).where("p <= cut").select(group, "contig", (F.col("bin") * width).alias("f_start"), ((F.col("bin") + 1) * width).alias("f_end"))
-    return merge_intervals(hits, [group, "contig"])

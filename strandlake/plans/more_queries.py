@@ -11,7 +11,7 @@ from ..functions import columns as C
 from ..functions.shared import shared_dir
 from ..functions.shared import stored as written
 from ..operators import barcodes as B
-from ..operators import counting, fragments, intervals, matrix, qc, reads, saturation
+from ..operators import counting, fragments, intervals, matrix, peaks, qc, reads, saturation
 from ..sources import committed, readers, writers
 from .fixtures import dna
 from .queries import ANNOTATED, CELL_SQL, COUNTS, SINGLE, Views, good, list_counts, query, single_counts, with_cell
@@ -346,13 +346,44 @@ def reads_by_peak_set(spark, sf):
     return pairs.groupBy("antibody", "name").agg(F.count("*").alias("reads"))
 
 
-@query("enriched_bins")
+#: Reads of an assay that stands out: all of the first bins of every 10,000 bases, half of a wide region, and a fifth elsewhere.
+ASSAY = "is_mapped AND (pos % 10000 < 400 OR (pos % 10000 >= 4000 AND pos % 10000 < 7000 AND spike_mapq < 24) OR spike_mapq < 12)"
+BINS_SQL = f"""assay AS (SELECT antibody, contig, CAST(floor(pos / 200) AS BIGINT) AS bin, count(*) AS n FROM fx_reads r JOIN fx_samples s ON r.sample = s.name WHERE {ASSAY} GROUP BY ALL),
+control AS (SELECT contig, CAST(floor(pos / 200) AS BIGINT) AS bin, count(*) AS c FROM fx_reads WHERE is_mapped GROUP BY ALL),
+size AS (SELECT antibody, sum(s) * 1.0 / sum(b) AS mean, CAST(sum(b) AS BIGINT) AS bins, sum(s) AS reads FROM (SELECT antibody, contig, max(bin) + 1 AS b, sum(n) AS s FROM assay GROUP BY 1, 2) GROUP BY 1),
+near AS (SELECT *, sum(n) OVER (PARTITION BY antibody, contig ORDER BY bin RANGE BETWEEN 10 PRECEDING AND 10 FOLLOWING) / 21.0 AS local FROM assay),
+rates AS (SELECT antibody, contig, bin, n, bins, greatest(mean, local, coalesce(c, 0) * reads * 1.0 / (SELECT sum(c) FROM control)) AS rate FROM near JOIN size USING (antibody) LEFT JOIN control USING (contig, bin))"""
+PEAKS_SQL = """tails AS (SELECT *, CASE WHEN n > rate THEN least(1.0, list_sum(list_transform(range(n, n + 400), lambda i: exp(-rate + i * ln(rate) - lgamma(i + 1))))) ELSE 1.0 END AS p FROM rates),
+cuts AS (SELECT antibody, max(p) AS cut FROM (SELECT antibody, p, bins, count(*) OVER (PARTITION BY antibody ORDER BY p) AS rank FROM tails) WHERE p * bins <= 0.1 * rank GROUP BY 1),
+hits AS (SELECT antibody, contig, bin, p <= cut AS strong FROM tails JOIN cuts USING (antibody) WHERE p <= cut OR p <= 0.1),
+runs AS (SELECT 'narrow' AS kind, antibody, contig, bin, strong, bin - row_number() OVER (PARTITION BY antibody, contig ORDER BY bin) AS run FROM hits WHERE strong
+ UNION ALL SELECT 'broad', antibody, contig, bin, strong, bin - row_number() OVER (PARTITION BY antibody, contig ORDER BY bin) FROM hits),
+peaks AS (SELECT antibody, kind, contig, min(bin) * 200 AS f_start, (max(bin) + 1) * 200 AS f_end, count(*) AS n FROM runs GROUP BY antibody, kind, contig, run HAVING bool_or(strong))"""
+
+
+def assay(v: Views) -> DataFrame:
+    return v.reads.where(ASSAY).join(v.samples.select(F.col("name").alias("sample"), "antibody"), "sample")
+
+
+@query("bin_rates", "SELECT antibody, contig, bin, n, bins, round(rate, 6) AS rate FROM rates", BINS_SQL)
+def bin_rates(spark, sf):
+    v = Views(spark, sf)
+    return R6(peaks.bin_rates(assay(v), "antibody", control=v.reads.where("is_mapped"), block=64), "rate")
+
+
+@query("enriched_bins", "SELECT antibody, kind, contig, f_start, f_end, n FROM peaks", BINS_SQL, PEAKS_SQL)
 def enriched_bins(spark, sf):
+    """Narrow and broad peaks against a control."""
+    v = Views(spark, sf)
+    return peaks.call_peaks(assay(v), control=v.reads.where("is_mapped"))
+
+
+@query("peak_set", """SELECT antibody, contig, min(bin) * 200 AS f_start, (max(bin) + 1) * 200 AS f_end FROM runs WHERE (antibody, kind, contig, run) IN (SELECT antibody, kind, contig, run FROM runs GROUP BY ALL HAVING bool_or(strong)) AND kind = 'broad'
+ GROUP BY antibody, contig, run""", BINS_SQL, PEAKS_SQL)
+def peak_set(spark, sf):
+    """Both kinds as one set; a broad peak holds the narrow ones in it."""
     v = Views(spark, sf)
-    r = v.reads.where("is_mapped").join(v.samples.select(F.col("name").alias("sample"), "antibody"), "sample")
-    # reads of the lower half of the genome weigh double, so that something is enriched
-    extra = r.where("pos < 2000 AND seqtype = 'dna'")
-    return matrix.enriched_bins(r.unionByName(extra), control=v.reads.where("NOT is_mapped"))
+    return peaks.peak_set(peaks.call_peaks(assay(v), control=v.reads.where("is_mapped"))).select("antibody", "contig", "f_start", "f_end")
 
 
 @query("assay_names", "SELECT antibody, seqtype, count(*) AS reads FROM fx_reads r JOIN fx_samples s ON r.sample = s.name GROUP BY 1, 2")
@@ -429,6 +460,11 @@ def cell_jaccard(spark, sf):
     return R6(matrix.jaccard(written(single_counts(Views(spark, sf)), "counts")), "jaccard", "expected")
 
 
+@query("similar_cells", "SELECT i, j, inter, ni, nj, round(jaccard, 6) AS jaccard FROM pairs WHERE jaccard >= 0.3", SINGLE, JACCARD_SQL)
+def similar_cells(spark, sf):
+    return R6(matrix.similar_cells(written(single_counts(Views(spark, sf)), "counts"), 0.3), "jaccard")
+
+
 FIT_SQL = """sums AS (SELECT any_value(m) AS m, CAST(count(*) AS DOUBLE) AS s0, sum((expected - m)) AS s1, sum(pow((expected - m), 2)) AS s2, sum(pow((expected - m), 3)) AS s3, sum(pow((expected - m), 4)) AS s4, sum(jaccard) AS t0, sum(jaccard * (expected - m)) AS t1, sum(jaccard * pow((expected - m), 2)) AS t2 FROM pairs, (SELECT avg(expected) AS m FROM pairs)),
 fit AS (SELECT c0 - c1 * m + c2 * m * m AS c0, c1 - 2 * c2 * m AS c1, c2 FROM (SELECT m, (t0*(s2*s4-s3*s3)-s1*(t1*s4-s3*t2)+s2*(t1*s3-s2*t2))/d AS c0, (s0*(t1*s4-s3*t2)-t0*(s1*s4-s3*s2)+s2*(s1*t2-t1*s2))/d AS c1, (s0*(s2*t2-t1*s3)-s1*(s1*t2-t1*s2)+t0*(s1*s3-s2*s2))/d AS c2
  FROM (SELECT *, s0*(s2*s4-s3*s3)-s1*(s1*s4-s3*s2)+s2*(s1*s3-s2*s2) AS d FROM sums))),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.operators import intervals, ranks
+from strandlake.operators import intervals, matrix, peaks, ranks
 
 
 @pytest.mark.parametrize(("few", "bins"), [(1 << 16, 4096), (4, 3), (1, 2)])
@@ -84,3 +84,66 @@ def test_start_enrichment_equals_a_plain_sum(spark, seed):
     got = intervals.start_enrichment(x, f, ["contig", "pos", "umi"], reach=reach, bin=width)
     assert {r["name"]: pytest.approx(r["score"]) for r in got.collect()} == want
     assert got.where(F.col("score") <= 0).count() == 0
+
+
+@pytest.mark.parametrize("least", [0.2, 0.5, 0.8, 1.0])
+def test_similar_cells_equal_the_full_join(spark, least):
+    r = random.Random(int(least * 10))
+    rows = []
+    for c in range(60):
+        base = c // 4
+        mine = {f"f{base}_{k}" for k in range(10)} if r.random() < 0.9 else {f"g{r.randint(0, 99)}" for _ in range(r.randint(1, 9))}
+        mine = {x if r.random() < 0.96 else f"h{r.randint(0, 30)}" for x in mine} | {"common"}
+        rows += [(f, f"c{c:02d}", r.choice([0, *[1, 2] * 9])) for f in mine]
+    counts = spark.createDataFrame(rows, "feature string, cell string, n int")
+    want = sorted((x["i"], x["j"], x["inter"], x["ni"], x["nj"], x["jaccard"]) for x in matrix.jaccard(counts).collect() if x["jaccard"] >= least)
+    assert sorted(map(tuple, matrix.similar_cells(counts, least).collect())) == want
+    assert len(want) > 3 or least == 1.0
+
+
+@pytest.mark.parametrize(("rows", "columns"), [(200, 30), (60, 10_000)])
+def test_singular_values_equal_numpy(spark, rows, columns):
+    r = np.random.default_rng(columns)
+    x = (r.normal(size=(rows, 12)) * 0.7 ** np.arange(12)) @ r.normal(size=(12, columns)) + 1e-3 * r.normal(size=(rows, columns))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cell long, x array<double>").repartition(3)
+    value, vec = matrix.singular_basis(df, 4)
+    _, s, vt = np.linalg.svd(x, full_matrices=False)
+    np.testing.assert_allclose(value, s[:4], rtol=1e-8)
+    np.testing.assert_allclose(np.abs((vec * vt[:4].T).sum(0)), 1, rtol=1e-6)
+    got = {y["cell"]: y["sv"] for y in matrix.singular_vectors(df, 3).collect()}
+    np.testing.assert_allclose(np.abs(np.array([got[i] for i in range(rows)])), np.abs(x @ vt[1:4].T), rtol=1e-4, atol=1e-4)
+
+
+def test_planted_narrow_and_broad_peaks(spark):
+    r = np.random.default_rng(5)
+    rate = np.full(2_000, 6.0)
+    rate[[300, 301, 900]] = 60  # narrow
+    rate[1_200:1_230] = 14  # broad: weak all over, strong here and there
+    rate[1_215] = 60
+    reads = [("ab", "c1", int(b) * 200 + int(r.integers(0, 200))) for b, n in enumerate(r.poisson(rate)) for _ in range(n)]
+    reads += [("other", "c1", int(p)) for p in r.integers(0, 400_000, 4_000)]
+    df = spark.createDataFrame(reads, "antibody string, contig string, pos long")
+    got = peaks.call_peaks(df, around=200, q=0.01, weak=0.05, block=97).collect()
+    bins = lambda kind, name="ab": {b for x in got if x["kind"] == kind and x["antibody"] == name for b in range(x["f_start"] // 200, x["f_end"] // 200)}
+    assert {300, 301, 900, 1_215} <= bins("narrow") <= bins("broad")
+    assert len(bins("broad") & set(range(1_200, 1_230))) >= 5 and len(bins("narrow") - {300, 301, 900, *range(1_200, 1_230)}) <= 3
+    assert not bins("narrow", "other")
+    whole = peaks.peak_set(spark.createDataFrame(got)).collect()
+    assert {b for x in whole for b in range(x["f_start"] // 200, x["f_end"] // 200)} == bins("broad") | bins("broad", "other")
+    # blocks don't change the sums over neighbours
+    a, b = (sorted(map(tuple, peaks.bin_rates(df, "antibody", block=k).collect())) for k in (7, 4096))
+    assert [x[:5] for x in a] == [x[:5] for x in b] and np.allclose([x[5] for x in a], [x[5] for x in b])
+    # a control that rises at the same places explains them away
+    control = df.where("antibody = 'ab'").drop("antibody")
+    assert peaks.call_peaks(df, around=200, q=0.01, weak=0.05, control=control).where("antibody = 'ab' AND kind = 'narrow'").count() == 0
+
+
+def test_poisson_tails():
+    import math
+
+    k, rate = np.array([0, 1, 5, 30, 3, 1_000]), np.array([2.0, 0.5, 1.5, 4.0, 3.0, 700.0])
+    got = peaks.poisson_tail(k, rate)
+    for n, lam, p in zip(k[:4], rate[:4], got[:4], strict=True):
+        want = 1 - sum(math.exp(-lam) * lam**i / math.factorial(i) for i in range(n)) if n > lam else 1
+        assert p == pytest.approx(want, abs=1e-14)
+    assert got[4] == 1 and 0 < got[5] < 1e-20
