@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import Accumulator, StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -275,40 +275,100 @@ def cluster_summary(clusters: DataFrame, cells: DataFrame, *, key: str = "cell")
     return x.groupBy("cluster").agg(F.count("*").alias("cells"), F.percentile("umis", F.lit(0.5)).alias("median_umis"), F.avg("share").alias("mean_share"))
 
 
-def nearest(vectors: DataFrame, k: int, *, key: str, x: str, block_rows: int = 2048) -> DataFrame:
+def _best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` nearest of the other rows for each query row of a pair of units."""
+    a, c = rows[rows["query"]], rows[~rows["query"]].sort_values("k")
+    if not len(a) or not len(c):
+        return pd.DataFrame({"k": [], "neighbour": [], "distance": []}).astype({"k": "int64", "neighbour": "int64"})
+    xa, xc = np.array(a["x"].tolist()), np.array(c["x"].tolist())
+    d = np.square(xa).sum(1)[:, None] + np.square(xc).sum(1)[None] - 2 * xa @ xc.T
+    ka, kc = a["k"].to_numpy(), c["k"].to_numpy()
+    d[ka[:, None] == kc[None]] = np.inf
+    m = min(k + 8, len(c))  # some spare: exact distances decide the order
+    at = np.argsort(d, axis=1, kind="stable")[:, :m]
+    exact = np.square(xa[:, None] - xc[at]).sum(2)
+    exact[ka[:, None] == kc[at]] = np.inf
+    keep = np.isfinite(exact)
+    r, _ = np.nonzero(keep)
+    return pd.DataFrame({"k": ka[r], "neighbour": kc[at][keep], "distance": exact[keep]})
+
+
+#: Pivots are sent to every task.
+MAX_PIVOTS = 1024
+
+
+def nearest(vectors: DataFrame, k: int, *, key: str, x: str, unit: int = 2048, compared: Accumulator | None = None) -> DataFrame:
     """The ``k`` nearest rows of each row by squared Euclidean distance: ``key, neighbour, rank, distance``, ties by key.
 
-    Rows are dealt into blocks; every pair of blocks is compared by one matrix
-    product and leaves each row's best ``k`` of that block, so no task holds
-    more than two blocks and only k rows for each block and row move on.
+    Exact. Rows go to the cell of their nearest pivot and there to a unit of about
+    ``unit`` rows. Their unit gives each row ``k`` neighbours and so a bound; it
+    is then sent only to the cells that can hold a nearer row by the triangle inequality: within
+    the bound of the cell's radius around its pivot, and of the plane between
+    both pivots. A task holds two units, whatever the sizes. ``compared`` adds up
+    the pairs of rows that are compared, to be held against all.
     """
-    n = vectors.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    b = vectors.select(F.col(key).alias("k"), F.col(x).cast("array<double>").alias("x")).withColumn("b", F.pmod(F.xxhash64("k"), F.lit(blocks)))
-    every = F.array(*[F.lit(i) for i in range(blocks)]) if blocks <= 64 else F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = b.withColumn("o", F.explode(every)).select(F.col("b").alias("p"), F.col("o").cast("long").alias("q"), F.lit(True).alias("query"), "k", "x")
-    right = b.withColumn("o", F.explode(every)).select(F.col("o").cast("long").alias("p"), F.col("b").alias("q"), F.lit(False).alias("query"), "k", "x")
-
-    def best(key, rows: pd.DataFrame) -> pd.DataFrame:
-        a, c = rows[rows["query"]], rows[~rows["query"]].sort_values("k")
-        if not len(a) or not len(c):
-            return pd.DataFrame({"k": [], "neighbour": [], "distance": []}).astype({"k": "int64", "neighbour": "int64"})
-        xa, xc = np.array(a["x"].tolist()), np.array(c["x"].tolist())
-        d = np.square(xa).sum(1)[:, None] + np.square(xc).sum(1)[None] - 2 * xa @ xc.T
-        ka, kc = a["k"].to_numpy(), c["k"].to_numpy()
-        d[ka[:, None] == kc[None]] = np.inf
-        m = min(k + 8, len(c))  # some spare: exact distances decide the order
-        at = np.argsort(d, axis=1, kind="stable")[:, :m]
-        exact = np.square(xa[:, None] - xc[at]).sum(2)
-        exact[ka[:, None] == kc[at]] = np.inf
-        keep = np.isfinite(exact)
-        r, _ = np.nonzero(keep)
-        return pd.DataFrame({"k": ka[r], "neighbour": kc[at][keep], "distance": exact[keep]})
-
-    found = left.union(right).groupBy("p", "q").applyInPandas(best, "k long, neighbour long, distance double")
+    spark = vectors.sparkSession
+    v = stored(vectors.select(F.col(key).alias("k"), F.col(x).cast("array<double>").alias("x")), "vectors")
+    n = v.count()
+    sampled = v.orderBy(F.xxhash64("k", "x"), "k").limit(min(MAX_PIVOTS, max(1, -(-n // unit)))).select("x").collect()
+    kind = "k long, neighbour long, distance double"
+    if not sampled:
+        return spark.createDataFrame([], kind).select(F.col("k").alias(key), "neighbour", F.lit(0).alias("rank"), "distance")
+    pivots = np.unique(np.array([r["x"] for r in sampled]), axis=0)
+
+    def far(rows: np.ndarray) -> np.ndarray:
+        square = np.square(rows).sum(1)[:, None] + np.square(pivots).sum(1) - 2 * rows @ pivots.T
+        return np.sqrt(np.maximum(square, 0))
+
+    def home(batches):
+        for batch in batches:
+            d = far(np.array(batch["x"].tolist()).reshape(len(batch), -1))
+            yield batch.assign(cell=d.argmin(1), away=d.min(1))
+
+    homes = stored(v.mapInPandas(home, "k long, x array<double>, cell long, away double"), "homes")
+    size = homes.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()  # a row for each pivot
+    units, radius = np.zeros(len(pivots), np.int64), np.full(len(pivots), -np.inf)
+    for r in size:
+        units[r["cell"]], radius[r["cell"]] = -(-r["n"] // unit), r["radius"]
+    first = np.concatenate([[0], np.cumsum(units)])
+    lookup = lambda values: F.element_at(F.array(*[F.lit(int(i)) for i in values]), (F.col("cell") + 1).cast("int")).cast("long")
+    homes = homes.withColumn("unit", lookup(first[:-1]) + F.pmod(F.xxhash64("k"), lookup(units)))
+    between = np.sqrt(np.maximum(np.square(pivots).sum(1)[:, None] + np.square(pivots).sum(1) - 2 * pivots @ pivots.T, 0))
+
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        if compared is not None:
+            compared.add(int(rows["query"].sum()) * int((~rows["query"]).sum()))
+        return _best(rows, k)
+
+    # first among the rows of its own unit
+    both = F.explode(F.array(F.lit(True), F.lit(False))).alias("query")
+    own = stored(homes.select("unit", "k", "x", both).groupBy("unit").applyInPandas(search, kind), "own")
     order = Window.partitionBy("k").orderBy("distance", "neighbour")
-    found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return found.select(F.col("k").alias(key), "neighbour", "rank", "distance")
+    top = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    bound = top(own).groupBy("k").agg(F.count("*").alias("found"), F.max("distance").alias("bound")).where(F.col("found") == k).drop("found")
+
+    def spread(batches):
+        for batch in batches:
+            rows = np.array(batch["x"].tolist()).reshape(len(batch), -1)
+            d, at = far(rows), batch["cell"].to_numpy()
+            most = np.sqrt(batch["bound"].fillna(np.inf).to_numpy())[:, None]
+            plane = (np.square(d) - np.square(batch["away"].to_numpy())[:, None]) / np.maximum(2 * between[at], 1e-300)
+            plane[np.arange(len(at)), at] = 0
+            slack = 1e-7 * (1 + d)
+            row, cell = np.nonzero((d - radius <= most + slack) & (plane <= most + slack) & (units > 0))
+            many = units[cell]
+            row, cell = np.repeat(row, many), np.repeat(cell, many)
+            target = first[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(many) - many, many)
+            other = target != batch["unit"].to_numpy()[row]
+            row, target = row[other], target[other]
+            yield pd.DataFrame({"p": batch["unit"].to_numpy()[row], "q": target, "k": batch["k"].to_numpy()[row], "x": batch["x"].to_numpy()[row]})
+
+    queries = stored(homes.join(bound, "k", "left").mapInPandas(spread, "p long, q long, k long, x array<double>"), "queries")
+    pairs = queries.select("p", "q").distinct()
+    there = homes.select(F.col("unit").alias("q"), "k", "x").join(pairs, "q")
+    dealt = queries.select("p", "q", "k", "x", F.lit(True).alias("query")).union(there.select("p", "q", "k", "x", F.lit(False)))
+    found = own.union(dealt.groupBy("p", "q").applyInPandas(search, kind))
+    return top(found).select(F.col("k").alias(key), "neighbour", "rank", "distance")
 
 
 def radius_and_angle(cells: DataFrame, rna: str = "rna_reads", dna: str = "dna_reads") -> DataFrame:

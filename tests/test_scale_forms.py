@@ -147,3 +147,25 @@ def test_poisson_tails():
         want = 1 - sum(math.exp(-lam) * lam**i / math.factorial(i) for i in range(n)) if n > lam else 1
         assert p == pytest.approx(want, abs=1e-14)
     assert got[4] == 1 and 0 < got[5] < 1e-20
+
+
+@pytest.mark.parametrize(("spread", "share"), [(0.01, 0.4), (5.0, 1.01)])
+def test_neighbours_equal_brute_force(spark, spread, share):
+    """Groups of near vectors hardly meet each other; vectors without groups all do."""
+    r = np.random.default_rng(int(spread * 100))
+    x = r.normal(size=(30, 8))[r.integers(0, 30, 400)] + spread * r.normal(size=(400, 8))
+    x[5] = x[6]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>").repartition(3)
+    compared = spark.sparkContext.accumulator(0)
+    got = {}
+    for row in matrix.nearest(df, 5, key="id", x="x", unit=20, compared=compared).collect():
+        got.setdefault(row["id"], {})[row["rank"]] = (row["neighbour"], row["distance"])
+    d = np.square(x[:, None] - x[None]).sum(2)
+    for i in range(400):
+        want = sorted((d[i, j], j) for j in range(400) if j != i)[:5]
+        assert [got[i][n][0] for n in range(1, 6)] == [j for _, j in want]
+        np.testing.assert_allclose([got[i][n][1] for n in range(1, 6)], [y for y, _ in want], rtol=1e-9, atol=1e-12)
+    assert 0 < compared.value / 400**2 < share
+    assert matrix.nearest(df.limit(0), 5, key="id", x="x").collect() == []
+    few = matrix.nearest(df.limit(3), 5, key="id", x="x").collect()
+    assert len(few) == 6
