@@ -65,7 +65,8 @@ def split_cells(molecules: DataFrame, *, cell: str = "cell", key: tuple[str, ...
     return both.withColumn("class", kind).where("class IS NOT NULL").drop("_cut")
 
 
-def top_cells(cells: DataFrame, k: int, *, by: Column, within: list[str], tie: str = "cell") -> DataFrame:
-    """The ``k`` cells of each group with the largest value, ties by name."""
-    i = F.row_number().over(Window.partitionBy(*within).orderBy(by.desc(), tie))
+def top_cells(cells: DataFrame, k: int, *, by: Column, within: list[str], tie: str = "cell", seed: int | None = None) -> DataFrame:
+    """The ``k`` cells of each group with the largest value; ties by name, or with a ``seed`` at random, the same on every run."""
+    chance = [] if seed is None else [F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(tie)))]
+    i = F.row_number().over(Window.partitionBy(*within).orderBy(by.desc(), *chance, tie))
     return cells.withColumn("_i", i).where(F.col("_i") <= k).drop("_i")

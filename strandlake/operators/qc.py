@@ -167,6 +167,11 @@ def paired_modal_cells(tables: dict[str, DataFrame], key: str = "cell_id") -> Da
     return reduce(lambda a, b: a.join(b, key), named)
 
 
+def restrict_counts(counts: DataFrame, cells: DataFrame, *, key: str = "cell") -> DataFrame:
+    """Counts of the cells that ``cells`` holds (one row each), with its columns."""
+    return counts.join(cells, key)
+
+
 def library_normalised(cells: DataFrame, library: str, columns: list[str]) -> DataFrame:
     """Totals of each library and each cell's share of them, ``_total`` and ``_norm``."""
     by = Window.partitionBy(library)

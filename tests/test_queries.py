@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from strandlake.plans import more_queries  # noqa: F401  registers its queries
+from strandlake.plans import cohort_queries, more_queries  # noqa: F401  registers their queries
 from strandlake.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
