@@ -24,8 +24,8 @@ from .common import n_words, stored, table, text_or_empty
 #: The tree's root is sent to the tasks that walk it. At 24 bytes a source this
 #: many take 24 MB; more raise an error and have to be grouped first.
 MAX_SOURCES = 1_000_000
-#: A draw of the tree is made from fewer blocks than this; with more, blocks have to be longer.
-MAX_BLOCKS = 1_000_000_000
+#: A draw of the tree is made from fewer than twice as many blocks; mixes of more have longer blocks.
+MAX_BLOCKS = 500_000_000
 ROWS_PER_BUCKET = 4_000
 
 
@@ -117,7 +117,7 @@ def _permuted(places: DataFrame, seed: int) -> DataFrame:
 def mix_sources(
     docs: DataFrame, *, weights=(5, 2, 1), max_repeat: int = 3, block_words: int = 1024,
     shard_words: int = 1 << 20, seed: int = 8,
-    row_id: str | None = None,
+    row_id: str | None = None, max_blocks: int = MAX_BLOCKS,
 ) -> tuple[DataFrame, DataFrame]:
     """Draw the mix. Returns ``(sized, draws)``.
 
@@ -129,7 +129,8 @@ def mix_sources(
 
     Null text is empty (size 0, never drawn); a null source is a source of its
     own; the order of a source follows ids and texts alone, so reruns agree;
-    equal rows stand next to each other and are drawn apart; an empty table gives empty results. The
+    equal rows stand next to each other and are drawn apart; an empty table gives empty results. Where
+    ``max_blocks`` blocks are not enough, several consecutive ones are drawn as one. The
     running word offsets are made in two steps (buckets of a source by hash,
     then rows within a bucket), so a source with a third of all rows is spread
     over as many tasks as its rows need.
@@ -150,15 +151,14 @@ def mix_sources(
     plan = plan.withColumn("key", key).withColumn(
         "quota", F.least(F.round("target").cast("long"), F.col("source_size") * max_repeat)
     )
+    words = plan.agg(F.sum("quota")).first()[0] or 0
+    block_words *= max(1, math.ceil(words / block_words / max_blocks))
     plan = plan.withColumn("blocks", F.ceil(F.col("quota") / block_words).cast("long"))
     plan = stored(plan.withColumn("slot", F.row_number().over(Window.orderBy("key")).cast("long") - 1), "plan")
     quotas = [tuple(r) for r in plan.where("blocks > 0").select("slot", "blocks").orderBy("slot").limit(MAX_SOURCES + 1).collect()]
     if len(quotas) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources have words: group them first")
-    if sum(n for _, n in quotas) >= MAX_BLOCKS:
-        raise ValueError(f"more than {MAX_BLOCKS} blocks: raise block_words")
-    words = plan.agg(F.sum("quota"), F.sum("source_size")).first()
-    shards = max(1, math.ceil((words[0] or 0) / shard_words))
+    shards = max(1, math.ceil(words / shard_words))
     n_rows = sized.count()
     buckets = max(1, math.ceil(n_rows / ROWS_PER_BUCKET))
 

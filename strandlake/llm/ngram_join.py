@@ -149,10 +149,10 @@ def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _exact(pairs: DataFrame, docs: DataFrame, said: DataFrame, n: int) -> DataFrame:
-    """``a, b, total, apart`` with the true symmetric difference; ``said(node, said)`` names a text of each node."""
+    """``a, b, total, apart`` with the true symmetric difference; ``said(node, id, said)`` names a document of each node."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(said, "node")
     nodes = sendable(stored(few(nodes, 2 * n), "nodes"))
-    text = docs.select("said", "text").join(nodes, "said").dropDuplicates(["node"]).select("node", "text")
+    text = docs.join(nodes, ["id", "said"]).dropDuplicates(["node"]).select("node", "text")
     text = stored(few(text, 2 * n, 5_000), "texts")
     both = pairs.join(text.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(text.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -201,7 +201,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     node = (
         sets.where("n > 0 AND id IS NOT NULL")
         .groupBy("d1", "d2", "n", "n_rare", "window", "sketch")
-        .agg(F.min("said").alias("said"), F.min("id").alias("least"))
+        .agg(F.min(F.struct("id", "said")).alias("first"))
+        .select("d1", "d2", "n", "n_rare", "window", "sketch", F.col("first.id").alias("least"), F.col("first.said").alias("said"))
     )
     nodes = _named(stored(node, "sets"))
     folded = F.aggregate("sketch", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))  # one long of the sketch
@@ -219,7 +220,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         possible = (F.col("total") - F.col("apart")) * 100 >= (F.col("total") + F.col("apart")) * SHARE
         distance = 2 * F.col("apart") / (F.col("total") + F.col("apart"))
         close = bounded.where(possible).select("a", "b")
-        exact = _exact(close, docs, nodes.select("node", "said"), close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
+        exact = _exact(close, docs, nodes.select("node", F.col("least").alias("id"), "said"), close.count()).select("a", "b", distance.alias("lo"), distance.alias("hi"), possible.alias("linked"))
         return exact.union(bounded.where(~possible).select("a", "b", distance.alias("lo"), F.lit(1.0), F.lit(False)))
 
     label = link_cells(cells, judge, share=SHARE, longs=LONGS)

@@ -264,6 +264,16 @@ def test_mix_shards_and_empty(spark, tmp_path):
     assert mixing.taken_words(spark.createDataFrame([(1, None, None)], "doc_id long, text string, source string")).collect()[0]["taken"] == 0
 
 
+def test_mix_of_more_blocks_than_can_be_drawn_has_longer_ones(spark):
+    docs = spark.createDataFrame(mix_rows(15, 150), "doc_id long, text string, source string, size int")
+    key = ["row_id", "shard", "place", "word_from", "word_to"]
+    words = sum(r["word_to"] - r["word_from"] for r in mixing.mix_sources(docs, block_words=8, shard_words=1000)[1].collect())
+    most = -(-words // 32)  # four of the short blocks make one
+    got = mixing.mix_sources(docs.coalesce(1), block_words=8, shard_words=1000, max_blocks=most)[1]
+    want = mixing.mix_sources(docs.coalesce(1), block_words=32, shard_words=1000)[1]
+    assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, want.select(key).collect()))
+
+
 def test_split_tree_is_exact_and_fair():
     quotas = np.array([40, 7, 0, 100, 1])
     runs = [mixing._split(3, quotas, s, 0, 8) for s in range(8)]
