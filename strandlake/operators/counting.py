@@ -72,6 +72,7 @@ def dense_ids(counts: DataFrame, column: str) -> DataFrame:
 
 def matrix(counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(x, obs, var)``: entries ``(i, j, n)`` by cell and feature ids, and the names of both."""
+    counts = stored(counts, "counts")  # three plans read them
     obs = dense_ids(counts, "cell").select(F.col("id").alias("i"), "cell")
     var = dense_ids(counts, "feature").select(F.col("id").alias("j"), "feature")
     return counts.join(obs, "cell").join(var, "feature").select("i", "j", "n"), obs, var

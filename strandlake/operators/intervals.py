@@ -18,11 +18,6 @@ from .counting import ranked
 BIN, COARSE, LONGEST = 5_000, 1_000_000, 20
 
 
-def _bins(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    at = lambda c: F.floor(F.col(c) / width)
-    return df.withColumn("_bin", F.explode(F.sequence(at(start), at(end))))
-
-
 def overlap_join(
     reads: DataFrame, features: DataFrame, *, start: str = "pos", end: str = "end_pos", f_start: str = "f_start", f_end: str = "f_end",
     contig: str = "contig", width: int = BIN,
@@ -32,17 +27,17 @@ def overlap_join(
     Columns of both sides but the features' contig; their names must differ
     otherwise. A side with a null position joins nothing.
     """
-    long = (F.col(f_end) - F.col(f_start)) > LONGEST * width
-    sides = []
-    for level, part in ((width, features.where(~long)), (COARSE, features.where(long))):
-        f = _bins(part.withColumnRenamed(contig, "_contig"), f_start, f_end, level)
-        f = f.withColumnRenamed("_bin", "_f_bin")
-        r = _bins(reads, start, end, level)
-        home = F.floor(F.greatest(F.col(start), F.col(f_start)) / level)
-        on = (r[contig] == F.col("_contig")) & (F.col("_bin") == F.col("_f_bin"))
-        pairs = r.join(f, on).where((F.col(end) >= F.col(f_start)) & (F.col(start) <= F.col(f_end)) & (F.col("_bin") == home))
-        sides.append(pairs.drop("_bin", "_f_bin", "_contig"))
-    return sides[0].unionByName(sides[1])
+    level = F.when(F.col(f_end) - F.col(f_start) > LONGEST * width, COARSE).otherwise(width)
+    at = lambda c, size: F.floor(F.col(c) / size)
+    f = features.withColumnRenamed(contig, "_contig").withColumn("_level", level)
+    f = f.withColumn("_f_bin", F.explode(F.sequence(at(f_start, F.col("_level")), at(f_end, F.col("_level")))))
+    # reads are listed in the bins of both levels, so they are scanned and shuffled once
+    bins = lambda size: F.transform(F.sequence(at(start, size), at(end, size)), lambda b: F.struct(F.lit(size).alias("level"), b.alias("bin")))
+    r = reads.withColumn("_at", F.explode(F.concat(bins(width), bins(COARSE))))
+    on = (r[contig] == F.col("_contig")) & (F.col("_at.level") == F.col("_level")) & (F.col("_at.bin") == F.col("_f_bin"))
+    home = F.floor(F.greatest(F.col(start), F.col(f_start)) / F.col("_level"))
+    pairs = r.join(f, on).where((F.col(end) >= F.col(f_start)) & (F.col(start) <= F.col(f_end)) & (F.col("_f_bin") == home))
+    return pairs.drop("_at", "_level", "_f_bin", "_contig")
 
 
 def overlaps_any(reads: DataFrame, features: DataFrame, key: str = "read_id", **options) -> DataFrame:
