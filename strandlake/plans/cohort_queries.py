@@ -48,12 +48,12 @@ def top_cells_seeded(spark, sf):
 
 
 @query("rna_cell_filter", """SELECT feature, cell, n, umis FROM (SELECT *, CAST(sum(n) OVER w AS BIGINT) AS umis, count(*) OVER w AS features, sum(CASE WHEN feature IN ('G1', 'G8', 'G15', 'G22') THEN n ELSE 0 END) OVER w AS listed
- FROM single WINDOW w AS (PARTITION BY cell)) WHERE features >= 5 AND umis >= 20 AND umis <= 400 AND listed * 1.0 / umis <= 0.04""", SINGLE)
+ FROM single WINDOW w AS (PARTITION BY cell)) WHERE features >= 5 AND umis >= 20 AND umis <= 6400 AND listed * 1.0 / umis <= 0.02""", SINGLE)
 def rna_cell_filter(spark, sf):
     """Cells by their umis, from both sides, and by the share of listed genes."""
     counts = written(single_counts(Views(spark, sf)), "counts")
     shares = counting.gene_share(counts, ["G1", "G8", "G15", "G22"])
-    kept = matrix.cell_range_filter(counts, min_features=5, min_umis=20, max_umis=400, shares=shares, max_share=0.04)
+    kept = matrix.cell_range_filter(counts, min_features=5, min_umis=20, max_umis=6400, shares=shares, max_share=0.02)
     return kept.select("feature", "cell", "n", "umis")
 
 
