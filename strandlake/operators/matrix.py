@@ -378,10 +378,13 @@ def radius_and_angle(cells: DataFrame, rna: str = "rna_reads", dna: str = "dna_r
 
 def select_cells(
     cells: DataFrame, group: list[str], *, rna: str = "rna_umis", dna: str = "dna_umis", least: int = 350, points: int = 512, bins: int = 2048,
-    window: tuple[float, float] = (0.75, 1.25),
+    window: tuple[float, float] = (0.75, 1.25), rna_only: str | None = None, umis_only: bool = False,
 ) -> DataFrame:
     """Keep flags by the density of log counts: ``r, theta, cut, cut2, keep``.
 
+    Where the column ``rna_only`` holds, as in assays without an antibody, the radius is that of
+    the RNA counts alone and the angle the diagonal. ``umis_only`` leaves the density out.
+
     Only cells whose angle is within ``window`` of the diagonal count and can be
     kept. With t the P99.95 of all radii, the lower mode is the mean of the
     modes between t / 7 and 4 t / 7, the upper one that of those from there to
@@ -393,6 +396,13 @@ def select_cells(
     a bounded histogram, whatever the number of cells.
     """
     polar = radius_and_angle(cells)
+    if rna_only:
+        alone = F.col(rna_only)
+        polar = polar.withColumns({"r": F.when(alone, F.log10(F.col("rna_reads") + 1)).otherwise(F.col("r")), "theta": F.when(alone, math.pi / 4).otherwise(F.col("theta"))})
+    enough = (F.col(rna) >= least) & (F.col(dna) >= least)
+    if umis_only:
+        none = F.lit(None).cast("double")
+        return polar.withColumns({"cut": none, "cut2": none, "keep": enough})
     angle = F.col("theta") / F.lit(math.pi / 4)
     polar = polar.withColumn("_in", angle.between(*window))
     top = F.lit(12.0)
@@ -422,6 +432,5 @@ def select_cells(
         return pd.DataFrame([[*key, float(between[-1]), float(above[-1]) if len(above) else None]])
 
     cuts = hist.groupBy(*group).applyInPandas(cut, f"{kinds}, cut double, cut2 double")
-    enough = (F.col(rna) >= least) & (F.col(dna) >= least)
     inside = F.col("_in") & (F.col("r") > F.col("cut")) & (F.col("r") < F.coalesce("cut2", F.lit(float("inf"))))
     return polar.join(cuts, group, "left").withColumn("keep", F.when(F.col("cut").isNotNull(), inside).otherwise(enough)).drop("_in")

@@ -57,6 +57,34 @@ def rna_cell_filter(spark, sf):
     return kept.select("feature", "cell", "n", "umis")
 
 
+ASSAY_SQL = """assays AS (SELECT p.*, CASE WHEN s.name = 'SM4' THEN 'NA' ELSE s.antibody END AS antibody FROM paired p JOIN fx_samples s ON split_part(cell, ':', 2) = s.name)"""
+
+
+def cells_of_assays(v: Views):
+    """Cells with their assay; one sample stands for an assay of RNA alone."""
+    antibody = F.when(F.col("name") == "SM4", "NA").otherwise(F.col("antibody"))
+    return paired_cells(v).join(v.samples.select("name", antibody.alias("antibody")), F.split_part("cell", F.lit(":"), F.lit(2)) == F.col("name")).withColumn("alone", F.col("antibody") == "NA")
+
+
+@query("select_cells_by_umis", """SELECT antibody, library, cell, round(CASE WHEN antibody = 'NA' THEN log10(rna_reads + 1) ELSE sqrt(pow(log10(rna_reads + 1), 2) + pow(log10(dna_reads + 1), 2)) END, 6) AS r,
+ round(CASE WHEN antibody = 'NA' THEN pi() / 4 ELSE atan2(log10(dna_reads + 1), log10(rna_reads + 1)) END, 6) AS theta, rna_umis >= 400 AND dna_umis >= 400 AS keep FROM assays""", PAIRED_SQL, ASSAY_SQL)
+def select_cells_by_umis(spark, sf):
+    x = matrix.select_cells(cells_of_assays(Views(spark, sf)), ["antibody", "library"], least=400, rna_only="alone", umis_only=True)
+    return R6(x.select("antibody", "library", "cell", "r", "theta", "keep"), "r", "theta")
+
+
+@query("select_cells_by_assay")
+def select_cells_by_assay(spark, sf):
+    """By assay and library, from the densities of radii."""
+    x = matrix.select_cells(cells_of_assays(Views(spark, sf)), ["antibody", "library"], least=400, rna_only="alone")
+    return x.select("antibody", "library", "cell", "r", "theta", "cut", "cut2", "keep")
+
+
+@query("name_sorted_reads", "SELECT read_id, row_number() OVER (ORDER BY read_id) - 1 AS place FROM fx_reads")
+def name_sorted_reads(spark, sf):
+    return counting.ranked(Views(spark, sf).reads.select("read_id"), ["read_id"], "place")
+
+
 ANTIBODY_SQL = MEASURES_SQL.replace("SELECT sample,", "SELECT concat_ws('/', split_part(cell, ':', 1), antibody, wide.sample) AS sample,").replace("FROM wide", "FROM wide JOIN fx_samples ON wide.sample = fx_samples.name")
 
 

@@ -227,6 +227,19 @@ def test_select_cells_cuts_between_modes(spark):
     assert len(cuts) == 1 and 2.5 < next(iter(cuts))[0] < 4.6
 
 
+def test_select_cells_of_rna_alone(spark):
+    r = random.Random(7)
+    rows = [("NA", f"u{i}", int(10 ** r.gauss(4.4, 0.1)), 1, 600, 0) for i in range(300)] + [("NA", f"d{i}", int(10 ** r.gauss(2.4, 0.2)), 1, 5, 0) for i in range(300)]
+    rows += [("H3", f"x{i}", int(10 ** r.gauss(4.4, 0.1)), 0, 600, 600) for i in range(50)]  # off the diagonal: no density, umis decide
+    df = spark.createDataFrame(rows, "antibody string, cell string, rna_reads int, dna_reads int, rna_umis int, dna_umis int").withColumn("alone", F.col("antibody") == "NA")
+    out = {x["cell"]: x for x in matrix.select_cells(df, ["antibody"], rna_only="alone").collect()}
+    assert all(out[f"u{i}"]["keep"] for i in range(300)) and not any(out[f"d{i}"]["keep"] for i in range(300))
+    assert all(out[f"x{i}"]["keep"] and out[f"x{i}"]["cut"] is None for i in range(50))
+    assert out["u0"]["theta"] == pytest.approx(math.pi / 4) and out["u0"]["r"] == pytest.approx(math.log10(rows[0][2] + 1))
+    by = {x["cell"]: x["keep"] for x in matrix.select_cells(df, ["antibody"], rna_only="alone", umis_only=True).collect()}
+    assert by == {x[1]: x[4] >= 350 and x[5] >= 350 for x in rows}
+
+
 def test_files(spark, tmp_path):
     rows = [(f"r{i}", "ACGT" * (i % 3 + 1), "IIII" * (i % 3 + 1), ["SM1", "*", None][i % 3]) for i in range(12)]
     writers.write_fastq(spark.createDataFrame(rows, "name string, seq string, qual string, sample string"), str(tmp_path / "fq"), ["sample"])
