@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandlake.functions import columns as C
-from strandlake.operators import barcodes, counting, fragments, intervals, matrix, reads, saturation, species
+from strandlake.operators import barcodes, counting, fragments, intervals, matrix, peaks, reads, saturation, species
 from strandlake.plans.fixtures import LINKER1, LINKER2
 from strandlake.sources import readers, writers
 
@@ -200,7 +200,7 @@ def test_quadratic_fit(spark):
 def test_nearest_equals_brute_force(spark, block_rows):
     x = np.random.default_rng(6).normal(size=(90, 5))
     df = spark.createDataFrame([(i, [float(v) for v in e]) for i, e in enumerate(x)], "k long, x array<double>")
-    got = {(r["k"], r["rank"]): r["neighbour"] for r in matrix.nearest(df, 4, key="k", x="x", block_rows=block_rows).collect()}
+    got = {(r["k"], r["rank"]): r["neighbour"] for r in matrix.nearest(df, 4, key="k", x="x", unit=block_rows).collect()}
     d = np.square(x[:, None] - x[None]).sum(2)
     np.fill_diagonal(d, np.inf)
     for i in range(90):
@@ -210,8 +210,8 @@ def test_nearest_equals_brute_force(spark, block_rows):
 def test_enriched_bins_find_the_planted_peak(spark):
     r = random.Random(7)
     rows = [("ab", "c", r.randint(0, 100_000)) for _ in range(2000)] + [("ab", "c", 50_000 + r.randint(0, 399)) for _ in range(200)]
-    peaks = matrix.enriched_bins(spark.createDataFrame(rows, "antibody string, contig string, pos long"), q=0.01).collect()
-    assert [(p["f_start"], p["f_end"]) for p in peaks] == [(50_000, 50_400)]
+    found = peaks.call_peaks(spark.createDataFrame(rows, "antibody string, contig string, pos long"), q=0.01).where("kind = 'narrow'").collect()
+    assert [(p["f_start"], p["f_end"]) for p in found] == [(50_000, 50_400)]
 
 
 def test_select_cells_cuts_between_modes(spark):
