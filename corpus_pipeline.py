@@ -24,12 +24,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of lines that are alike one stays; documents that lose all their lines go, and so do equal rows but one."""
+    """Of lines that are alike one stays; documents that lose all their lines go, and so do rows that repeat another's id and text."""
     return drop_repeated_lines(docs)
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays; of copies that share it, the same one on every run."""
     return keep_one(docs)
 
 
@@ -39,7 +39,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix draws, with their shard and place in it; what is drawn again comes again."""
+    """The words that the mix draws, with their shard and place in it; what is drawn again comes again.
+
+    Rows are placed by a hash of what they hold, so ties are equal rows, which
+    stand next to each other; without rows or words nothing is drawn.
+    """
     return mixed_documents(docs)
 
 
