@@ -206,5 +206,5 @@ def keep_sampled(df: DataFrame, n: int, *, ordinal: str = "ordinal", within: str
 
 def contig_order(df: DataFrame, contigs: DataFrame, *, start: str = "pos", end: str = "end_pos") -> DataFrame:
     """Coordinate order: contigs by their rank in the reference, then start, then length."""
-    ranked = df.join(F.broadcast(contigs.select("contig", F.col("rank").alias("_rank"))), "contig")  # as many rows as contigs
+    ranked = df.join(contigs.select("contig", F.col("rank").alias("_rank")), "contig")
     return ranked.orderBy("_rank", start, F.col(end) - F.col(start)).drop("_rank")

@@ -583,7 +583,7 @@ def merge_sorted_reads(spark, sf):
     v = Views(spark, sf)
     both = v.reads.where("is_mapped AND library = 'LIB1'").unionByName(v.reads.where("is_mapped AND library = 'LIB2'"))
     contigs = v.reads.select("contig").distinct().withColumn("rank", F.expr("CAST(substring(contig, 4) AS INT)"))
-    placed = both.join(F.broadcast(contigs), "contig").withColumn("length", F.col("end_pos") - F.col("pos"))  # as many rows as contigs
+    placed = both.join(contigs, "contig").withColumn("length", F.col("end_pos") - F.col("pos"))
     placed = counting.ranked(placed.select("rank", "contig", "pos", "length", "read_id"), ["rank", "pos", "length", "read_id"], "place")
     return placed.select("read_id", "contig", "pos", (F.col("place") + 1).alias("place"))
 
@@ -634,7 +634,7 @@ def fastq_by_sample(spark, sf):
     writers.write_fastq(reads.select("sample", F.col("read_id").alias("name"), "seq", F.repeat(F.lit("I"), F.length("seq")).alias("qual")), path, ["sample"], least=3)
     groups = committed.manifest_rows(spark, path)
     back = readers.read_fastq(spark, path).withColumn("part", F.regexp_extract("path", "(sample=[^/]*)", 1))
-    kept = back.join(F.broadcast(groups.where("kept")), "part").select("part", "name", "seq", F.col("rows").alias("n"))  # a row for each sample
+    kept = back.join(groups.where("kept"), "part").select("part", "name", "seq", F.col("rows").alias("n"))
     return kept.unionByName(groups.where("NOT kept").select("part", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("seq"), F.col("rows").alias("n")))
 
 
