@@ -11,6 +11,7 @@ sums are a document's words, nonzero counts its distinct words.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ ENCODED = pa.schema([
     ("marks", pa.list_(pa.int32())), ("indptr", pa.binary()), ("indices", pa.binary()), ("data", pa.binary()), ("words", pa.list_(pa.binary())),
 ])
 SHARD = "page long, shard long, n_rows int, indptr binary, indices binary, data binary"
+COUNTS = "shard long, row int, n_words long, n_distinct long"
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -105,22 +107,39 @@ def dictionary(found: DataFrame) -> DataFrame:
     return words.withColumn("id", F.min("own").over(Window.partitionBy("word")))
 
 
-def term_shards(found: DataFrame) -> DataFrame:
-    """``page, shard, n_rows, indptr, indices, data``: the CSR shards of :func:`encoded` in global numbers, ``indices`` as bytes of int64."""
+def _renumbered(shards: pa.Table, moved: pa.Table) -> pa.Table:
+    """A page's shards in global numbers; ``moved`` has those of its words whose global number isn't their own."""
+    if not shards.num_rows:
+        return pa.table([[]] * 6, names=[c.split()[0] for c in SHARD.split(", ")])
+    codes = [_unpacked(x) for x in shards.column("indices")]
+    base = shards.column("page")[0].as_py() << 31
+    of = base + np.arange(max((int(x.max(initial=-1)) for x in codes)) + 1)
+    of[moved.column("own").to_numpy() - base] = moved.column("id").to_numpy()
+    new = pa.array([of[x].tobytes() for x in codes], pa.binary())
+    return shards.set_column(shards.schema.get_field_index("indices"), "indices", new)
+
+
+def _counted(shards: pa.Table | pa.RecordBatch) -> pa.Table:
+    """``shard, row, n_words, n_distinct`` of some shards: row sums and nonzero counts."""
+    out = [[np.zeros(0, kind)] for kind in (np.int64, np.int32, np.int64, np.int64)]
+    for shard, indptr, data in zip(shards.column("shard").to_pylist(), shards.column("indptr"), shards.column("data"), strict=True):
+        ptr = _unpacked(indptr)
+        total = np.concatenate([[0], np.cumsum(_unpacked(data), dtype=np.int64)])
+        n = len(ptr) - 1
+        for column, x in zip(out, (np.full(n, shard), np.arange(n, dtype=np.int32), total[ptr[1:]] - total[ptr[:-1]], np.diff(ptr).astype(np.int64)), strict=True):
+            column.append(x)
+    return pa.table([np.concatenate(x) for x in out], names=["shard", "row", "n_words", "n_distinct"])
+
+
+def _by_page(found: DataFrame, read: Callable[[pa.Table, pa.Table], pa.Table], kind: str) -> DataFrame:
     moved = dictionary(found).where("own <> id").select(F.shiftright("own", 31).alias("page"), "own", "id")
     shards = found.where("words IS NULL").select("page", "shard", F.size("doc_id").alias("n_rows"), "indptr", "indices", "data")
+    return shards.groupBy("page").cogroup(moved.groupBy("page")).applyInArrow(read, kind)  # a page is bounded
 
-    def renumber(shards: pa.Table, moved: pa.Table) -> pa.Table:
-        if not shards.num_rows:
-            return pa.table([[]] * 6, names=[c.split()[0] for c in SHARD.split(", ")])
-        codes = [_unpacked(x) for x in shards.column("indices")]
-        base = shards.column("page")[0].as_py() << 31
-        of = base + np.arange(max((int(x.max(initial=-1)) for x in codes)) + 1)
-        of[moved.column("own").to_numpy() - base] = moved.column("id").to_numpy()
-        new = pa.array([of[x].tobytes() for x in codes], pa.binary())
-        return shards.set_column(shards.schema.get_field_index("indices"), "indices", new)
 
-    return shards.groupBy("page").cogroup(moved.groupBy("page")).applyInArrow(renumber, SHARD)  # a page is bounded
+def term_shards(found: DataFrame) -> DataFrame:
+    """``page, shard, n_rows, indptr, indices, data``: the CSR shards of :func:`encoded` in global numbers, ``indices`` as bytes of int64."""
+    return _by_page(found, lambda shards, moved: _renumbered(shards, moved), SHARD)
 
 
 def row_counts(shards: DataFrame) -> DataFrame:
@@ -128,14 +147,14 @@ def row_counts(shards: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for shard, indptr, data in zip(batch.column("shard").to_pylist(), batch.column("indptr"), batch.column("data"), strict=True):
-                ptr = _unpacked(indptr)
-                total = np.concatenate([[0], np.cumsum(_unpacked(data), dtype=np.int64)])
-                n = len(ptr) - 1
-                columns = [pa.array(np.full(n, shard)), pa.array(np.arange(n, dtype=np.int32)), pa.array(total[ptr[1:]] - total[ptr[:-1]]), pa.array(np.diff(ptr).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "row", "n_words", "n_distinct"])
+            yield from _counted(batch).to_batches()
+
+    return shards.select("shard", "indptr", "data").mapInArrow(run, COUNTS)
+
 
-    return shards.select("shard", "indptr", "data").mapInArrow(run, "shard long, row int, n_words long, n_distinct long")
+def term_counts(found: DataFrame) -> DataFrame:
+    """:func:`row_counts` of :func:`term_shards`, taken where a page is renumbered: a second Python worker a task and the way there would hold the page again."""
+    return _by_page(found, lambda shards, moved: _counted(_renumbered(shards, moved)), COUNTS)
 
 
 def failed_filters(docs: DataFrame) -> DataFrame:
@@ -152,7 +171,7 @@ def failed_filters(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("sha", F.sha2("text", 256))
     found = encoded(docs)
     rows = found.where("words IS NULL").select("shard", F.posexplode(F.arrays_zip("doc_id", "part", "sha", "marks")).alias("row", "x")).select("shard", "row", "x.*")
-    rows = rows.join(row_counts(term_shards(found)), ["shard", "row"])
+    rows = rows.join(term_counts(found), ["shard", "row"])
     marks = F.col("marks") + F.when(F.col("n_words") < 50, BIT["A"]).otherwise(0) + F.when(F.expr("100 * n_distinct < 65 * n_words"), BIT["B"]).otherwise(0)
     rows = stored(rows.select("doc_id", "part", "sha", marks.alias("marks")), "marks")
     first = rows.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("sha", "first")

@@ -281,6 +281,16 @@ def test_term_shards_hold_every_word(spark):
     assert got == {i: {x: w.count(x) for x in w} for i, w in want.items()}
 
 
+def test_term_counts_take_one_python_worker(spark):
+    docs = spark.createDataFrame([(1, "", "x", "a b a"), (2, "s", "y", "b c\nb"), (3, "s", "z", "")], "doc_id long, part string, sha string, text string")
+    found = audit.encoded(docs, words_of_page=2)
+    counts = audit.term_counts(found)
+    at = lambda df: sorted(tuple(r) for r in df.select("shard", "row", "n_words", "n_distinct").collect())
+    assert at(counts) == at(audit.row_counts(audit.term_shards(found)))
+    assert sorted(r[2:] for r in at(counts)) == [(0, 0), (3, 2), (3, 2)]
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Arrow") == 1
+
+
 def test_audit_of_odd_tables(spark):
     none = spark.createDataFrame([], LABELS)
     assert audit.audit_filters(spark.createDataFrame([], DOCS), none).collect() == []
