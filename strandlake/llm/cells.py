@@ -21,6 +21,8 @@ from .graph import components
 
 #: Pivots of a cell in the first round, 16 times as many in the next; after ROUNDS of them, or with no more than FEW_PAIRS open pairs, all members are pivots.
 PIVOTS, ROUNDS, FEW_PAIRS = 8, 2, 200_000
+#: Cells of a node that tell where it has met another before.
+MET = 32
 
 
 def without(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
@@ -52,6 +54,16 @@ def _possible(a: str, b: str, share: int, longs: int) -> Column:
     return near & (_ones(a, b, longs) * (100 + share) <= most) if longs else near
 
 
+def with_met(rows: DataFrame) -> DataFrame:
+    """``rows(cell, node, …)`` with ``met``: those of the node's :data:`MET` smallest cells that are smaller than ``cell``.
+
+    Two nodes whose ``met`` overlap share a smaller cell. A pair that is only made in cells where
+    they don't is still made in the smallest cell that it shares, and mostly in no other.
+    """
+    least = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("cell")), 1, MET).alias("_least"))  # of one node
+    return rows.join(least, "node").withColumn("met", F.filter("_least", lambda c: c < F.col("cell"))).drop("_least")
+
+
 def in_company(rows: DataFrame, common: Column | None = None) -> DataFrame:
     """Cells of two or more members, each set of members once: ``cell, node, size, sketch``.
 
@@ -99,7 +111,8 @@ def link_cells(
     judged = judged_pairs(nearest, n_rows)
     edges = stored(few(judged.where("linked").select("a", "b"), n_rows), "links")
     label = components(edges, rows=n_rows)
-    of = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
+    held = sendable(label)
+    of = lambda c: held.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
     apart = able.join(of("node"), "node", "left").join(of("p"), "p", "left")
     apart = apart.where(F.coalesce("node_comp", "node") != F.coalesce("p_comp", "p")).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
     judged = judged.union(judged_pairs(apart.join(judged, ["a", "b"], "left_anti"), n_rows))
@@ -111,7 +124,7 @@ def link_cells(
     turn, k = 0, PIVOTS
     while True:
         label = components(edges, rows=n_rows)
-        named = rest.join(label, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+        named = rest.join(sendable(label), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         named = stored(few(named, n_rows), "named")
         groups = named.groupBy("cell", "comp").agg(F.count("*").alias("n"))
         total = groups.groupBy("cell").agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("comps")).where("comps > 1")
@@ -119,7 +132,7 @@ def link_cells(
         open_pairs, n_open = total.agg(F.sum((F.col("members") * F.col("members") - F.col("same")) / 2), F.count("*")).first()
         if not n_open:
             return label
-        live = named.join(total.select("cell", "members"), "cell")
+        live = named.join(sendable(total.select("cell", "members")), "cell")
         if sketches and not turn:
             longs = sketches[0]
             live = live.drop("sketch").join(sketches[1](live.select("node").distinct()), "node")
@@ -127,11 +140,16 @@ def link_cells(
         # about k pivots of each cell, the same nodes in all their cells, meet the members of other components; all are pivots once few pairs are left
         last = open_pairs <= FEW_PAIRS or turn == ROUNDS
         is_pivot = F.lit(True) if last else F.pmod(F.xxhash64(F.lit(turn), "node"), F.col("members")) < k
-        side = lambda df, c: df.select("cell", *[F.col(n).alias(f"{c}{n}") for n in ("node", "size", "sketch", "comp", "lo", "hi")])
-        near = side(live.where(is_pivot), "x_").join(side(live, "y_"), "cell").where("x_comp <> y_comp")
+        # near copies share dozens of cells, and each pair is wanted once
+        again = last and open_pairs > FEW_PAIRS
+        here = stored(few(with_met(live), n_rows), "met") if again else live
+        side = lambda df, c: df.select("cell", *[F.col(n).alias(f"{c}{n}") for n in ("node", "size", "sketch", "comp", "lo", "hi", *["met"] * again)])  # noqa: E731, B023
+        near = side(here.where(is_pivot), "x_").join(side(here, "y_"), "cell").where("x_comp <> y_comp")
         if last:
             near = near.where("x_node < y_node")
         near = near.where(_possible("x_", "y_", share, longs)).where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta))
+        if again:
+            near = near.where(~F.arrays_overlap("x_met", "y_met"))
         pairs = near.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
         edges = edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b"))
         if last:

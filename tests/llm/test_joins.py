@@ -126,6 +126,16 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_pair_of_many_shared_cells_is_made_once(spark):
+    # twenty nodes in most of thirty cells
+    rows = [(c, n) for c in range(30) for n in range(20) if (c * 7 + n * 3) % 5]
+    met = cells.with_met(spark.createDataFrame(rows, "cell long, node long"))
+    x, y = (met.select("cell", F.col("node").alias(c), F.col("met").alias(f"{c}_met")) for c in "xy")
+    made = [(r.x, r.y) for r in x.join(y, "cell").where("x < y").where(~F.arrays_overlap("x_met", "y_met")).collect()]
+    assert len(made) == len(set(made))
+    assert set(made) == {(a, b) for c, a in rows for d, b in rows if c == d and a < b}
+
+
 def test_without(spark):
     ids = spark.range(0, 3000, 3).select(F.col("id").alias("node"))
     left = cells.without(spark.range(3000).withColumn("node", F.lit("x")), ids, "id")
