@@ -162,12 +162,13 @@ def line_classes(docs: DataFrame, place: tuple[str, ...] = ("doc_id",)) -> DataF
     nodes = stored(shared.select("node", "size").distinct(), "nodes")
     text = stored(_lines(docs).select(_node("line"), "line").join(sendable(nodes), "node").dropDuplicates(["node"]), "texts")
     label = link_cells(shared, _judge(text), share=SHARE, longs=0, sketches=(LONGS, _sketches(text)))
-    of_node = sets.select("node", "size").join(label, "node", "left")
-    of_node = of_node.select("node", F.col("size").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
-    named = places.join(of_node, "node").select(*place, "line_no", "n_shingles", "component_id")
-    at = F.struct(*place, "line_no")
-    first = named.groupBy("component_id").agg(F.min(at).alias("first"))
-    return named.join(first, "component_id").select(*place, "line_no", "n_shingles", "component_id", at.eqNullSafe(F.col("first")).alias("kept"))
+    at, held = F.struct(*place, "line_no"), sendable(label)
+    # the first place of each line, and of those that are linked the first of the component
+    first = places.groupBy("node").agg(F.min(at).alias("own_first"))
+    linked = stored(places.join(held, "node").groupBy("component").agg(F.min(at).alias("first")), "firsts")
+    of_node = sets.select("node", F.col("size").alias("n_shingles")).join(first, "node").join(held, "node", "left").join(sendable(linked), "component", "left")
+    of_node = of_node.select("node", "n_shingles", F.coalesce("component", "node").alias("component_id"), F.coalesce("first", "own_first").alias("first"))
+    return places.join(of_node, "node").select(*place, "line_no", "n_shingles", "component_id", at.eqNullSafe(F.col("first")).alias("kept"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
