@@ -26,6 +26,8 @@ FILTERS = "ABCDE"
 BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
 #: Distinct words of shards, added up, and shards of a page, which ends with the shard in which it gets as many.
 PAGE, SHARDS = 1 << 21, 32
+#: Words of a page in one row, so that no row and none of its buffers is large.
+RUN = 1 << 15
 
 SIGN = np.zeros(256, bool)
 SIGN[list(b"#$%&*|")] = True
@@ -33,7 +35,7 @@ SIGN[list(b"#$%&*|")] = True
 
 ENCODED = pa.schema([
     ("page", pa.int64()), ("shard", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("part", pa.list_(pa.string())), ("sha", pa.list_(pa.string())),
-    ("marks", pa.list_(pa.int32())), ("indptr", pa.binary()), ("indices", pa.binary()), ("data", pa.binary()), ("words", pa.list_(pa.binary())),
+    ("marks", pa.list_(pa.int32())), ("indptr", pa.binary()), ("indices", pa.binary()), ("data", pa.binary()), ("first", pa.int64()), ("words", pa.list_(pa.binary())),
 ])
 SHARD = "page long, shard long, n_rows int, indptr binary, indices binary, data binary"
 COUNTS = "shard long, row int, n_words long, n_distinct long"
@@ -58,7 +60,7 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, n
 
 
 def encoded(docs: DataFrame, *, words_of_page: int = PAGE) -> DataFrame:
-    """CSR shards of ``docs(doc_id, part, sha, text)`` in the numbers of their pages, and the pages' ``words``.
+    """CSR shards of ``docs(doc_id, part, sha, text)`` in the numbers of their pages, and the pages' ``words`` from number ``first`` on.
 
     A shard holds about a MB of text, or one longer document; ``marks`` has the bits of the filters on
     characters for each of its documents. Stored, as the numbers depend on how the rows are dealt.
@@ -77,7 +79,8 @@ def encoded(docs: DataFrame, *, words_of_page: int = PAGE) -> DataFrame:
             at += size
             ptr = np.searchsorted(entry, np.arange(n + 1) << 32)
             yield emit(page=page, shard=shard, indptr=_packed(ptr), indices=_packed(entry & 0xFFFFFFFF), data=_packed(count), **told)
-        yield emit(page=page, words=whole.dictionary.to_pylist())
+        for first in range(0, len(whole.dictionary), RUN):
+            yield emit(page=page, first=first, words=whole.dictionary.slice(first, RUN).to_pylist())
 
     def run(batches):
         page, shard = TaskContext.get().partitionId() << 12, TaskContext.get().partitionId() << 32
@@ -96,14 +99,14 @@ def encoded(docs: DataFrame, *, words_of_page: int = PAGE) -> DataFrame:
         if held:
             yield from finish(page, held)
 
-    kind = "page long, shard long, doc_id array<long>, part array<string>, sha array<string>, marks array<int>, indptr binary, indices binary, data binary, words array<binary>"
+    kind = "page long, shard long, doc_id array<long>, part array<string>, sha array<string>, marks array<int>, indptr binary, indices binary, data binary, first long, words array<binary>"
     return stored(docs.select("doc_id", "part", "sha", "text").mapInArrow(run, kind), "encoded")
 
 
 def dictionary(found: DataFrame) -> DataFrame:
     """``word, own, id`` of :func:`encoded`'s pages: ``own`` is a word's number in a page, behind the page's number; a word's one ``id`` is its smallest ``own``."""
-    words = found.where("words IS NOT NULL").select("page", F.posexplode("words").alias("code", "word"))
-    words = words.select("word", (F.shiftleft("page", 31) + F.col("code")).alias("own"))
+    words = found.where("words IS NOT NULL").select("page", "first", F.posexplode("words").alias("code", "word"))
+    words = words.select("word", (F.shiftleft("page", 31) + F.col("first") + F.col("code")).alias("own"))
     return words.withColumn("id", F.min("own").over(Window.partitionBy("word")))
 
 
