@@ -21,6 +21,8 @@ from .graph import components
 
 #: Pivots of a cell in the first round, 16 times as many in the next; after ROUNDS of them, or with no more than FEW_PAIRS open pairs, all members are pivots.
 PIVOTS, ROUNDS, FEW_PAIRS = 8, 2, 200_000
+#: Sketches of more longs are compared in a loop: written out, 16 of them make 5,300 bytes of code, which a join of few pairs runs uncompiled.
+INLINE = 8
 #: Cells of a node that tell where it has met another before.
 MET = 32
 
@@ -32,6 +34,9 @@ def without(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
 
 
 def _ones(a: str, b: str, longs: int) -> Column:
+    if longs > INLINE:
+        bits = F.zip_with(f"{a}sketch", f"{b}sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.aggregate(bits, F.lit(0), lambda s, n: s + n).cast("long")
     ones = F.lit(0)
     for i in range(longs):
         ones = ones + F.bit_count(F.get(f"{a}sketch", F.lit(i)).bitwiseXOR(F.get(f"{b}sketch", F.lit(i))))
@@ -67,20 +72,21 @@ def with_met(rows: DataFrame) -> DataFrame:
 def in_company(rows: DataFrame, common: Column | None = None) -> DataFrame:
     """Cells of two or more members, each set of members once: ``cell, node, size, sketch``.
 
-    ``rows(cell, node, size, sketch)`` are distinct. Near copies share dozens of cells
+    ``rows(cell, node, size, sketch)`` are distinct; without a sketch the result has none. Near copies share dozens of cells
     with the same members; such cells are one, named by a hash of the members.
     Cells for which ``common`` holds may have very many members: they are
     counted by aggregation with map-side combining; the others by a window.
     """
     name = F.xxhash64("_n", "_sign")
+    member = [c for c in ("node", "size", "sketch") if c in rows.columns]
     by = Window.partitionBy("cell")
     rare = rows if common is None else rows.where(~common)
     rare = rare.withColumn("_n", F.count("*").over(by)).where("_n > 1").withColumn("_sign", F.bit_xor(F.xxhash64("node")).over(by))
-    out = rare.select(name.alias("cell"), "node", "size", "sketch")
+    out = rare.select(name.alias("cell"), *member)
     if common is not None:
         wide = rows.where(common)
         count = wide.groupBy("cell").agg(F.count("*").alias("_n"), F.bit_xor(F.xxhash64("node")).alias("_sign")).where("_n > 1")
-        out = out.union(wide.join(count, "cell").select(name.alias("cell"), "node", "size", "sketch"))
+        out = out.union(wide.join(count, "cell").select(name.alias("cell"), *member))
     return out.distinct()
 
 

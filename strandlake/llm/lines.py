@@ -125,7 +125,8 @@ def _sketches(text: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Parity sketches of :data:`LONGS` longs of the shingle sets of lines, for :func:`link_cells`."""
 
     def sketch(nodes: DataFrame) -> DataFrame:
-        x = with_sets(text.join(nodes, "node", "left_semi"), "line", "h").select("node", F.explode("h").alias("h"))
+        x = with_sets(text.join(nodes, "node", "left_semi"), "line", "h")
+        x = x.select("node", F.explode_outer("h").alias("h"))  # no set is empty; a plain explode makes them all once more to see that
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int"))
         word = F.shiftright("h", 6).bitwiseAND(LONGS - 1)
         x = x.select("node", bit.alias("bit"), word.alias("word"))
@@ -156,9 +157,9 @@ def line_classes(docs: DataFrame, place: tuple[str, ...] = ("doc_id",)) -> DataF
     prepared = prepared.select("node", (F.size("marked") - BANDS).alias("size"), "marked")
     keys = band_keys(F.col("marked"), F.col("size"))
     sets = stored(prepared.select("node", "size", keys.alias("keys")), "sets")
+    banded = sets.select(F.explode("keys").alias("cell"), "node", "size").where("cell IS NOT NULL")
     no_sketch = F.array().cast("array<long>").alias("sketch")  # sketches of 64 bits exclude no pair of lines of usual length
-    banded = sets.select(F.explode("keys").alias("cell"), "node", "size", no_sketch).where("cell IS NOT NULL")
-    shared = stored(in_company(banded), "cells")
+    shared = stored(in_company(banded).select("cell", "node", "size", no_sketch), "cells")
     nodes = stored(shared.select("node", "size").distinct(), "nodes")
     text = stored(_lines(docs).select(_node("line"), "line").join(sendable(nodes), "node").dropDuplicates(["node"]), "texts")
     label = link_cells(shared, _judge(text), share=SHARE, longs=0, sketches=(LONGS, _sketches(text)))

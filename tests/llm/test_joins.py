@@ -191,6 +191,21 @@ def test_lines_are_read_whole(spark):
             assert len(got[x] & got[y]) == len(line_windows(x) & line_windows(y))
 
 
+def test_sketches_make_each_set_once(spark):
+    """A filter on the exploded sets would make them again. Long sketches are compared in a loop, as short ones are."""
+    text = spark.createDataFrame([(1, "a line of some length"), (2, "a line of same length"), (3, "q8")], "node long, line string")
+    out = lines._sketches(text)(text.select("node"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("array_distinct(") == 1
+    got = {x["node"]: x["sketch"] for x in out.collect()}
+    for node, line in ((x["node"], x["line"]) for x in text.collect()):
+        assert sum(i.bit_count() for i in (v & (2**64 - 1) for v in got[node])) <= len(line_windows(line))
+    side = lambda c: out.select(*[F.col(x).alias(f"{c}{x}") for x in out.columns])
+    both = side("x_").crossJoin(side("y_")).withColumn("ones", cells._ones("x_", "y_", lines.LONGS))
+    for x in both.collect():
+        assert x["ones"] == sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(x["x_sketch"], x["y_sketch"], strict=True))
+    assert cells.INLINE < lines.LONGS
+
+
 def test_bands_meet_at_the_threshold(spark):
     """Random pairs of a Jaccard similarity of just 0.8 share a band, at every size."""
     cases = [(4, 0, 1), (8, 1, 1), (8, 0, 2), (12, 1, 2), (16, 2, 2), (16, 0, 4), (24, 3, 3), (64, 8, 8), (256, 32, 32)]
