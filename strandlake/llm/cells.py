@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import few, sendable, stored
-from .graph import components
+from .graph import components, extended
 
 #: Pivots of a cell in the first round, 16 times as many in the next; after ROUNDS of them, or with no more than FEW_PAIRS open pairs, all members are pivots.
 PIVOTS, ROUNDS, FEW_PAIRS = 8, 2, 200_000
 #: Sketches of more longs are compared in a loop: written out, 16 of them make 5,300 bytes of code, which a join of few pairs runs uncompiled.
 INLINE = 8
+#: Of such sketches this many longs are compared first, written out; they exclude most pairs.
+HEAD = 6
 #: Cells of a node that tell where it has met another before.
 MET = 32
 
@@ -56,6 +58,8 @@ def _possible(a: str, b: str, share: int, longs: int) -> Column:
     """
     most = (F.col(f"{a}size") + F.col(f"{b}size")) * (100 - share)
     near = F.abs(F.col(f"{a}size") - F.col(f"{b}size")) * (100 + share) <= most
+    if longs > INLINE:
+        near = near & (_ones(a, b, HEAD) * (100 + share) <= most)
     return near & (_ones(a, b, longs) * (100 + share) <= most) if longs else near
 
 
@@ -114,22 +118,22 @@ def link_cells(
     able = spoke.where(_possible("", "p_", share, longs))
     # first each node meets the pivot of its largest cell only: near copies share many cells, and one of them settles most
     nearest = able.groupBy("node").agg(F.max(F.struct("n", "p"))["p"].alias("a")).select("a", F.col("node").alias("b"))
+    links = lambda judged: judged.where("linked").select("a", "b")
     judged = judged_pairs(nearest, n_rows)
-    edges = stored(few(judged.where("linked").select("a", "b"), n_rows), "links")
-    label = components(edges, rows=n_rows)
+    label = components(links(judged), rows=n_rows)
     held = sendable(label)
     of = lambda c: held.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
     apart = able.join(of("node"), "node", "left").join(of("p"), "p", "left")
     apart = apart.where(F.coalesce("node_comp", "node") != F.coalesce("p_comp", "p")).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
-    judged = judged.union(judged_pairs(apart.join(judged, ["a", "b"], "left_anti"), n_rows))
-    edges = judged.where("linked").select("a", "b")
+    more = judged_pairs(apart.join(judged, ["a", "b"], "left_anti"), n_rows)
+    judged = judged.union(more)
     around = judged.select(F.col("a").alias("p"), F.col("b").alias("node"), "lo", "hi")
     far = 2 * _apart("", "p_", longs) / (F.col("size") + F.col("p_size") + _apart("", "p_", longs))
     rest = spoke.join(around, ["p", "node"], "left")
     rest = rest.select("cell", "node", "size", "sketch", F.coalesce("lo", far).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"))
     turn, k = 0, PIVOTS
     while True:
-        label = components(edges, rows=n_rows)
+        label = extended(label, links(more), rows=n_rows)
         named = rest.join(sendable(label), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         named = stored(few(named, n_rows), "named")
         groups = named.groupBy("cell", "comp").agg(F.count("*").alias("n"))
@@ -153,14 +157,14 @@ def link_cells(
         near = side(here.where(is_pivot), "x_").join(side(here, "y_"), "cell").where("x_comp <> y_comp")
         if last:
             near = near.where("x_node < y_node")
-        near = near.where(_possible("x_", "y_", share, longs)).where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta))
+        # the windows first: sketches cost more
+        near = near.where((F.col("x_lo") - F.col("y_hi") <= theta) & (F.col("y_lo") - F.col("x_hi") <= theta)).where(_possible("x_", "y_", share, longs))
         if again:
             near = near.where(~F.arrays_overlap("x_met", "y_met"))
         pairs = near.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-        edges = edges.union(judged_pairs(pairs, n_rows).where("linked").select("a", "b"))
+        more = judged_pairs(pairs, n_rows)
         if last:
-            return components(edges, rows=n_rows)
-        edges = stored(few(edges, n_rows), "links")
+            return extended(label, links(more), rows=n_rows)
         rest = live.where(~is_pivot).select("cell", "node", "size", "sketch", "lo", "hi")
         turn, k = turn + 1, k * 16
 

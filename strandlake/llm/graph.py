@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stored, few, stored
+from .common import drop_stored, few, sendable, stored
 
 
 def components(edges: DataFrame, *, rows: int | None = None, max_rounds: int = 60) -> DataFrame:
@@ -56,3 +56,21 @@ def components(edges: DataFrame, *, rows: int | None = None, max_rounds: int = 6
     for table in (live, whole, *parents):
         drop_stored(table)
     return out
+
+
+def extended(label: DataFrame, edges: DataFrame, *, rows: int) -> DataFrame:
+    """What :func:`components` gives of the edges behind ``label(node, component)`` and further ``edges(a, b)``, no more than ``rows``.
+
+    Only the further edges are followed, between components instead of nodes.
+    """
+    held = sendable(label)
+    of = lambda c: held.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
+    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
+    joined = components(between, rows=rows)
+    if joined.isEmpty():
+        return label
+    up = sendable(joined.select(F.col("node").alias("component"), F.col("component").alias("up")))
+    moved = label.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
+    # a component bears the name of one of its nodes
+    new = joined.join(held.select("node"), "node", "left_anti").select("node", "component")
+    return stored(few(moved.union(new), 2 * rows), "components")

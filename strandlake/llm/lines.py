@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import in_company, link_cells
-from .common import few, once, row_key, sendable, settled, stored, table
+from .common import MAX_IDS, few, once, row_key, sendable, settled, stored, table
 
 #: Characters in a shingle.
 WIDTH = 8
@@ -64,12 +64,19 @@ def _marks() -> Column:
 
 def with_marks(h: Column) -> Column:
     """The distinct hashes of ``h`` and the marks, sorted."""
-    return F.sort_array(F.array_union(h, _marks()))
+    return F.sort_array(F.concat(F.array_distinct(h), _marks()))
 
 
-def band_keys(marked: Column, n: Column) -> Column:
+def marks_at(marked: Column) -> Column:
+    """Places of the marks in ``marked``, from 1; the first mark is the least long."""
+    return F.array(F.lit(1), *[F.array_position(marked, F.lit(m).cast("long")).cast("int") for m in MARKS[1:]])
+
+
+def band_keys(marked: Column, n: Column, at: Column | None = None) -> Column:
     """Band keys of the ``n`` distinct shingle hashes in ``marked``, a column made by :func:`with_marks`.
 
+    ``at`` is a column made by :func:`marks_at`; without it every band looks for its marks again.
+
     Long sets: ``BANDS`` marks cut the hash range into classes; a band is the
     ``ROWS`` smallest hashes of a class, which are those many minima of one hash
     function. The marks are sorted in with the hashes, so a class is a slice
@@ -80,14 +87,14 @@ def band_keys(marked: Column, n: Column) -> Column:
     # a lambda of two parameters would get the index as its second
     again = lambda seed: lambda x: F.xxhash64(F.lit(seed), x)
     h = F.array_except(marked, _marks())  # sorted; only short sets ask for it
+    at = marks_at(marked) if at is None else at
+    place = lambda j: F.get(at, F.lit(j))
 
-    def band(j, m):
-        at = F.array_position(marked, F.lit(m).cast("long"))
-        first = F.get(marked, at.cast("int"))  # what follows the mark
-        empty = first.isNull() if j == BANDS - 1 else first == MARKS[j + 1]
-        return F.when(~empty, F.xxhash64(F.lit(j), F.slice(marked, (at + 1).cast("int"), ROWS)))
+    def band(j):
+        end = F.size(marked) + 1 if j == BANDS - 1 else place(j + 1)
+        return F.when(place(j) + 1 < end, F.xxhash64(F.lit(j), F.slice(marked, place(j) + 1, ROWS)))
 
-    long = [band(j, m) for j, m in enumerate(MARKS)]  # no band of an empty class
+    long = [band(j) for j in range(BANDS)]  # no band of an empty class
     short = [F.xxhash64(F.lit(100 + seed), F.slice(F.sort_array(F.transform(h, again(seed))), 1, ROWS)) for seed in SEEDS]
     none = F.array().cast("array<long>")
     return F.when(n < 4, F.array(F.xxhash64(F.lit(99), h))).otherwise(
@@ -104,16 +111,28 @@ def _node(line: str) -> Column:
     return F.xxhash64(line).alias("node")
 
 
+def line_bands(lines: DataFrame) -> DataFrame:
+    """``node, size, keys`` of distinct ``lines(line)``: the number of distinct shingles and the band keys."""
+    prepared = lines.select(_node("line"), windows(F.col("line")).alias("h"))
+    # columns of their own, or every band would sort and look for its marks again
+    prepared = prepared.select("node", with_marks(F.col("h")).alias("marked"))
+    prepared = prepared.select("node", (F.size("marked") - BANDS).alias("size"), "marked", marks_at(F.col("marked")).alias("at"))
+    return prepared.select("node", "size", band_keys(F.col("marked"), F.col("size"), F.col("at")).alias("keys"))
+
+
 def _judge(text: DataFrame) -> Callable[[DataFrame, int], DataFrame]:
     """Exact similarities of pairs of lines of ``text(node, size, line)``, for :func:`link_cells`."""
 
     def judge(pairs: DataFrame, n: int) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        nodes = F.broadcast(nodes) if 2 * n <= MAX_IDS else nodes
         asked = stored(few(text.join(nodes, "node", "left_semi"), 2 * n, 20_000), "asked")
         side = lambda c: asked.select(F.col("node").alias(c), F.col("line").alias(f"l{c}"), F.col("size").alias(f"n{c}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         both = both.withColumn("sa", windows(F.col("la"))).withColumn("sb", windows(F.col("lb")))
-        sizes = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.col("na") + F.col("nb")).alias("total"))
+        # what a has alone takes one hash table, an intersection two
+        shared = F.col("na") - F.size(F.array_except("sa", "sb"))
+        sizes = both.select("a", "b", shared.alias("i"), (F.col("na") + F.col("nb")).alias("total"))
         distance = 1 - F.col("i") / (F.col("total") - F.col("i"))
         linked = F.col("i") * 100 >= (F.col("total") - F.col("i")) * SHARE
         return sizes.select("a", "b", distance.alias("lo"), distance.alias("hi"), linked.alias("linked"))
@@ -151,12 +170,7 @@ def line_classes(docs: DataFrame, place: tuple[str, ...] = ("doc_id",)) -> DataF
     64-bit hashes. A task holds some thirty bytes for each character of one line.
     """
     places = stored(_lines(docs, place).select(*place, "line_no", _node("line")), "places")
-    prepared = _lines(docs).select("line").distinct().select(_node("line"), windows(F.col("line")).alias("h"))
-    # a column of its own, or every band would sort again
-    prepared = prepared.select("node", with_marks(F.col("h")).alias("marked"))
-    prepared = prepared.select("node", (F.size("marked") - BANDS).alias("size"), "marked")
-    keys = band_keys(F.col("marked"), F.col("size"))
-    sets = stored(prepared.select("node", "size", keys.alias("keys")), "sets")
+    sets = stored(line_bands(_lines(docs).select("line").distinct()), "sets")
     banded = sets.select(F.explode("keys").alias("cell"), "node", "size").where("cell IS NOT NULL")
     no_sketch = F.array().cast("array<long>").alias("sketch")  # sketches of 64 bits exclude no pair of lines of usual length
     shared = stored(in_company(banded).select("cell", "node", "size", no_sketch), "cells")

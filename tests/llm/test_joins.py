@@ -126,6 +126,18 @@ def test_components_of_paths_stars_and_nothing(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_further_edges_extend_components(spark):
+    """Rounds of linking follow their own edges only, whichever way these join what is there."""
+    rng = random.Random(5)
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    for old, new in [(40, 40), (0, 30), (40, 0), (60, 3)]:
+        edges = [[(rng.randrange(80), rng.randrange(80)) for _ in range(n)] for n in (old, new)]
+        label = graph.extended(graph.components(frame(edges[0])), frame(edges[1]), rows=80)
+        find = plain.components([*edges[0], *edges[1]])
+        nodes = {i for a, b in [*edges[0], *edges[1]] if a != b for i in (a, b)}
+        assert sorted((r["node"], r["component"]) for r in label.collect()) == sorted((i, find(i)) for i in nodes)
+
+
 def test_a_pair_of_many_shared_cells_is_made_once(spark):
     # twenty nodes in most of thirty cells
     rows = [(c, n) for c in range(30) for n in range(20) if (c * 7 + n * 3) % 5]
@@ -206,6 +218,16 @@ def test_sketches_make_each_set_once(spark):
     assert cells.INLINE < lines.LONGS
 
 
+def test_bands_look_for_each_mark_once(spark):
+    rng = random.Random(6)
+    text = spark.createDataFrame([("".join(rng.choice("abcdef ") for _ in range(n)),) for n in (3, 12, 26, 40, 400)], "line string")
+    out = lines.line_bands(text)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("array_position(") == lines.BANDS - 1
+    h = F.array_distinct(lines.windows(F.col("line")))
+    alone = text.select(lines._node("line"), F.size(h).alias("size"), lines.band_keys(lines.with_marks(h), F.size(h)).alias("keys"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, alone.collect()))
+
+
 def test_bands_meet_at_the_threshold(spark):
     """Random pairs of a Jaccard similarity of just 0.8 share a band, at every size."""
     cases = [(4, 0, 1), (8, 1, 1), (8, 0, 2), (12, 1, 2), (16, 2, 2), (16, 0, 4), (24, 3, 3), (64, 8, 8), (256, 32, 32)]
