@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Accumulator, StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
@@ -13,6 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql.types import FloatType
 
 from ..functions.shared import stored
 from .counting import ranked
@@ -275,100 +277,196 @@ def cluster_summary(clusters: DataFrame, cells: DataFrame, *, key: str = "cell")
     return x.groupBy("cluster").agg(F.count("*").alias("cells"), F.percentile("umis", F.lit(0.5)).alias("median_umis"), F.avg("share").alias("mean_share"))
 
 
-def _best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` nearest of the other rows for each query row of a pair of units."""
-    a, c = rows[rows["query"]], rows[~rows["query"]].sort_values("k")
-    if not len(a) or not len(c):
-        return pd.DataFrame({"k": [], "neighbour": [], "distance": []}).astype({"k": "int64", "neighbour": "int64"})
-    xa, xc = np.array(a["x"].tolist()), np.array(c["x"].tolist())
-    d = np.square(xa).sum(1)[:, None] + np.square(xc).sum(1)[None] - 2 * xa @ xc.T
-    ka, kc = a["k"].to_numpy(), c["k"].to_numpy()
-    d[ka[:, None] == kc[None]] = np.inf
-    m = min(k + 8, len(c))  # some spare: exact distances decide the order
-    at = np.argsort(d, axis=1, kind="stable")[:, :m]
-    exact = np.square(xa[:, None] - xc[at]).sum(2)
-    exact[ka[:, None] == kc[at]] = np.inf
-    keep = np.isfinite(exact)
-    r, _ = np.nonzero(keep)
-    return pd.DataFrame({"k": ka[r], "neighbour": kc[at][keep], "distance": exact[keep]})
-
-
 #: Pivots are sent to every task.
 MAX_PIVOTS = 1024
+#: Bytes of vectors in one row of a table of units, whatever number of rows Spark sends to Python at once.
+PACKED = 8192
+#: Rows that a task of :func:`nearest` holds, pairs of rows that it scores at once, and numbers in the pairs that it measures at once.
+HELD, SCORED, MEASURED = 1 << 14, 1 << 20, 1 << 21
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    if column.null_count or column.flatten().null_count:
+        raise ValueError("a vector or one of its numbers is null")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+class _Nearest:
+    """Rows ``x`` of a task with the ``k`` nearest rows that they have met so far, by distance, then key."""
+
+    def __init__(self, unit: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int, single: bool):
+        self.unit, self.keys, self.x, self.columns = unit, keys, x, np.ascontiguousarray(x.T)
+        self.square, self.single = np.square(x).sum(1), single
+        self.found, self.name = np.full((len(x), k), np.inf), np.full((len(x), k), np.iinfo(np.int64).max)
+
+    def meet(self, rows: np.ndarray, keys: np.ndarray, x: np.ndarray) -> None:
+        """Compare ``rows`` with all of ``x``: products tell which pairs can be near enough, only those are measured."""
+        if not len(rows) or not len(x):
+            return
+        k, square, columns = self.found.shape[1], np.square(x).sum(1), np.ascontiguousarray(x.T)
+        single = self.single and max(square.max(), self.square[rows].max()) < 1e30
+        kind, exact = (np.float32, 2.0**-24) if single else (np.float64, 2.0**-53)
+        other = np.column_stack([x, -square / 2]).astype(kind)
+        step = max(1, SCORED // len(x))
+        for start in range(0, len(rows), step):
+            some = rows[start : start + step]
+            # x.y - y.y / 2 falls as the distance grows; ``off`` bounds what rounding does to it and to its least value
+            score = np.column_stack([self.x[some], np.ones(len(some))]).astype(kind) @ other.T
+            twice = np.isin(keys, self.keys[some])
+            if twice.any():
+                score[:, twice] = np.where(self.keys[some][:, None] == keys[twice], -np.inf, score[:, twice])
+            last = self.found[some, -1]
+            off = exact * (x.shape[1] + 8) * (np.sqrt(self.square[some]) + np.sqrt(square.max())) ** 2 + 1e-36
+            off += exact * np.where(np.isfinite(last), last, 0)
+            least = (self.square[some] - last) / 2 - 2 * off
+            i, j = np.divmod(np.flatnonzero(score >= least[:, None].astype(kind)), len(x))
+            many = np.flatnonzero(np.bincount(i, minlength=len(some)) > 4 * k)
+            if len(many) and len(x) > k:  # the score of the k-th is a bound too
+                kth = np.partition(score[many], len(x) - k, axis=1)[:, len(x) - k]
+                least[many] = np.maximum(least[many], kth - 3 * off[many])
+                i, j = np.divmod(np.flatnonzero(score >= least[:, None].astype(kind)), len(x))
+            most = max(1, MEASURED // x.shape[1])
+            for at in range(0, len(i), most):
+                a, c = some[i[at : at + most]], j[at : at + most]
+                apart = self.keys[a] != keys[c]
+                a, c = a[apart], c[apart]
+                self._take(a, keys[c], np.square(self.columns[:, a] - columns[:, c]).sum(0))  # added up in order, as SQL does
+
+    def _take(self, rows: np.ndarray, keys: np.ndarray, distance: np.ndarray) -> None:
+        last = self.found[rows, -1]
+        nearer = (distance < last) | ((distance == last) & (keys < self.name[rows, -1]))
+        who, at = np.unique(rows[nearer], return_inverse=True)
+        k = self.found.shape[1]
+        row = np.concatenate([np.repeat(np.arange(len(who)), k), at])
+        d, name = np.concatenate([self.found[who].ravel(), distance[nearer]]), np.concatenate([self.name[who].ravel(), keys[nearer]])
+        order = np.lexsort((name, d, row))
+        first = order[np.searchsorted(row[order], np.arange(len(who)))[:, None] + np.arange(k)]
+        self.found[who], self.name[who] = d[first], name[first]
 
 
 def nearest(vectors: DataFrame, k: int, *, key: str, x: str, unit: int = 2048, compared: Accumulator | None = None) -> DataFrame:
     """The ``k`` nearest rows of each row by squared Euclidean distance: ``key, neighbour, rank, distance``, ties by key.
 
     Exact. Rows go to the cell of their nearest pivot and there to a unit of about
-    ``unit`` rows. Their unit gives each row ``k`` neighbours and so a bound; it
-    is then sent only to the cells that can hold a nearer row by the triangle inequality: within
-    the bound of the cell's radius around its pivot, and of the plane between
-    both pivots. A task holds two units, whatever the sizes. ``compared`` adds up
+    ``unit`` rows. A task holds some units and their rows' nearest so far, from their own unit at first, and all units pass by it,
+    read from the stored table and not shuffled. A row meets only the units that can hold a nearer
+    row by the triangle inequality: within its bound of the unit's reach around the pivot, and of the plane between
+    both pivots. A task holds up to HELD rows and one unit more, whatever the sizes. ``compared`` adds up
     the pairs of rows that are compared, to be held against all.
     """
     spark = vectors.sparkSession
-    v = stored(vectors.select(F.col(key).alias("k"), F.col(x).cast("array<double>").alias("x")), "vectors")
+    single = isinstance(vectors.schema[x].dataType.elementType, FloatType)
+    kind, width = ("float", "<f4") if single else ("double", "<f8")
+    v = vectors.select(F.col(key).alias("k"), F.col(x).cast(f"array<{kind}>").alias("x")).where("k IS NOT NULL")
     n = v.count()
     sampled = v.orderBy(F.xxhash64("k", "x"), "k").limit(min(MAX_PIVOTS, max(1, -(-n // unit)))).select("x").collect()
-    kind = "k long, neighbour long, distance double"
     if not sampled:
-        return spark.createDataFrame([], kind).select(F.col("k").alias(key), "neighbour", F.lit(0).alias("rank"), "distance")
-    pivots = np.unique(np.array([r["x"] for r in sampled]), axis=0)
+        return spark.createDataFrame([], "k long, neighbour long, distance double").select(F.col("k").alias(key), "neighbour", F.lit(0).alias("rank"), "distance")
+    pivots = np.unique(np.array([r["x"] for r in sampled], dtype=float), axis=0)
 
-    def far(rows: np.ndarray) -> np.ndarray:
-        square = np.square(rows).sum(1)[:, None] + np.square(pivots).sum(1) - 2 * rows @ pivots.T
-        return np.sqrt(np.maximum(square, 0))
+    def home(rows: np.ndarray) -> np.ndarray:
+        return (np.square(pivots).sum(1) - 2 * rows @ pivots.T).argmin(1)
 
-    def home(batches):
+    def count(batches):
+        total = np.zeros(len(pivots), np.int64)
         for batch in batches:
-            d = far(np.array(batch["x"].tolist()).reshape(len(batch), -1))
-            yield batch.assign(cell=d.argmin(1), away=d.min(1))
+            total += np.bincount(home(_matrix(batch.column("x"))), minlength=len(pivots))
+        yield pa.RecordBatch.from_pydict({"cell": np.arange(len(total)), "n": total})
 
-    homes = stored(v.mapInPandas(home, "k long, x array<double>, cell long, away double"), "homes")
-    size = homes.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()  # a row for each pivot
-    units, radius = np.zeros(len(pivots), np.int64), np.full(len(pivots), -np.inf)
+    size = v.select("x").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # a row for each pivot
+    units = np.ones(len(pivots), np.int64)
     for r in size:
-        units[r["cell"]], radius[r["cell"]] = -(-r["n"] // unit), r["radius"]
-    first = np.concatenate([[0], np.cumsum(units)])
-    lookup = lambda values: F.element_at(F.array(*[F.lit(int(i)) for i in values]), (F.col("cell") + 1).cast("int")).cast("long")
-    homes = homes.withColumn("unit", lookup(first[:-1]) + F.pmod(F.xxhash64("k"), lookup(units)))
-    between = np.sqrt(np.maximum(np.square(pivots).sum(1)[:, None] + np.square(pivots).sum(1) - 2 * pivots @ pivots.T, 0))
-
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        if compared is not None:
-            compared.add(int(rows["query"].sum()) * int((~rows["query"]).sum()))
-        return _best(rows, k)
+        units[r["cell"]] = max(1, -(-r["n"] // unit))
+    first, cell_of = np.cumsum(units) - units, np.repeat(np.arange(len(pivots)), units)
+    held = max(1, min(HELD // unit, len(cell_of) // (3 * spark.sparkContext.defaultParallelism)))
+    tasks = -(-len(cell_of) // held)
 
-    # first among the rows of its own unit
-    both = F.explode(F.array(F.lit(True), F.lit(False))).alias("query")
-    own = stored(homes.select("unit", "k", "x", both).groupBy("unit").applyInPandas(search, kind), "own")
-    order = Window.partitionBy("k").orderBy("distance", "neighbour")
-    top = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    bound = top(own).groupBy("k").agg(F.count("*").alias("found"), F.max("distance").alias("bound")).where(F.col("found") == k).drop("found")
+    def placed(batches):
+        for batch in batches:
+            cell = home(_matrix(batch.column("x")))
+            at = first[cell] + batch.column("draw").to_numpy() % units[cell]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("x"), pa.array(at), pa.array((at // held).astype(np.int32))], names=["k", "x", "unit", "task"])
 
-    def spread(batches):
+    def packed(batches):
         for batch in batches:
-            rows = np.array(batch["x"].tolist()).reshape(len(batch), -1)
-            d, at = far(rows), batch["cell"].to_numpy()
-            most = np.sqrt(batch["bound"].fillna(np.inf).to_numpy())[:, None]
-            plane = (np.square(d) - np.square(batch["away"].to_numpy())[:, None]) / np.maximum(2 * between[at], 1e-300)
-            plane[np.arange(len(at)), at] = 0
-            slack = 1e-7 * (1 + d)
-            row, cell = np.nonzero((d - radius <= most + slack) & (plane <= most + slack) & (units > 0))
-            many = units[cell]
-            row, cell = np.repeat(row, many), np.repeat(cell, many)
-            target = first[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(many) - many, many)
-            other = target != batch["unit"].to_numpy()[row]
-            row, target = row[other], target[other]
-            yield pd.DataFrame({"p": batch["unit"].to_numpy()[row], "q": target, "k": batch["k"].to_numpy()[row], "x": batch["x"].to_numpy()[row]})
-
-    queries = stored(homes.join(bound, "k", "left").mapInPandas(spread, "p long, q long, k long, x array<double>"), "queries")
-    pairs = queries.select("p", "q").distinct()
-    there = homes.select(F.col("unit").alias("q"), "k", "x").join(pairs, "q")
-    dealt = queries.select("p", "q", "k", "x", F.lit(True).alias("query")).union(there.select("p", "q", "k", "x", F.lit(False)))
-    found = own.union(dealt.groupBy("p", "q").applyInPandas(search, kind))
-    return top(found).select(F.col("k").alias(key), "neighbour", "rank", "distance")
+            rows, keys, at = _matrix(batch.column("x")), batch.column("k").to_numpy(), batch.column("unit").to_numpy()
+            most = max(1, PACKED // (rows.shape[1] * int(width[2:])))
+            ends = [0, *(np.flatnonzero(np.diff(at)) + 1), len(at)]
+            cuts = [(i, min(i + most, b)) for a, b in zip(ends[:-1], ends[1:], strict=True) for i in range(a, b, most)]
+            reach = np.sqrt(np.square(rows - pivots[cell_of[at]]).sum(1))
+            yield pa.RecordBatch.from_pydict({
+                "unit": [int(at[a]) for a, _ in cuts], "task": [int(at[a]) // held for a, _ in cuts], "reach": [float(reach[a:b].max()) for a, b in cuts],
+                "keys": [keys[a:b].astype("<i8").tobytes() for a, b in cuts], "rows": [rows[a:b].astype(width).tobytes() for a, b in cuts],
+            }, pa.schema([("unit", pa.int64()), ("task", pa.int32()), ("reach", pa.float64()), ("keys", pa.binary()), ("rows", pa.binary())]))
+
+    kinds = f"k long, x array<{kind}>, unit long, task int"
+    dealt = v.withColumn("draw", F.pmod(F.xxhash64("k", "x"), F.lit(1 << 40))).mapInArrow(placed, kinds).repartitionById(tasks, "task").sortWithinPartitions("unit", "k")
+    table = stored(dealt.mapInArrow(packed, "unit long, task int, reach double, keys binary, rows binary"), "units")
+    between = np.sqrt(np.maximum(np.square(pivots).sum(1)[:, None] + np.square(pivots).sum(1) - 2 * pivots @ pivots.T, 0))
+    furthest = np.sqrt(np.square(pivots).sum(1).max())
+
+    def search(batches):
+        own, passing, at, near = [], [], None, None
+        vectors_of = lambda rows: np.frombuffer(b"".join(rows), width).astype(float).reshape(-1, pivots.shape[1])
+
+        def begun():
+            keys = [np.frombuffer(r[1], "<i8") for r in own]
+            near = _Nearest(np.repeat([r[0] for r in own], [len(x) for x in keys]), np.concatenate(keys), vectors_of([r[2] for r in own]), k, single)
+            near.cell = cell_of[near.unit]
+            near.away = np.sqrt(np.square(near.x - pivots[near.cell]).sum(1))
+            own.clear()
+            for u in np.unique(near.unit):  # first among the rows of its own unit
+                rows = np.flatnonzero(near.unit == u)
+                if compared is not None:
+                    compared.add(len(rows) ** 2)
+                near.meet(rows, near.keys[rows], near.x[rows])
+            return near
+
+        def met():
+            reach, c = max(r[0] for r in passing), cell_of[at]
+            d = np.sqrt(np.square(near.x - pivots[c]).sum(1))
+            apart = np.maximum(between[near.cell, c], 1e-300)
+            plane = np.where(near.cell == c, 0, (np.square(d) - np.square(near.away)) / (2 * apart))
+            most, slack = np.sqrt(near.found[:, -1]), 1e-7 * (1 + d)
+            rows = np.flatnonzero((d - reach <= most + slack) & (plane <= most + slack + 1e-12 * (furthest + reach) ** 2 / apart) & (near.unit != at))
+            keys = np.frombuffer(b"".join(r[1] for r in passing), "<i8")
+            if compared is not None:
+                compared.add(len(rows) * len(keys))
+            near.meet(rows, keys, vectors_of([r[2] for r in passing]))
+            passing.clear()
+
+        for batch in (batch.slice(i, 512) for batch in batches for i in range(0, len(batch), 512)):
+            for unit_, keys, rows, other, reach, other_keys, other_rows in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+                if rows is not None:
+                    if near is not None:
+                        raise RuntimeError("rows of the task's own came behind those that pass by")
+                    own.append((unit_, keys, rows))
+                elif near is None:
+                    near = begun()
+                if other_rows is not None:
+                    if passing and (other != at or sum(len(r[1]) for r in passing) >= 8 * 4 * unit):
+                        near = near or begun()
+                        met()
+                    at = other
+                    passing.append((reach, other_keys, other_rows))
+        if own:
+            near = begun()
+        if passing:
+            met()
+        for i in range(0, len(near.keys) if near else 0, 4096):
+            r, c = np.nonzero(np.isfinite(near.found[i : i + 4096]))
+            yield pa.RecordBatch.from_pydict({"k": near.keys[i + r], "neighbour": near.name[i + r, c], "distance": near.found[i + r, c]})
+
+    # a task is the product of all units, read one after another, with its own ones, of which the first row sees all and each other the first
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    every = table.coalesce(1).select(F.col("unit").alias("other"), "reach", F.col("keys").alias("other_keys"), F.col("rows").alias("other_rows"), (nth == 0).alias("head"))
+    mine = table.repartitionById(tasks, "task").select("unit", "keys", "rows", (nth == 0).alias("top"))
+    both = every.join(mine.hint("shuffle_replicate_nl"), F.col("head") | F.col("top"))
+    once = lambda flag, *names: [F.when(F.col(flag), F.col(c)).alias(c) for c in names]
+    found = both.select("unit", *once("head", "keys", "rows"), "other", "reach", *once("top", "other_keys", "other_rows")).mapInArrow(search, "k long, neighbour long, distance double")
+    order = Window.partitionBy("k").orderBy("distance", "neighbour")
+    top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)  # an id can have several rows
+    return top.select(F.col("k").alias(key), "neighbour", "rank", "distance")
 
 
 def radius_and_angle(cells: DataFrame, rna: str = "rna_reads", dna: str = "dna_reads") -> DataFrame:

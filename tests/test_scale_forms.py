@@ -169,3 +169,53 @@ def test_neighbours_equal_brute_force(spark, spread, share):
     assert matrix.nearest(df.limit(0), 5, key="id", x="x").collect() == []
     few = matrix.nearest(df.limit(3), 5, key="id", x="x").collect()
     assert len(few) == 6
+
+
+def test_neighbours_store_no_row_for_each_unit(spark):
+    """Vectors without groups meet all units; until then each was written once for each of them."""
+    from pathlib import Path
+
+    from strandlake.functions.shared import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    written = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    x = np.random.default_rng(4).normal(size=(3000, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>").repartition(5)
+    before = written()
+    got = sorted((r["id"], r["rank"], r["neighbour"]) for r in matrix.nearest(df, 3, key="id", x="x", unit=20).collect())
+    assert 0 < written() - before < 4 * x.nbytes
+    d = np.square(x[:, None] - x[None]).sum(2)
+    np.fill_diagonal(d, np.inf)
+    assert got == [(i, n + 1, j) for i in range(3000) for n, j in enumerate(np.argsort(d[i])[:3].tolist())]
+
+
+def test_neighbours_of_ids_with_several_rows(spark):
+    x = np.random.default_rng(5).normal(size=(120, 3)).round(1).astype(np.float32)
+    x[20:60] = x[7]  # more copies than neighbours, so ids decide
+    keys = [None if i == 3 else i % 90 for i in range(120)]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in zip(keys, x, strict=True)], "id long, x array<float>").repartition(3)
+    got = {}
+    for r in matrix.nearest(df, 4, key="id", x="x", unit=16).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["distance"], r["neighbour"]))
+    pairs = {}
+    for k, v in zip(keys, x.astype(float), strict=True):
+        pairs.setdefault(k, []).extend((sum((v - w) ** 2), n) for n, w in zip(keys, x.astype(float), strict=True) if n is not None and n != k)
+    del pairs[None]
+    assert {k: sorted(v) for k, v in got.items()} == {k: [(i, *p) for i, p in enumerate(sorted(v)[:4], 1)] for k, v in pairs.items()}
+
+
+@pytest.mark.parametrize("single", [True, False])
+@pytest.mark.parametrize("scale", [1e-25, 1.0, 1e25])
+def test_units_meet_in_pieces(monkeypatch, single, scale):
+    monkeypatch.setattr(matrix, "SCORED", 700)
+    monkeypatch.setattr(matrix, "MEASURED", 60)
+    x = (np.random.default_rng(6).normal(size=(300, 6)) * scale + 3 * scale).astype(np.float32).astype(float)
+    x[100:140] = x[50]
+    keys = np.random.default_rng(7).permutation(300)
+    held = matrix._Nearest(np.zeros(90, int), keys[:90], x[:90], 5, single)
+    for start in range(0, 300, 45):
+        held.meet(np.arange(90), keys[start : start + 45], x[start : start + 45])
+    for i in range(90):
+        d = np.square((x - x[i]).T).sum(0)
+        order = [j for j in np.lexsort((keys, d)) if j != i][:5]
+        assert held.name[i].tolist() == keys[order].tolist() and held.found[i].tolist() == d[order].tolist()
