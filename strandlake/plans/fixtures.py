@@ -97,11 +97,12 @@ def reachable_by_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*found, root]))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
+    """A view or table; ``given`` are tables that take the place of those it needs."""
     reachable_by_workers(spark)
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(VIEWS[name], **{t: view(spark, sf_dir, t) for t in NEEDS[name]})
+    return spark.sql(VIEWS[name], **{t: given[t] if t in given else view(spark, sf_dir, t) for t in NEEDS[name]})
 
 
 def oracle(query: str, *more: str) -> str:

@@ -33,6 +33,7 @@ class Written(WriterCommitMessage):
 class LinesWriter(DataSourceArrowWriter):
     """Rows ``(part, value)``, those of a part together, as text files: one for each task and part.
 
+    ``together``: parts whose rows may come mixed; so many files are open at once.
     ``least``: parts of fewer rows in all are removed at the commit. ``header``: text of a first
     file, in which ``{rows}`` is the number of rows in all.
     """
@@ -41,40 +42,42 @@ class LinesWriter(DataSourceArrowWriter):
         self.path = options["path"]
         self.ending = options.get("ending", ".txt")
         self.least, self.header = int(options.get("least", "0")), options.get("header")
+        self.together = int(options.get("together", "1"))
 
     def write(self, iterator):
         store, folder = files.system(self.path)
         out = Written(TaskContext.get().partitionId())
-        stream, part, waiting, size = None, None, [], 0
+        opened: dict[str, list] = {}  # by part: file, lines that wait, their bytes, entry of the message
 
-        def flush():
-            nonlocal waiting, size
-            if stream and waiting:
-                stream.write(b"\n".join(waiting) + b"\n")
-            waiting, size = [], 0
+        def flush(x):
+            if x[1]:
+                x[0].write(b"\n".join(x[1]) + b"\n")
+            x[1], x[2] = [], 0
 
         try:
             for batch in iterator:
-                for name, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                    if name != part:
-                        flush()
-                        if stream:
-                            stream.close()
-                        part = name
+                for part, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                    if part not in opened:
+                        while len(opened) >= self.together:
+                            name = next(iter(opened))
+                            flush(opened[name])
+                            opened.pop(name)[0].close()
                         target = f"{part}/_{uuid.uuid4().hex}" if part else f"_{uuid.uuid4().hex}"
                         store.create_dir(f"{folder}/{target}".rpartition("/")[0], recursive=True)
                         raw = store.open_output_stream(f"{folder}/{target}", compression=None)
-                        stream = _Gzip(raw) if self.ending.endswith(".gz") else raw
                         out.parts.append([part, target, 0])
-                    waiting.append(value)
-                    out.parts[-1][2] += 1
-                    size += len(value)
-                    if size > BUFFER:
-                        flush()
-            flush()
+                        opened[part] = [_Gzip(raw) if self.ending.endswith(".gz") else raw, [], 0, out.parts[-1]]
+                    x = opened[part]
+                    x[1].append(value)
+                    x[2] += len(value)
+                    x[3][2] += 1
+                    if x[2] > BUFFER:
+                        flush(x)
+            for x in opened.values():
+                flush(x)
         finally:
-            if stream:
-                stream.close()
+            for x in opened.values():
+                x[0].close()
         return out
 
     def commit(self, messages):

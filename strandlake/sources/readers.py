@@ -36,13 +36,22 @@ def read_lines(spark: SparkSession, path: str, *, split: int | None = None) -> D
     return records.scan(spark, path, "lines", split)
 
 
-def paired_scan(spark: SparkSession, first: str, second: str) -> DataFrame:
-    """Both mates record by record: ``ordinal, name, seq1, qual1, seq2, qual2``; names must agree."""
-    from ..operators.reads import join_by_place
+def paired_scan(spark: SparkSession, first: str, second: str, *, split: int | None = None) -> DataFrame:
+    """Both mates record by record: ``pair_id, ordinal, name, comment, seq1, qual1, seq2, qual2``; names must agree.
 
-    bare = lambda df: df.withColumn("name", F.split_part("name", F.lit(" "), F.lit(1)))
-    mate = lambda path, k: bare(read_fastq(spark, path)).withColumn("pair_id", strip_suffixes(F.col("path"))).select("pair_id", "ordinal", "name", F.col("seq").alias(f"seq{k}"), F.col("qual").alias(f"qual{k}"))
-    return join_by_place(mate(first, 1), mate(second, 2))
+    ``comment`` is what stands behind the name in the first file. A task reads both files of a base name side by side; no row is shuffled.
+    """
+    found = [(side, *x) for side, pattern in enumerate((first, second)) for x in files.listed(spark, pattern)]
+    named = spark.createDataFrame(found, "side int, path string, size long").withColumn("pair_id", strip_suffixes(F.col("path"))).collect()  # a row for each file
+    sides: list[dict] = [{}, {}]
+    for x in named:
+        sides[x["side"]].setdefault(x["pair_id"], []).append((x["path"], x["size"]))
+    pairs = [(name, a, b) for name, mine in sides[0].items() for a in mine for b in sides[1].get(name, [])]
+    bare = lambda c: F.split_part(c, F.lit(" "), F.lit(1))
+    same = F.assert_true(bare("name1").eqNullSafe(bare("name2")), F.lit("the two files hold different reads"))
+    both = records.scan_pairs(spark, pairs, split).where(F.coalesce(same.cast("boolean"), F.lit(True)))
+    comment = F.expr("substring(name1, length(split_part(name1, ' ', 1)) + 2)")
+    return both.select("pair_id", "ordinal", bare("name1").alias("name"), comment.alias("comment"), "seq1", "qual1", "seq2", "qual2")
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,7 @@ KINDS = {
     "fastq": "path string, ordinal long, name string, seq string, qual string",
     "fasta": "path string, rank int, name string, seq string",
     "lines": "path string, ordinal long, value string",
+    "pairs": "pair_id string, ordinal long, name1 string, seq1 string, qual1 string, name2 string, seq2 string, qual2 string",
 }
 
 
@@ -44,6 +45,18 @@ class Range(InputPartition):
         super().__init__(self.start)
 
 
+@dataclass
+class Pair(InputPartition):
+    """Records of ``one`` and those with the same numbers of a second file, in ``others`` in their order."""
+
+    pair_id: str
+    one: Range
+    others: list[Range]
+
+    def __post_init__(self):
+        super().__init__(self.one.start)
+
+
 def _chunks(r: Range) -> Iterator[bytes]:
     """The file's bytes from one before the range's start on, so that a line start there can be told."""
     store, path = files.system(r.path)
@@ -119,6 +132,21 @@ def fastq_records(r: Range) -> Iterator[list[list[bytes]]]:
     yield [lines[k:n:4] for k in range(4)]
 
 
+def paired_records(p: Pair) -> Iterator[tuple[list[list[bytes]], list[list[bytes]]]]:
+    """The same records of both files, as lists of their four lines; those that only one file has are left out."""
+    rest, skip = [[], [], [], []], p.one.first - p.others[0].first
+    others = itertools.chain.from_iterable(map(fastq_records, p.others))
+    for mine in fastq_records(p.one):
+        while len(rest[0]) < len(mine[0]) and (more := next(others, None)) is not None:
+            rest = [a + b[skip:] for a, b in zip(rest, more, strict=True)]
+            skip = max(0, skip - len(more[0]))
+        n = min(len(mine[0]), len(rest[0]))
+        yield [x[:n] for x in mine], [x[:n] for x in rest]
+        if n < len(mine[0]):
+            return
+        rest = [x[n:] for x in rest]
+
+
 def _inside(r: Range, at: int, lines: list[bytes]) -> int:
     """How many of the lines, the first of which begins at ``at``, are of whole records that start in the range."""
     n = len(lines) // 4 * 4
@@ -159,10 +187,15 @@ def fasta_records(r: Range) -> Iterator[tuple[bytes, list[bytes]]]:
         yield name, parts
 
 
+def _text(values: list[bytes]) -> pa.Array:
+    return pa.array([x.rstrip(b"\r") for x in values], pa.binary()).cast(pa.string())
+
+
 class RecordReader(DataSourceReader):
     def __init__(self, options):
         self.kind, self.count = options["kind"], options.get("count") == "true"
-        self.ranges = [Range(*x) for x in json.loads(options["ranges"])]
+        given = json.loads(options["ranges"])
+        self.ranges = [Pair(name, Range(*x), [Range(*y) for y in z]) for name, x, z in given] if self.kind == "pairs" else [Range(*x) for x in given]
 
     def partitions(self):
         return self.ranges
@@ -180,13 +213,19 @@ class RecordReader(DataSourceReader):
                 value = pa.array([x.rstrip(b"\r") for x in lines], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(lines), pa.string()), pa.array(range(at, at + len(lines)), pa.int64()), value], names=["path", "ordinal", "value"])
                 at += len(lines)
+        elif self.kind == "pairs":
+            at = partition.one.first
+            for a, b in paired_records(partition):
+                ordinal = pa.array(range(at, at + len(a[0])), pa.int64())
+                at += len(a[0])
+                columns = [_text(x) for name, seq, _, qual in (a, b) for x in ([y[1:] for y in name], seq, qual)]
+                yield pa.RecordBatch.from_arrays([pa.array([partition.pair_id] * len(ordinal), pa.string()), ordinal, *columns], names=["pair_id", "ordinal", "name1", "seq1", "qual1", "name2", "seq2", "qual2"])
         elif self.kind == "fastq":
             at = partition.first
             for name, seq, _, qual in fastq_records(partition):
-                text = lambda x: pa.array([s.rstrip(b"\r") for s in x], pa.binary()).cast(pa.string())
                 ordinal = pa.array(range(at, at + len(name)), pa.int64())
                 at += len(name)
-                yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(name), pa.string()), ordinal, text([x[1:] for x in name]), text(seq), text(qual)], names=["path", "ordinal", "name", "seq", "qual"])
+                yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(name), pa.string()), ordinal, _text([x[1:] for x in name]), _text(seq), _text(qual)], names=["path", "ordinal", "name", "seq", "qual"])
         else:
             rows, size = [], 0
             for k, (name, parts) in enumerate(fasta_records(partition), partition.first + 1):
@@ -219,26 +258,59 @@ class RecordSource(DataSource):
         return RecordReader(self.options)
 
 
-def scan(spark: SparkSession, path: str, kind: str, split: int | None = None) -> DataFrame:
-    """Records of the files that ``path`` names, cut into ranges of ``split`` bytes (Spark's own bound by default)."""
+def _load(spark: SparkSession, kind: str, ranges: list, **more) -> DataFrame:
     for module in (files, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(module)  # workers needn't have this package
     spark.dataSource.register(RecordSource)
+    return spark.read.format(RecordSource.name()).options(kind=kind, ranges=json.dumps(ranges), **more).load()
+
+
+def _ranges(spark: SparkSession, found: list[tuple[str, int]], kind: str, split: int | None) -> tuple[list[tuple], dict]:
+    """Ranges of the files, numbered, and the number of records of those that are of a file that is cut."""
     split = split or int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     ranges = []
-    for name, size in files.listed(spark, path):
+    for name, size in found:
         if name.endswith(".gz"):
             ranges.append((name, 0, -1, 0))
         else:
             ranges += [(name, at, min(size, at + split), 0) for at in range(0, size, split)]
-    load = lambda r, **more: spark.read.format(RecordSource.name()).options(kind=kind, ranges=json.dumps(r), **more).load()
     cut = {r[0] for r in ranges if r[1]}
-    if cut:  # a row for each range of a file that is cut
-        n = {(x["path"], x["start"]): x["n"] for x in load([r for r in ranges if r[0] in cut], count="true").collect()}
-        before, numbered = {}, []
-        for name, start, end, _ in ranges:
-            first = before.get(name, 0)
-            before[name] = first + n.get((name, start), 0)
-            numbered.append((name, start, end, first))
-        ranges = numbered
-    return load(ranges)
+    if not cut:
+        return ranges, {}
+    # a row for each range of a file that is cut
+    n = {(x["path"], x["start"]): x["n"] for x in _load(spark, kind, [r for r in ranges if r[0] in cut], count="true").collect()}
+    before, numbered = {}, []
+    for name, start, end, _ in ranges:
+        first = before.get(name, 0)
+        before[name] = first + n.get((name, start), 0)
+        numbered.append((name, start, end, first))
+    return numbered, n
+
+
+def scan(spark: SparkSession, path: str, kind: str, split: int | None = None) -> DataFrame:
+    """Records of the files that ``path`` names, cut into ranges of ``split`` bytes (Spark's own bound by default)."""
+    return _load(spark, kind, _ranges(spark, files.listed(spark, path), kind, split)[0])
+
+
+def scan_pairs(spark: SparkSession, pairs: list[tuple[str, tuple[str, int], tuple[str, int]]], split: int | None = None) -> DataFrame:
+    """Records of two FASTQ files side by side, for each ``(name, first, second)`` with ``(path, bytes)`` of the files.
+
+    A task reads a range of the first file and those of the second that hold the same numbers; if one of
+    them is compressed it reads both whole.
+    """
+    packed = lambda *both: any(x[0].endswith(".gz") for x in both)
+    ranges, n = _ranges(spark, sorted({x for _, *both in pairs if not packed(*both) for x in both}), "fastq", split)
+    of: dict[str, list] = {}
+    for r in ranges:
+        of.setdefault(r[0], []).append((*r[3:], r[3] + n[r[:2]] if r[:2] in n else sys.maxsize, r))
+    given = []
+    for name, *both in pairs:
+        if packed(*both):
+            one, other = ((path, 0, -1 if path.endswith(".gz") else size, 0) for path, size in both)
+            given.append((name, one, [other]))
+            continue
+        for first, end, r in of.get(both[0][0], []):
+            others = [x for a, b, x in of.get(both[1][0], []) if a < end and b > first]
+            if others and first < end:
+                given.append((name, r, others))
+    return _load(spark, "pairs", given)

@@ -163,3 +163,67 @@ def test_numbered_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\n\ny\nz")
     got = {(r["ordinal"], r["value"]) for r in readers.read_lines(spark, str(tmp_path / "a.txt"), split=2).collect()}
     assert got == {(0, "x"), (1, ""), (2, "y"), (3, "z")}
+
+
+def test_mates_are_read_side_by_side(spark, tmp_path):
+    """Plain files cut anywhere and compressed ones, without an exchange; one mate has records that the other lacks."""
+    want, _ = fastq_text(8, 300)
+    r = random.Random(9)
+    names = [f"r{i}" for i in range(300)]
+    one = "".join(f"@{n} L{i % 2} R1\n{s}\n+\n{q}\n" for i, (n, (_, s, q)) in enumerate(zip(names, want, strict=True)))
+    other = "".join(f"@{n} R2\n{'ACGT' * r.randint(0, 20)}{n}\n+\n{'I' * r.randint(0, 90)}\n" for n in [*names, "more", "most"])
+    for folder, text in (("m1", one), ("m2", other)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / f"a_R{folder[1]}.fq").write_text(text)
+        with gzip.open(tmp_path / folder / f"b_R{folder[1]}.fq.gz", "wt") as f:
+            f.write(text)
+    (tmp_path / "m1" / "c_R1.fq").write_text(one)
+    with gzip.open(tmp_path / "m2" / "c_R2.fq.gz", "wt") as f:
+        f.write(other)
+    seq2 = [x.split("\n")[1] for x in other.split("@")[1:]]
+    for split in (150, 1_111, 20_000, None):
+        both = readers.paired_scan(spark, str(tmp_path / "m1"), str(tmp_path / "m2"), split=split)
+        assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+        rows = both.collect()
+        for name in "abc":
+            got = sorted((x["ordinal"], x["name"], x["comment"], x["seq1"], x["qual1"], x["seq2"]) for x in rows if x["pair_id"] == name)
+            assert got == [(i, n, f"L{i % 2} R1", s, q, seq2[i]) for i, (n, (_, s, q)) in enumerate(zip(names, want, strict=True))]
+
+
+def test_parts_that_come_mixed(spark, tmp_path):
+    df = spark.range(1000).repartition(3).selectExpr("inline(array(struct(concat('p=', id % 2) AS part, CAST(id AS STRING) AS value), struct('q' AS part, CAST(-id AS STRING) AS value)))")
+    committed.write_lines(df, str(tmp_path / "x"), together=2)
+    assert sorted(int(x) for f in committed.files_of(str(tmp_path / "x")) for x in open(f)) == sorted([*range(1000), *(-i for i in range(1000))])
+    one = df.where("part <> 'p=1'")
+    committed.write_lines(one, str(tmp_path / "y"), together=2)
+    files = committed.files_of(str(tmp_path / "y"))
+    assert len(files) == 6
+    for f in (x for x in files if "/q/" in x):
+        assert set(open(f.replace("/q/", "/p=0/"))) <= {x.lstrip("-") for x in open(f)}
+
+
+def test_paired_reads_of_ids_that_stand_several_times(spark, tmp_path):
+    """Also how much it writes: the mates were stored as a table, written plain, and shuffled three times."""
+    import os
+    from pathlib import Path
+
+    import duckdb
+
+    from strandlake.functions.shared import shared_dir
+    from strandlake.plans import more_queries  # noqa: F401
+    from strandlake.plans.queries import ORACLES, QUERIES
+
+    con, top = duckdb.connect(), "/root/testdata/sf0.001"
+    for name in ("part", "nation"):
+        os.symlink(f"{top}/{name}.parquet", tmp_path / f"{name}.parquet")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{top}/{name}.parquet'")
+    con.sql(f"COPY (SELECT * FROM '{top}/lineitem.parquet' UNION ALL SELECT * FROM '{top}/lineitem.parquet' WHERE l_orderkey % 50 = 0 UNION ALL (SELECT * FROM '{top}/lineitem.parquet' WHERE l_orderkey % 100 = 0)) TO '{tmp_path}/lineitem.parquet'")
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    written = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    before = written()
+    df = QUERIES["paired_reads"](spark, str(tmp_path))
+    got = sorted(map(tuple, df.collect()))
+    assert got == sorted(con.sql(ORACLES["paired_reads"]).project(", ".join(df.columns)).fetchall())
+    assert len(got) > len(set(got))
+    assert written() - before < 100 * len(got)
